@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import ngram_join
+from tallyforge.llm import ngram_join, repair
 from tallyforge.llm.common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public vocabulary file lies; the same path must hold on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.shard_index(repair.write_shards(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 OP7_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM w),
@@ -27,6 +38,7 @@ SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, min(r.c) AS component_i
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard_join": op7,
+    "op8_token_shards": op8,
 }
 
 ORACLES: dict[str, str] = {
