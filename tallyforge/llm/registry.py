@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import ngram_join, repair
+from tallyforge.llm import decontaminate, mixing, ngram_join, quality, repair
 from tallyforge.llm.common import table
 
 
@@ -17,6 +17,24 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Target shares of characters: the large source gets a fifth, the others share the rest evenly.
+TARGETS = {f"src{i}": 4.0 if i == 0 else 16.0 / 19 for i in range(20)}
+MIX_SEED = 20
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), TARGETS, MIX_SEED, keys=True)
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -25,6 +43,22 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.shard_index(repair.write_shards(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+_TARGET_ROWS = ", ".join(f"('{name}', CAST({weight!r} AS DOUBLE))" for name, weight in TARGETS.items())
+
+OP5_SQL = f"""
+WITH t(source, weight) AS (VALUES {_TARGET_ROWS}),
+c AS (SELECT source, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY source),
+s AS (SELECT c.source, CAST(chars AS DOUBLE) AS chars, weight FROM c JOIN t USING (source) WHERE chars > 0 AND weight > 0),
+r AS (SELECT source, weight / (SELECT sum(weight) FROM s) * (SELECT sum(chars) FROM s) / chars AS rate FROM s),
+k AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1)) AS k FROM r),
+p AS (SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS below FROM k),
+d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS ident FROM documents),
+u AS (SELECT *, CAST(CAST('0x' || substr(md5('{MIX_SEED}:' || ident), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 AS u FROM d),
+n AS (SELECT u.*, CASE WHEN source IN (SELECT source FROM r) THEN (SELECT count(*) FROM p WHERE p.source = u.source AND p.below <= u.u) ELSE 1 END AS n FROM u),
+e AS (SELECT doc_id, text, lang, source, n_chars, ident, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM n)
+SELECT doc_id, text, lang, source, n_chars, copy, md5('{MIX_SEED}:order:' || ident || ':' || copy) AS shuffle_key FROM e
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM w),
@@ -37,10 +71,14 @@ SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, min(r.c) AS component_i
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": op2,
+    "op5_poisson_mixing": op5,
+    "op6_quality_ranking": op6,
     "op7_ngram_jaccard_join": op7,
     "op8_token_shards": op8,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_poisson_mixing": OP5_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
 }
