@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, mixing, ngram_join, quality, repair
+from tallyforge.llm import decontaminate, mixing, ngram_join, pii, quality, repair, secret_scan
 from tallyforge.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), TARGETS, MIX_SEED, keys=True)
 
@@ -43,6 +47,32 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.shard_index(repair.write_shards(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def _op3_sql() -> str:
+    """Each rule over every text, without an index."""
+    parts = []
+    for rank, r in enumerate(secret_scan.RULES):
+        re = r.regex.replace("'", "''")
+        keep = f"WHERE length(regexp_extract(hit, '{re}', {r.group})) >= {r.least}" if r.least else ""
+        parts.append(
+            f"""SELECT rid, {rank} AS rank, '{r.kind}' AS kind, start, start + length(hit) AS stop FROM (
+  SELECT rid, h[i] AS hit, coalesce(list_sum([length(p[j]) + length(h[j]) FOR j IN range(1, i)]), 0) + length(p[i]) AS start
+  FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, '{re}') AS h, regexp_split_to_array(t, '{re}') AS p FROM d))) {keep}"""
+        )
+    counts = ", ".join(f"count(*) FILTER (rank = {i}) AS n_{r.kind}" for i, r in enumerate(secret_scan.BASE))
+    names = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)
+    form = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(parts)}),
+g AS (SELECT rid, {counts}, {form} FILTER (rank < {len(secret_scan.BASE)}) AS base, {form} AS spans FROM s GROUP BY rid)
+SELECT doc_id, {names}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (rid)
+"""
+
+
 _TARGET_ROWS = ", ".join(f"('{name}', CAST({weight!r} AS DOUBLE))" for name, weight in TARGETS.items())
 
 OP5_SQL = f"""
@@ -72,13 +102,16 @@ SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, min(r.c) AS component_i
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2,
+    "op3_secret_scan": op3,
     "op5_poisson_mixing": op5,
     "op6_quality_ranking": op6,
     "op7_ngram_jaccard_join": op7,
     "op8_token_shards": op8,
+    "op9_personal_data": op9,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_secret_scan": _op3_sql(),
     "op5_poisson_mixing": OP5_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
 }
