@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, mixing, ngram_join, pii, quality, repair, secret_scan
-from tallyforge.llm.common import table
+from tallyforge.llm import decontaminate, media, mixing, ngram_join, pii, quality, repair, secret_scan
+from tallyforge.llm.common import stage, table
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -51,6 +51,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digest(stage(media.store(table(spark, sf_dir, "documents")), "media"))
+
+
 def _op3_sql() -> str:
     """Each rule over every text, without an index."""
     parts = []
@@ -108,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard_join": op7,
     "op8_token_shards": op8,
     "op9_personal_data": op9,
+    "op10_media_columns": op10,
 }
 
 ORACLES: dict[str, str] = {
