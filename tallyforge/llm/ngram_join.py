@@ -11,7 +11,8 @@ How this stays exact and linear-ish on Spark:
   ("similar documents"), so that a large family of near copies is one group and not all its pairs.
 * The matrix rows are (token, group) for prefix tokens only: with ``n`` tokens, the ``n - ceil(0.8 n) + 1`` rarest. Two
   sets with Jaccard >= 0.8 always share one, under any order; the order is by a fixed-size count sketch over all
-  documents, so passages that many documents share come last and open nothing.
+  documents, so passages that many documents share come last and open nothing. A pair is asked for only if its number
+  of shared prefix tokens lets its sizes reach the threshold at all.
 * A class is compared only with groups of *another* component found so far, split in blocks of ``BLOCK`` members.
 """
 
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import common as C
@@ -32,6 +33,8 @@ from tallyforge.session import ship
 PERCENT = 80
 #: Cells of the count sketch that orders tokens; fixed, so its size does not follow the data.
 CELLS = 1 << 18
+#: Bits of the filter that picks the documents whose sets are compared, as a power of two (8 MB).
+BITS = 26
 #: Members of one opened group block, and queries of one salted chunk.
 BLOCK, CHUNK = 256, 2048
 
@@ -86,10 +89,54 @@ def _signatures(ranks, percent: int):  # noqa: ANN001, ANN202
     return run
 
 
-def _needed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _least_shared(nq: Column, lo: Column, hi: Column, percent: int) -> Column:
+    """The fewest prefix tokens that a set of ``nq`` shares with one of ``lo`` to ``hi`` that reaches the threshold: shared
+    tokens lie in both prefixes or behind the prefix of one of the two, and their number must reach the overlap that
+    the threshold asks of these sizes. The bound is least at an end of the range of sizes that can match at all."""
+
+    def at(ns: Column) -> Column:
+        overlap = F.ceil(percent * (nq + ns) / (100 + percent) - 1e-9)
+        return overlap - F.greatest(F.ceil(percent * nq / 100 - 1e-9), F.ceil(percent * ns / 100 - 1e-9)) + 1
+
+    return F.greatest(F.lit(1), F.least(at(F.greatest(lo, F.ceil(percent * nq / 100 - 1e-9))), at(F.least(hi, F.floor(100 * nq / percent + 1e-9)))))
+
+
+def _place(ids: np.ndarray) -> np.ndarray:
+    return (C.mix(ids.view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _words_of_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s.view(np.int64) for _, s in _sets(batch, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), C.list_column(sets, pa.int64())], ["cls", "tokens"])
+        at = _place(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(at >> 6, pa.int64()), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64), pa.int64())], ["word", "bits"])
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """A bit for each hashed id, ``2**BITS`` bits whatever the input: a filter that may pass too much, never too little."""
+    out = np.zeros(1 << (BITS - 6), dtype=np.int64)
+    for r in ids.mapInArrow(_words_of_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        out[r.word] = r.bits
+    return out.view(np.uint64)
+
+
+def _needed_sets(bitmap):  # noqa: ANN001, ANN202
+    """Token sets of the documents whose bit is set; others that share a bit come along and are not asked for later."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
+        for batch in batches:
+            at = _place(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            if batch.num_rows:
+                sets = [s.view(np.int64) for _, s in _sets(batch, 1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), C.list_column(sets, pa.int64())], ["cls", "tokens"])
+
+    return run
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
+    return C.stage(docs.where("doc_id is not null").mapInArrow(_needed_sets(bitmap), "cls long, tokens array<long>"), "sets")
 
 
 def _open(percent: int):  # noqa: ANN202
@@ -185,23 +232,41 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     live = signed.where("n > 0 and doc_id is not null")
     classes = live.groupBy("sig1", "sig2", "n").agg(F.min("doc_id").alias("cls"))
-    placed = C.stage(live.select("doc_id", "sig1", "sig2", "n").join(classes, ["sig1", "sig2", "n"]).select("doc_id", "cls"), "classes")
-    same = placed.where("doc_id <> cls")  # exact copies; also ties an id's several texts together
-    one = placed.where("doc_id = cls").select("cls").distinct()
-    reps = live.select(F.col("doc_id").alias("cls"), "n", "low", "prefix").join(one, "cls", "left_semi")
+    placed = C.stage(live.select("doc_id", "sig1", "sig2", "n", "low").join(classes, ["sig1", "sig2", "n"]).select("doc_id", "cls", "n", "low"), "classes")
+    same = placed.where("doc_id <> cls").select("doc_id", "cls")  # exact copies; also ties an id's several texts together
+    reps = placed.where("doc_id = cls").select("cls", "n", "low")
 
     # the first round: each class against the first of its min-hash group
-    heads = reps.groupBy("low").agg(F.min("cls").alias("head"), F.max("cls").alias("last")).where("head < last").select("low", "head")
-    star = C.stage(reps.select("cls", "low").join(heads, "low").where("cls <> head").select("cls", "head").distinct(), "heads")
-
-    # the matrix: prefix tokens of more than one class
-    tokens = reps.select(F.explode("prefix").alias("token"), "cls", "n").repartition("token")
-    several = tokens.groupBy("token").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a < b").select("token")
-    matrix = C.stage(tokens.join(several, "token", "left_semi"), "matrix")
-
-    needed = matrix.select("cls").union(star.select("cls")).union(star.select("head")).distinct()
-    sets = C.stage(docs.join(needed.withColumnRenamed("cls", "doc_id"), "doc_id", "left_semi").mapInArrow(_needed_sets, "cls long, tokens array<long>"), "sets")
+    heads = reps.groupBy("low").agg(F.min_by("cls", "cls").alias("head"), F.min_by("n", "cls").alias("head_n"), F.max("cls").alias("last")).where("head < last")
+    star = C.stage(
+        reps.join(heads, "low")
+        .where((F.col("cls") != F.col("head")) & (100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")))
+        .select("cls", "head")
+        .distinct(),
+        "heads",
+    )
 
+    # the matrix: prefix tokens of more than one document, then of more than one class
+    several = F.min("doc_id") < F.max("doc_id")
+    tokens = live.select(F.explode("prefix").alias("token"), "doc_id").repartition("token")
+    shared = tokens.join(tokens.groupBy("token").agg(several.alias("several")).where("several").select("token"), "token", "left_semi")
+    matrix = C.stage(shared.join(placed.select("doc_id", "cls", "n"), "doc_id").select("token", "cls", "n").distinct(), "matrix")
+    kept = matrix.groupBy("token").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a < b").select("token")
+    matrix = C.stage(matrix.join(kept, "token", "left_semi"), "matrix")
+
+    # heads that share enough prefix tokens with a member to be able to reach the threshold
+    mine = star.join(matrix.select("cls", "token", F.col("n").alias("nq")), "cls")
+    theirs = matrix.select(F.col("cls").alias("head"), "token", F.col("n").alias("ns"))
+    star = C.stage(
+        mine.join(theirs, ["head", "token"])
+        .groupBy("cls", "head", "nq", "ns")
+        .agg(F.count("*").alias("c"))
+        .where(F.col("c") >= _least_shared(F.col("nq"), F.col("ns"), F.col("ns"), percent))
+        .select("cls", "head")
+        .distinct(),
+        "heads",
+    )
+    sets = _sets_of(docs, star.select("cls").union(star.select("head")))
     starred = _verify(
         star.select(F.col("head").alias("comp"), F.lit(0).alias("blk"), F.col("cls").alias("q")),
         star.select(F.col("head").alias("comp"), F.lit(0).alias("blk"), F.col("head").alias("cls")).distinct(),
@@ -221,11 +286,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     asked = C.stage(
         left.join(right, "token")
         .where((F.col("own") < F.col("comp")) & (100 * F.col("hi") >= percent * F.col("nq")) & (100 * F.col("nq") >= percent * F.col("lo")))
+        .groupBy("comp", "blk", "q", "nq")
+        .agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        .where(F.col("c") >= _least_shared(F.col("nq"), F.col("lo"), F.col("hi"), percent))
         .select("comp", "blk", "q")
         .distinct(),
         "asked",
     )
-    members = group.join(asked.select("comp", "blk").distinct(), ["comp", "blk"], "left_semi").select("comp", "blk", "cls")
+    members = C.stage(group.join(asked.select("comp", "blk").distinct(), ["comp", "blk"], "left_semi").select("comp", "blk", "cls"), "members")
+    sets = _sets_of(docs, asked.select("q").union(members.select("cls")))
     second = _verify(asked, members, sets, percent)
     final = components(first.unionByName(second.select(F.col("q").alias("u"), F.col("s").alias("v"))))
     return (
