@@ -13,7 +13,8 @@ How this stays exact and linear-ish on Spark:
   sets with Jaccard >= 0.8 always share one, under any order; the order is by a fixed-size count sketch over all
   documents, so passages that many documents share come last and open nothing. A pair is asked for only if its number
   of shared prefix tokens lets its sizes reach the threshold at all.
-* A class is compared only with groups of *another* component found so far, split in blocks of ``BLOCK`` members.
+* A class is compared only with groups of *another* component found so far, split in blocks of ``BLOCK`` members. Classes
+  that are alone so far are grouped by their min-hash, so stragglers of a family are few groups too.
 """
 
 from __future__ import annotations
@@ -143,7 +144,8 @@ def _open(percent: int):  # noqa: ANN202
     """Rows sorted by (group, chunk, is_query): the members of a block, then its queries, one after the other."""
 
     class Block:
-        def __init__(self) -> None:
+        def __init__(self, mixed: bool = False) -> None:
+            self.mixed = mixed  # else all members are linked already
             self.ids: list[int] = []
             self.sets: list[np.ndarray] = []
             self.ready = False
@@ -155,24 +157,41 @@ def _open(percent: int):  # noqa: ANN202
             order = np.argsort(flat, kind="stable")
             self.flat, self.owner = flat[order], owner[order]
             self.union = C.distinct(self.flat)  # the group's token union
+            self.place = {c: i for i, c in enumerate(self.ids)}
+            self.root = list(range(len(self.ids))) if self.mixed else [0] * len(self.ids)
             self.ready = True
 
-        def link(self, q: np.ndarray) -> int | None:
+        def find(self, i: int) -> int:
+            while self.root[i] != i:
+                self.root[i] = self.root[self.root[i]]
+                i = self.root[i]
+            return i
+
+        def links(self, cls: int, q: np.ndarray) -> list[int]:
+            """Members that reach the threshold with the query: one of each set of members not yet known to be linked."""
             if not self.sets:
-                return None
+                return []
             if not self.ready:
                 self.close()
             n, at = len(q), np.searchsorted(self.union, q)
             at[at == len(self.union)] = 0
             shared = q[self.union[at] == q]
             if 100 * len(shared) < percent * n:  # the bound: no member can reach the threshold
-                return None
+                return []
             lo, hi = np.searchsorted(self.flat, shared, "left"), np.searchsorted(self.flat, shared, "right")
             count = hi - lo
             take = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
             both = np.bincount(self.owner[take], minlength=len(self.sets))
-            ok = np.flatnonzero(100 * both >= percent * (n + self.sizes - both))
-            return self.ids[ok[0]] if len(ok) else None
+            out, own = [], self.place.get(cls)
+            known = None if own is None else self.find(own)
+            for i in np.flatnonzero(100 * both >= percent * (n + self.sizes - both)).tolist():
+                root = self.find(i)
+                if root != known:
+                    out.append(self.ids[i])
+                    if known is not None:
+                        self.root[root] = known
+                    known = root if known is None else known
+            return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, Block()
@@ -182,13 +201,13 @@ def _open(percent: int):  # noqa: ANN202
             found = []
             for i, (comp, blk, chunk, query, cls) in enumerate(zip(*cols, strict=True)):
                 if (comp, blk, chunk) != key:
-                    key, block = (comp, blk, chunk), Block()
+                    key, block = (comp, blk, chunk), Block(blk < 0)
                 tokens = values[offs[i] : offs[i + 1]]
                 if not query:
                     block.ids.append(cls)
                     block.sets.append(tokens.copy())
-                elif (to := block.link(tokens)) is not None:
-                    found.append((cls, to))
+                else:
+                    found += [(cls, to) for to in block.links(cls, tokens)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["q", "s"])
 
@@ -196,8 +215,8 @@ def _open(percent: int):  # noqa: ANN202
 
 
 def _verify(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """queries (comp, blk, q) and members (comp, blk, cls) to links (q, s): for each query and block, one member that
-    reaches the threshold. A block with many queries is dealt to several chunks."""
+    """queries (comp, blk, q) and members (comp, blk, cls) to links (q, s) that join all whose sets reach the threshold. A
+    block with many queries is dealt to several chunks."""
     sizes = queries.groupBy("comp", "blk").agg(F.count("*").alias("nq"))
     chunks = F.ceil(F.col("nq") / CHUNK).cast("int")
     asked = queries.join(sizes, ["comp", "blk"]).select(
@@ -276,16 +295,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = C.stage(starred.select(F.col("q").alias("u"), F.col("s").alias("v")).unionByName(same.select(F.col("doc_id").alias("u"), F.col("cls").alias("v"))), "first")
     comps = C.stage(components(first), "components")
 
-    # groups: blocks of a component; the rest stay alone
-    where = matrix.select("cls").distinct().join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
-    sizes = where.groupBy("comp").agg(F.count("*").alias("size"))
-    group = C.stage(where.join(sizes, "comp").select("cls", "comp", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / BLOCK)).cast("int").alias("blk")), "groups")
+    # groups: blocks of a component; classes that are still alone are grouped by their min-hash, in blocks below 0
+    where = (
+        matrix.select("cls")
+        .distinct()
+        .join(reps.select("cls", "low").dropDuplicates(["cls"]), "cls")
+        .join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+        .select("cls", F.coalesce("component", "low").alias("comp"), F.col("component").isNull().alias("mixed"))
+    )
+    sizes = where.groupBy("comp", "mixed").agg(F.count("*").alias("size"))
+    part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / BLOCK)).cast("int")
+    group = C.stage(where.join(sizes, ["comp", "mixed"]).select("cls", "comp", F.when(F.col("mixed"), -1 - part).otherwise(part).alias("blk")), "groups")
     cells = C.stage(matrix.join(group, "cls"), "cells")
     right = cells.groupBy("token", "comp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    left = cells.select("token", F.col("cls").alias("q"), F.col("n").alias("nq"), F.col("comp").alias("own"))
+    left = cells.select("token", F.col("cls").alias("q"), F.col("n").alias("nq"), F.col("comp").alias("own"), F.col("blk").alias("at"))
+    # each pair of groups is asked from one side; a mixed group also asks itself, a component does not
+    mine, theirs = F.col("at") < 0, F.col("blk") < 0
+    family = (F.col("own") == F.col("comp")) & (mine == theirs)
+    turn = F.when(family, theirs & (F.col("at") >= F.col("blk"))).otherwise((mine < theirs) | ((mine == theirs) & (F.col("own") < F.col("comp"))))
     asked = C.stage(
         left.join(right, "token")
-        .where((F.col("own") < F.col("comp")) & (100 * F.col("hi") >= percent * F.col("nq")) & (100 * F.col("nq") >= percent * F.col("lo")))
+        .where(turn & (100 * F.col("hi") >= percent * F.col("nq")) & (100 * F.col("nq") >= percent * F.col("lo")))
         .groupBy("comp", "blk", "q", "nq")
         .agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .where(F.col("c") >= _least_shared(F.col("nq"), F.col("lo"), F.col("hi"), percent))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, media, mixing, ngram_join, pii, quality, repair, secret_scan
+from tallyforge.llm import chat, decontaminate, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan
 from tallyforge.llm.common import stage, table
 
 
@@ -22,6 +22,17 @@ TARGETS = {f"src{i}": 4.0 if i == 0 else 16.0 / 19 for i in range(20)}
 MIX_SEED = 20
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    added = spark.sql("SELECT -7L AS conv_id, col1 AS turn, col2 AS role, :probe AS text FROM VALUES (0L, 'user'), (1L, 'assistant')", {"probe": probe})
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(stage(chat.format_conversations(rows), "formatted"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -77,6 +88,27 @@ SELECT doc_id, {names}, sha256(coalesce(base, '')) AS base_sha256, coalesce(span
 """
 
 
+def _op1_sql() -> str:
+    end, comment, noise, hint = (x.replace("'", "''") for x in (license_scan.SENTENCE_END, license_scan._COMMENT, license_scan._NOISE, license_scan._HINT))
+    known = ", ".join(f"('{s}', '{i}')" for s, i in license_scan.SENTENCES.items())
+    rules = ", ".join(f"('{''.join(f'<{i}>' for i in seq)}', '{name}')" for name, seq in license_scan.RULES)
+    pattern = "|".join("".join(f"<{i}>" for i in seq) for _, seq in license_scan.RULES)
+    norm = lambda x: f"trim(regexp_replace(lower(regexp_replace({x}, '{comment}', ' ', 'g')), '{noise}', ' ', 'g'))"
+    return f"""
+WITH known(s, id) AS (VALUES {known}), rules(marks, license) AS (VALUES {rules}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT rid, unnest(p) AS s, generate_subscripts(p, 1) AS i FROM (SELECT rid, regexp_split_to_array(t, '{end}') AS p FROM d WHERE regexp_matches(t, '{hint}'))),
+h AS (SELECT s.*, k.id AS whole FROM s LEFT JOIN known k ON k.s = {norm('s.s')} WHERE regexp_matches(s.s, '{hint}')),
+l AS (SELECT rid, i, unnest(p) AS line, generate_subscripts(p, 1) AS j FROM (SELECT rid, i, string_split(s, chr(10)) AS p FROM h WHERE whole IS NULL)),
+ids AS (SELECT rid, i, 0 AS j, whole AS id FROM h WHERE whole IS NOT NULL UNION ALL SELECT rid, i, j, k.id FROM l JOIN known k ON k.s = {norm('line')}),
+m AS (SELECT rid, count(*) AS n, string_agg(id, ',' ORDER BY i, j) AS ids, string_agg('<' || id || '>', '' ORDER BY i, j) AS marks FROM ids GROUP BY rid),
+r AS (SELECT rid, unnest(x) AS mk, generate_subscripts(x, 1) AS i FROM (SELECT rid, regexp_extract_all(marks, '{pattern}') AS x FROM m)),
+u AS (SELECT rid, license, min(i) AS i FROM r JOIN (SELECT DISTINCT * FROM rules) q ON q.marks = r.mk GROUP BY rid, license),
+a AS (SELECT rid, string_agg(license, ' AND ' ORDER BY i) AS licenses FROM u GROUP BY rid)
+SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS sentences, coalesce(licenses, '') AS licenses FROM d LEFT JOIN m USING (rid) LEFT JOIN a USING (rid)
+"""
+
+
 _TARGET_ROWS = ", ".join(f"('{name}', CAST({weight!r} AS DOUBLE))" for name, weight in TARGETS.items())
 
 OP5_SQL = f"""
@@ -105,8 +137,10 @@ SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, min(r.c) AS component_i
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1,
     "op2_benchmark_decontamination": op2,
     "op3_secret_scan": op3,
+    "op4_chat_formatting": op4,
     "op5_poisson_mixing": op5,
     "op6_quality_ranking": op6,
     "op7_ngram_jaccard_join": op7,
@@ -116,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_license_scan": _op1_sql(),
     "op3_secret_scan": _op3_sql(),
     "op5_poisson_mixing": OP5_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
