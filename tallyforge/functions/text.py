@@ -332,3 +332,26 @@ def worst_verdict(verdict: Column) -> Column:
     rank = F.when(verdict == "fail", 2).when(verdict.isin("pass", "info"), 0).otherwise(1)
     worst = F.max(rank)
     return F.when(worst == 2, "fail").when(worst == 0, "pass").otherwise("suspect")
+
+
+#: Words that make a note blocking or a warning.
+BLOCKING, WARNING = ["worthless", "scum", "disgusting"], ["pathetic", "moron"]
+
+
+def severity(text: Column, blocking: list[str] | None = None, warning: list[str] | None = None) -> Column:
+    """blocking, warn or info by the words a note holds."""
+    low = F.lower(text)
+    any_of = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: low.contains(w))
+    return F.when(any_of(blocking or BLOCKING), "blocking").when(any_of(warning or WARNING), "warn").otherwise("info")
+
+
+def merge_infra(old: Column, new: Column) -> Column:
+    """Map union in which non-empty new values override; empty and null values are skipped."""
+    fresh = F.map_filter(new, lambda k, v: v.isNotNull() & (v != ""))
+    kept = F.map_filter(old, lambda k, v: v.isNotNull() & (v != "") & ~F.map_contains_key(fresh, k))
+    return F.map_concat(kept, fresh)
+
+
+def map_text(m: Column) -> Column:
+    """``key=value`` pairs in key order."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
