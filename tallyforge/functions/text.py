@@ -355,3 +355,27 @@ def merge_infra(old: Column, new: Column) -> Column:
 def map_text(m: Column) -> Column:
     """``key=value`` pairs in key order."""
     return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+
+
+#: Tags and the system token by which a record declares itself a deliberate counter-instance.
+MARK_TAGS = ["contradiction", "contradiction-ok", "contradiction_ok", "counter-instance", "counter_instance", "counterinstance"]
+SYSTEM_MARK = "[CONTRADICTION-OK]"
+
+
+def is_marked(system: Column, tags: Column) -> Column:
+    tagged = F.exists(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.lower(F.trim(t)).isin(MARK_TAGS))
+    return F.coalesce(system.contains(SYSTEM_MARK), F.lit(False)) | tagged
+
+
+def run_status(failed: Column, started: Column, finished: Column) -> Column:
+    """failed before finished before running before queued; unknown flags count as false."""
+    on = lambda f: F.coalesce(f, F.lit(False))
+    return F.when(on(failed), "failed").when(on(started) & on(finished), "finished").when(on(started), "running").otherwise("queued")
+
+
+def first_match(text: Column, patterns: list[tuple[str, str]], otherwise: str) -> Column:
+    """The name of the first pattern that a text holds."""
+    out = F.lit(otherwise)
+    for name, pattern in reversed(patterns):
+        out = F.when(text.rlike(pattern), name).otherwise(out)
+    return out
