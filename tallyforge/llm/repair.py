@@ -11,9 +11,11 @@ symbols. Nonterminal ``i`` has the number ``TERMINALS + i``. No rule crosses the
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,11 @@ END_ID = 1
 #: Nonterminals are numbered from here; the vocabulary must be smaller.
 TERMINALS = 49_408
 #: Ids after which a block is closed (a longer document is a block of its own), rounds, and pairs replaced in one round.
-BLOCK_IDS, ROUNDS, PAIRS = 1 << 20, 3, 5000
+BLOCK_IDS, ROUNDS, PAIRS = 1 << 19, 2, 6000
 #: A special token of the vocabulary that stands between words which are encoded together.
 SEPARATOR = b"<|startoftext|>"
 #: Words that a worker remembers with their ids.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 _BLOCK_SCHEMA = T.StructType(
     [
@@ -47,44 +49,103 @@ _BLOCK_SCHEMA = T.StructType(
 )
 
 
+_STEM = re.compile(rb"([a-z\x80-\xff]+)([.,;:!?*$%&#()\"+=_/|-]+)")
+#: Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for 256 and up, in order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+
+
 class WordEncoder:
-    """Ids of whole texts from a tokenizer that never joins across ASCII white space: each distinct word is encoded
-    once, A-Z lowered as its normaliser does, and remembered (at most ``CACHE_WORDS``). Equality with encoding whole texts is tested."""
+    """Ids of whole texts from the vocabulary's tokenizer, which never joins across ASCII white space.
+
+    Each distinct word is encoded once, A-Z lowered as the normaliser does, and remembered. A run of Latin letters
+    with a run of punctuation after it is two pre-tokens of that tokenizer, so both are looked up by themselves. Letter
+    runs are already what normaliser and pre-tokenizer would hand on and go straight to its BPE model; all else goes
+    the whole way. Equality with encoding whole texts is tested.
+    """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(SEPARATOR.decode())
-        self.clear()
-
-    def clear(self) -> None:
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.at = np.zeros(1, np.int64)
 
+    @staticmethod
+    def _letter_run(part: bytes) -> str | None:
+        """The model's characters of a run of lower-case Latin letters, or None."""
+        if part.isalpha():
+            return part.decode()
+        word = part.decode()
+        if word.isalpha() and max(word) < "\u0250" and word.lower() == word:
+            return part.decode("latin-1").translate(_BYTE_CHARS)
+        return None
+
+    def _add(self, words: list[bytes], parts: list[np.ndarray]) -> None:
+        n = len(self.known)
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, *parts])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(p) for p in parts], dtype=np.int64)])
+
+    def _learn(self, new: set[bytes]) -> None:
+        runs, runs_as, rest, pairs = [], [], [], []
+        todo: set[bytes] = set()
+        for w in new:
+            m = None if w.isalpha() else _STEM.fullmatch(w)
+            if m and self._letter_run(m[1]) is not None:
+                pairs.append((w, m[1], m[2]))
+                todo.update(p for p in m.groups() if p not in self.known)
+            else:
+                todo.add(w)
+        for w in todo:
+            run = self._letter_run(w)
+            if run is None:
+                rest.append(w)
+            else:
+                runs.append(w)
+                runs_as.append(run)
+        for i in range(0, len(runs), 1 << 14):
+            some = runs_as[i : i + (1 << 14)]
+            got = self.letters.encode_batch([" ".join(some[j : j + 256]) for j in range(0, len(some), 256)], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in got])
+            word = np.concatenate([np.array(e.word_ids, dtype=np.int64) + 256 * k for k, e in enumerate(got)])
+            self._add(runs[i : i + (1 << 14)], np.split(ids, np.searchsorted(word, np.arange(1, len(some)))))
+        plain = [w for w in rest if b"<" not in w]
+        for i in range(0, len(plain), 1 << 13):
+            some = plain[i : i + (1 << 13)]
+            parts: list[np.ndarray] = []
+            for e in self.tokenizer.encode_batch([SEPARATOR.join(some[j : j + 256]).decode() for j in range(0, len(some), 256)], add_special_tokens=False):
+                ids = np.array(e.ids, dtype=np.uint32)
+                cut = np.flatnonzero(ids == self.separator)
+                parts += [x[k > 0 :] for k, x in enumerate(np.split(ids, cut))]
+            self._add(some, parts)
+        alone = [w for w in rest if b"<" in w]
+        if alone:
+            self._add(alone, [np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32) for w in alone])
+        if pairs:
+            both = [np.concatenate([self._of(self.known[a]), self._of(self.known[b])]) for _, a, b in pairs]
+            self._add([w for w, _, _ in pairs], both)
+
+    def _of(self, k: int) -> np.ndarray:
+        return self.ids[self.at[k] : self.at[k + 1]]
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """One uint32 array per text."""
+        """One uint32 array per text. Beyond ``CACHE_WORDS`` new words are forgotten after each call."""
         split = [t.lower().split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.clear()
-        known = self.known
-        new = list({w for s in split for w in s if w not in known})
+        known, held = self.known, len(self.known)
+        places = [np.fromiter(map(known.get, s, repeat(-1)), dtype=np.int64, count=len(s)) for s in split]
+        missing = [np.flatnonzero(k < 0).tolist() for k in places]
+        new = {s[i] for s, m in zip(split, missing, strict=True) for i in m}
         if new:
-            new.sort(key=lambda w: SEPARATOR in w)  # words that hold the separator come last, each alone
-            alone = sum(SEPARATOR in w for w in new)
-            plain, parts = new[: len(new) - alone], []
-            for e in self.tokenizer.encode_batch([SEPARATOR.join(plain[i : i + 256]).decode() for i in range(0, len(plain), 256)], add_special_tokens=False):
-                ids = np.array(e.ids, dtype=np.uint32)
-                parts += np.split(ids, np.flatnonzero(ids == self.separator))
-            parts = [p[1:] if len(p) and p[0] == self.separator else p for p in parts]
-            parts += [np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32) for w in new[len(plain) :]]
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, *parts])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(p) for p in parts])])
+            self._learn(new)
         out = []
-        for s in split:
-            k = np.fromiter(map(known.__getitem__, s), dtype=np.int64, count=len(s))
+        for s, k, m in zip(split, places, missing, strict=True):
+            if m:
+                k[m] = [known[s[i]] for i in m]
             lo, n = self.at[k], self.at[k + 1] - self.at[k]
             step = np.ones(int(n.sum()), dtype=np.int64)  # runs lo, lo+1, ... for each word
             keep = n > 0
@@ -93,9 +154,25 @@ class WordEncoder:
                 step[0] = lo[0]
                 step[np.cumsum(n[:-1])] = lo[1:] - (lo[:-1] + n[:-1] - 1)
             out.append(self.ids[np.cumsum(step)] if len(step) else np.zeros(0, np.uint32))
+        if len(known) > CACHE_WORDS:
+            held = max(held, min(CACHE_WORDS, len(known)))
+            while len(known) > held:
+                known.popitem()  # the newest
+            self.at = self.at[: held + 1].copy()
+            self.ids = self.ids[: self.at[-1]].copy()
         return out
 
 
+#: Encoders of this worker process, by path: a worker that is used again keeps its words.
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def compress(docs: list[np.ndarray], rounds: int = ROUNDS, pairs: int = PAIRS) -> bytes:
     """A block of the documents' ids. Each round counts all neighbouring pairs of the block and replaces up to ``pairs``
     of the most frequent at once, left to right; a round that finds no pair four times ends it."""
@@ -229,7 +306,7 @@ class Block:
 
 def _write(path: str):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         shard = TaskContext.get().partitionId()
         block = done = held = 0
         ids: list[int | None] = []
@@ -251,7 +328,7 @@ def _write(path: str):  # noqa: ANN202
             keys = batch.column(0).to_pylist()
             for first, _, data, offs in C.text_chunks(batch.column(1)):
                 raw = data.tobytes()
-                for i, got in enumerate(encoder.encode([raw[a:b] for a, b in zip(offs[:-1], offs[1:], strict=True)])):
+                for i, got in enumerate(words.encode([raw[a:b] for a, b in zip(offs[:-1], offs[1:], strict=True)])):
                     if held and held + len(got) + 1 > BLOCK_IDS:
                         yield close()
                     ids.append(keys[first + i])
