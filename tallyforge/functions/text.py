@@ -35,6 +35,14 @@ SECRET_ASSIGNMENT = (
     r"(?i)\b(password|passwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth(?:orization)?)\b"
     r"([ \t\n]*[=:][ \t\n]*|[ \t\n]+Bearer[ \t\n]+)(['\"]?)([^ \t\n'\"]{8,})"
 )
+#: Answers that affirm, phrases that decline, answers that deny.
+AFFIRM = r"^(yes|yep|yeah|correct|that'?s right|indeed|confirmed)\b"
+DECLINE = (
+    r"i +(can'?t|cannot|do +not|don'?t) +(see|find|confirm|have|know|tell|verify)|(isn'?t|is +not) +(something +)?i +can +see|not +(visible|something +i +can +see)"
+    r"|not +in +(the +)?(data|record|records|snapshot|log|logs)|my +view +(stops|ends|doesn'?t)|(the +)?snapshot +(ends|stops|doesn'?t)"
+    r"|no +(data|visibility|record|records|information) +(on|for|about)|outside +(what|the) +|all +i +can +see|that'?s +not +something +i +can"
+)
+DENY = r"^(no|nope|not quite|that'?s not right|incorrect|none)\b"
 MARK = "[REDACTED]"
 
 
@@ -149,15 +157,10 @@ def jaccard(a: Column, b: Column) -> Column:
 def stance(answer: Column) -> Column:
     """AFFIRM, DECLINE, DENY or UNCLEAR by the first sentence; a leading yes outranks a later hedge."""
     first = F.trim(F.lower(F.element_at(F.split(answer, r"(?<=[.!?])[ \t\n]+"), 1)))
-    decline = (
-        r"i +(can'?t|cannot|do +not|don'?t) +(see|find|confirm|have|know|tell|verify)|(isn'?t|is +not) +(something +)?i +can +see|not +(visible|something +i +can +see)"
-        r"|not +in +(the +)?(data|record|records|snapshot|log|logs)|my +view +(stops|ends|doesn'?t)|(the +)?snapshot +(ends|stops|doesn'?t)"
-        r"|no +(data|visibility|record|records|information) +(on|for|about)|outside +(what|the) +|all +i +can +see|that'?s +not +something +i +can"
-    )
     return (
-        F.when(first.rlike(r"^(yes|yep|yeah|correct|that'?s right|indeed|confirmed)\b"), "AFFIRM")
-        .when(first.rlike(decline), "DECLINE")
-        .when(first.rlike(r"^(no|nope|not quite|that'?s not right|incorrect|none)\b"), "DENY")
+        F.when(first.rlike(AFFIRM), "AFFIRM")
+        .when(first.rlike(DECLINE), "DECLINE")
+        .when(first.rlike(DENY), "DENY")
         .otherwise("UNCLEAR")
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
 
+#: Roles, and the most messages, calls, tools, estimated tokens and weight of a record.
 LEGAL_ROLES = ["system", "user", "assistant", "tool"]
 CAP_MESSAGES, CAP_CALLS, CAP_TOOLS, CAP_TOKENS = 64, 16, 64, 32_768
 WEIGHT_MAX = 10.0
