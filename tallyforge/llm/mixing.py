@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A rate above this is an error rather than a silent flood of copies.
@@ -43,10 +43,11 @@ def source_rates(docs: DataFrame, targets: dict[str, float], source_col: str = "
         .withColumn("weight", F.try_element_at(weights, F.col("source")))
         .where("weight > 0")
     )
-    total = sizes.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
+    every = Window.partitionBy()  # over at most len(targets) rows
+    sizes = sizes.withColumn("all_chars", F.sum("chars").over(every)).withColumn("all_weight", F.sum("weight").over(every))
     rate = F.col("weight") / F.col("all_weight") * F.col("all_chars") / F.col("chars")
     checked = F.when(rate <= MAX_RATE, rate).otherwise(F.raise_error(F.concat(F.lit("rate above MAX_RATE for source "), F.col("source"))).cast("double"))
-    return sizes.crossJoin(F.broadcast(total)).select("source", checked.alias("rate")).withColumn("thresholds", poisson_thresholds(F.col("rate")))
+    return sizes.select("source", checked.alias("rate")).withColumn("thresholds", poisson_thresholds(F.col("rate")))
 
 
 def mix(docs: DataFrame, targets: dict[str, float], seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keys: bool = False) -> DataFrame:
