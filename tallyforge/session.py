@@ -26,9 +26,10 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "8g") -> Spa
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, as ``--py-files`` does; once for each Spark context."""
+    """In local mode, make this package importable in Python workers however the driver found it; once for each Spark
+    context. On a cluster it is installed or passed with ``--py-files`` as usual."""
     sc = spark.sparkContext
-    if getattr(sc, "_tallyforge_shipped", False):
+    if getattr(sc, "_tallyforge_shipped", False) or not sc.master.startswith("local["):
         return
     path = os.path.join(tempfile.mkdtemp(prefix="spark-"), "tallyforge.zip")
     with zipfile.ZipFile(path, "w") as z:
