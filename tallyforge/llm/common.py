@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one NumPy step handles; a longer document is a step of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,8 +91,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Split a string column in runs of rows: (first row, end row, bytes, offsets from 0). A null counts as empty."""
+def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Split a string column in runs of rows: (first row, end row, bytes, offsets from 0) of
+    about ``size`` bytes. A null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string())
@@ -106,7 +107,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, dtype=np.uint8)
     at = 0
     while at < n:
-        end = max(at + 1, int(np.searchsorted(offs, offs[at] + CHUNK_BYTES, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offs, offs[at] + size, "right")) - 1)
         end = min(end, n)
         yield at, end, data[offs[at] : offs[end]], offs[at : end + 1] - offs[at]
         at = end

@@ -15,7 +15,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ BLOCK_IDS, ROUNDS, PAIRS = 1 << 19, 2, 6000
 SEPARATOR = b"<|startoftext|>"
 #: Words that a worker remembers with their ids.
 CACHE_WORDS = 500_000
+#: Bytes of text encoded at a time: a word beyond the remembered ones is encoded once in each.
+CHUNK_BYTES = 4 << 20
 
 _BLOCK_SCHEMA = T.StructType(
     [
@@ -85,11 +87,24 @@ class WordEncoder:
             return part.decode("latin-1").translate(_BYTE_CHARS)
         return None
 
-    def _add(self, words: list[bytes], parts: list[np.ndarray]) -> None:
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         n = len(self.known)
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, *parts])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(p) for p in parts], dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes, dtype=np.int64)])
+
+    def _take(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered words, one after the other, and how many each has."""
+        lo = self.at[k]
+        sizes = self.at[k + 1] - lo
+        step = np.ones(int(sizes.sum()), dtype=np.int64)  # runs lo, lo+1, ... for each word
+        keep = sizes > 0
+        lo, n = lo[keep], sizes[keep]
+        if not len(n):
+            return np.zeros(0, np.uint32), sizes
+        step[0] = lo[0]
+        step[np.cumsum(n[:-1])] = lo[1:] - (lo[:-1] + n[:-1] - 1)
+        return self.ids[np.cumsum(step)], sizes
 
     def _learn(self, new: set[bytes]) -> None:
         runs, runs_as, rest, pairs = [], [], [], []
@@ -113,47 +128,36 @@ class WordEncoder:
             got = self.letters.encode_batch([" ".join(some[j : j + 256]) for j in range(0, len(some), 256)], add_special_tokens=False)
             ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in got])
             word = np.concatenate([np.array(e.word_ids, dtype=np.int64) + 256 * k for k, e in enumerate(got)])
-            self._add(runs[i : i + (1 << 14)], np.split(ids, np.searchsorted(word, np.arange(1, len(some)))))
+            self._add(runs[i : i + (1 << 14)], ids, np.bincount(word, minlength=len(some)))
         plain = [w for w in rest if b"<" not in w]
         for i in range(0, len(plain), 1 << 13):
             some = plain[i : i + (1 << 13)]
-            parts: list[np.ndarray] = []
-            for e in self.tokenizer.encode_batch([SEPARATOR.join(some[j : j + 256]).decode() for j in range(0, len(some), 256)], add_special_tokens=False):
-                ids = np.array(e.ids, dtype=np.uint32)
-                cut = np.flatnonzero(ids == self.separator)
-                parts += [x[k > 0 :] for k, x in enumerate(np.split(ids, cut))]
-            self._add(some, parts)
-        alone = [w for w in rest if b"<" in w]
-        if alone:
-            self._add(alone, [np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32) for w in alone])
+            got = self.tokenizer.encode_batch([SEPARATOR.join(some[j : j + 256]).decode() for j in range(0, len(some), 256)], add_special_tokens=False)
+            ids = np.concatenate([np.array([self.separator, *e.ids], dtype=np.uint32) for e in got])
+            between = ids == self.separator
+            self._add(some, ids[~between], np.diff(np.append(np.flatnonzero(between), len(ids))) - 1)
+        for w in (w for w in rest if b"<" in w):
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32)
+            self._add([w], ids, np.array([len(ids)]))
         if pairs:
-            both = [np.concatenate([self._of(self.known[a]), self._of(self.known[b])]) for _, a, b in pairs]
-            self._add([w for w, _, _ in pairs], both)
-
-    def _of(self, k: int) -> np.ndarray:
-        return self.ids[self.at[k] : self.at[k + 1]]
+            ids, sizes = self._take(np.array([self.known[p] for _, a, b in pairs for p in (a, b)]))
+            self._add([w for w, _, _ in pairs], ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """One uint32 array per text. Beyond ``CACHE_WORDS`` new words are forgotten after each call."""
         split = [t.lower().split() for t in texts]
         known, held = self.known, len(self.known)
-        places = [np.fromiter(map(known.get, s, repeat(-1)), dtype=np.int64, count=len(s)) for s in split]
-        missing = [np.flatnonzero(k < 0).tolist() for k in places]
-        new = {s[i] for s, m in zip(split, missing, strict=True) for i in m}
-        if new:
-            self._learn(new)
-        out = []
-        for s, k, m in zip(split, places, missing, strict=True):
-            if m:
-                k[m] = [known[s[i]] for i in m]
-            lo, n = self.at[k], self.at[k + 1] - self.at[k]
-            step = np.ones(int(n.sum()), dtype=np.int64)  # runs lo, lo+1, ... for each word
-            keep = n > 0
-            lo, n = lo[keep], n[keep]
-            if len(n):
-                step[0] = lo[0]
-                step[np.cumsum(n[:-1])] = lo[1:] - (lo[:-1] + n[:-1] - 1)
-            out.append(self.ids[np.cumsum(step)] if len(step) else np.zeros(0, np.uint32))
+        flat = list(chain.from_iterable(split))
+        k = np.fromiter(map(known.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        missing = np.flatnonzero(k < 0)
+        if len(missing):
+            unseen = [flat[i] for i in missing.tolist()]
+            self._learn(set(unseen))
+            k[missing] = np.fromiter(map(known.__getitem__, unseen), dtype=np.int64, count=len(unseen))
+        ids, sizes = self._take(k)
+        words_to = np.concatenate(([0], np.cumsum([len(s) for s in split], dtype=np.int64)))
+        ids_to = np.concatenate(([0], np.cumsum(sizes)))[words_to]
+        out = [ids[a:b] for a, b in zip(ids_to[:-1], ids_to[1:], strict=True)]
         if len(known) > CACHE_WORDS:
             held = max(held, min(CACHE_WORDS, len(known)))
             while len(known) > held:
@@ -326,7 +330,7 @@ def _write(path: str):  # noqa: ANN202
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for first, _, data, offs in C.text_chunks(batch.column(1)):
+            for first, _, data, offs in C.text_chunks(batch.column(1), CHUNK_BYTES):
                 raw = data.tobytes()
                 for i, got in enumerate(words.encode([raw[a:b] for a, b in zip(offs[:-1], offs[1:], strict=True)])):
                     if held and held + len(got) + 1 > BLOCK_IDS:
