@@ -93,13 +93,17 @@ def _signatures(ranks, percent: int):  # noqa: ANN001, ANN202
 def _least_shared(nq: Column, lo: Column, hi: Column, percent: int) -> Column:
     """The fewest prefix tokens that a set of ``nq`` shares with one of ``lo`` to ``hi`` that reaches the threshold: shared
     tokens lie in both prefixes or behind the prefix of one of the two, and their number must reach the overlap that
-    the threshold asks of these sizes. The bound is least at an end of the range of sizes that can match at all."""
+    the threshold asks of these sizes. Up to ``nq`` that grows with the size. Above it the two ceilings make it waver, so
+    at the upper end of a range it is taken below them: no size up to there needs less. For one size it is exact."""
 
     def at(ns: Column) -> Column:
         overlap = F.ceil(percent * (nq + ns) / (100 + percent) - 1e-9)
         return overlap - F.greatest(F.ceil(percent * nq / 100 - 1e-9), F.ceil(percent * ns / 100 - 1e-9)) + 1
 
-    return F.greatest(F.lit(1), F.least(at(F.greatest(lo, F.ceil(percent * nq / 100 - 1e-9))), at(F.least(hi, F.floor(100 * nq / percent + 1e-9)))))
+    low = F.greatest(lo, F.ceil(percent * nq / 100 - 1e-9))
+    high = F.least(hi, F.floor(100 * nq / percent + 1e-9))
+    below = F.floor(percent * (100 * nq - percent * high) / (100 * (100 + percent)) + 1e-9) + 1
+    return F.greatest(F.lit(1), F.when((high > nq) & (low < high), F.least(at(low), below)).otherwise(at(low)))
 
 
 def _place(ids: np.ndarray) -> np.ndarray:

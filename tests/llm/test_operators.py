@@ -85,6 +85,28 @@ def test_ngram_join_in_small_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in ngram_join.jaccard_components(table(spark, rows)).collect()} == want
 
 
+def test_ngram_join_bound_holds_for_every_size(spark):
+    def need(nq, ns, percent):
+        up = lambda a, b: -(-a // b)
+        return max(1, up(percent * (nq + ns), 100 + percent) - max(up(percent * nq, 100), up(percent * ns, 100)) + 1)
+
+    for percent, top in ((80, 120), (67, 45), (93, 45)):
+        cases = []
+        for nq in range(1, top):
+            sizes = range(-(-percent * nq // 100), 100 * nq // percent + 1)
+            cases += [(nq, lo - below, hi + below, min(need(nq, x, percent) for x in range(lo, hi + 1))) for lo in sizes for hi in range(lo, sizes[-1] + 1) for below in (0, 3)[: 1 + (lo == sizes[0] and hi == sizes[-1])]]
+        got = spark.createDataFrame(cases, "nq long, lo long, hi long, least long").select("*", ngram_join._least_shared(F.col("nq"), F.col("lo"), F.col("hi"), percent).alias("bound"))
+        assert got.where("bound > least or bound < 1 or (lo = hi and bound <> least)").count() == 0
+        assert got.where("bound < least - 1").count() == 0
+
+
+def test_ngram_join_asks_for_inner_sizes_of_a_block(spark):
+    """A group of sizes 18 to 20 and a query of 17 that shares only the least number of prefix tokens with the one of 19."""
+    nq, sizes = F.lit(17), [18, 19, 20]
+    row = spark.range(1).select(ngram_join._least_shared(nq, F.lit(18), F.lit(20), 80).alias("group"), *[ngram_join._least_shared(nq, F.lit(n), F.lit(n), 80).alias(str(n)) for n in sizes]).first()
+    assert row["group"] <= min(row[str(n)] for n in sizes)
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.jaccard_components(table(spark, [])).collect() == []
     assert [tuple(r) for r in ngram_join.jaccard_components(table(spark, [(1, None)])).collect()] == [(1, 0, 1)]
