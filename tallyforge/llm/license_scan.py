@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.spans import let
 
-#: Public licence sentences and their identifiers, normalised as ``normalised`` does.
+#: Public licence sentences and their identifiers, normalised as ``normalised`` does. A text that
+#: ``SENTENCE_END`` cuts inside a sentence is listed by its parts, as cut.
 SENTENCES = {
     "released under the mit license": "mit_ref",
     "licensed under the mit license": "mit_ref",
@@ -24,6 +25,9 @@ SENTENCES = {
     "licensed under the apache license version 2 0 the license": "apache2_ref",
     "you may not use this file except in compliance with the license": "apache2_comply",
     "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache2_url",
+    "you may obtain a copy of the license at": "apache2_at",
+    "http www apache org licenses license 2 0": "apache2_link",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache2_url_asis",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache2_asis",
     "see the license for the specific language governing permissions and limitations under the license": "apache2_see",
     "this work is licensed under the gnu general public license version 3": "gpl3_ref",
@@ -31,12 +35,21 @@ SENTENCES = {
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3_later",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2_later",
     "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl_hope",
+    "this program is free software": "gpl_free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl_terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3_terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2_terms",
+    "either version 3 of the license or at your option any later version": "gpl3_either",
+    "either version 2 of the license or at your option any later version": "gpl2_either",
+    "this program is distributed in the hope that it will be useful but without any warranty": "gpl_useful",
+    "without even the implied warranty of merchantability or fitness for a particular purpose": "gpl_implied",
     "see the gnu general public license for more details": "gpl_see",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd_grant",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd_source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd_binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd_name",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl2_ref",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2_ref",  # of 'v. 2.0'; earlier versions say 'the contents of this file'
     "licensed under cc by nc 4 0": "ccbync4_ref",
     "licensed under cc by 4 0": "ccby4_ref",
     "licensed under cc by sa 4 0": "ccbysa4_ref",
@@ -50,7 +63,13 @@ RULES = [
     ("MIT", ["mit_grant", "mit_notice", "mit_asis"]),
     ("MIT", ["mit_grant", "mit_notice"]),
     ("Apache-2.0", ["apache2_ref", "apache2_comply", "apache2_url", "apache2_asis", "apache2_see"]),
+    ("Apache-2.0", ["apache2_ref", "apache2_comply", "apache2_at", "apache2_link", "apache2_asis", "apache2_see"]),
+    ("Apache-2.0", ["apache2_ref", "apache2_comply", "apache2_url_asis", "apache2_see"]),
     ("Apache-2.0", ["apache2_ref", "apache2_comply"]),
+    ("GPL-3.0-or-later", ["gpl_free", "gpl3_terms", "gpl_useful", "gpl_implied", "gpl_see"]),
+    ("GPL-2.0-or-later", ["gpl_free", "gpl2_terms", "gpl_useful", "gpl_implied", "gpl_see"]),
+    ("GPL-3.0-or-later", ["gpl_free", "gpl_terms", "gpl3_either", "gpl_useful", "gpl_implied", "gpl_see"]),
+    ("GPL-2.0-or-later", ["gpl_free", "gpl_terms", "gpl2_either", "gpl_useful", "gpl_implied", "gpl_see"]),
     ("GPL-3.0-or-later", ["gpl3_later", "gpl_hope", "gpl_see"]),
     ("GPL-2.0-or-later", ["gpl2_later", "gpl_hope", "gpl_see"]),
     ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_name"]),
@@ -58,6 +77,14 @@ RULES = [
     ("MIT", ["mit_grant"]),
     ("GPL-3.0-or-later", ["gpl3_later"]),
     ("GPL-2.0-or-later", ["gpl2_later"]),
+    ("GPL-3.0-or-later", ["gpl_free", "gpl3_terms"]),
+    ("GPL-2.0-or-later", ["gpl_free", "gpl2_terms"]),
+    ("GPL-3.0-or-later", ["gpl_free", "gpl_terms", "gpl3_either"]),
+    ("GPL-2.0-or-later", ["gpl_free", "gpl_terms", "gpl2_either"]),
+    ("GPL-3.0-or-later", ["gpl3_terms"]),
+    ("GPL-2.0-or-later", ["gpl2_terms"]),
+    ("GPL-3.0-or-later", ["gpl_terms", "gpl3_either"]),
+    ("GPL-2.0-or-later", ["gpl_terms", "gpl2_either"]),
     ("MIT", ["mit_ref"]),
     ("Apache-2.0", ["apache2_ref"]),
     ("GPL-3.0-only", ["gpl3_ref"]),

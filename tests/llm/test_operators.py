@@ -274,6 +274,96 @@ def test_license_scan(spark):
     assert license_scan.scan(table(spark, [])).collect() == []
 
 
+HOPE = """
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+TERMS = """it under the terms of the GNU General Public License as published by
+the Free Software Foundation"""
+LATER = """ of the License, or
+(at your option) any later version."""
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAME = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+CANONICAL = [
+    ("MIT", MIT_TEXT, 4),
+    ("Apache-2.0", APACHE_TEXT, 6),
+    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify\n" + TERMS + ", either version 3" + LATER + HOPE, 5),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify\n" + TERMS + "; either version 2" + LATER + HOPE, 6),
+    ("GPL-2.0-or-later", "Frob is free software: you can redistribute it and/or modify\n" + TERMS + ", either version 2" + LATER + HOPE.replace("This program", "Frob"), 3),
+    ("BSD-3-Clause", BSD_TEXT + BSD_NAME, 4),
+    ("BSD-2-Clause", BSD_TEXT, 3),
+    ("MPL-2.0", MPL_TEXT, 1),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3.", 1),
+    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2.", 1),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.", 1),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", 1),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", 1),
+    ("NOASSERTION", "All rights reserved.", 1),
+]
+
+
+def test_license_scan_of_canonical_texts(spark):
+    rows, want = [], {}
+    for i, (name, text, n) in enumerate(CANONICAL):
+        for j, mark in enumerate(("", " * ", "# ", "// ")):
+            rows.append((10 * i + j, "".join(f"{mark}{line}".rstrip() + "\n" for line in text.splitlines())))
+            want[10 * i + j] = (name, n - (name == "Apache-2.0" and j > 0) * 2)  # no blank line cuts a comment
+    got = {r.doc_id: (r.licenses, r.n_sentences) for r in license_scan.scan(table(spark, rows)).collect()}
+    assert got == want
+    lesser = "This library is free software; you can redistribute it and/or modify\n" + TERMS.replace("General", "Lesser General") + "; either version 2" + LATER
+    assert license_scan.scan(table(spark, [(1, lesser), (2, "The contents of this file are subject to the Mozilla Public License, v. 1.1.")])).where("licenses <> ''").count() == 0
+
+
 # --- chat
 
 CONV = "conv_id long, turn long, role string, text string, spans string"
