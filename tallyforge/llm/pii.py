@@ -2,8 +2,10 @@
 
 High-recall generators propose overlapping spans; boosted depth-2 trees score each proposal by its format and
 context; a threshold calibrated on held-out documents selects what is redacted. Validated base spans always stand.
-Labels come from the validators themselves (a proposal in the strict format is a positive), while the features leave
-the validated marks out, so the trees carry the look of validated data over to proposals in looser formats.
+Labels come from validators: the strict formats, and for looser ones a bracketed at sign, a telephone word before a
+number, or an account code's check digits. What fails a checksum or range is a negative; a loose form that nothing
+validates or refutes is unlabelled. Spans with a positive label stand. The features leave the validated marks out, so
+the trees carry the look of validated data over to unlabelled proposals.
 
 Training reads every proposal: they are counted per distinct feature row, and each round sums gradients over that
 small table with one aggregation per tree level.
@@ -33,12 +35,14 @@ _LOOSE_PATTERNS = [
     r"\(?[0-9]++\)?(?:[\x20./-]{1,2}\(?[0-9]++\)?)*+",
     r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Z0-9])",
 ]
-_CONTEXT = r"(?i)(?:mail|phone|tel|call|fax|card|account|konto|ssn|iban|contact|passport|ip)[^A-Za-z0-9]*[A-Za-z]{0,8}[^A-Za-z0-9]*$"
+#: Words right before a number of 7 to 15 digits that make it a telephone number.
+_CONTEXT = r"(?i)(?<![a-z])(?:phone|telephone|tel|mobile|cell|call|fax)(?:[\x20-]?(?:no|number|is|at|me at))?[^a-z0-9]*$"
 
 #: Features and the number of values of each; their product bounds the table of distinct feature rows.
-FEATURES = {"kind": 3, "digits": 9, "groups": 5, "prev": 5, "next": 5, "context": 2, "spread": 3, "size": 5}
+FEATURES = {"kind": 3, "digits": 9, "groups": 5, "prev": 5, "next": 5, "spread": 3, "size": 5}
 ROUNDS, LEARNING_RATE, L2 = 10, 0.5, 1.0
-#: Held-out precision (against the validators) that the threshold must reach.
+#: Held-out precision (over labelled proposals) that the threshold must reach, and the least share of the mean score of
+#: held-out positives: with labels on some positives only, score over that mean estimates the chance of personal data.
 PRECISION = 0.9
 
 
@@ -71,6 +75,14 @@ def base_spans(text: Column) -> list[Column]:
     return [email, ip, card, phone]
 
 
+def iban(hit: Column) -> Column:
+    """Whether an account code's check digits are right: its number, first four characters last, is 1 modulo 97."""
+    chars = F.split(F.concat(F.substring(hit, 5, 40), F.substring(hit, 1, 4)), "")
+    value = lambda c: F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1
+    step = lambda a, c: ((a * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97).cast("int")
+    return F.aggregate(F.filter(chars, lambda c: c != ""), F.lit(0), step) == 1
+
+
 def _char(c: Column) -> Column:
     return (
         F.when(c.isNull() | (c == ""), 0).when(c.rlike(r"^\s$"), 1).when(c.rlike("^[A-Za-z]$"), 2).when(c.rlike("^[0-9]$"), 3).otherwise(4)
@@ -87,10 +99,13 @@ def _bin(x: Column, edges: list[int]) -> Column:
 def _proposal(kind: int, s: Column) -> Column:
     hit = s["hit"]
     digits = _digits(hit)
-    strict = [
-        lambda: hit.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"),
-        lambda: (F.endswith(s["before"], F.lit("+")) & digits.between(8, 15)) | hit.rlike(_IP_OK) | F.when(digits.between(16, 19), luhn(hit)).otherwise(False),
-        lambda: F.lit(False),
+    called = digits.between(7, 15) & F.right(s["before"], F.lit(32)).rlike(_CONTEXT)
+    label = [
+        lambda: F.when(hit.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$") | hit.rlike(r"\(at\)|\[at\]"), 1),
+        lambda: F.when((F.endswith(s["before"], F.lit("+")) & digits.between(8, 15)) | hit.rlike(_IP_OK) | F.when(digits.between(16, 19), luhn(hit)).otherwise(called), 1).when(
+            (digits >= 16) | hit.rlike(r"^[0-9]+(?:\.[0-9]+){3}$"), 0
+        ),
+        lambda: iban(hit).cast("int"),
     ][kind]()
     before = F.regexp_replace(s["before"], r"\+$", "")  # the plus sign is what the validator looks at
     return F.struct(
@@ -101,10 +116,9 @@ def _proposal(kind: int, s: Column) -> Column:
         F.least(F.size(F.split(hit, "[^A-Za-z0-9]+")) - 1, F.lit(4)).alias("groups"),
         _char(F.right(before, F.lit(1))).alias("prev"),
         _char(F.left(s["after"], F.lit(1))).alias("next"),
-        F.right(before, F.lit(24)).rlike(_CONTEXT).cast("int").alias("context"),
         _bin(F.size(F.array_distinct(F.split(F.regexp_replace(hit, "[^0-9]", ""), ""))), [3, 6]).alias("spread"),
         _bin(F.length(hit), [8, 12, 16, 24]).alias("size"),
-        strict.cast("int").alias("y"),
+        label.cast("int").alias("y"),
     )
 
 
@@ -168,11 +182,12 @@ def _best(stats: dict[tuple[str, int], tuple[float, float]]) -> tuple[tuple[str,
 
 
 def fit(loose: DataFrame, rounds: int = ROUNDS) -> Trees:
-    """Boost on all proposals (columns of ``FEATURES``, ``y`` and ``fold``; fold 0 calibrates, the rest trains). Without
-    proposals of both classes the threshold stays above every score."""
+    """Boost on all proposals (columns of ``FEATURES``, ``y`` and ``fold``; fold 0 calibrates, the rest trains). Positives
+    are learnt against all others; unlabelled ones (null ``y``) count for no error in calibration. Without positives
+    and others the threshold stays above every score."""
     names = list(FEATURES)
     table = stage(loose.groupBy(*names, "y", (F.col("fold") == 0).alias("held")).agg(F.count("*").alias("n")), "features")
-    train = table.where("not held")
+    train = table.where("not held").withColumn("y", F.coalesce("y", F.lit(0)))
     total = train.agg(F.sum("n"), F.sum(F.col("n") * F.col("y"))).first()
     model = Trees()
     if not total[0] or not total[1] or total[0] == total[1]:
@@ -193,18 +208,20 @@ def fit(loose: DataFrame, rounds: int = ROUNDS) -> Trees:
         below = sums((F.col(root[0]) > root[1]).cast("int"))
         (low, a, b), (high, c, d) = _best(below[0]), _best(below[1])
         model.trees.append((root, low, high, (a, b, c, d)))
-    held = table.where("held").groupBy(model.score().alias("s")).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("y")).collect()  # at most 1001 scores
+    held = table.where("held and y is not null").groupBy(model.score().alias("s")).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("y")).collect()  # at most 1001 scores
+    positives = sum(r.y for r in held)
+    least = PRECISION * sum(r.s * r.y for r in held) / positives if positives else math.inf
     n = y = 0
     for r in sorted(held, key=lambda r: -r.s):
         n, y = n + r.n, y + r.y
-        if y >= PRECISION * n:
+        if y >= PRECISION * n and r.s >= least:
             model.threshold = r.s
     return model
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, found``, an array of ``start, rank, end, kind`` sorted by start, then rank. All
-    validated base spans, and the proposals that reach the threshold and touch no base span.
+    validated base spans, and the proposals that are validated or reach the threshold and touch no base span.
 
     Null texts count as empty; empty texts have no spans; a null id is searched like others; repeated rows repeat
     their results; other columns are ignored; an empty table gives none.
@@ -214,7 +231,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     base = F.col("base")
 
     def chosen(p: Column) -> Column:
-        return (model.score(p) >= model.threshold) & ~F.exists(base, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
+        return (F.coalesce(p["y"] == 1, F.lit(False)) | (model.score(p) >= model.threshold)) & ~F.exists(base, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
 
     more = F.transform(
         F.filter("loose", chosen),

@@ -257,6 +257,23 @@ def test_personal_data_base_matches_brute_force(spark):
     assert sorted((r.doc_id or -1, r.base_sha256) for r in got) == want
 
 
+def test_personal_data_finds_planted_loose_spans(spark):
+    iban, wrong = "GB82WEST12345698765432", "GB83WEST12345698765432"
+    planted = [(24, dict(PERSONAL)[24], ["(343) 555-3824", "jane (at) doe.com"]), (25, f"pay to {iban} or {wrong} today", [iban]), (26, "jo.e[at]doe[dot]org, fax: 030 1234567", ["jo.e[at]doe[dot]org", "030 1234567"]), (27, "built 20240101 order 7654321", [])]
+    got = {r.doc_id: r.found for r in pii.find(table(spark, [(i, t) for i, t, _ in planted])).collect()}
+    for i, t, want in planted:
+        assert sorted(t[s.start : s.end] for s in got[i]) == sorted(want)
+
+
+def test_personal_data_model_chooses_unlabelled_spans(spark):
+    """Numbers in the form of validated ones, without a mark of their own, are chosen; numbers that look otherwise are not."""
+    rows = [(i, f"reach +1 (2{i % 90:02d}) 555-{1000 + i} now") for i in range(400)] + [(1000 + i, f"sum {10**18 + i * 7919}{i}00 made") for i in range(200)]
+    loose = [(2000 + i, f"reach 1 (2{i % 90:02d}) 555-{1000 + i} now") for i in range(0, 400, 5)]
+    got = {r.doc_id: [s.kind for s in r.found] for r in pii.find(table(spark, rows + loose)).collect()}
+    assert sum(got[i] == ["number_like"] for i, _ in loose) == 80
+    assert not any(got[1000 + i] for i in range(200))
+
+
 def test_personal_data_of_nothing(spark):
     assert pii.find(table(spark, [])).collect() == []
 
