@@ -4,18 +4,18 @@ Documents are tokenised, put in ascending id order by a range shuffle, and writt
 neighbouring id pairs are replaced by nonterminals, again and again; the block keeps the rules, the expansion length
 of each symbol, and where each document begins, so that one document can be decoded without the rest.
 
-A block (bytes, little-endian): ``RPB1``; uint32 counts of documents, rules, symbols and the width of a symbol (2 or
-4 bytes); per document uint64 first symbol and uint64 first id; rules as uint32 pairs; expansion lengths as uint32; the
-symbols. Nonterminal ``i`` has the number ``TERMINALS + i``. No rule crosses the end of a document.
+A block (bytes, little-endian): ``RPB2``; uint32 counts of documents, terminal ids, rules and symbols, and the width of a
+symbol (2 or 4 bytes); per document uint64 first symbol and uint64 first id; rules as pairs of symbols; expansion
+lengths as uint32; the symbols. Nonterminal ``i`` has the number ``terminals + i``. No rule crosses the end of a document.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +28,20 @@ from tallyforge.llm import common as C
 from tallyforge.session import ship
 
 END_ID = 1
-#: Nonterminals are numbered from here; the vocabulary must be smaller.
-TERMINALS = 49_408
-#: Ids after which a block is closed (a longer document is a block of its own), rounds, and pairs replaced in one round.
-BLOCK_IDS, ROUNDS, PAIRS = 1 << 19, 2, 6000
+#: Ids after which a block is closed (a longer document is a block of its own).
+BLOCK_IDS = 1 << 20
+#: A rule is worth its place from this many uses: it takes 8 bytes (two symbols, a length), each use saves one symbol of two.
+LEAST = 5
+#: A round replaces all pairs at least 1 / RATIO as frequent as the most frequent one.
+RATIO = 16
 #: A special token of the vocabulary that stands between words which are encoded together.
-SEPARATOR = b"<|startoftext|>"
+SEPARATOR = "<|startoftext|>"
 #: Words that a worker remembers with their ids.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1 << 20
 #: Bytes of text encoded at a time: a word beyond the remembered ones is encoded once in each.
 CHUNK_BYTES = 4 << 20
+#: The most bytes of text that one shard should hold. There are at least as many shards as shuffle partitions.
+SHARD_BYTES = 512 << 20
 
 _BLOCK_SCHEMA = T.StructType(
     [
@@ -51,195 +55,293 @@ _BLOCK_SCHEMA = T.StructType(
 )
 
 
-_STEM = re.compile(rb"([a-z\x80-\xff]+)([.,;:!?*$%&#()\"+=_/|-]+)")
 #: Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for 256 and up, in order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE) if b != 0x0A}
+#: Words of which normaliser and pre-tokenizer are known character by character: ASCII (without "<", which may begin a
+#: special token) and lower-case Latin letters; and how the pre-tokenizer cuts them.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(f"[!-;=-@\\[-`{{-~{_LETTERS}]+")
+_PIECES = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\n0-9{_LETTERS}]+")
+
+
+class _Numbers:
+    """Numbers of 64-bit word hashes, an open-addressing table in two arrays."""
+
+    def __init__(self) -> None:
+        self.n = 0
+        self.keys, self.at = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where unknown."""
+        out = np.full(len(hashes), -1, dtype=np.int32)
+        todo, mask = np.arange(len(hashes)), np.uint64(len(self.keys) - 1)
+        place = (hashes & mask).astype(np.int64)
+        while len(todo):
+            held = self.keys[place]
+            same = held == hashes[todo]
+            out[todo[same]] = self.at[place[same]]
+            on = ~same & (held != 0)
+            todo, place = todo[on], (place[on] + 1) & int(mask)
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number distinct unknown hashes in their order."""
+        if 2 * (self.n + len(hashes)) > len(self.keys):
+            old, at = self.keys, self.at
+            size = 1 << int(2 * (self.n + len(hashes))).bit_length()
+            self.keys, self.at = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._put(old[old != 0], at[old != 0])
+        self._put(hashes, np.arange(self.n, self.n + len(hashes), dtype=np.int32))
+        self.n += len(hashes)
+
+    def _put(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        mask = len(self.keys) - 1
+        place = (hashes & np.uint64(mask)).astype(np.int64)
+        while len(hashes):
+            free = self.keys[place] == 0
+            self.keys[place[free]] = hashes[free]  # of several that meet in a place the last one stays
+            self.at[place[free]] = numbers[free]
+            on = self.keys[place] != hashes
+            hashes, numbers, place = hashes[on], numbers[on], (place[on] + 1) & mask
+
+
+class _Lists:
+    """Numbered lists of ids in one array, with those of several numbers taken at once."""
+
+    def __init__(self) -> None:
+        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes, dtype=np.int64)])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids, one list after the other, and how many each has."""
+        lo = self.begin[numbers]
+        sizes = self.begin[numbers + 1] - lo
+        lo, n = lo[sizes > 0], sizes[sizes > 0]
+        return _runs(self.flat, lo, n), sizes
+
+
+def _runs(pool: np.ndarray, lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` that begin at ``lo`` and hold ``n`` > 0 entries, one after the other."""
+    if not len(n):
+        return pool[:0]
+    step = np.ones(int(n.sum()), dtype=np.int64)
+    step[0] = lo[0]
+    step[np.cumsum(n[:-1])] = lo[1:] - (lo[:-1] + n[:-1] - 1)
+    return pool[np.cumsum(step)]
+
+
+class TextEncoder:
+    """Ids of whole texts, by the tokenizer itself: for any vocabulary."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, data: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
+        for got in self.tokenizer.encode_batch(texts, add_special_tokens=False):
+            yield np.array(got.ids, dtype=np.uint32)
 
-class WordEncoder:
-    """Ids of whole texts from the vocabulary's tokenizer, which never joins across ASCII white space.
 
-    Each distinct word is encoded once, A-Z lowered as the normaliser does, and remembered. A run of Latin letters
-    with a run of punctuation after it is two pre-tokens of that tokenizer, so both are looked up by themselves. Letter
-    runs are already what normaliser and pre-tokenizer would hand on and go straight to its BPE model; all else goes
-    the whole way. Equality with encoding whole texts is tested.
+class WordEncoder(TextEncoder):
+    """Ids of whole texts for lower-casing vocabularies that never join across white space (``fits``).
+
+    Each distinct word is encoded once, A-Z lowered as the normaliser does, and remembered by its 64-bit hash. Plain
+    words are cut in pre-tokens here, and each distinct one goes straight to the BPE model; other words go through the
+    whole tokenizer. Equality with encoding whole texts is tested.
     """
 
     def __init__(self, path: str) -> None:
+        super().__init__(path)
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(SEPARATOR.decode())
-        self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.at = np.zeros(1, np.int64)
+        self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words, self.ids = _Numbers(), _Lists()
+        self.pieces: dict[str, int] = {}
+        self.piece_ids = _Lists()
 
     @staticmethod
-    def _letter_run(part: bytes) -> str | None:
-        """The model's characters of a run of lower-case Latin letters, or None."""
-        if part.isalpha():
-            return part.decode()
-        word = part.decode()
-        if word.isalpha() and max(word) < "\u0250" and word.lower() == word:
-            return part.decode("latin-1").translate(_BYTE_CHARS)
-        return None
-
-    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self.known)
-        self.known.update(zip(words, range(n, n + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes, dtype=np.int64)])
-
-    def _take(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the numbered words, one after the other, and how many each has."""
-        lo = self.at[k]
-        sizes = self.at[k + 1] - lo
-        step = np.ones(int(sizes.sum()), dtype=np.int64)  # runs lo, lo+1, ... for each word
-        keep = sizes > 0
-        lo, n = lo[keep], sizes[keep]
-        if not len(n):
-            return np.zeros(0, np.uint32), sizes
-        step[0] = lo[0]
-        step[np.cumsum(n[:-1])] = lo[1:] - (lo[:-1] + n[:-1] - 1)
-        return self.ids[np.cumsum(step)], sizes
-
-    def _learn(self, new: set[bytes]) -> None:
-        runs, runs_as, rest, pairs = [], [], [], []
-        todo: set[bytes] = set()
-        for w in new:
-            m = None if w.isalpha() else _STEM.fullmatch(w)
-            if m and self._letter_run(m[1]) is not None:
-                pairs.append((w, m[1], m[2]))
-                todo.update(p for p in m.groups() if p not in self.known)
-            else:
-                todo.add(w)
-        for w in todo:
-            run = self._letter_run(w)
-            if run is None:
-                rest.append(w)
-            else:
-                runs.append(w)
-                runs_as.append(run)
-        for i in range(0, len(runs), 1 << 14):
-            some = runs_as[i : i + (1 << 14)]
-            got = self.letters.encode_batch([" ".join(some[j : j + 256]) for j in range(0, len(some), 256)], add_special_tokens=False)
+    def fits(spec: dict) -> bool:
+        """Whether a tokenizer file has the normaliser, pre-tokenizer and model that this encoder stands for."""
+        normal, pre, model = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+        kinds = [(x.get("type"), (x.get("pattern") or {}).get("Regex")) for x in [*normal.get("normalizers", []), *pre.get("pretokenizers", [])]]
+        return (
+            kinds == [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None), ("Split", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), ("ByteLevel", None)]
+            and (model.get("type"), model.get("end_of_word_suffix")) == ("BPE", "</w>")
+            and any(t["content"] == SEPARATOR for t in spec.get("added_tokens", []))
+            and all(t["content"].startswith("<") for t in spec["added_tokens"])
+        )
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = _PIECES.findall("\n".join(words))
+        new = list({p for p in found if p not in self.pieces and p != "\n"})
+        for i in range(0, len(new), 1 << 14):
+            some = new[i : i + (1 << 14)]
+            chars = "\n".join(some).encode().decode("latin-1").translate(_BYTE_CHARS).split("\n")
+            got = self.model.encode_batch([" ".join(chars[j : j + 256]) for j in range(0, len(some), 256)], add_special_tokens=False)
             ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in got])
-            word = np.concatenate([np.array(e.word_ids, dtype=np.int64) + 256 * k for k, e in enumerate(got)])
-            self._add(runs[i : i + (1 << 14)], ids, np.bincount(word, minlength=len(some)))
-        plain = [w for w in rest if b"<" not in w]
-        for i in range(0, len(plain), 1 << 13):
-            some = plain[i : i + (1 << 13)]
-            got = self.tokenizer.encode_batch([SEPARATOR.join(some[j : j + 256]).decode() for j in range(0, len(some), 256)], add_special_tokens=False)
-            ids = np.concatenate([np.array([self.separator, *e.ids], dtype=np.uint32) for e in got])
-            between = ids == self.separator
-            self._add(some, ids[~between], np.diff(np.append(np.flatnonzero(between), len(ids))) - 1)
-        for w in (w for w in rest if b"<" in w):
-            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32)
-            self._add([w], ids, np.array([len(ids)]))
-        if pairs:
-            ids, sizes = self._take(np.array([self.known[p] for _, a, b in pairs for p in (a, b)]))
-            self._add([w for w, _, _ in pairs], ids, sizes.reshape(-1, 2).sum(axis=1))
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """One uint32 array per text. Beyond ``CACHE_WORDS`` new words are forgotten after each call."""
-        split = [t.lower().split() for t in texts]
-        known, held = self.known, len(self.known)
-        flat = list(chain.from_iterable(split))
-        k = np.fromiter(map(known.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
-        missing = np.flatnonzero(k < 0)
+            self.piece_ids.append(ids, np.diff(np.flatnonzero(self.closes[ids]), prepend=-1))
+            self.pieces.update(zip(some, range(len(self.pieces), len(self.pieces) + len(some)), strict=True))
+        number = np.fromiter((self.pieces.get(p, -1) for p in found), dtype=np.int64, count=len(found))
+        piece = number >= 0
+        ids, sizes = self.piece_ids.take(number[piece])
+        word = np.cumsum(~piece)[piece]
+        return ids, np.bincount(word, weights=sizes, minlength=len(words)).astype(np.int64)
+
+    def _other(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.zeros(0, np.uint32)], []
+        for i in range(0, len(words), 256):
+            some = words[i : i + 256]
+            if any("<" in w for w in some):  # may hold special tokens
+                for e in self.tokenizer.encode_batch(some, add_special_tokens=False):
+                    ids.append(np.array(e.ids, dtype=np.uint32))
+                    sizes.append(len(e.ids))
+                continue
+            got = np.array([self.separator, *self.tokenizer.encode(SEPARATOR.join(some), add_special_tokens=False).ids], dtype=np.uint32)
+            between = got == self.separator
+            ids.append(got[~between])
+            sizes += (np.diff(np.append(np.flatnonzero(between), len(got))) - 1).tolist()
+        return np.concatenate(ids), np.array(sizes, dtype=np.int64)
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        low = [w.decode() for w in words]
+        lowered = "\n".join(low).lower().split("\n")
+        plain = np.fromiter((_PLAIN.fullmatch(w) is not None for w in lowered), dtype=bool, count=len(lowered))
+        order = np.argsort(~plain, kind="stable")
+        n = int(plain.sum())
+        for part, learn, texts in ((order[:n], self._plain, lowered), (order[n:], self._other, low)):
+            if len(part):
+                self.words.add(hashes[part])
+                self.ids.append(*learn([texts[i] for i in part.tolist()]))
+
+    def encode(self, data: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
+        """One uint32 array per text. Beyond ``CACHE_WORDS`` all words are forgotten before the next call."""
+        if self.words.n > CACHE_WORDS:
+            self.words, self.ids, self.pieces, self.piece_ids = _Numbers(), _Lists(), {}, _Lists()
+        hashes, starts, rows = C.words(data, offs)
+        hashes = np.maximum(hashes, np.uint64(1))
+        number = self.words.find(hashes)
+        missing = np.flatnonzero(number < 0)
         if len(missing):
-            unseen = [flat[i] for i in missing.tolist()]
-            self._learn(set(unseen))
-            k[missing] = np.fromiter(map(known.__getitem__, unseen), dtype=np.int64, count=len(unseen))
-        ids, sizes = self._take(k)
-        words_to = np.concatenate(([0], np.cumsum([len(s) for s in split], dtype=np.int64)))
-        ids_to = np.concatenate(([0], np.cumsum(sizes)))[words_to]
-        out = [ids[a:b] for a, b in zip(ids_to[:-1], ids_to[1:], strict=True)]
-        if len(known) > CACHE_WORDS:
-            held = max(held, min(CACHE_WORDS, len(known)))
-            while len(known) > held:
-                known.popitem()  # the newest
-            self.at = self.at[: held + 1].copy()
-            self.ids = self.ids[: self.at[-1]].copy()
-        return out
+            new, first = np.unique(hashes[missing], return_index=True)
+            a = starts[missing[first]]
+            gaps = np.append(np.flatnonzero(C.IS_SPACE[data]), len(data))
+            b = np.minimum(gaps[np.searchsorted(gaps, a)], offs[np.searchsorted(offs, a, "right")])
+            raw = data.tobytes()
+            self._learn(new, [raw[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+            number[missing] = self.words.find(hashes[missing])
+        ids, sizes = self.ids.take(number)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[rows]
+        yield from (ids[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
 
 
 #: Encoders of this worker process, by path: a worker that is used again keeps its words.
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> TextEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        _ENCODERS[path] = (WordEncoder if WordEncoder.fits(spec) else TextEncoder)(path)
     return _ENCODERS[path]
 
 
-def compress(docs: list[np.ndarray], rounds: int = ROUNDS, pairs: int = PAIRS) -> bytes:
-    """A block of the documents' ids. Each round counts all neighbouring pairs of the block and replaces up to ``pairs``
-    of the most frequent at once, left to right; a round that finds no pair four times ends it."""
+def terminals(path: str) -> int:
+    """Ids of a vocabulary: one more than the largest, the end id included."""
+    return max([END_ID, *encoder(path).tokenizer.get_vocab(with_added_tokens=True).values()]) + 1
+
+
+def _counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and how often each occurs."""
+    x = np.sort(x)
+    begin = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+    return x[begin], np.diff(np.append(begin, len(x)))
+
+
+def compress(docs: list[np.ndarray], terminals: int, least: int = LEAST) -> bytes:
+    """A block of the documents' ids (below ``terminals``) by Re-Pair: the most frequent neighbouring pairs become
+    nonterminals, again and again, until no pair occurs ``least`` times or symbols of the width run out.
+
+    A round replaces all pairs within ``RATIO`` of the most frequent one, left to right; of overlapping ones every second.
+    After the first round only places next to a new symbol, and those whose pair is still frequent, are looked at: the
+    count of any other pair can only fall.
+    """
     lengths = np.array([len(d) for d in docs], dtype=np.int64)
-    seq = np.concatenate([np.zeros(0, np.uint32), *docs]).astype(np.int64)
-    doc = np.repeat(np.arange(len(docs), dtype=np.int32), lengths)
-    left: list[np.ndarray] = []
+    seq = np.concatenate([np.zeros(0, np.uint32), *docs]).astype(np.uint32)
+    last = np.zeros(len(seq), dtype=bool)  # the last symbol of a document
+    last[np.cumsum(lengths)[lengths > 0] - 1] = True
+    first = np.cumsum(lengths) - lengths
+    width = 2 if terminals <= 60_000 else 4
+    room = (1 << 16 if width == 2 else 1 << 21) - terminals
+    kind = np.uint32 if width == 2 else np.uint64
+    side = kind(8 * width)
+    odd, right = (kind(0x9E3779B1), kind(12)) if width == 2 else (kind(0x9E3779B97F4A7C15), kind(44))
+    cell_of = lambda pair: (pair * odd >> right).astype(np.int32)
+    rules: list[np.ndarray] = []
     total = 0
-    cells = np.uint64(1 << 20)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        room = min(pairs, (1 << 16) - TERMINALS - total)
-        pair = (seq[:-1] << 32) | seq[1:]
-        inside = doc[:-1] == doc[1:]
-        cell = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-        count = np.bincount(cell[inside], minlength=int(cells))
-        # cells hold several pairs at times: count the pairs of the fullest cells exactly
-        full = np.flatnonzero(count >= 4)
-        if not len(full) or room <= 0:
-            break
-        full = full[np.argsort(-count[full], kind="stable")[: 2 * room]]
-        marked = np.zeros(int(cells), dtype=bool)
-        marked[full] = True
-        hot = np.flatnonzero(marked[cell] & inside)
-        values, number = np.unique(pair[hot], return_counts=True)
-        best = np.lexsort((values, -number))[:room]
-        best = best[number[best] >= 4]
+    at = np.flatnonzero(~last)
+    while len(at) and total < room:
+        pair = (seq[at].astype(kind) << side) | seq[at + 1]
+        cell = cell_of(pair)
+        hot = np.bincount(cell, minlength=1 << 20)[cell] >= least  # a cell counts at least what each of its pairs does
+        at, pair, cell = at[hot], pair[hot], cell[hot]
+        values, number = _counts(pair)
+        best = np.flatnonzero(number >= max(least, int(number.max(initial=0)) // RATIO))
         if not len(best):
             break
-        chosen = np.sort(values[best])
-        by_cell = np.full(int(cells), -1, dtype=np.int32)
-        home = ((chosen.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-        by_cell[home] = np.arange(len(chosen))  # of two chosen pairs in one cell the later one waits for another round
-        at = by_cell[cell[hot]]
-        ok = (at >= 0) & (chosen[at] == pair[hot])
-        where, rule = hot[ok], at[ok]
-        # of overlapping occurrences take every second one of a run, from its left end
-        if len(where):
-            run = np.concatenate(([True], np.diff(where) != 1))
-            start = np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
-            take = (np.arange(len(where)) - start) % 2 == 0
-            where, rule = where[take], rule[take]
-        seq[where] = TERMINALS + total + rule
+        best = np.sort(best[np.argsort(-number[best], kind="stable")[: room - total]])
+        chosen = values[best]
+        by_cell = np.full(1 << 20, -1, dtype=np.int32)
+        by_cell[cell_of(chosen)] = np.arange(len(chosen))  # of two in one cell the first waits for the next round
+        rule = by_cell[cell]
+        hit = (rule >= 0) & (chosen[rule] == pair)
+        where, rule = all_of, of = at[hit], rule[hit]
+        run = np.concatenate(([True], np.diff(where) != 1))
+        begin = np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
+        take = (np.arange(len(where)) - begin) % 2 == 0
+        where, rule = where[take], rule[take]
+        used = np.bincount(rule, minlength=len(chosen)) >= least  # overlaps may leave a pair too few places: it is dropped
+        take = used[rule]
+        where, rule = where[take], (np.cumsum(used) - 1)[rule[take]]
+        chosen = chosen[used]
+        seq[where] = terminals + total + rule
+        last[where] = last[where + 1]
+        look = np.zeros(len(seq), dtype=bool)
+        look[at] = True
+        look[all_of[~used[of]]] = False
+        look[where] = look[np.maximum(where - 1, 0)] = True
         keep = np.ones(len(seq), dtype=bool)
         keep[where + 1] = False
-        seq, doc = seq[keep], doc[keep]
-        left.append(chosen)
+        gone = np.concatenate(([0], np.cumsum(~keep)))
+        first -= gone[first]
+        seq, last = seq[keep], last[keep]
+        at = np.flatnonzero(look[keep] & ~last)
+        rules.append(chosen)
         total += len(chosen)
-    rules = np.concatenate([np.zeros(0, np.int64), *left])
-    table = np.stack([rules >> 32, rules & 0xFFFFFFFF], axis=1).astype("<u4")
-    size = np.ones(TERMINALS + total, dtype=np.int64)
-    for i, (a, b) in enumerate(table.tolist()):
-        size[TERMINALS + i] = size[a] + size[b]
-    width = 2 if TERMINALS + total <= 1 << 16 and (not len(seq) or seq.max() < 1 << 16) else 4
-    first = np.searchsorted(doc, np.arange(len(docs)))
-    begin = np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(docs) else np.zeros(0, np.int64)
+    pairs = np.concatenate([np.zeros(0, kind), *rules])
+    table = np.stack([pairs >> side, pairs & kind((1 << 8 * width) - 1)], axis=1).astype(f"<u{width}")
+    size = [1] * terminals
+    for a, b in table.tolist():
+        size.append(size[a] + size[b])
+    begin = np.cumsum(lengths) - lengths
     return b"".join(
         [
-            struct.pack("<4s4I", b"RPB1", len(docs), total, len(seq), width),
-            np.stack([first, begin], axis=1).astype("<u8").tobytes() if len(docs) else b"",
+            struct.pack("<4s5I", b"RPB2", len(docs), terminals, total, len(seq), width),
+            np.stack([first, begin], axis=1).astype("<u8").tobytes(),
             table.tobytes(),
-            size[TERMINALS:].astype("<u4").tobytes(),
+            np.array(size[terminals:], dtype="<u4").tobytes(),
             seq.astype(f"<u{width}").tobytes(),
         ]
     )
@@ -249,68 +351,79 @@ class Block:
     """Random access to a block's documents."""
 
     def __init__(self, raw: bytes) -> None:
-        magic, docs, rules, symbols, width = struct.unpack_from("<4s4I", raw)
-        if magic != b"RPB1":
+        magic, docs, self.terminals, rules, symbols, width = struct.unpack_from("<4s5I", raw)
+        if magic != b"RPB2":
             raise ValueError("not a token block")
-        at = 20
+        at = 24
         self.index = np.frombuffer(raw, "<u8", 2 * docs, at).reshape(docs, 2).astype(np.int64)
         at += 16 * docs
-        self.rules = np.frombuffer(raw, "<u4", 2 * rules, at).reshape(rules, 2).astype(np.int64)
-        at += 8 * rules
+        self.rules = np.frombuffer(raw, f"<u{width}", 2 * rules, at).reshape(rules, 2).astype(np.int64)
+        at += 2 * width * rules
         self.size = np.frombuffer(raw, "<u4", rules, at).astype(np.int64)
         self.seq = np.frombuffer(raw, f"<u{width}", symbols, at + 4 * rules)
-        self._flat: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.index)
 
-    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """Terminal ids of all nonterminals, one after the other, and where each begins."""
-        if self._flat is None:
-            self._begin = np.concatenate(([0], np.cumsum(self.size)))
-            self._flat = np.zeros(int(self._begin[-1]), dtype=np.uint32)
-            for i, (a, b) in enumerate(self.rules.tolist()):
-                at = int(self._begin[i])
-                for s in (a, b):
-                    if s < TERMINALS:
-                        self._flat[at] = s
-                        at += 1
-                    else:
-                        n = int(self.size[s - TERMINALS])
-                        k = int(self._begin[s - TERMINALS])
-                        self._flat[at : at + n] = self._flat[k : k + n]
-                        at += n
-        return self._flat, self._begin
+    def _expand(self, seq: np.ndarray) -> np.ndarray:
+        """Terminal ids of symbols: each pass replaces every nonterminal by its two sides, as many passes as the rules are
+        deep."""
+        seq = seq.astype(np.int64)
+        while len(at := np.flatnonzero(seq >= self.terminals)):
+            sides = self.rules[seq[at] - self.terminals]
+            out = np.empty(len(seq) + len(at), dtype=np.int64)
+            shift = np.zeros(len(seq), dtype=np.int64)
+            shift[at] = 1
+            place = np.arange(len(seq)) + np.cumsum(shift) - shift
+            out[place] = seq
+            out[place[at]] = sides[:, 0]
+            out[place[at] + 1] = sides[:, 1]
+            seq = out
+        return seq.astype(np.uint32)
 
     def decode(self, i: int) -> np.ndarray:
         """Ids of document ``i``."""
-        end = self.index[i + 1, 0] if i + 1 < len(self.index) else len(self.seq)
-        return self._expand(self.seq[self.index[i, 0] : end].astype(np.int64))
-
-    def _expand(self, seq: np.ndarray) -> np.ndarray:
-        flat, begin = self._expansions()
-        pool = np.concatenate([np.arange(TERMINALS, dtype=np.uint32), flat])
-        rule = seq >= TERMINALS
-        lo = seq.copy()
-        lo[rule] = TERMINALS + begin[seq[rule] - TERMINALS]
-        n = np.ones(len(seq), dtype=np.int64)
-        n[rule] = self.size[seq[rule] - TERMINALS]
-        if not len(seq):
-            return np.zeros(0, np.uint32)
-        step = np.ones(int(n.sum()), dtype=np.int64)
-        step[0] = lo[0]
-        step[np.cumsum(n[:-1])] = lo[1:] - (lo[:-1] + n[:-1] - 1)
-        return pool[np.cumsum(step)]
+        end = self.index[i + 1, 0] if i + 1 < len(self) else len(self.seq)
+        return self._expand(self.seq[self.index[i, 0] : end])
+
+    def token(self, i: int, k: int) -> int:
+        """Id ``k`` of document ``i``: the expansion lengths lead to it without decoding the rest."""
+        end = self.index[i + 1, 0] if i + 1 < len(self) else len(self.seq)
+        seq = self.seq[self.index[i, 0] : end].astype(np.int64)
+        ends = np.cumsum(self._sizes(seq))
+        if not 0 <= k < (ends[-1] if len(ends) else 0):
+            raise IndexError(k)
+        at = int(np.searchsorted(ends, k, "right"))
+        symbol, k = int(seq[at]), k - int(ends[at - 1] if at else 0)
+        while symbol >= self.terminals:
+            left, right = self.rules[symbol - self.terminals].tolist()
+            size = int(self._sizes(np.array([left]))[0])
+            symbol, k = (left, k) if k < size else (right, k - size)
+        return symbol
+
+    def _sizes(self, seq: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.ones(1, np.int64), self.size])[np.maximum(seq - self.terminals + 1, 0)]
 
     def all_ids(self) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block, and the offsets of its documents (one more at the end)."""
-        ids = self._expand(self.seq.astype(np.int64))
+        flat, begin = self._expansions()
+        seq = self.seq.astype(np.int64)
+        rule = seq >= self.terminals
+        n = np.ones(len(seq), dtype=np.int64)
+        n[rule] = self.size[seq[rule] - self.terminals]
+        lo = seq.copy()
+        lo[rule] = self.terminals + begin[seq[rule] - self.terminals]
+        ids = _runs(np.concatenate([np.arange(self.terminals, dtype=np.uint32), flat]), lo, n)
         return ids, np.concatenate([self.index[:, 1], [len(ids)]])
 
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """Terminal ids of all nonterminals, one after the other, and where each begins."""
+        return self._expand(np.arange(self.terminals, self.terminals + len(self.rules))), np.concatenate(([0], np.cumsum(self.size)))
+
 
 def _write(path: str):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        texts, limit = encoder(path), terminals(path)
         shard = TaskContext.get().partitionId()
         block = done = held = 0
         ids: list[int | None] = []
@@ -320,7 +433,7 @@ def _write(path: str):  # noqa: ANN202
         def close() -> pa.RecordBatch:
             nonlocal block, done, held
             out = pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([done], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([compress(docs)], pa.binary())],
+                [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([done], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([compress(docs, limit)], pa.binary())],
                 names=_BLOCK_SCHEMA.names,
             )
             block, done, held = block + 1, done + held, 0
@@ -331,8 +444,7 @@ def _write(path: str):  # noqa: ANN202
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for first, _, data, offs in C.text_chunks(batch.column(1), CHUNK_BYTES):
-                raw = data.tobytes()
-                for i, got in enumerate(words.encode([raw[a:b] for a, b in zip(offs[:-1], offs[1:], strict=True)])):
+                for i, got in enumerate(texts.encode(data, offs)):
                     if held and held + len(got) + 1 > BLOCK_IDS:
                         yield close()
                     ids.append(keys[first + i])
@@ -344,15 +456,17 @@ def _write(path: str):  # noqa: ANN202
     return run
 
 
-def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write all documents as token shards (Parquet rows of blocks) in the shared folder; returns them as read back.
 
-    Order: ascending id, null ids first; rows that repeat an id follow by text. Null and empty texts hold the end id
-    alone. Other columns are ignored. An empty table writes no blocks.
+    Order: ascending id, null ids first; rows that repeat an id follow by text, and are split over shards by its hash.
+    Null and empty texts hold the end id alone. Other columns are ignored. An empty table writes no blocks. Any
+    vocabulary file of the tokenizers library will do; lower-casing word vocabularies have a faster way.
     """
     spark = docs.sparkSession
     ship(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return C.stage(ordered.mapInArrow(_write(tokenizer), _BLOCK_SCHEMA), "token-shards")
@@ -372,8 +486,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shard_index(shards: DataFrame) -> DataFrame:
     """Decode every block: one row per document ``doc_id, start, n_tokens, ids_crc32``. ``start`` counts all ids of all
-    documents before it: the sum of the shards before (there are as many shards as shuffle partitions, so that table is
-    small by construction) and the place within the shard."""
+    documents before it: the sum of the shards before and the place within the shard. That table has one row per shard,
+    at most one per ``SHARD_BYTES`` of text or per shuffle partition."""
     totals = shards.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     from pyspark.sql import Window
 

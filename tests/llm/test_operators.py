@@ -486,6 +486,7 @@ def test_token_shards_match_whole_text_encoding(spark):
 
     path = registry.tokenizer_path()
     odd = ["<|endoftext|> hi<|startoftext|>x  a", "Ünïcode ΑΣ Σ don't I'LL 123 4,5", "é á b   c", "日本語 中文,​ zero", "a*** b... ,c \x1f x\x85y"]
+    odd += ["l'été d'or", "×÷²½ ǅ ɏ Ⱥ İ", "a\u00a0b", "((foo)) \"bar\" it's'll <b>x</b> end.</s>", "ÀÉ straße ŒUVRE"]
     rows = AWKWARD + [(50 + i, t) for i, t in enumerate(odd)] + [(80 + i, words(300)) for i in range(30)]
     t = Tokenizer.from_file(path)
     got = repair.shard_index(repair.write_shards(table(spark, rows), path)).orderBy("start").collect()
@@ -504,13 +505,37 @@ def test_token_shards_match_whole_text_encoding(spark):
 def test_repair_random_access():
     rng = np.random.default_rng(4)
     docs = [rng.choice([5, 6, 7, 49000], size=n).astype(np.uint32) for n in (0, 1, 2, 3000, 17, 9000)] + [np.full(501, 9, np.uint32)]
-    raw = repair.compress(docs)
-    block = repair.Block(raw)
-    assert len(block.rules) > 0 and len(block) == len(docs)
-    for i, d in enumerate(docs):
-        assert (block.decode(i) == d).all()
-    ids, offs = block.all_ids()
-    assert (ids == np.concatenate(docs)).all() and len(offs) == len(docs) + 1
+    docs += [docs[5][100:900]] * 40
+    for terminals in (repair.terminals(registry.tokenizer_path()), 70_000):
+        block = repair.Block(repair.compress(docs, terminals))
+        assert len(block.rules) > 0 and len(block) == len(docs)
+        assert block.size.max() > 100  # long repeated passages become one symbol
+        for i, d in enumerate(docs):
+            assert (block.decode(i) == d).all()
+            assert [block.token(i, k) for k in range(0, len(d), 311)] == d[::311].tolist()
+        ids, offs = block.all_ids()
+        assert (ids == np.concatenate(docs)).all() and len(offs) == len(docs) + 1
+        # Re-Pair ran to its end: no pair inside a document is left that would pay for a rule without overlaps
+        seq = block.seq.astype(np.int64)
+        bounds = set(np.append(block.index[1:, 0], len(seq)).tolist())
+        seen = {}
+        for i in range(len(seq) - 1):
+            if i + 1 not in bounds and seq[i] != seq[i + 1]:
+                seen[seq[i], seq[i + 1]] = seen.get((seq[i], seq[i + 1]), 0) + 1
+        assert max(seen.values(), default=0) < 2 * repair.LEAST
+    empty = repair.Block(repair.compress([], 49_408))
+    assert len(empty) == 0 and empty.all_ids()[0].tolist() == []
+
+
+def test_token_shards_of_another_vocabulary(spark):
+    from tokenizers import Tokenizer
+
+    path = registry.tokenizer_path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    rows = [*AWKWARD, (9, "Case Kept  and   spaces"), (10, "é" * 50)]
+    got = repair.shard_index(repair.write_shards(table(spark, rows), path, shard_bytes=1000)).collect()
+    want = sorted((i or -1, zlib.crc32(np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], dtype="<u4").tobytes())) for i, x in rows)
+    assert sorted((r.doc_id or -1, r.ids_crc32) for r in got) == want
 
 
 # --- media
