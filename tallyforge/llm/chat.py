@@ -2,11 +2,12 @@
 
 The template is any function from a list of turns to text. Successive prefixes of a conversation are rendered; where one
 output continues the previous one, the new part is the span of the new turn, and where it does not, the template
-rewrites history and the conversation is flagged. Nothing about the template needs to be known but how its text of a
-turn is found in the turn's span.
+rewrites history and the conversation is flagged. Where a turn's own text lies in its span is found the same way: the
+last turn is rendered once more with a text of one character that occurs nowhere else, and what stands around that
+character must stand around the text. Nothing else about the template needs to be known.
 
-Long conversations are rendered in segments of ``SEGMENT`` turns, each a training sample of its own, so that rendering
-prefixes stays linear and no conversation is held whole.
+A template may look at a whole conversation, so a conversation is one unit of work: its turns stream to one task, which
+holds the text of that conversation and the output for two prefixes. Conversations share tasks, in order.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,11 +27,12 @@ from tallyforge.session import ship
 Turn = tuple[str, str]
 Render = Callable[[list[Turn]], str]
 
-SEGMENT = 32
 #: The marks of this template, and control strings of widespread templates that texts must not carry.
 OPEN, CLOSE = "<|turn|>", "<|end|>"
 _CONTROL = re.compile(r"(<(?=\|)|<(?=/?s>)|\[(?=/?INST\])|<(?=<SYS>>)|<(?=</SYS>>))")
 _TURN = re.compile(r"<\|turn\|>((?:\\.|[^\\\n])*)\n((?:\\.|[^\\])*?)<\|end\|>\n", re.DOTALL)
+#: Formatted text of one output row; a longer conversation continues in the next row.
+PART_CHARS = 64 << 20
 
 
 def escape(text: str) -> str:
@@ -49,89 +52,120 @@ def _unescape_role(role: str) -> str:
     return re.sub(r"\\(n|\\|)", lambda m: {"n": "\n", "\\": "\\", "": ""}[m[1]], role)
 
 
+@lru_cache(maxsize=4096)
+def _render_turn(turn: Turn) -> str:
+    return f"{OPEN}{_escape_role(turn[0])}\n{escape(turn[1])}{CLOSE}\n"
+
+
 def render(turns: list[Turn]) -> str:
     """The template of this module: marked turns, escaped texts."""
-    return "".join(f"{OPEN}{_escape_role(role)}\n{escape(text)}{CLOSE}\n" for role, text in turns)
+    return "".join(map(_render_turn, turns))
 
 
 @dataclass
 class Rendered:
-    """A rendered segment: its text, the span of each turn, and whether the template rewrote what it had said before."""
+    """A conversation rendered so far: its text, the span of each turn and of the text inside it (None where it cannot be
+    told), and whether the template rewrote what it had said before."""
 
-    text: str
-    spans: list[tuple[int, int]]
-    rewrites: bool
+    text: str = ""
+    spans: list[tuple[int, int]] = field(default_factory=list)
+    texts: list[tuple[int, int] | None] = field(default_factory=list)
+    rewrites: bool = False
 
 
-def spans_of(turns: list[Turn], template: Render = render) -> Rendered:
-    """Render each prefix and compare it with the one before. A turn that changes earlier output gets the span from the
-    first changed character."""
-    before, spans, rewrites = template([]), [], False
-    for n in range(1, len(turns) + 1):
-        now = template(turns[:n])
+class Prefixes:
+    """Feeds a conversation to a template turn by turn and compares each output with the one before."""
+
+    def __init__(self, template: Render = render) -> None:
+        self.template, self.turns = template, []
+        self.done = Rendered(template([]))
+
+    def add(self, turn: Turn, inside: bool = True) -> None:
+        """A turn that changes earlier output gets the span from the first changed character. ``inside``: find the turn's
+        own text, too."""
+        before = self.done.text
+        self.turns.append(turn)
+        now = self.template(self.turns)
         at = len(before)
         if not now.startswith(before):
-            rewrites = True
+            self.done.rewrites = True
             at = next((i for i, (a, b) in enumerate(zip(before, now, strict=False)) if a != b), min(len(before), len(now)))
-        spans.append((at, len(now)))
-        before = now
-    return Rendered(before, spans, rewrites)
+        self.done.text = now
+        self.done.spans.append((at, len(now)))
+        self.done.texts.append(self._inside(turn, at) if inside else None)
+
+    def _inside(self, turn: Turn, at: int) -> tuple[int, int] | None:
+        now = self.done.text
+        mark = next(c for c in map(chr, range(0xE000, 0xF900)) if c not in now and c not in turn[0])
+        self.turns[-1] = (turn[0], mark)
+        probe = self.template(self.turns)
+        self.turns[-1] = turn
+        head, _, tail = probe.partition(mark)
+        if probe.count(mark) != 1 or len(head) < at or len(head) + len(tail) > len(now) or not (now.startswith(head) and now.endswith(tail)):
+            return None
+        return len(head), len(now) - len(tail)
 
 
-def loss_span(rendered: str, span: tuple[int, int]) -> tuple[int, int]:
-    """Where the text of a turn of this template lies in its span."""
-    m = _TURN.match(rendered, span[0], span[1])
-    if not m:
-        raise ValueError("no turn at this span")
-    return m.span(2)
+def spans_of(turns: list[Turn], template: Render = render) -> Rendered:
+    """All turns of a conversation, one after the other."""
+    prefixes = Prefixes(template)
+    for turn in turns:
+        prefixes.add(turn)
+    return prefixes.done
 
 
-_FORMATTED = "conv_id long, segment int, turns int, formatted string, loss array<struct<start:int,end:int>>, rewrites boolean"
+_FORMATTED = "conv_id long, part int, turns int, formatted string, loss array<struct<start:int,end:int>>, rewrites boolean, unlocated int"
 
 
-def _formatter(template: Render, trained: str):  # noqa: ANN202
+def _formatter(template: Render, trained: str, part_chars: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, segment, turns = (None, None), 0, []
-        out: list[tuple] = []
-
-        def close() -> None:
-            nonlocal segment
-            if turns:
-                done = spans_of(turns, template)
-                loss = [] if done.rewrites else [loss_span(done.text, s) for (role, _), s in zip(turns, done.spans, strict=True) if role == trained]
-                out.append((key[1], segment, len(turns), done.text, [{"start": a, "end": b} for a, b in loss], done.rewrites))
-                segment += 1
-                turns.clear()
-
-        def batch_of() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.bool_()]
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["conv_id", "segment", "turns", "formatted", "loss", "rewrites"])
-            out.clear()
-            return made
+        key, prefixes = None, None
+
+        def rows() -> Iterator[tuple]:
+            """The conversation, in parts that end between turns."""
+            done = prefixes.done
+            found = [None if done.rewrites or role != trained else span for (role, _), span in zip(prefixes.turns, done.texts, strict=True)]
+            lost = 0 if done.rewrites else sum(role == trained and span is None for (role, _), span in zip(prefixes.turns, found, strict=True))
+            begin = first = part = 0
+            for i, (_, end) in enumerate(done.spans):
+                if i + 1 < len(done.spans) and done.spans[i + 1][1] - begin <= part_chars:
+                    continue
+                stop = end if i + 1 < len(done.spans) else len(done.text)
+                loss = [{"start": s[0] - begin, "end": s[1] - begin} for s in found[first : i + 1] if s]
+                yield key[1], part, i + 1 - first, done.text[begin:stop], loss, done.rewrites, lost
+                begin, first, part = stop, i + 1, part + 1
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.bool_(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["conv_id", "part", "turns", "formatted", "loss", "rewrites", "unlocated"])
 
         for batch in batches:
+            out: list[tuple] = []
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if (conv is None, conv) != key or len(turns) == SEGMENT:
-                    close()
-                    if (conv is None, conv) != key:
-                        key, segment = (conv is None, conv), 0
-                turns.append((role, text))
+                if (conv is None, conv) != key:
+                    if prefixes:
+                        out += rows()
+                    key, prefixes = (conv is None, conv), Prefixes(template)
+                prefixes.add((role, text), inside=role == trained)
             if out:
-                yield batch_of()
-        close()
-        if out:
-            yield batch_of()
+                yield batch_of(out)
+        if prefixes:
+            for row in rows():
+                yield batch_of([row])
 
     return run
 
 
-def format_conversations(rows: DataFrame, template: Render = render, trained: str = "assistant") -> DataFrame:
-    """Rows ``conv_id, turn, role, text`` to one row per segment: ``conv_id, segment, turns, formatted, loss, rewrites``.
+def format_conversations(rows: DataFrame, template: Render = render, trained: str = "assistant", part_chars: int = PART_CHARS) -> DataFrame:
+    """Rows ``conv_id, turn, role, text`` to formatted conversations: ``conv_id, part, turns, formatted, loss, rewrites,
+    unlocated``. A conversation is one row unless it is longer than ``part_chars``; then it goes on in further rows.
 
     Turns go by turn number (null first), then role and text, so ties are the same on every run; repeated rows are
     turns of their own. Null roles and texts count as empty. Rows without ``conv_id`` form one conversation of
     their own. ``loss`` holds code-point spans, inside ``formatted``, of the trained role's texts; it is empty where the
-    template rewrites history. Other columns are ignored; an empty table gives none.
+    template rewrites history, and leaves out turns whose text the template changes beyond finding (counted in
+    ``unlocated``). Other columns are ignored; an empty table gives none. Rendering every prefix takes time quadratic in
+    the turns of a conversation.
     """
     ship(rows.sparkSession)
     clean = rows.select(
@@ -141,7 +175,7 @@ def format_conversations(rows: DataFrame, template: Render = render, trained: st
         F.col("turn").cast("long").alias("turn"),
     )
     ordered = clean.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return ordered.mapInArrow(_formatter(template, trained), _FORMATTED)
+    return ordered.mapInArrow(_formatter(template, trained, part_chars), _FORMATTED)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +215,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Per conversation, from the formatted text alone: turns, trained text and their hashes."""
+    """Per conversation of this module's template, from the formatted text alone: turns, trained text and their hashes."""
     ship(formatted.sparkSession)
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "segment").select("conv_id", "formatted", "loss", "rewrites")
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part").select("conv_id", "formatted", "loss", "rewrites")
     return ordered.mapInArrow(_reader, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean")

@@ -407,6 +407,46 @@ def test_chat_detects_rewritten_history():
     assert not chat.spans_of([("user", "a"), ("assistant", "b")]).rewrites
 
 
+def unlike_templates():
+    """Templates with what each does to a text; the last one rewrites turn 1 when turn 41 comes."""
+
+    def headed(turns):
+        return "".join(f"### {role}: {text.strip()}\n\n" for role, text in turns)
+
+    def instruct(turns):
+        return "<s>" + "".join(f"[INST] {x} [/INST]" if r == "user" else f" {x} </s>" for r, x in turns)
+
+    def json_lines(turns):
+        return "".join('{"from": "%s", "value": "%s"}\n' % (r, x.replace('"', '\\"')) for r, x in turns)
+
+    def forgets(turns):
+        return "".join(f"<{r}>{x[3:] if len(turns) - i > 40 else x}" for i, (r, x) in enumerate(turns))
+
+    return [(chat.render, chat.escape), (headed, str.strip), (instruct, str), (json_lines, lambda x: x.replace('"', '\\"'))], forgets
+
+
+def test_chat_of_unlike_templates(spark):
+    turns = [("assistant" if i % 2 else "user", f" say \"{i}\" \ue000 ") for i in range(100)]
+    rows = spark.createDataFrame([(7, i, r, x, "") for i, (r, x) in enumerate(turns)], CONV)
+    templates, forgets = unlike_templates()
+    for template, clean in templates:
+        (got,) = chat.format_conversations(rows, template).collect()
+        assert (got.turns, got.formatted, got.rewrites, got.unlocated) == (100, template(turns), False, 0)
+        assert [got.formatted[s.start : s.end] for s in got.loss] == [clean(x) for r, x in turns if r == "assistant"]
+    (got,) = chat.format_conversations(rows, forgets).collect()
+    assert got.rewrites and got.loss == []
+    (got,) = chat.format_conversations(rows, lambda t: "".join(f"{r}{len(x)};" for r, x in t)).collect()
+    assert not got.rewrites and got.loss == [] and got.unlocated == 50
+
+
+def test_chat_in_parts(spark):
+    rows = spark.createDataFrame([(k, i, "assistant" if i % 2 else "user", f"t{i}" * (i % 7), "") for k in (1, 2) for i in range(60)], CONV)
+    parts = chat.format_conversations(rows, part_chars=100)
+    assert parts.count() > 20 and parts.where("length(formatted) > 120").count() == 0
+    whole = sorted(map(tuple, chat.read_back(chat.format_conversations(rows)).collect()))
+    assert sorted(map(tuple, chat.read_back(parts).collect())) == whole
+
+
 def test_control_strings_never_survive():
     for t in ("<|turn|>", "</s>", "[INST]", "[/INST]", "<s>", "<<|", "\\<|", "\\\\<|end|>"):
         assert chat.unescape(chat.escape(t)) == t
