@@ -8,6 +8,7 @@ corrects the declared one; confirmed ones further in are carved out as embedded
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -26,111 +27,150 @@ ALIGN = 64
 SAMPLE_RATE = 8000
 
 
-def _wav(b: memoryview) -> int:
-    """Length of a RIFF/WAVE file: chunks must follow one another to the declared end and include fmt and data."""
-    if len(b) < 12 or b[8:12] != b"WAVE":
-        return 0
-    end = 8 + int.from_bytes(b[4:8], "little")
-    at, seen = 12, set()
-    while at + 8 <= min(end, len(b)):
-        seen.add(bytes(b[at : at + 4]))
-        size = int.from_bytes(b[at + 4 : at + 8], "little")
-        at += 8 + size + size % 2
-    return end if end <= len(b) and at in (end, end + 1) and {b"fmt ", b"data"} <= seen else 0
+class Value:
+    """A value's bytes, read in place. End marks are searched from left to right once: the next one after a place is also
+    the next one after all places up to it."""
+
+    def __init__(self, raw: bytes) -> None:
+        self.raw, self.view, self.size = raw, memoryview(raw), len(raw)
+        self._next: dict[bytes, tuple[int, int]] = {}
 
+    def find(self, mark: bytes, at: int) -> int:
+        since, place = self._next.get(mark, (0, -2))
+        if place == -2 or at < since or -1 < place < at:
+            place = self.raw.find(mark, at)
+            self._next[mark] = (at, place)
+        return place
 
-def _png(b: memoryview) -> int:
-    """Chunks with right checksums from IHDR to IEND."""
-    at, first = 8, True
-    while at + 12 <= len(b):
-        size = int.from_bytes(b[at : at + 4], "big")
-        kind = bytes(b[at + 4 : at + 8])
-        if at + 12 + size > len(b) or first and kind != b"IHDR":
+    def number(self, at: int, size: int, order: str = "little") -> int:
+        return int.from_bytes(self.view[at : at + size], order)
+
+
+def _wav(v: Value, at: int) -> int:
+    """Length of a RIFF/WAVE file: chunks must follow one another to the declared end and include fmt and data."""
+    if at + 12 > v.size or v.view[at + 8 : at + 12] != b"WAVE":
+        return 0
+    end = at + 8 + v.number(at + 4, 4)
+    if end > v.size:
+        return 0
+    chunk, seen = at + 12, set()
+    while chunk + 8 <= end:
+        seen.add(bytes(v.view[chunk : chunk + 4]))
+        size = v.number(chunk + 4, 4)
+        chunk += 8 + size + size % 2
+    return end - at if chunk in (end, end + 1) and {b"fmt ", b"data"} <= seen else 0
+
+
+def _png(v: Value, at: int) -> int:
+    """Chunks with right checksums from an IHDR of 13 bytes to IEND."""
+    chunk = at + 8
+    while chunk + 12 <= v.size:
+        size = v.number(chunk, 4, "big")
+        kind = bytes(v.view[chunk + 4 : chunk + 8])
+        if chunk + 12 + size > v.size or (chunk == at + 8 and (kind, size) != (b"IHDR", 13)):
             return 0
-        if zlib.crc32(b[at + 4 : at + 8 + size]) != int.from_bytes(b[at + 8 + size : at + 12 + size], "big"):
+        if zlib.crc32(v.view[chunk + 4 : chunk + 8 + size]) != v.number(chunk + 8 + size, 4, "big"):
             return 0
-        at, first = at + 12 + size, False
+        chunk += 12 + size
         if kind == b"IEND":
-            return at
+            return chunk - at
     return 0
 
 
-def _gif(b: memoryview) -> int:
+def _gif(v: Value, at: int) -> int:
     """Logical screen, colour table, blocks, trailer."""
-    if len(b) < 14:
+    b = v.raw
+    if at + 14 > v.size:
         return 0
-    at = 13 + (3 << (b[10] & 7) + 1 if b[10] & 0x80 else 0)
+    place = at + 13 + (3 << (b[at + 10] & 7) + 1 if b[at + 10] & 0x80 else 0)
 
-    def blocks(at: int) -> int:
-        while at < len(b) and b[at]:
-            at += 1 + b[at]
-        return at + 1
+    def blocks(place: int) -> int:
+        while place < v.size and b[place]:
+            place += 1 + b[place]
+        return place + 1
 
     images = 0
-    while at < len(b):
-        if b[at] == 0x3B:
-            return at + 1 if images else 0
-        if b[at] == 0x21:
-            at = blocks(at + 2)
-        elif b[at] == 0x2C and at + 10 < len(b):
-            at = blocks(at + 11 + (3 << (b[at + 9] & 7) + 1 if b[at + 9] & 0x80 else 0))
+    while place < v.size:
+        if b[place] == 0x3B:
+            return place + 1 - at if images else 0
+        if b[place] == 0x21:
+            place = blocks(place + 2)
+        elif b[place] == 0x2C and place + 10 < v.size:
+            place = blocks(place + 11 + (3 << (b[place + 9] & 7) + 1 if b[place + 9] & 0x80 else 0))
             images += 1
         else:
             return 0
     return 0
 
 
-def _jpeg(b: memoryview) -> int:
+def _jpeg(v: Value, at: int) -> int:
     """Segments with lengths up to a scan, then the end marker."""
-    at = 2
-    while at + 4 <= len(b):
-        if b[at] != 0xFF:
+    segment = at + 2
+    while segment + 4 <= v.size:
+        if v.raw[segment] != 0xFF:
             return 0
-        kind = b[at + 1]
-        if kind == 0xDA:
-            end = bytes(b).find(b"\xff\xd9", at)
-            return end + 2 if end > 0 else 0
-        at += 2 + int.from_bytes(b[at + 2 : at + 4], "big")
+        if v.raw[segment + 1] == 0xDA:
+            end = v.find(b"\xff\xd9", segment)
+            return end + 2 - at if end > 0 else 0
+        segment += 2 + max(2, v.number(segment + 2, 2, "big"))
     return 0
 
 
-def _pgm(b: memoryview) -> int:
+def _pgm(v: Value, at: int) -> int:
     """Binary grey map: width, height and depth of at most 255, then as many bytes."""
-    head = bytes(b[:40]).split(maxsplit=4)
-    if len(head) < 4 or head[0] != b"P5" or not all(x.isdigit() for x in head[1:4]) or int(head[3]) > 255:
+    m = _PGM_HEAD.match(v.raw, at, at + 40)
+    if not m or int(m[3]) > 255:
         return 0
-    begin = bytes(b[:40]).find(head[3], 2 + len(head[1]) + len(head[2]) + 2) + len(head[3]) + 1
-    end = begin + int(head[1]) * int(head[2])
-    return end if end <= len(b) and int(head[1]) * int(head[2]) > 0 else 0
+    size = int(m[1]) * int(m[2])
+    return m.end() + size - at if size and m.end() + size <= v.size else 0
+
 
+_PGM_HEAD = re.compile(rb"P5\s+([0-9]+)\s+([0-9]+)\s+([0-9]+)\s")
 
-def _pdf(b: memoryview) -> int:
-    end = bytes(b).find(b"%%EOF")
-    return end + 5 if end > 0 and bytes(b[5:8]).replace(b".", b"0").isdigit() else 0
 
+def _pdf(v: Value, at: int) -> int:
+    end = v.find(b"%%EOF", at) if v.raw[at + 5 : at + 8].replace(b".", b"0").isdigit() else -1
+    return end + 5 - at if end > 0 else 0
 
-def _zip(b: memoryview) -> int:
+
+def _zip(v: Value, at: int) -> int:
     """A local file header whose archive ends in a directory record within the value."""
-    raw = bytes(b)
-    end = raw.find(b"PK\x05\x06")
-    if len(b) < 30 or end < 0 or end + 22 > len(b):
+    end = v.find(b"PK\x05\x06", at)
+    if end < at + 30 or end + 22 > v.size or v.number(end + 16, 4) > end - at:
         return 0
-    return end + 22 + int.from_bytes(b[end + 20 : end + 22], "little") if int.from_bytes(b[end + 16 : end + 20], "little") <= end else 0
+    return end + 22 + v.number(end + 20, 2) - at
 
 
-def _gzip(b: memoryview) -> int:
-    d = zlib.decompressobj(31)
+def _gzip(v: Value, at: int) -> int:
+    """Header fields up to their ends, deflated data, checksum and size."""
+    if at + 18 > v.size or v.raw[at + 3] & 0xE0:
+        return 0
+    flags, place = v.raw[at + 3], at + 10
+    if flags & 4:
+        place += 2 + v.number(place, 2)
+    for _ in range((flags >> 3 & 1) + (flags >> 4 & 1)):  # name and comment
+        place = v.find(b"\0", place) + 1
+        if not place:
+            return 0
+    place += flags & 2
+    d, crc, size = zlib.decompressobj(-15), 0, 0
     try:
-        d.decompress(bytes(b), 1 << 16)
-        while not d.eof and d.unconsumed_tail:
-            d.decompress(d.unconsumed_tail, 1 << 16)
+        for begin in range(place, v.size, 1 << 16):
+            piece = v.view[begin : begin + (1 << 16)]
+            while not d.eof and len(piece):
+                out = d.decompress(piece, 1 << 20)
+                crc, size, piece = zlib.crc32(out, crc), size + len(out), d.unconsumed_tail
+            if d.eof:
+                end = min(begin + (1 << 16), v.size) - len(d.unused_data)
+                right = end + 8 <= v.size and (v.number(end, 4), v.number(end + 4, 4)) == (crc, size & 0xFFFFFFFF)
+                return end + 8 - at if right else 0
     except zlib.error:
-        return 0
-    return len(b) - len(d.unused_data) if d.eof else 0
+        pass
+    return 0
 
 
-#: Magic bytes, media type, validator.
-SIGNATURES: list[tuple[bytes, str, Callable[[memoryview], int]]] = [
+#: Magic bytes, media type, validator (length of the file at a place, 0 if it is none).
+SIGNATURES: list[tuple[bytes, str, Callable[[Value, int], int]]] = [
     (b"RIFF", "audio/wav", _wav),
     (b"\x89PNG\r\n\x1a\n", "image/png", _png),
     (b"GIF87a", "image/gif", _gif),
@@ -156,7 +196,7 @@ def sniff(value: bytes, machine: ahocorasick.Automaton) -> tuple[str, int, list[
     """``type, length, embedded, places``: the confirmed type and length at the start ("" and 0 if none), confirmed media
     further in as (type, start, end), and how many magic bytes were found. Media inside carved media are not
     carved again."""
-    view = memoryview(value)
+    v = Value(value)
     kind, length, embedded, places, free = "", 0, [], 0, 1
     for last, i in machine.iter(value.decode("latin-1")):
         magic, name, check = SIGNATURES[i]
@@ -164,7 +204,7 @@ def sniff(value: bytes, machine: ahocorasick.Automaton) -> tuple[str, int, list[
         places += 1
         if at and at < free:
             continue
-        size = check(view[at:])
+        size = check(v, at)
         if size and at == 0:
             kind, length = name, size
         elif size:
@@ -181,7 +221,7 @@ def to_wav(payload: bytes) -> bytes:
 
 def from_wav(stored: bytes) -> bytes:
     """The samples of a mono 8-bit WAV file, found by its chunk sizes."""
-    if stored[:4] != b"RIFF" or not _wav(memoryview(stored)):
+    if stored[:4] != b"RIFF" or not _wav(Value(stored), 0):
         raise ValueError("not a WAV file")
     at = 12
     while stored[at : at + 4] != b"data":

@@ -667,6 +667,33 @@ def test_media_sniffing(spark):
     assert parts == {(0, png), (1, gif)}
 
 
+def test_media_validators_on_hostile_and_real_values():
+    import gzip
+    import io
+    import time
+    import zipfile
+
+    machine = media.automaton()
+    for magic, _, _ in media.SIGNATURES:
+        for filler in (b"", b"1.4", b" 9 9 255\n", b"\xff\xda", b"WAVE"):
+            begin = time.process_time()
+            kind, _, inside, places = media.sniff((magic + filler) * (1_000_000 // len(magic + filler)), machine)
+            assert places > 50_000 and time.process_time() - begin < 10
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        z.writestr("a.txt", "hello " * 50)
+    big = gzip.compress(bytes(5_000_000))
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x02data\xff\xd9"
+    for name, raw in (("application/zip", packed.getvalue()), ("application/gzip", big), ("image/jpeg", jpeg), ("application/pdf", b"%PDF-1.4 x %%EOF")):
+        assert media.sniff(raw + b"tail", machine)[:2] == (name, len(raw))
+        assert media.sniff(b"junk" + raw + b"tail", machine)[2][0] == (name, 4, 4 + len(raw))
+        assert media.sniff(raw[:-6], machine)[1] == 0
+
+
+def test_media_of_nothing(spark):
+    assert media.digest(media.store(table(spark, []))).collect() == []
+
+
 # --- the pipeline
 
 
