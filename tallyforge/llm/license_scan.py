@@ -7,6 +7,8 @@ sentences, and what no rule claims stays as an unmatched sentence.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,15 @@ SENTENCES = {
     "licensed under cc by sa 4 0": "ccbysa4_ref",
     "this work is licensed under a creative commons attribution 4 0 international license": "ccby4_ref",
     "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "ccbync4_ref",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl_terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgpl21_terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3_terms",
+    "either version 2 1 of the license or at your option any later version": "lgpl21_either",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3_terms",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc_grant",
+    "this is free and unencumbered software released into the public domain": "unlicense_ref",
+    "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "cc0_waiver",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2_ref",
     "all rights reserved": "reserved",
 }
 #: Licence rules in order of precedence, longer sequences first.
@@ -81,6 +92,15 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl_free", "gpl2_terms"]),
     ("GPL-3.0-or-later", ["gpl_free", "gpl_terms", "gpl3_either"]),
     ("GPL-2.0-or-later", ["gpl_free", "gpl_terms", "gpl2_either"]),
+    ("LGPL-2.1-or-later", ["lgpl_terms", "lgpl21_either"]),
+    ("LGPL-2.1-or-later", ["lgpl21_terms"]),
+    ("LGPL-3.0-or-later", ["lgpl3_terms"]),
+    ("LGPL-3.0-or-later", ["lgpl_terms", "gpl3_either"]),
+    ("AGPL-3.0-or-later", ["agpl3_terms"]),
+    ("ISC", ["isc_grant"]),
+    ("Unlicense", ["unlicense_ref"]),
+    ("CC0-1.0", ["cc0_waiver"]),
+    ("EPL-2.0", ["epl2_ref"]),
     ("GPL-3.0-or-later", ["gpl3_terms"]),
     ("GPL-2.0-or-later", ["gpl2_terms"]),
     ("GPL-3.0-or-later", ["gpl_terms", "gpl3_either"]),
@@ -104,6 +124,19 @@ _NOISE = r"[^a-z0-9]+"
 _HINT = r"(?i)licen[sc]|permission|copyright|software|warrant|liab|redistrib|rights"
 
 
+def _check_table() -> None:
+    """Every known sentence must be reachable: free of what the splitter cuts, hinted, and used by rules alone or not."""
+    known, hint = set(SENTENCES.values()), re.compile(_HINT)
+    for s in SENTENCES:
+        if s != " ".join(re.split(_NOISE, s.lower())).strip() or not hint.search(s):
+            raise ValueError(f"licence sentence can never match: {s}")
+    if missing := {i for _, seq in RULES for i in seq} - known:
+        raise ValueError(f"rules name unknown sentences: {sorted(missing)}")
+
+
+_check_table()
+
+
 def normalised(sentence: Column) -> Column:
     """Comment marks dropped, lower case, everything but a-z and 0-9 one space."""
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(sentence, _COMMENT, " ")), _NOISE, " "))
