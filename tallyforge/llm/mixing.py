@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A rate above this is an error rather than a silent flood of copies.
-MAX_RATE = 1000.0
+#: A variate of a larger rate is the sum of variates of equal parts of it, each at most this.
+PART_RATE = 1000.0
 #: Names that the operator adds while it works.
 _OWN = "__mix_"
 
@@ -33,8 +33,9 @@ def poisson_thresholds(rate: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, targets: dict[str, float], source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """Per listed source with any text: ``source, rate, thresholds``. The rate makes the expected characters of the
-    source its target share of all characters of listed sources. At most ``len(targets)`` rows."""
+    """Per listed source with any text: ``source, rate, parts, thresholds`` (those of one part of the rate). The rate makes
+    the expected characters of the source its target share of all characters of listed sources. At most
+    ``len(targets)`` rows."""
     weights = F.create_map(*[F.lit(x) for s, w in targets.items() for x in (s, float(w))])
     sizes = (
         docs.groupBy(F.col(source_col).cast("string").alias("source"))
@@ -46,8 +47,8 @@ def source_rates(docs: DataFrame, targets: dict[str, float], source_col: str = "
     every = Window.partitionBy()  # over at most len(targets) rows
     sizes = sizes.withColumn("all_chars", F.sum("chars").over(every)).withColumn("all_weight", F.sum("weight").over(every))
     rate = F.col("weight") / F.col("all_weight") * F.col("all_chars") / F.col("chars")
-    checked = F.when(rate <= MAX_RATE, rate).otherwise(F.raise_error(F.concat(F.lit("rate above MAX_RATE for source "), F.col("source"))).cast("double"))
-    return sizes.select("source", checked.alias("rate")).withColumn("thresholds", poisson_thresholds(F.col("rate")))
+    parts = F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int")
+    return sizes.select("source", rate.alias("rate")).withColumn("parts", parts).withColumn("thresholds", poisson_thresholds(F.col("rate") / F.col("parts")))
 
 
 def mix(docs: DataFrame, targets: dict[str, float], seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keys: bool = False) -> DataFrame:
@@ -56,24 +57,28 @@ def mix(docs: DataFrame, targets: dict[str, float], seed: int = 0, id_col: str =
     The variate inverts the distribution at a number hashed from (seed, id), so it is the same on every run and on every
     partitioning. Documents of sources that are not listed, of a null source, or of a listed source without any
     characters come once; a listed weight of 0 leaves its source out. Rows that repeat an id get the same count; a
-    null id is hashed by the text. Null and empty texts are replicated like others.
+    null id is hashed by the text. Null and empty texts are replicated like others. No rate is too large: beyond
+    ``PART_RATE`` the variate is a sum over parts, each with a hash of its own.
     The order is by a hash of (seed, id, copy): rows are dealt out by it and sorted within partitions, which no key
     can skew. Columns stay as they are; with ``keys`` the copy number ``copy`` and that hash ``shuffle_key`` follow.
     """
     if any(w < 0 for w in targets.values()):
         raise ValueError("weights must not be negative")
-    own = {n: _OWN + n for n in ("id", "source", "rate", "thresholds", "copy", "key", "n")}
+    own = {n: _OWN + n for n in ("id", "source", "parts", "thresholds", "copy", "key", "n")}
     ident = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
     rates = source_rates(docs, targets, source_col, text_col).select(
-        F.col("source").alias(own["source"]), F.col("thresholds").alias(own["thresholds"])
+        F.col("source").alias(own["source"]), F.col("parts").alias(own["parts"]), F.col("thresholds").alias(own["thresholds"])
     )
-    u = unit(F.lit(str(seed)), F.col(own["id"]))
     dropped = [s for s, w in targets.items() if w == 0]
     plain = F.when(F.col(source_col).cast("string").isin(dropped), 0).otherwise(1) if dropped else F.lit(1)
-    count = F.when(F.col(own["thresholds"]).isNull(), plain).otherwise(F.size(F.filter(F.col(own["thresholds"]), lambda c: c <= F.col(own["n"]))))
+    variate = lambda u: F.size(F.filter(F.col(own["thresholds"]), lambda c: c <= u)).cast("long")
+    first = variate(F.col(own["n"]))
+    others = F.transform(F.sequence(F.lit(2), F.greatest(F.col(own["parts"]), F.lit(2))), lambda k: variate(unit(F.lit(str(seed)), F.col(own["id"]), F.lit("part"), k.cast("string"))))
+    several = F.aggregate(others, first, lambda a, x: a + x)
+    count = F.when(F.col(own["thresholds"]).isNull(), plain).when(F.col(own["parts"]) > 1, several).otherwise(first)
     rows = (
         docs.withColumn(own["id"], ident)
-        .withColumn(own["n"], u)
+        .withColumn(own["n"], unit(F.lit(str(seed)), F.col(own["id"])))
         .join(F.broadcast(rates), F.col(source_col).cast("string") == F.col(own["source"]), "left")  # at most len(targets) rows
         .withColumn(own["n"], count)
         .where(F.col(own["n"]) > 0)
