@@ -31,6 +31,8 @@ WALKS, HASHES, SAMPLED = 8, 12, 3
 BLOCK_WORDS = 2_000_000
 #: A length class spans items of n to CLASS_RATIO * n words.
 CLASS_RATIO = 1.3
+#: Words of text windows that one step of the exact check compares.
+STEP_WORDS = 1 << 18
 
 
 class _Class:
@@ -147,8 +149,9 @@ class Matcher:
         pattern, slack = self.items[item], self.edits[item] + 1
         n = len(pattern)
         out = np.empty(len(at), dtype=np.int64)
-        for a in range(0, len(at), 4096):
-            some = at[a : a + 4096]
+        many = max(1, STEP_WORDS // (n + 2 * slack))
+        for a in range(0, len(at), many):
+            some = at[a : a + many]
             lo = np.maximum(some - slack, rows[row_of[some]])
             hi = rows[row_of[some] + 1]
             place = lo[:, None] + np.arange(n + 2 * slack)[None, :]
@@ -162,7 +165,7 @@ class Matcher:
                 new[:, 1:] = np.minimum(column[:, :-1] + (window[:, t : t + 1] != pattern[None, :]), column[:, 1:] + 1)
                 column = np.minimum.accumulate(new - steps, axis=1) + steps  # insertions along the column
                 least = np.minimum(least, column[:, n])
-            out[a : a + 4096] = least
+            out[a : a + many] = least
         return out
 
 
@@ -205,7 +208,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_
     Words are split at ASCII white space and A-Z is lowered. Null, empty and wordless texts and items match nothing; items
     of fewer than ``1 / max_edits`` words match exactly only. Repeated document rows give their pairs once; a null id is
     returned as null. Other columns are ignored; empty tables give no rows. The documents are read in place, without a
-    shuffle; only found pairs move.
+    shuffle; only found pairs move. Items come in blocks of ``block_words`` words: each is searched for in a pass of its
+    own and then released, so neither driver nor workers ever hold more than one.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -213,7 +217,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_
     schema = "doc_id long, item_id long, edits int, item_words int"
     found = None
     for matcher in item_blocks(benchmark, max_edits, block_words):
-        part = rows.mapInArrow(_search(spark.sparkContext.broadcast(matcher)), schema)
+        shared = spark.sparkContext.broadcast(matcher)
+        part = C.stage(rows.mapInArrow(_search(shared), schema), "hits")
+        shared.destroy()
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], schema)
