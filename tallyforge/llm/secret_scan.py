@@ -15,10 +15,13 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.common import stage
 from tallyforge.llm.spans import SPAN, joined, matches, named
 
 #: Alternative strings that a part of a regex may expand to before it counts as "anything".
 MOST_STRINGS = 64
+#: Indexed rules that one scan takes: their bits share a long.
+MOST_RULES = 62
 
 
 @dataclass(frozen=True)
@@ -122,12 +125,13 @@ def _masks(bits: list[int]) -> dict[int, int]:
 
 def postings(docs: DataFrame, trigrams: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The inverted index for the given trigrams: ``trigram`` (its number in the list) and ``doc_id``, without repeats
-    within a row. It can be written and searched again for other rules over the same trigrams."""
+    within a row. It can be written and searched again for other rules over the same trigrams. Rows without id are not
+    in it."""
     text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     present = F.element_at(
         F.transform(F.array(text), lambda t: F.array_compact(F.array(*[F.when(t.contains(g), F.lit(i)) for i, g in enumerate(trigrams)]))), 1
     )
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.explode(present).alias("trigram"))
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.explode(present).alias("trigram"))
 
 
 def candidates(index: DataFrame, rules: list[Rule], trigrams: list[str]) -> DataFrame:
@@ -168,16 +172,21 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", tex
     """One row per input row: ``doc_id, found``, with ``found`` an array of ``start, rank, end, kind`` in order of start,
     then of the rules' order. Positions are code points, ends exclusive.
 
-    Null texts count as empty; empty texts have no spans; a null id is searched like others (rows of one id share
-    their candidate bits, which can only add verification work). Repeated rows repeat their results; other columns
-    are ignored; an empty table gives none.
+    Null texts count as empty; empty texts have no spans; rows of one id share their candidate bits, which can only add
+    verification work; rows without id are no part of the index, and every rule is verified on them. Repeated rows
+    repeat their results; other columns are ignored; an empty table gives none. The candidates (ids and bits, no texts)
+    are written before the join with the texts is planned: while they are small Spark sends them to the texts, which
+    then stay in place; beyond its broadcast limit it shuffles both sides and splits skewed ones.
     """
     indexed = [r for r in rules if trigram_query(r.pattern)]
+    if len(indexed) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} indexed rules: scan in several calls")
     trigrams = sorted({g for r in indexed for factor in trigram_query(r.pattern) for s in factor for g in s})
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     if indexed:
-        found = candidates(postings(rows, trigrams), indexed, trigrams).withColumnRenamed("doc_id", "_doc")
-        rows = rows.join(found, rows["doc_id"].eqNullSafe(found["_doc"]), "left").select("doc_id", "text", F.coalesce("rules", F.lit(0)).alias("rules"))
+        found = stage(candidates(postings(rows, trigrams), indexed, trigrams), "candidates").withColumnRenamed("doc_id", "_doc")
+        every = F.when(F.col("doc_id").isNull(), F.lit((1 << len(indexed)) - 1)).otherwise(F.lit(0))
+        rows = rows.join(found, rows["doc_id"] == found["_doc"], "left").select("doc_id", "text", F.coalesce("rules", every).alias("rules"))
     parts = []
     for rank, rule in enumerate(rules):
         spans = matches(F.col("text"), rule.regex)

@@ -192,6 +192,19 @@ def test_contamination_recall_at_the_limit():
 def test_contamination_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(table(spark, AWKWARD), bench).collect() == []
+    some = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    assert decontaminate.contamination(table(spark, []), some).collect() == []
+    assert decontaminate.decontaminate(table(spark, []), some).collect() == []
+
+
+def test_contamination_of_a_long_item():
+    """An item of thousands of words is compared in steps of bounded size."""
+    rng = random.Random(8)
+    as_hashes = lambda t: next(C.words(d, o) for _, _, d, o in C.text_chunks(pa.array([t])))
+    item = words(3000, rng)
+    h, _, rows = as_hashes(words(100, rng) + " " + item.replace("a", "zz", 40) + " " + words(50, rng))
+    found = list(decontaminate.Matcher([5], [as_hashes(item)[0]]).search(h, rows))
+    assert len(found) == 1 and found[0][2] <= 40
 
 
 # --- secrets and personal data
@@ -222,6 +235,15 @@ def test_secret_scan_matches_brute_force(spark):
     assert "github:" in more and "slack:" in more and "stripe:" in more and "private:" in more
 
 
+def test_secret_scan_without_ids_and_of_nothing(spark):
+    rows = [(None, t) for _, t in SECRETS] * 2
+    got = [r.base_sha256 for r in secret_scan.digest(secret_scan.scan(table(spark, rows))).collect()]
+    assert sorted(got) == sorted(hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in brute_secrets(t)).encode()).hexdigest() for _, t in rows)
+    assert secret_scan.scan(table(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        secret_scan.scan(table(spark, []), [secret_scan.Rule(f"r{i}", f"abc{i}") for i in range(70)])
+
+
 def test_trigram_queries():
     q = secret_scan.trigram_query(r"(foo|barr)x?[0-9]+zzz")
     assert [sorted(map(sorted, f)) for f in q][-1] == [["zzz"]]
@@ -420,6 +442,13 @@ CANONICAL = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", 1),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", 1),
     ("NOASSERTION", "All rights reserved.", 1),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or\nmodify " + TERMS.replace("General", "Lesser General") + "; either version 2.1" + LATER, 2),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify\n" + TERMS.replace("General", "Lesser General") + ", either version 3" + LATER, 2),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify\n" + TERMS.replace("General", "Affero General") + ", either version 3" + LATER, 2),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", 1),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", 1),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and\nrelated or neighboring rights to this work.", 1),
+    ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/", 1),
 ]
 
 
@@ -534,6 +563,14 @@ def test_mixing_awkward_rows(spark):
         mixing.mix(docs, {"src0": -1.0})
 
 
+def test_mixing_of_a_tiny_source_and_of_nothing(spark):
+    docs = table(spark, [(0, "x"), *[(i, words(200)) for i in range(1, 1200) if i % 3]])
+    got = mixing.mix(docs, {"src0": 1.0, "src1": 0.5, "src2": 0.5}, seed=4)
+    n = got.where("source = 'src0'").count()
+    chars = docs.where("source <> 'src0'").agg(F.sum(F.length("text"))).first()[0]
+    assert chars > mixing.PART_RATE * 100 and abs(n - chars) < 8 * chars**0.5
+
+
 def test_poisson_thresholds(spark):
     from math import exp, factorial
 
@@ -572,6 +609,30 @@ def test_quality_without_labels_keeps_all(spark):
     assert all(r.predicted == 1 for r in quality.scores(table(spark, AWKWARD), model).collect())
 
 
+def test_quality_on_the_given_labels(spark):
+    """Held-out accuracy, and the same scores as the features and weights give one text at a time."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels)
+    got = quality.scores(docs, model).join(labels.select("doc_id", "quality"), "doc_id").where("held_out").collect()
+    right = sum(r.predicted == r.quality for r in got)
+    assert len(got) >= 20 and right >= 0.95 * len(got)
+    good, bad = ([r.score for r in got if r.quality == q] for q in (1, 0))
+    assert sum(a > b for a in good for b in bad) >= 0.98 * len(good) * len(bad)
+    texts = {r.doc_id: r.text for r in docs.limit(50).collect()}
+    for r in quality.scores(docs, model).where(F.col("doc_id").isin(list(texts))).collect():
+        raw = (texts[r.doc_id] or "").encode()
+        alone = model.score(quality.features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))[0]
+        assert abs(alone - r.score) < 1e-6
+
+
+def test_quality_of_nothing_and_of_repeated_labels(spark):
+    lab = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    assert quality.scores(table(spark, []), quality.train(table(spark, []), lab)).collect() == []
+    many = table(spark, [(i % 40, words(5)) for i in range(800)])
+    assert quality.scores(many, quality.train(many, lab, rows=10)).count() == 800
+
+
 # --- token shards
 
 
