@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What a complete answer may end on.
 TERMINAL_CHARS = ".!?\"'`)]}:;$*_%…»。？！"
 #: Words of negation, function words, and openers of yes-no questions.
-NEGATIONS = "no not never none nothing without zero cannot nor neither nobody nowhere".split()
-FUNCTION_WORDS = (
-    "a an the is are was were be been am do does did has have had can could will would should shall i we you they it me my our us "
-    "their them its of on in at to for from with by as that this these those there here and or so any anything anyone please just right now s"
-).split()
-YES_NO_OPENERS = "do does did is are was were has have had can could will would should am any anything anyone shall must".split()
+NEGATIONS = ["no", "not", "never", "none", "nothing", "without", "zero", "cannot", "nor", "neither", "nobody", "nowhere"]
+FUNCTION_WORDS = [
+    "a", "an", "the", "is", "are", "was", "were", "be", "been", "am", "do", "does", "did", "has", "have", "had", "can", "could",
+    "will", "would", "should", "shall", "i", "we", "you", "they", "it", "me", "my", "our", "us", "their", "them", "its", "of", "on",
+    "in", "at", "to", "for", "from", "with", "by", "as", "that", "this", "these", "those", "there", "here", "and", "or", "so", "any",
+    "anything", "anyone", "please", "just", "right", "now", "s",
+]
+YES_NO_OPENERS = ["do", "does", "did", "is", "are", "was", "were", "has", "have", "had", "can", "could", "will", "would", "should", "am", "any", "anything", "anyone", "shall", "must"]
 #: Shapes of structured personal data, in the order they are replaced.
 PII_SHAPES = [
-    ("[redacted-email]", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
+    ("[redacted-email]", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
     ("[redacted-ssn]", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
     ("[redacted-phone]", r"(?:\+?1[-. \t\n]?)?\(?[0-9]{3}\)?[-. \t\n]?[0-9]{3}[-. \t\n]?[0-9]{4}\b"),
 ]
@@ -29,7 +33,7 @@ SECRET_SHAPES = [
     r"crsr_[A-Za-z0-9_-]{16,}",
     r"fw_[A-Za-z0-9]{16,}",
     r"eyJ[A-Za-z0-9_-]{15,}\.[A-Za-z0-9_-]{15,}\.[A-Za-z0-9_-]{5,}",
-    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:.|\n)*?-----END [A-Z ]*PRIVATE KEY-----",
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----",
 ]
 SECRET_ASSIGNMENT = (
     r"(?i)\b(password|passwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth(?:orization)?)\b"
@@ -46,6 +50,11 @@ DENY = r"^(no|nope|not quite|that'?s not right|incorrect|none)\b"
 MARK = "[REDACTED]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def words(text: Column) -> Column:
     """Lower-case tokens of letters, digits and apostrophes."""
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9']+"), F.lit(0))
@@ -63,7 +72,7 @@ def occurrences(text: Column, part: str) -> Column:
 
 
 def truncation_signal(text: Column) -> Column:
-    """The first sign that a text was cut off, or null."""
+    """The first sign that a text was cut off (names are fixed values), or null."""
     whole = F.rtrim(F.regexp_replace(text, r"[ \t\n\r]+$", ""))
     return (
         F.when(whole == "", "empty")
@@ -99,9 +108,11 @@ def opening(text: Column, n: int = 6) -> Column:
     return F.nullif(F.array_join(F.slice(words(text), 1, n), " "), F.lit(""))
 
 
-def stem(token: Column) -> Column:
-    """A crude suffix strip, the same on both sides of every comparison."""
-    bare = F.regexp_replace(F.regexp_replace(token, "'+$", ""), "'s$", "")
+def _bare(token: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(token, "'+$", ""), "'s$", "")
+
+
+def _cut(bare: Column) -> Column:
     n = F.length(bare)
     return (
         F.when((n > 5) & bare.endswith("ing"), F.substring(bare, F.lit(1), n - 3))
@@ -111,30 +122,45 @@ def stem(token: Column) -> Column:
     )
 
 
+def stem(token: Column) -> Column:
+    """A crude suffix strip, the same on both sides of every comparison."""
+    return let(_bare(token), _cut)
+
+
 def stems(text: Column) -> Column:
-    return F.transform(words(text), stem)
+    return F.transform(F.transform(words(text), _bare), _cut)
+
+
+def _stem_of(word: str) -> str:
+    """``stem`` of a constant."""
+    for tail, least in (("ing", 6), ("ed", 5), ("s", 4)):
+        if word.endswith(tail) and len(word) >= least and not word.endswith("ss"):
+            return word[: -len(tail)]
+    return word
+
+
+FUNCTION_STEMS = sorted({*FUNCTION_WORDS, *map(_stem_of, FUNCTION_WORDS)})
 
 
 def name_tokens(text: Column) -> Column:
     """Stems of words written as names: all capitals, or a capital that does not begin a sentence."""
     caps = F.filter(F.regexp_extract_all(text, F.lit(r"[A-Za-z][A-Za-z0-9'&.]*"), F.lit(0)), lambda w: w.rlike(r"[A-Z][^A-Za-z]*[A-Z]") & ~w.rlike("[a-z]"))
-    inner = F.regexp_extract_all(text, F.lit(r"(?<=[^.!?:;|( \n])[ \t\n]+([A-Z][A-Za-z0-9'&.]+)"), F.lit(1))
+    inner = F.regexp_extract_all(text, F.lit(r"(?=[A-Z])(?<=[^.!?:;|(\s]\s{0,64})(?<![A-Za-z][A-Za-z0-9'&.]{0,64})([A-Z][A-Za-z0-9'&.]+)"), F.lit(1))
     return F.array_sort(F.array_distinct(F.filter(F.flatten(F.transform(F.concat(caps, inner), stems)), lambda t: t != "")))
 
 
 def question_sentence(text: Column) -> Column:
     """The last sentence with a question mark, else the last sentence."""
     sentences = F.filter(F.split(text, r"(?<=[.!?])[ \t\n]+"), lambda s: F.trim(s) != "")
-    asked = F.filter(sentences, lambda s: s.contains("?"))
-    return F.trim(F.coalesce(F.try_element_at(asked, F.lit(-1)), F.try_element_at(sentences, F.lit(-1)), text))
+    last = lambda s: F.coalesce(F.try_element_at(F.filter(s, lambda x: x.contains("?")), F.lit(-1)), F.try_element_at(s, F.lit(-1)), text)
+    return F.trim(let(sentences, last))
 
 
 def ask_tokens(text: Column) -> Column:
     """Content stems of the question; all its stems if none is content."""
-    got = F.array_distinct(stems(question_sentence(text)))
-    plain = F.array(*map(F.lit, FUNCTION_WORDS))
-    content = F.array_except(got, F.array_union(plain, F.transform(plain, stem)))
-    return F.array_sort(F.when(F.size(content) > 0, content).otherwise(got))
+    plain = F.array(*map(F.lit, FUNCTION_STEMS))
+    some = lambda got: let(F.array_except(got, plain), lambda content: F.when(F.size(content) > 0, content).otherwise(got))
+    return F.array_sort(let(F.array_distinct(stems(question_sentence(text))), some))
 
 
 def is_yes_no(text: Column) -> Column:
@@ -143,7 +169,7 @@ def is_yes_no(text: Column) -> Column:
 
 def grounding_key(text: Column) -> Column:
     """The numbers and the negations a prompt supplies."""
-    numbers = F.transform(F.regexp_extract_all(text, F.lit(r"[0-9]+(?:[.,][0-9]+)*"), F.lit(0)), lambda n: F.replace(n, F.lit(","), F.lit("")))
+    numbers = F.transform(F.regexp_extract_all(text, F.lit(r"[0-9]++(?:[.,][0-9]++)*+"), F.lit(0)), lambda n: F.replace(n, F.lit(","), F.lit("")))
     negations = F.filter(words(text), lambda w: w.isin(NEGATIONS) | w.endswith("n't"))
     part = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), " ")
     return F.concat(part(numbers), F.lit("|"), part(negations))
@@ -157,12 +183,7 @@ def jaccard(a: Column, b: Column) -> Column:
 def stance(answer: Column) -> Column:
     """AFFIRM, DECLINE, DENY or UNCLEAR by the first sentence; a leading yes outranks a later hedge."""
     first = F.trim(F.lower(F.element_at(F.split(answer, r"(?<=[.!?])[ \t\n]+"), 1)))
-    return (
-        F.when(first.rlike(AFFIRM), "AFFIRM")
-        .when(first.rlike(DECLINE), "DECLINE")
-        .when(first.rlike(DENY), "DENY")
-        .otherwise("UNCLEAR")
-    )
+    return let(first, lambda s: F.when(s.rlike(AFFIRM), "AFFIRM").when(s.rlike(DECLINE), "DECLINE").when(s.rlike(DENY), "DENY").otherwise("UNCLEAR"))
 
 
 def sole_date(answer: Column) -> Column:
@@ -173,11 +194,30 @@ def sole_date(answer: Column) -> Column:
 def unit_claims(answer: Column) -> Column:
     """Sorted ``unit=value`` of the units that carry one value only."""
     low = F.lower(answer)
-    pattern = F.lit(r"([0-9]+(?:[.,][0-9]+)*)[ \t\n]+([a-z]{3,})")
-    pairs = F.array_distinct(F.transform(F.regexp_extract_all(low, pattern, F.lit(0)), lambda m: F.struct(F.regexp_extract(m, "([a-z]{3,})$", 1).alias("u"), F.replace(F.regexp_extract(m, "^([0-9]+(?:[.,][0-9]+)*)", 1), F.lit(","), F.lit("")).alias("v"))))
-    units = F.transform(pairs, lambda p: p["u"])
-    sole = F.filter(pairs, lambda p: F.size(F.filter(units, lambda u: u == p["u"])) == 1)
-    return F.array_sort(F.transform(sole, lambda p: F.concat(p["u"], F.lit("="), p["v"])))
+    pattern = F.lit(r"([0-9]++(?:[.,][0-9]++)*+)[ \t\n]+([a-z]{3,})")
+    pairs = F.array_distinct(F.transform(F.regexp_extract_all(low, pattern, F.lit(0)), lambda m: F.struct(F.regexp_extract(m, "([a-z]{3,})$", 1).alias("u"), F.replace(F.regexp_extract(m, "^([0-9]++(?:[.,][0-9]++)*+)", 1), F.lit(","), F.lit("")).alias("v"))))
+    sole = lambda all_of: F.filter(all_of, lambda p: F.size(F.filter(all_of, lambda q: q["u"] == p["u"])) == 1)
+    return F.array_sort(F.transform(let(pairs, sole), lambda p: F.concat(p["u"], F.lit("="), p["v"])))
+
+
+def conflict_axis(a: Column, b: Column) -> Column:
+    """The first axis on which two answers conflict, or null: stance of two yes-no questions, sole date, then the first
+    unit by name with different sole values. Both are structs of ``yes_no, stance, date, units``."""
+    sa, sb = a["stance"], b["stance"]
+    parts = lambda x: F.transform(x["units"], lambda p: F.split(p, "="))
+    differ = F.exists(parts(a), lambda u: F.exists(parts(b), lambda v: (u[0] == v[0]) & (u[1] != v[1])))
+    stances = a["yes_no"] & b["yes_no"] & (sa != "UNCLEAR") & (sb != "UNCLEAR") & (sa != sb)
+    declined = (sa == "DECLINE") | (sb == "DECLINE")
+    return F.when(stances, F.when(declined, "stance_vs_decline").otherwise("stance")).when(a["date"] != b["date"], "date_claim").when(differ, "numeric_claim")
+
+
+def canonical_sha(**fields: Column) -> Column:
+    """sha256 of the JSON object of the fields, keys sorted, without spaces, nulls kept."""
+    return F.sha2(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"}), 256)
+
+
+def evidence_sha12(**fields: Column) -> Column:
+    return F.left(canonical_sha(**fields), F.lit(12))
 
 
 def scrub_pii(text: Column) -> Column:
@@ -240,6 +280,11 @@ def parse_progress(text: Column) -> Column:
     return F.coalesce(F.when(b > 0, F.least(a / b, F.lit(1.0))), percent / 100, F.when(plain <= 1, plain))
 
 
+def progress_of_pair(done: Column, total: Column) -> Column:
+    """A share from two fields; missing or zero totals are unknown, not 0."""
+    return F.when((total > 0) & (done >= 0), F.least(done / total, F.lit(1.0)))
+
+
 def pick_alias(*columns: Column) -> Column:
     """The first alias that is neither null nor empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
@@ -337,15 +382,22 @@ def worst_verdict(verdict: Column) -> Column:
     return F.when(worst == 2, "fail").when(worst == 0, "pass").otherwise("suspect")
 
 
-#: Words that make a note blocking or a warning.
-BLOCKING, WARNING = ["worthless", "scum", "disgusting"], ["pathetic", "moron"]
+#: Marks that make a lesson critical.
+CRITICAL_MARKS = ["[Daniel directive", "[CORRECTED", "[FALSIFIED", "[MANDATORY", "NO-GO", "regressed"]
+
 
+def lesson_severity(text: Column) -> Column:
+    """critical if a lesson carries one of the marks (as written), else minor."""
+    found = F.lit(False)
+    for mark in CRITICAL_MARKS:
+        found = found | text.contains(mark)
+    return F.when(found, "critical").otherwise("minor")
 
-def severity(text: Column, blocking: list[str] | None = None, warning: list[str] | None = None) -> Column:
-    """blocking, warn or info by the words a note holds."""
-    low = F.lower(text)
-    any_of = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: low.contains(w))
-    return F.when(any_of(blocking or BLOCKING), "blocking").when(any_of(warning or WARNING), "warn").otherwise("info")
+
+def error_severity(status: Column) -> Column:
+    """minor once an error is fixed or improved, else critical."""
+    low = F.lower(F.regexp_replace(F.trim(status), r"^\*+", ""))
+    return F.when(low.startswith("fixed") | low.startswith("improved"), "minor").otherwise("critical")
 
 
 def merge_infra(old: Column, new: Column) -> Column:
@@ -365,9 +417,21 @@ MARK_TAGS = ["contradiction", "contradiction-ok", "contradiction_ok", "counter-i
 SYSTEM_MARK = "[CONTRADICTION-OK]"
 
 
-def is_marked(system: Column, tags: Column) -> Column:
+#: Keys by which a record, or its meta, does so.
+MARK_KEYS = ["contradiction_marker", "counter_instance", "counter-instance", "contradiction"]
+
+
+def is_marked(system: Column, tags: Column, record: Column | None = None) -> Column:
+    """A deliberate counter-instance by its system text, its tags, or a true key of ``record`` (JSON text), its ``meta`` or
+    its ``metadata``."""
+    keyed = F.lit(False)
+    if record is not None:
+        v = F.try_parse_json(record)
+        values = [F.try_variant_get(v, f"$.{at}['{k}']" if at else f"$['{k}']", "string") for at in ("", "meta", "metadata") for k in MARK_KEYS]
+        for x in values:
+            keyed = keyed | F.coalesce(~x.isin("", "false", "0", "null", "[]", "{}"), F.lit(False))
     tagged = F.exists(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.lower(F.trim(t)).isin(MARK_TAGS))
-    return F.coalesce(system.contains(SYSTEM_MARK), F.lit(False)) | tagged
+    return F.coalesce(system.contains(SYSTEM_MARK), F.lit(False)) | tagged | keyed
 
 
 def run_status(failed: Column, started: Column, finished: Column) -> Column:
@@ -376,6 +440,25 @@ def run_status(failed: Column, started: Column, finished: Column) -> Column:
     return F.when(on(failed), "failed").when(on(started) & on(finished), "finished").when(on(started), "running").otherwise("queued")
 
 
+def stage_status(stage: Column, status: Column, gates: list[str]) -> Column:
+    """The status of a stage row from its report: a pending human gate blocks, refusals and rejections fail, a training that
+    was only dispatched still runs, all else passed."""
+    blocked = (status == "BLOCKED_ON_GATE") | (stage.isin(gates) & (status == "gate_pending"))
+    return (
+        F.when(blocked, "blocked_on_gate")
+        .when(status.isin("REFUSED", "error", "no_go", "empty"), "failed")
+        .when((stage == "train") & (status == "dispatched"), "running")
+        .otherwise("passed")
+    )
+
+
+def classify_runtime(dispatch_id: Column, stage: Column, run_id: Column) -> Column:
+    """Where an agent row came from, by its four writers (fixed values): an id of a dispatch, a stage, no run at all, or a
+    run."""
+    given = lambda x: F.coalesce(x != "", F.lit(False))
+    return F.when(given(dispatch_id), "cursor_sdk_dispatch").when(given(stage), "tier2_dispatch").when(run_id.isNull(), "machine_wide_session").otherwise("interactive_run_session")
+
+
 def first_match(text: Column, patterns: list[tuple[str, str]], otherwise: str) -> Column:
     """The name of the first pattern that a text holds."""
     out = F.lit(otherwise)

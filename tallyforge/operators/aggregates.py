@@ -3,6 +3,8 @@ shuffle; arrays are gathered only where their size is bounded by the group's key
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,27 +15,75 @@ def _rank_of(count: Column, fraction: float) -> Column:
     return F.bround((count - 1) * F.lit(fraction), 0).cast("long") + 1
 
 
+def nearest_ranks(rows: DataFrame, keys: list[str], value: str, picks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Values at ranks (from 1, given the number of values) of each group. Values are counted first, so the window runs
+    over a group's distinct values and not over its rows."""
+    w = Window.partitionBy(*keys)
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    spread = counts.withColumn("_upto", F.sum("_c").over(w.orderBy("_v"))).withColumn("_n", F.sum("_c").over(w))
+    return spread.groupBy(*keys).agg(*[F.min(F.when(F.col("_upto") >= rank(F.col("_n")), F.col("_v"))).alias(name) for name, rank in picks.items()])
+
+
+#: Optional columns of a record, and the totals and means they give.
+TOTALS = {"tool_calls": "tool_calls_total", "tool_errors": "tool_errors_total", "prompt_tokens": "prompt_tokens_total", "completion_tokens": "completion_tokens_total"}
+MEANS = {"iterations": "iterations_mean", "prompt_tokens": "prompt_tokens_mean", "completion_tokens": "completion_tokens_mean"}
+
+
+def _optional(columns: list[str], n: Column) -> list[Column]:
+    """Metrics of the columns that a night's records have; a missing value counts as zero, as no call was made."""
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    has = lambda *c: all(x in columns for x in c)
+    out = [F.sum(zero(c)).alias(name) for c, name in TOTALS.items() if has(c)]
+    out += [T.pct4(F.sum(zero(c)), n).alias(name) for c, name in MEANS.items() if has(c)]
+    if has("tool_errors"):
+        out.append(F.count_if(zero("tool_errors") > 0).alias("records_with_tool_error"))
+    if has("tool_calls"):
+        out += [F.count_if(zero("tool_calls") == 0).alias("zero_tool_call_records"), T.pct4(F.count_if(zero("tool_calls") == 0), n).alias("zero_tool_call_rate")]
+    if has("max_parallel"):
+        out.append(F.max(zero("max_parallel")).alias("max_parallel_calls"))
+    if has("truncated"):
+        out.append(F.count_if("truncated").alias("truncated_records"))
+    for c, name in (("provider", "providers"), ("model_id", "serving_model_ids")):
+        if has(c):
+            out.append(F.array_join(F.array_sort(F.collect_set(c)), ",").alias(name))  # the few services of a night
+    return out
+
+
+def top_counts(rows: DataFrame, keys: list[str], values: Column, name: str, most: int = 5) -> DataFrame:
+    """The most frequent entries of an array column in each group, as ``entry=count`` joined by commas."""
+    counts = rows.select(*keys, F.explode(values).alias("_t")).groupBy(*keys, "_t").agg(F.count("*").alias("_c"))
+    best = counts.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_c").desc(), "_t"))).where(F.col("_k") <= most)
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("_k", "_t", "_c"))), lambda x: F.concat_ws("=", x["_t"], x["_c"].cast("string")))
+    return best.groupBy(*keys).agg(F.array_join(entries, ",").alias(name))
+
+
 def aggregate_arm(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Night by arm: records, accounts, errors, emits, no-action, their rates, the output histogram, envelope set hash and
-    nearest-rank latency; latency is null where no row recorded one. Ranks come from a sorted window, so no latency
-    list is gathered."""
-    w = Window.partitionBy(*keys)
-    ranked = rows.withColumn("_k", F.row_number().over(w.orderBy(F.col("wall_ms").asc_nulls_last()))).withColumn("_n", F.count("wall_ms").over(w))
-    at = lambda f: F.max(F.when((F.col("_k") == _rank_of(F.col("_n"), f)) & (F.col("_n") > 0), F.col("wall_ms")))
+    nearest-rank latency; latency is null where no row recorded one. Where records carry tool calls and errors,
+    parallel calls, iterations, tokens, truncation, importance, services or tool names, their totals, means, rates,
+    sets and the five most used tools follow."""
     n = F.count("*")
-    of = ranked.groupBy(*keys).agg(
+    of = rows.groupBy(*keys).agg(
         n.alias("records"),
         F.countDistinct("account_id").alias("accounts"),
         F.count_if("is_error").alias("errors"),
         T.pct4(F.count_if("is_error"), n).alias("error_rate"),
         F.count_if("emitted").alias("emitted"),
+        (n - F.count_if("emitted")).alias("never_emitted"),
         F.count_if(F.col("output_type") == "no_action").alias("no_action"),
+        T.pct4(F.count_if(F.col("output_type") == "no_action"), n).alias("no_action_rate"),
         F.count_if(F.col("emitted") & (F.col("output_type") != "no_action")).alias("actionable"),
         T.set_hash(F.col("envelope_hash")).alias("envelopes"),
+        F.countDistinct("envelope_hash").alias("envelope_hashes"),
         F.bround(F.avg("wall_ms"), 4).alias("latency_mean"),
-        at(0.5).cast("double").alias("latency_p50"),
-        at(0.95).cast("double").alias("latency_p95"),
+        *_optional(rows.columns, n),
     )
+    ranks = nearest_ranks(rows, keys, "wall_ms", {"latency_p50": lambda c: _rank_of(c, 0.5), "latency_p95": lambda c: _rank_of(c, 0.95)})
+    of = of.join(ranks.withColumns({c: F.col(c).cast("double") for c in ("latency_p50", "latency_p95")}), keys, "left")
+    if "importance" in rows.columns:
+        of = of.join(nearest_ranks(rows, keys, "importance", {"importance_p50": lambda c: _rank_of(c, 0.5)}), keys, "left")
+    if "tool_names" in rows.columns:
+        of = of.join(top_counts(rows, keys, F.col("tool_names"), "top_tools"), keys, "left")
     kinds = rows.where("output_type is not null").groupBy(*keys, "output_type").agg(F.count("*").alias("c"))
     entries = F.array_sort(F.collect_list(F.concat_ws("=", "output_type", F.col("c").cast("string"))))
     return of.join(kinds.groupBy(*keys).agg(F.array_join(entries, ",").alias("output_types")), keys, "left")
@@ -44,12 +94,9 @@ def set_identity(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
 
 
 def rank_percentiles(rows: DataFrame, key: str, value: str, fractions: dict[str, float]) -> DataFrame:
-    """Nearest-rank percentiles and the upper median of each group, by rank in a sorted window."""
-    w = Window.partitionBy(key)
-    ranked = rows.where(F.col(value).isNotNull()).withColumn("_k", F.row_number().over(w.orderBy(value))).withColumn("_n", F.count("*").over(w))
-    picks = [F.max(F.when(F.col("_k") == _rank_of(F.col("_n"), f), F.col(value))).alias(n) for n, f in fractions.items()]
-    median = F.max(F.when(F.col("_k") == F.floor(F.col("_n") / 2) + 1, F.col(value))).alias("upper_median")
-    return ranked.groupBy(key).agg(*picks, median)
+    """Nearest-rank percentiles and the upper median of each group."""
+    picks: dict[str, Callable[[Column], Column]] = {n: (lambda c, f=f: _rank_of(c, f)) for n, f in fractions.items()}
+    return nearest_ranks(rows, [key], value, {**picks, "upper_median": lambda c: F.floor(c / 2) + 1})
 
 
 def paired_compare(arm: DataFrame, incumbent: DataFrame) -> DataFrame:
@@ -118,24 +165,45 @@ def observed_surface(reviews: DataFrame) -> DataFrame:
     return reviews.select(long.alias("s")).where("s.value is not null").groupBy("s.kind", "s.value").agg(F.count("*").alias("n"))
 
 
-def contract_parity(observed: DataFrame, offered: DataFrame) -> DataFrame:
-    """``tool, calls`` observed against tools offered: called but not offered fails, offered but unobserved is info."""
+def contract_parity(observed: DataFrame, offered: DataFrame, outputs: DataFrame | None = None, allowed: list[str] | None = None, gold: DataFrame | None = None, forbidden: list[str] | None = None) -> DataFrame:
+    """``tool, calls`` observed against tools offered: called but not offered fails, offered but unobserved is info. Rows of
+    ``outputs`` (``output_type``) outside ``allowed`` are rogue, rows of ``gold`` (``gold_class``) within ``forbidden`` are
+    forbidden; both fail, with their counts as calls."""
     o, e = observed.groupBy("tool").agg(F.sum("calls").alias("calls")), offered.select("tool", F.lit(1).alias("offered")).distinct()
     code = F.when(F.col("offered").isNull(), "called_not_offered").when(F.col("calls").isNull(), "offered_unobserved")
     out = o.join(e, "tool", "full_outer").withColumn("code", code).where("code is not null")
-    return out.select("tool", "code", F.coalesce("calls", F.lit(0)).alias("calls"), F.when(F.col("code") == "called_not_offered", "fail").otherwise("info").alias("verdict"))
+    out = out.select("tool", "code", F.coalesce("calls", F.lit(0)).alias("calls"))
+    for df, column, code, bad in ((outputs, "output_type", "rogue_output", lambda x: ~x.isin(allowed or [])), (gold, "gold_class", "forbidden_class", lambda x: x.isin(forbidden or []))):
+        if df is not None:
+            found = df.where(F.col(column).isNotNull() & bad(F.col(column))).groupBy(F.col(column).cast("string").alias("tool")).agg(F.count("*").alias("calls"))
+            out = out.unionByName(found.select("tool", F.lit(code).alias("code"), "calls"))
+    return out.withColumn("verdict", F.when(F.col("code") == "offered_unobserved", "info").otherwise("fail"))
+
+
+#: The archetypes and importance that are served, and the length of a rationale.
+ARCHETYPES, SERVED_IMPORTANCE, RATIONALE = ["A", "B"], 0, (200, 900)
 
 
-def emit_lint(messages: DataFrame, tool: str) -> DataFrame:
-    """The last call of ``tool`` in each record: numbers of records, of unreadable and of empty arguments."""
+def emit_lint(messages: DataFrame, tool: str = "emit_output", kind: str = "winback_enrollment") -> DataFrame:
+    """The arguments of the last call of ``tool`` in each record: records, and of readable ones unknown archetypes and
+    rationales out of bounds (of outputs of that kind), drafts that are not empty, and other than served importance;
+    with a verdict, which is suspect without records."""
+    records = messages.select("line").distinct().agg(F.count("*").alias("records"))
     last = messages.where(F.col("tool_name") == tool).groupBy("line").agg(F.max_by("args", "pos").alias("args"))
-    parsed = F.try_parse_json("args")
-    return last.agg(
-        F.count("*").alias("emits"),
-        F.count_if(parsed.isNull()).alias("unreadable"),
-        F.count_if(F.length("args") < 10).alias("short"),
-        F.count_if(F.try_variant_get(parsed, "$.k", "int") == 0).alias("zero"),
+    v = F.try_parse_json("args")
+    get = lambda path: F.try_variant_get(v, path, "string")
+    own = get("$.output_type") == kind
+    archetype = F.coalesce(F.nullif(get("$.payload.sequence.archetype"), F.lit("")), get("$.archetype"))
+    size = F.length(get("$.payload.sequence.rationale"))
+    drafted = (F.coalesce(get("$.draft_subject"), F.lit("")) != "") | (F.coalesce(get("$.draft_body"), F.lit("")) != "")
+    found = last.agg(
+        F.count_if(own & archetype.isNotNull() & ~archetype.isin(ARCHETYPES)).alias("bad_archetype"),
+        F.count_if(drafted).alias("nonempty_drafts"),
+        F.count_if(F.try_variant_get(v, "$.importance_score", "double") != SERVED_IMPORTANCE).alias("importance_drift"),
+        F.count_if(own & (size > 0) & ~size.between(*RATIONALE)).alias("rationale_out_of_band"),
     )
+    faults = F.col("bad_archetype") + F.col("nonempty_drafts") + F.col("importance_drift") + F.col("rationale_out_of_band")
+    return records.crossJoin(found).withColumn("verdict", F.when(F.col("records") == 0, "suspect").when(faults > 0, "fail").otherwise("pass"))
 
 
 def staleness(snapshots: DataFrame, export: str) -> DataFrame:
@@ -157,9 +225,10 @@ def readiness(book: DataFrame) -> DataFrame:
     return of.select("org", "facts", "zeros", (40 * F.col("facts") + 10 * F.col("zeros")).alias("dose"), share.alias("fact_share"), F.when(share >= 0.5, "A").when(share >= 0.25, "B").otherwise("C").alias("tier"))
 
 
-def project_cost(runs: DataFrame, rate: float, cap: float, approve: float) -> DataFrame:
-    """``key, tokens, epochs, unroll`` to a projected cost and what to do with it."""
-    cost = F.bround(F.col("tokens") * F.col("epochs") / 1e6 * rate * F.col("unroll"), 4)
+def project_cost(runs: DataFrame, rate: float, cap: float, approve: float, dual: float = 1.0, calibration: float = 1.0, eval_cap: float = 0.0) -> DataFrame:
+    """``key, tokens, epochs, unroll`` to a projected cost and what to do with it. ``dual`` is 2 for two models at once,
+    ``calibration`` corrects by what earlier runs really cost, ``eval_cap`` is what evaluation may cost on top."""
+    cost = F.bround(F.col("tokens") * F.col("epochs") / 1e6 * rate * F.col("unroll") * dual * calibration + eval_cap, 4)
     return runs.select("key", cost.alias("usd"), F.when(cost > cap, "stop").when(cost <= approve, "auto").otherwise("ask").alias("action"))
 
 
@@ -201,9 +270,10 @@ def session_activity(ledger: DataFrame) -> DataFrame:
 
 
 def project_usage(df: DataFrame, json_col: str, keys: list[str]) -> DataFrame:
-    """Token keys of a usage object; absent ones are null."""
+    """Token keys of a usage object, and its turns, the number of ``iterations``; absent ones are null."""
     v = F.try_parse_json(F.col(json_col))
-    return df.select("event_id", *[F.try_variant_get(v, f"$.{k}", "long").alias(k) for k in keys])
+    turns = F.size(F.try_variant_get(v, "$.iterations", "array<variant>"))
+    return df.select("event_id", *[F.try_variant_get(v, f"$.{k}", "long").alias(k) for k in keys], F.when(turns >= 0, turns).alias("turns"))
 
 
 def mixture_report(corpus: DataFrame, targets: dict[str, float], tolerance: float = 0.05) -> DataFrame:
@@ -223,11 +293,12 @@ def wilson(hits: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
 
 
 def lexicographic_gates(arms: DataFrame, margin: float = 0.02) -> DataFrame:
-    """``arm, n, quality, toxic`` counts: toxic share above zero margin fails first, then quality below the margin; with the
-    quality share's Wilson interval."""
+    """``arm, n, quality, toxic`` counts: a toxic share above the least one of all arms (zero margin) fails first, then a
+    quality share more than ``margin`` below the best; with the quality share's Wilson interval."""
     low, high = wilson(F.col("quality"), F.col("n"))
-    best = F.max(F.col("quality") / F.col("n")).over(Window.partitionBy())
-    verdict = F.when(F.col("toxic") / F.col("n") > 0.2, "fail_toxic").when(F.col("quality") / F.col("n") < best - margin, "fail_quality").otherwise("pass")
+    best = F.max(F.col("quality") / F.col("n")).over(Window.partitionBy())  # over the few arms
+    least = F.min(F.col("toxic") / F.col("n")).over(Window.partitionBy())
+    verdict = F.when(F.col("toxic") / F.col("n") > least, "fail_toxic").when(F.col("quality") / F.col("n") < best - margin, "fail_quality").otherwise("pass")
     return arms.select("arm", F.bround(low, 4).alias("low"), F.bround(high, 4).alias("high"), verdict.alias("verdict"))
 
 

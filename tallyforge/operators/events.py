@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
+from tallyforge.operators import joins as J
 
 NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
 
@@ -74,6 +75,19 @@ def iteration_digest(reports: DataFrame, stages: list[str]) -> DataFrame:
     return wide.select("run", *[F.coalesce(*[F.col(f"`{s}`") for s in reversed(stages[: i + 1])]).alias(f"s{i + 1}") for i in range(len(stages))])
 
 
+def report_edges(sessions: DataFrame, records: DataFrame) -> DataFrame:
+    """Finished sessions report to who dispatched them: ``session, state`` and dispatch records ``parent, child`` to REPORT
+    edges from child to parent. Sessions that no record names have none (see ``unclaimed_sessions``)."""
+    done = sessions.where(F.col("state").isin("done", "finished")).select(F.col("session").alias("child")).distinct()
+    of = records.groupBy("child").agg(F.countDistinct("parent").alias("n"), F.min("parent").alias("parent")).where("n = 1")
+    return done.join(of, "child").select(F.lit("REPORT").alias("edge_type"), F.col("child").alias("from_key"), F.col("parent").alias("to_key"))
+
+
+def unclaimed_sessions(sessions: DataFrame, records: DataFrame) -> DataFrame:
+    """Sessions that no dispatch record names as a child."""
+    return sessions.join(records.select(F.col("child").alias("session")).distinct(), "session", "left_anti")
+
+
 def spawn_edges(records: DataFrame) -> DataFrame:
     """``id, text``: certain edges from dispatch text (``dispatches: x``), inferred ones from goal text (``for x``) where none is certain."""
     certain = F.regexp_extract("text", r"(?i)dispatches: ([a-z0-9_-]+)", 1)
@@ -85,10 +99,42 @@ def spawn_edges(records: DataFrame) -> DataFrame:
 def header_edges(docs: DataFrame, header: str, edge_type: str) -> DataFrame:
     """Edges from header lines ``header: a, b`` of documents, one per named target."""
     lines = docs.select("id", F.explode(F.split("text", "\n")).alias("s")).where(F.lower("s").startswith(header + ":"))
-    targets = F.explode(F.transform(F.split(F.substring("s", len(header) + 2, 4000), ","), lambda x: F.trim(x)))
+    targets = F.explode(F.transform(F.split(F.substr("s", F.lit(len(header) + 2)), ","), lambda x: F.trim(x)))
     return lines.select(F.lit(edge_type).alias("edge_type"), "id", targets.alias("to_key")).where("to_key <> ''").distinct()
 
 
+def artifact_edges(ledger: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """ARTIFACT edges ``from_key, to_key, path, basis``: the last writer before each read of a path (certain), and, for paths
+    that ``consumes:`` headers name (``id, reader, text``), the one declared owner of the path (``path, owner``); named
+    paths without a sole owner have none."""
+    seen = J.artifact_flows(ledger).select(F.col("writer").alias("from_key"), F.col("reader").alias("to_key"), "path", F.lit("ledger").alias("basis"))
+    named = header_edges(docs, "consumes", "ARTIFACT").select("id", F.col("to_key").alias("path")).join(docs.select("id", "reader"), "id")
+    sole = owners.groupBy("path").agg(F.countDistinct("owner").alias("n"), F.min("owner").alias("owner")).where("n = 1")
+    said = named.join(sole, "path").where("owner <> reader").select(F.col("owner").alias("from_key"), F.col("reader").alias("to_key"), "path", F.lit("header").alias("basis"))
+    return seen.unionByName(said).distinct()
+
+
+def addendum_edges(docs: DataFrame) -> DataFrame:
+    """``id, text``: ADDENDUM edges from ``corrects:`` headers; a document without one, whose headings call it an addendum,
+    correction or erratum and name exactly one other document (``doc-<name>``), gets an inferred edge."""
+    sure = header_edges(docs, "corrects", "ADDENDUM").withColumn("confidence", F.lit("high"))
+    heads = docs.join(sure.select("id").distinct(), "id", "left_anti").select("id", F.explode(F.split("text", "\n")).alias("s")).where(F.col("s").rlike(r"(?i)^#+ .*\b(addendum|correction|erratum)\b"))
+    named = heads.select("id", F.explode(F.regexp_extract_all(F.lower("s"), F.lit(r"\bdoc-([a-z0-9]+)"), F.lit(1))).alias("to_key"))
+    sole = named.groupBy("id").agg(F.countDistinct("to_key").alias("n"), F.min("to_key").alias("to_key")).where("n = 1")
+    return sure.unionByName(sole.select(F.lit("ADDENDUM").alias("edge_type"), "id", "to_key", F.lit("medium").alias("confidence")))
+
+
+def table_edges(gates: DataFrame, steers: DataFrame, projections: DataFrame) -> DataFrame:
+    """Edges from table rows: ``edge_type, from_key, to_key, ref``. A gate request goes from its run to its approver, or to
+    ``human`` while it has none (``run_id, approver, id``); a steering event from its author to the run, unless the run
+    steered itself (``run_id, author, id``); a projection from the run to the table it wrote, once per table
+    (``run_id, target, id``). Rows without a run have no edge."""
+    gate = gates.where("run_id is not null").select(F.lit("GATE").alias("edge_type"), F.col("run_id").cast("string").alias("from_key"), F.coalesce(F.col("approver").cast("string"), F.lit("human")).alias("to_key"), F.col("id").alias("ref"))
+    steer = steers.where("run_id is not null and author is not null and cast(author as string) <> cast(run_id as string)").select(F.lit("STEER").alias("edge_type"), F.col("author").cast("string").alias("from_key"), F.col("run_id").cast("string").alias("to_key"), F.col("id").alias("ref"))
+    written = projections.where("run_id is not null and target is not null").groupBy(F.col("run_id").cast("string").alias("from_key"), F.col("target").cast("string").alias("to_key")).agg(F.min("id").alias("ref"))
+    return gate.unionByName(steer).unionByName(written.select(F.lit("PROJECTION").alias("edge_type"), "from_key", "to_key", "ref"))
+
+
 def handoff_edges(docs: DataFrame, readers: DataFrame) -> DataFrame:
     """Author to consumer of each document; unread ones to a placeholder successor."""
     return docs.join(readers, "id", "left").select("id", "author", F.coalesce("reader", F.concat(F.lit("successor:"), F.col("id").cast("string"))).alias("to_key"))
@@ -100,14 +146,30 @@ def project_edges(edges: DataFrame) -> DataFrame:
     return edges.withColumn("family", family)
 
 
-def agent_artifacts(messages: DataFrame) -> DataFrame:
-    """Four artifacts per conversation (prompt, tool_calls, thinking, output): content or a reason, never both."""
+def agent_artifacts(messages: DataFrame, blocks: DataFrame | None = None, excluded: DataFrame | None = None, most: int = 200) -> DataFrame:
+    """Four artifacts per conversation (prompt, tool_calls, thinking, output): content or a reason, never both.
+
+    Tool calls are the names and thinking the texts of transcript ``blocks`` (``conv_id, line, role, pos, type, text, name``)
+    in order, at most the first ``most`` of each (a limit of the artifact). A prompt or output that the messages lack is
+    the user's first and the assistant's last text block. Conversations in ``excluded`` are withheld by policy."""
     of = messages.groupBy("conv_id").agg(
         F.min_by(F.when(F.col("role") == "user", F.col("text")), F.when(F.col("role") == "user", F.col("turn"))).alias("prompt"),
         F.max_by(F.when(F.col("role") == "assistant", F.col("text")), F.when(F.col("role") == "assistant", F.col("turn"))).alias("output"),
     )
-    kinds = [("prompt", F.col("prompt")), ("tool_calls", F.lit(None).cast("string")), ("thinking", F.lit(None).cast("string")), ("output", F.col("output"))]
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), T.redact_secrets(v).alias("content"), F.when(v.isNull(), "not_recorded").alias("reason")) for k, v in kinds]))
+    text = lambda c: F.lit(None).cast("string").alias(c)
+    if blocks is None:
+        of = of.select("*", text("tool_calls"), text("thinking"))
+    else:
+        kept = blocks.where(F.col("type").isin("tool_use", "thinking")).withColumn("k", F.row_number().over(Window.partitionBy("conv_id", "type").orderBy("line", "pos"))).where(F.col("k") <= most)
+        joined = lambda t, v: F.nullif(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("type") == t, F.struct("line", "pos", F.col(v).alias("v"))))), lambda x: x["v"]), "\n"), F.lit(""))
+        told = kept.groupBy("conv_id").agg(joined("tool_use", "name").alias("tool_calls"), joined("thinking", "text").alias("thinking"))
+        ends = blocks.where("type = 'text'").groupBy("conv_id").agg(*[f(F.when(F.col("role") == r, F.col("text")), F.when(F.col("role") == r, F.struct("line", "pos"))).alias(n) for f, r, n in ((F.min_by, "user", "_first"), (F.max_by, "assistant", "_last"))])
+        of = of.join(told, "conv_id", "full_outer").join(ends, "conv_id", "full_outer").withColumn("prompt", F.coalesce("prompt", "_first")).withColumn("output", F.coalesce("output", "_last"))
+    barred = excluded.select("conv_id").distinct().withColumn("_barred", F.lit(True)) if excluded is not None else None
+    of = of.join(barred, "conv_id", "left") if barred is not None else of.withColumn("_barred", F.lit(None).cast("boolean"))
+    kinds = [(k, F.col(k)) for k in ("prompt", "tool_calls", "thinking", "output")]
+    reason = lambda v: F.when(F.col("_barred"), "excluded_by_policy").when(v.isNull(), "not_recorded")
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.when(F.col("_barred").isNull(), T.redact_secrets(v)).alias("content"), reason(v).alias("reason")) for k, v in kinds]))
     return of.select("conv_id", rows.alias("a")).select("conv_id", "a.kind", "a.content", "a.reason")
 
 
@@ -115,21 +177,34 @@ def agent_artifacts(messages: DataFrame) -> DataFrame:
 
 
 def validate_claims(claims: DataFrame) -> DataFrame:
-    """``id, numerator, denominator, blocking, basis``: violations by code."""
+    """``id, numerator, denominator, blocking, basis``: violations by code. Where claims carry ``load_bearing, method`` and
+    ``challenges`` (the id they challenge), a positive load-bearing claim needs a challenger with another method."""
     tests = [
         ("ratio", F.col("numerator") > F.col("denominator")),
         ("block_basis", F.col("blocking") & (F.col("basis") != "deterministic")),
         ("duplicate_id", F.count("*").over(Window.partitionBy("id")) > 1),
     ]
     codes = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in tests]))
-    return claims.withColumn("codes", codes).select("id", F.explode("codes").alias("code")).distinct()
+    out = claims.withColumn("codes", codes).select("id", F.explode("codes").alias("code")).distinct()
+    if {"load_bearing", "method", "challenges"} <= set(claims.columns):
+        rivals = claims.where("challenges is not null").select(F.col("challenges").alias("id"), F.col("method").alias("other"))
+        needs = claims.where("load_bearing and numerator > 0").select("id", "method")
+        met = needs.join(rivals, "id").where("other <> method").select("id").distinct()
+        out = out.unionByName(needs.join(met, "id", "left_anti").select("id", F.lit("no_challenger").alias("code")).distinct())
+    return out
 
 
 def validate_swarm_events(events: DataFrame, required: dict[str, list[str]]) -> DataFrame:
-    """``event_id, category, data`` (JSON): fields missing from or unknown to the category's exact set."""
+    """``event_id, category, data`` (JSON): fields missing from or unknown to the category's exact set; then costs (an object
+    ``cost``): a known value that is also accepted as unknown, a negative one, and a zero without evidence."""
+    v = F.try_parse_json("data")
+    value = F.try_variant_get(v, "$.cost.value_usd", "double")
+    accepted = F.coalesce(F.try_variant_get(v, "$.cost.accepted_unknown", "boolean"), F.lit(False))
+    proof = F.coalesce(F.try_variant_get(v, "$.cost.evidence", "string"), F.lit(""))
     keys = F.json_object_keys("data")
     want = F.try_element_at(F.create_map(*[x for k, v in required.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]), F.col("category"))
     code = F.when(want.isNull(), "unknown_category").when(keys.isNull(), "unreadable").when(F.size(F.array_except(want, keys)) > 0, "missing_field").when(F.size(F.array_except(keys, want)) > 0, "unknown_field")
+    code = code.when(value.isNotNull() & accepted, "known_and_accepted").when(value < 0, "negative_cost").when((value == 0) & (proof == ""), "zero_without_evidence")
     return events.select("event_id", code.alias("code")).where("code is not null")
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from tallyforge.functions import text as T
 
 
+#: Words that say nothing about what a mission covers.
+STOP_WORDS = ["the", "a", "an", "and", "or", "of", "for", "to", "in", "on", "is", "are", "why", "what", "how", "this", "that", "it", "its", "with", "from", "by", "run", "factory", "org", "data", "check", "report", "investigate", "not"]
+
+
 def align(corpus: DataFrame, meta: DataFrame) -> DataFrame:
     """Corpus and meta rows of the same line."""
     return corpus.join(meta, "line")
@@ -53,48 +57,83 @@ def population_drift(sealed: DataFrame, population: DataFrame) -> DataFrame:
     return flagged.agg(F.count("*").alias("sealed"), F.count("there").alias("resolved")).crossJoin(size).withColumn("verdict", verdict)
 
 
-def contradictions(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
-    """Pairs that ask the same question of the same named subject and disagree: ``line_a, line_b, axis, marked``.
+def _prefix_tokens(ranked: Column, similarity: float) -> Column:
+    """The tokens, rarest first, of which two sets of at least that Jaccard similarity must share one."""
+    n = F.size(ranked)
+    return F.slice(ranked, F.lit(1), F.greatest(n - F.ceil(F.lit(similarity) * n - 1e-9).cast("int") + 1, F.lit(1)))
 
-    Blocked by the subject's name tokens, the facts supplied and the asked words, so only rows equal in all gates meet;
-    then prompt similarity, then the axis. Rows with equal answers are first put together, so a popular subject
-    meets once per distinct answer and not once per pair of rows; lines are the first of each side.
-    """
+
+def contradiction_rows(qa: DataFrame, ratio: float = 0.05) -> DataFrame:
+    """Distinct rows with what contradictions compare. A subject is the question's name tokens that occur in fewer questions
+    than ``max(2, ratio * questions)``. Rows equal in all of it are one, with their first line."""
     q, a = F.col("question"), F.col("answer")
-    rows = qa.select(
+    names, tokens = T.name_tokens(q), F.array_distinct(T.stems(q))
+    total = qa.count()
+    common = qa.select(F.explode(tokens).alias("t")).groupBy("t").agg(F.count("*").alias("df")).where(F.col("df") >= max(2, ratio * total))
+    often = F.broadcast(common.agg(F.collect_set("t").alias("often")))  # at most mean tokens / ratio of them
+    rows = qa.crossJoin(often).select(
         "line",
-        q.alias("question"),
-        a.alias("answer"),
         "marked",
-        F.array_join(T.name_tokens(q), " ").alias("subject"),
+        F.array_join(F.array_sort(F.array_except(names, F.col("often"))), " ").alias("subject"),
         T.grounding_key(q).alias("facts"),
-        F.array_distinct(T.stems(q)).alias("prompt"),
+        tokens.alias("prompt"),
         T.ask_tokens(q).alias("ask"),
         T.is_yes_no(q).alias("yes_no"),
         T.stance(a).alias("stance"),
         T.sole_date(a).alias("date"),
         T.unit_claims(a).alias("units"),
     )
-    keys = ["subject", "facts", "prompt", "ask", "yes_no", "stance", "date", "units", "marked"]
-    one = rows.groupBy(*keys).agg(F.min("line").alias("line"))
-    x, y = one.alias("x"), one.alias("y")
+    return rows.groupBy("subject", "facts", "prompt", "ask", "yes_no", "stance", "date", "units", "marked").agg(F.min("line").alias("line"))
+
+
+def contradictions(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
+    """Pairs that ask the same question of the same named subject and disagree: ``line_a, line_b, axis, marked``.
+
+    Blocked by the rare name tokens of the subject and the facts supplied; within such a block two rows meet only if they
+    share a prefix token of their asks, rarest first, which any two asks of that similarity do, so a block of many
+    unlike questions (such as those without a subject) is not compared pair by pair. Then prompt similarity, then the
+    axis. Rows with equal answers are first put together, so a popular subject meets once per distinct answer and not
+    once per pair of rows; lines are the first of each side.
+    """
+    one = contradiction_rows(qa)
+    freq = one.select(F.explode("ask").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    tokens = one.withColumn("t", F.explode("ask")).join(freq, "t")
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"])  # one question's words
+    keyed = tokens.groupBy(*[c for c in one.columns if c not in ("prompt", "ask", "units")]).agg(*[F.first(c).alias(c) for c in ("prompt", "ask", "units")], ranked.alias("r"))
+    side = keyed.withColumn("key", F.explode(_prefix_tokens(F.col("r"), similarity))).drop("r")
+    x, y = side.alias("x"), side.alias("y")
     same = (
         (F.col("x.subject") == F.col("y.subject"))
         & (F.col("x.facts") == F.col("y.facts"))
+        & (F.col("x.key") == F.col("y.key"))
         & (F.col("x.line") < F.col("y.line"))
         & (T.jaccard(F.col("x.ask"), F.col("y.ask")) >= similarity)
         & (T.jaccard(F.col("x.prompt"), F.col("y.prompt")) >= similarity)
     )
-    sa, sb = F.col("x.stance"), F.col("y.stance")
-    units = lambda c: F.transform(c, lambda p: F.split(p, "="))
-    differ = F.exists(units(F.col("x.units")), lambda u: F.exists(units(F.col("y.units")), lambda v: (u[0] == v[0]) & (u[1] != v[1])))
-    axis = (
-        F.when(F.col("x.yes_no") & F.col("y.yes_no") & (sa != "UNCLEAR") & (sb != "UNCLEAR") & (sa != sb), F.when((sa == "DECLINE") | (sb == "DECLINE"), "stance_vs_decline").otherwise("stance"))
-        .when(F.col("x.date") != F.col("y.date"), "date_claim")
-        .when(differ, "numeric_claim")
-    )
-    pairs = x.join(y, same).select(F.col("x.line").alias("line_a"), F.col("y.line").alias("line_b"), axis.alias("axis"), (F.col("x.marked") | F.col("y.marked")).alias("marked"))
-    return pairs.where("axis is not null")
+    of = lambda s: F.struct(*[F.col(f"{s}.{c}").alias(c) for c in ("yes_no", "stance", "date", "units")])
+    pairs = x.join(y, same).select(F.col("x.line").alias("line_a"), F.col("y.line").alias("line_b"), T.conflict_axis(of("x"), of("y")).alias("axis"), (F.col("x.marked") | F.col("y.marked")).alias("marked"))
+    return pairs.where("axis is not null").distinct()  # a pair may share several prefix tokens
+
+
+def contradiction_report(qa: DataFrame, budget: int = 2_000_000) -> DataFrame:
+    """Comparisons that blocks by subject would take, same-question pairs that conflict (unmarked and marked), and a
+    verdict: no rows, or more comparisons than the budget, are suspect; an unmarked conflict fails."""
+    blocks = contradiction_rows(qa).groupBy("subject").agg(F.count("*").alias("n"))
+    size = blocks.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0)).cast("long").alias("comparisons"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    found = contradictions(qa).agg(F.count_if(~F.col("marked")).alias("unmarked"), F.count_if("marked").alias("marked"))
+    verdict = F.when((F.col("rows") == 0) | (F.col("comparisons") > budget), "suspect").when(F.col("unmarked") > 0, "fail").otherwise("pass")
+    return size.crossJoin(found).select("comparisons", "unmarked", "marked", verdict.alias("verdict"))
+
+
+def best_spec(gaps: DataFrame, specs: DataFrame, least: float = 0.6) -> DataFrame:
+    """``id, text`` against ``spec, mission``: the spec whose mission holds the largest share of a gap's content words, with
+    that share; null below ``least``. Joined by word; of equal shares the first spec by name."""
+    words = lambda c: F.array_distinct(F.filter(F.regexp_extract_all(F.lower(c), F.lit("[a-z][a-z0-9-]{3,}"), F.lit(0)), lambda w: ~w.isin(STOP_WORDS)))
+    asked = gaps.select("id", words(F.col("text")).alias("w")).select("id", F.size("w").alias("n"), F.explode_outer("w").alias("word"))
+    known = specs.select("spec", F.explode(words(F.col("mission"))).alias("word")).distinct()
+    shared = asked.join(known, "word").groupBy("id", "n", "spec").agg(F.count("*").alias("k"))
+    best = shared.groupBy("id").agg(F.min_by(F.struct("spec", F.bround(F.col("k") / F.col("n"), 4).alias("share")), F.struct(-F.col("k"), "spec")).alias("b"))
+    return gaps.select("id").join(best.where(F.col("b.share") >= least), "id", "left").select("id", "b.spec", "b.share")
 
 
 def artifact_flows(ledger: DataFrame, mode: str = "asof") -> DataFrame:
@@ -113,22 +152,50 @@ def artifact_flows(ledger: DataFrame, mode: str = "asof") -> DataFrame:
 
 def match_unique_in_window(spans: DataFrame, points: DataFrame, slack: int = 2) -> DataFrame:
     """``key, label, start, end`` against ``label, ts, ref``: the one point of a label within the span (slack seconds each side), or
-    null when none or several fit."""
+    null when none or several fit.
+
+    Points and both ends of each span are put in one order of time per label; the number of points up to an end and the
+    last point before it tell how many lie between and which one it is, so no pair of span and point is formed.
+    """
     pad = F.expr(f"interval {slack} seconds")
-    s, p = spans.alias("s"), points.alias("p")
-    hit = (F.col("s.label") == F.col("p.label")) & F.col("p.ts").between(F.col("s.start") - pad, F.col("s.end") + pad)
-    found = s.join(p, hit, "left").groupBy("s.key").agg(F.count("p.ref").alias("n"), F.min("p.ref").alias("ref"))
-    return found.select("key", F.when(F.col("n") == 1, F.col("ref")).alias("ref"))
+    end = lambda at, side: spans.select("key", "label", at.alias("ts"), F.lit(side).alias("side"), F.lit(None).cast(points.schema["ref"].dataType).alias("ref"))
+    dots = points.select(F.lit(None).cast(spans.schema["key"].dataType).alias("key"), "label", "ts", F.lit(1).alias("side"), "ref").where("ts is not null and ref is not null")
+    rows = end(F.col("start") - pad, 0).unionByName(dots).unionByName(end(F.col("end") + pad, 2))
+    w = Window.partitionBy("label").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.withColumn("n", F.count("ref").over(w)).withColumn("last", F.last("ref", True).over(w)).where("side <> 1")
+    of = seen.groupBy("key").agg(F.max(F.when(F.col("side") == 2, F.col("n"))).alias("upto"), F.max(F.when(F.col("side") == 0, F.col("n"))).alias("before"), F.max_by("last", "side").alias("ref"))
+    return of.select("key", F.when(F.col("upto") - F.col("before") == 1, F.col("ref")).alias("ref"))
 
 
 def match_prompt_prefix(records: DataFrame, transcripts: DataFrame, prefix: int = 200, seconds: int = 300) -> DataFrame:
-    """``key, prompt, ts`` against ``ref, prompt, ts``: equal squashed prefixes; of several only a sole one within the time."""
+    """``key, prompt, ts`` against ``ref, prompt, ts``: equal squashed prefixes; of several only a sole one within the time.
+    Matches are counted, not paired, so a popular or empty prompt costs no more than its rows."""
     cut = F.left(T.squash(F.col("prompt")), F.lit(prefix))
     r = records.select("key", cut.alias("p"), F.col("ts").alias("at"))
     t = transcripts.select("ref", cut.alias("p"), "ts")
-    near = F.abs(F.unix_timestamp("ts") - F.unix_timestamp("at")) <= seconds
-    of = r.join(t, "p", "left").groupBy("key").agg(F.count("ref").alias("n"), F.min("ref").alias("any"), F.count_if(near).alias("k"), F.min(F.when(near, F.col("ref"))).alias("close"))
-    return of.select("key", F.when(F.col("n") == 1, F.col("any")).when(F.col("k") == 1, F.col("close")).alias("ref"))
+    sole = t.groupBy("p").agg(F.count("*").alias("n"), F.min("ref").alias("any"))
+    span = F.expr(f"interval {seconds} seconds")
+    second = F.date_trunc("second", "at")
+    near = match_unique_in_window(
+        r.select("key", F.col("p").alias("label"), (second - span).alias("start"), (second + span).alias("end")), t.select(F.col("p").alias("label"), F.date_trunc("second", "ts").alias("ts"), "ref"), slack=0
+    ).select("key", F.col("ref").alias("close"))
+    return r.join(sole, "p", "left").join(near, "key", "left").select("key", F.when(F.col("n") == 1, F.col("any")).otherwise(F.col("close")).alias("ref"))
+
+
+#: How a prompt that spawns an agent begins, and where its label must end.
+SPAWN_PREFIX, SPAWN_END = "You are", 160
+
+
+def match_spawn_label(labels: DataFrame, prompts: DataFrame) -> DataFrame:
+    """``key, text`` of prompts that spawn an agent (``You are ...``) to the label they name, or null: the first known label
+    in the text, as a whole token, that ends within the first characters."""
+    # a token that runs past the limit is cut there, and so names nothing unless it ends there
+    whole = F.when(F.substring("text", SPAWN_END + 1, 1).rlike("[A-Za-z0-9_-]"), F.regexp_replace(F.left("text", F.lit(SPAWN_END)), "[A-Za-z0-9_-]+$", "")).otherwise(F.col("text"))
+    asked = prompts.where(F.col("text").startswith(SPAWN_PREFIX)).select("key", whole.alias("text"))
+    words = asked.select("key", F.posexplode_outer(F.regexp_extract_all(F.lower(F.left("text", F.lit(SPAWN_END))), F.lit("[a-z0-9][a-z0-9_-]*"), F.lit(0))).alias("at", "label"))
+    known = labels.select(F.lower("label").alias("label")).distinct()
+    first = words.join(known, "label").groupBy("key").agg(F.min_by("label", "at").alias("label"))
+    return prompts.select("key").join(first, "key", "left")
 
 
 def match_label(labels: DataFrame, prompts: DataFrame) -> DataFrame:
@@ -146,10 +213,20 @@ def prefixes(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
 
 
-def owner_of(paths: DataFrame, scopes: DataFrame) -> DataFrame:
-    """``path`` against ``scope, owner`` (a file or directory): the most specific scope wins, a tie between owners gives none."""
+def owner_of(paths: DataFrame, scopes: DataFrame, globs: DataFrame | None = None) -> DataFrame:
+    """``path`` against ``scope, owner`` (a file or directory): the most specific scope wins, a tie between owners gives none.
+    ``globs`` are further scopes with ``*`` (within a directory) or ``**``; each is looked for only under the directory
+    before its first wildcard, and is as specific as it is long."""
     parts = paths.select("path").distinct().withColumn("scope", F.explode(prefixes(F.col("path"))))
-    hits = parts.join(scopes.select("scope", "owner").distinct(), "scope").withColumn("r", F.rank().over(Window.partitionBy("path").orderBy(F.length("scope").desc())))
+    hits = parts.join(scopes.select("scope", "owner").distinct(), "scope")
+    if globs is not None:
+        fixed = F.regexp_replace(F.col("scope"), r"/?[^/*]*\*.*$", "")
+        shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("scope", r"([.+?()\[\]{}|^$])", r"\\$1"), r"\*\*", "\u0001"), r"\*", "[^/]*")
+        known = globs.select("scope", "owner").distinct().select(F.col("scope").alias("glob"), "owner", fixed.alias("scope"), F.concat(F.lit("^"), F.replace(shape, F.lit("\u0001"), F.lit(".*")), F.lit("$")).alias("shape"))
+        under = parts.unionByName(paths.select("path").distinct().withColumn("scope", F.lit("")))
+        found = under.join(known, "scope").where(F.rlike("path", F.col("shape"))).select("path", F.col("glob").alias("scope"), "owner")
+        hits = hits.select("path", "scope", "owner").unionByName(found)
+    hits = hits.withColumn("r", F.rank().over(Window.partitionBy("path").orderBy(F.length("scope").desc())))
     best = hits.where("r = 1").groupBy("path").agg(F.countDistinct("owner").alias("n"), F.min("owner").alias("owner"))
     return paths.join(best.select("path", F.when(F.col("n") == 1, F.col("owner")).alias("owner")), "path", "left")
 
@@ -193,17 +270,36 @@ def decision_outcomes(decisions: DataFrame, outcomes: DataFrame) -> DataFrame:
     return decisions.join(of, "decision_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-def audit_twins(meta: DataFrame) -> DataFrame:
-    """Rows with ``twin_of`` against the real rows of that source: missing, duplicate and mismatched twins, and a verdict."""
-    real = meta.where("block = 'real_trajectory'").groupBy(F.col("source_row_id").alias("twin_of")).agg(F.count("*").alias("n"), F.min("gold_class").alias("g"), F.min("cf_group").alias("c"))
+def audit_twins(meta: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Rows with ``twin_of`` against the real rows of that source: twins, missing and duplicate ones, each of the ``fields``
+    that differs (``<field>_differs``), the share of real rows that have a twin, of twins with a real row and of twins
+    that agree in all fields, and a verdict: no twins are suspect, missing or differing ones fail, duplicates are
+    suspect."""
+    fields = fields or ["gold_class"]
+    same = meta.where("block = 'real_trajectory'")
+    real = same.groupBy(F.col("source_row_id").alias("twin_of")).agg(F.count("*").alias("n"), *[F.min(f).alias(f"_{f}") for f in fields])
     twins = meta.where("twin_of is not null").join(real, "twin_of", "left")
-    bad = F.count_if(F.col("n").isNull())
-    return twins.agg(
+    differs = {f: F.coalesce(F.col("n").isNotNull() & ~F.col(f).eqNullSafe(F.col(f"_{f}")), F.lit(False)) for f in fields}
+    clean = F.col("n").isNotNull()
+    for d in differs.values():
+        clean = clean & ~d
+    of = twins.agg(
         F.count("*").alias("twins"),
-        bad.alias("missing"),
+        F.count_if(F.col("n").isNull()).alias("missing"),
         F.count_if(F.col("n") > 1).alias("duplicate"),
-        F.count_if(F.col("g") != F.col("gold_class")).alias("class_differs"),
-        F.when(F.count("*") == 0, "suspect").when(bad > 0, "fail").otherwise("pass").alias("verdict"),
+        *[F.count_if(d).alias(f"{f}_differs") for f, d in differs.items()],
+        F.count_if(clean).alias("_clean"),
+    )
+    have = real.join(meta.select("twin_of").distinct(), "twin_of", "left_semi").agg(F.count("*").alias("_have")).crossJoin(real.agg(F.count("*").alias("_real")))
+    wrong = F.col("missing")
+    for f in fields:
+        wrong = wrong + F.col(f"{f}_differs")
+    return of.crossJoin(have).select(
+        "twins", "missing", "duplicate", *[f"{f}_differs" for f in fields],
+        T.pct4(F.col("_have"), F.col("_real")).alias("real_covered"),
+        T.pct4(F.col("twins") - F.col("missing"), F.col("twins")).alias("twins_resolved"),
+        T.pct4(F.col("_clean"), F.col("twins")).alias("twins_clean"),
+        F.when(F.col("twins") == 0, "suspect").when(wrong > 0, "fail").when(F.col("duplicate") > 0, "suspect").otherwise("pass").alias("verdict"),
     )
 
 
@@ -215,6 +311,17 @@ def resolve_edges(edges: DataFrame, agents: DataFrame) -> DataFrame:
     return edges.join(a, "from_key", "left").join(b, "to_key", "left").withColumn("run_id", run).drop("ra", "rb")
 
 
+def parent_candidates(agents: DataFrame, dispatches: DataFrame, goals: DataFrame) -> DataFrame:
+    """Claims on children from three sources: ``agents`` (``agent, folder``: the agent of the nearest folder above), dispatch
+    records (``parent, child``) and agents named in goal texts (``parent, child``)."""
+    above = agents.select(F.col("agent").alias("child"), F.posexplode(prefixes(F.col("folder"))).alias("depth", "p"))
+    home = agents.select(F.col("agent").alias("parent"), F.array_join(F.filter(F.split("folder", "/"), lambda x: x != ""), "/").alias("p"))
+    owners = above.join(home, "p").where("child <> parent")
+    nearest = owners.withColumn("r", F.rank().over(Window.partitionBy("child").orderBy(F.col("depth").desc()))).where("r = 1").select("child", "parent", F.lit("folder").alias("basis"))
+    named = lambda df, basis: df.where("child <> parent").select("child", "parent", F.lit(basis).alias("basis"))
+    return nearest.unionByName(named(dispatches, "dispatch")).unionByName(named(goals, "goal"))
+
+
 def parent_edges(candidates: DataFrame) -> DataFrame:
     """``child, parent, basis``: folder before dispatch before goal text; the first basis with exactly one claimant wins."""
     rank = F.when(F.col("basis") == "folder", 0).when(F.col("basis") == "dispatch", 1).otherwise(2)
@@ -248,8 +355,17 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     return b.join(a, key, "full_outer").select(key, change.alias("change")).where("change is not null")
 
 
+def lane_crossings(scopes: DataFrame, markers: dict[str, str]) -> DataFrame:
+    """``id, lane, path``: scopes whose path holds another lane's marker (a path component) and not their own."""
+    parts = F.filter(F.split("path", "/"), lambda x: x != "")
+    other = F.array_compact(F.array(*[F.when(F.array_contains(parts, m) & (F.col("lane") != lane), F.lit(lane)) for lane, m in markers.items()]))
+    own = F.coalesce(F.array_contains(parts, F.try_element_at(F.create_map(*[F.lit(x) for kv in markers.items() for x in kv]), F.col("lane"))), F.lit(False))
+    return scopes.where(~own).select("id", "lane", F.explode(other).alias("crosses"))
+
+
 def scope_overlaps(scopes: DataFrame) -> DataFrame:
-    """``id, path``: pairs in which one path is a component prefix of the other (or equal), the smaller id first."""
+    """``id, path``: pairs in which one path is a component prefix of the other (or equal), the smaller id first. All
+    pairs are the result by definition; scopes are the few declared paths of roles, not documents."""
     parts = scopes.select("id", "path", F.explode(prefixes(F.col("path"))).alias("p"))
     outer = scopes.select(F.col("id").alias("other"), F.array_join(F.filter(F.split("path", "/"), lambda x: x != ""), "/").alias("p"))
     pairs = parts.join(outer, "p").where("id <> other")

@@ -50,13 +50,29 @@ def merge_boards(rows: DataFrame) -> DataFrame:
 
 def seal_heldout(population: DataFrame, key: str, seed: str, fraction: float = 0.2, least: int = 5) -> DataFrame:
     """The first ``max(least, round_half_even(fraction * n))`` distinct keys by sha256 of ``seed:key``; refuses fewer than
-    ``least`` keys. The threshold hash comes from a bounded sort, so ranking needs no single-partition window."""
+    ``least`` keys. The same population and seed give the same seal."""
     ids = population.select(F.col(key).cast("string").alias("id")).where("id is not null").distinct().withColumn("h", F.sha2(F.concat(F.lit(seed + ":"), F.col("id")), 256))
     n = ids.count()
     if n < least:
         raise ValueError(f"{n} keys are too few to seal")
     take = max(least, round(fraction * n))
-    return ids.orderBy("h", "id").limit(take).select("id", F.substring(F.sha2("id", 256), 1, 16).alias("fingerprint"))
+    return first_by_hash(ids, "h", take).select("id", F.substring(F.sha2("id", 256), 1, 16).alias("fingerprint"))
+
+
+def first_by_hash(rows: DataFrame, column: str, take: int) -> DataFrame:
+    """The ``take`` rows with the smallest hex hashes (ties by ``id``). Rows are counted by the first four digits; parts below
+    the one in which the boundary lies are taken whole, and only that one is sorted: a share of all rows does not pass
+    through one task."""
+    part = F.substring(column, 1, 4)
+    upto, boundary, before = 0, None, 0
+    for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect():  # at most 65536 parts
+        if upto + r.n > take:
+            boundary, before = r.p, upto
+            break
+        upto += r.n
+    if boundary is None:
+        return rows
+    return rows.where(part < boundary).unionByName(rows.where(part == boundary).orderBy(column, "id").limit(take - before))
 
 
 def is_held_out(rows: DataFrame, key: str, sealed: DataFrame) -> DataFrame:
@@ -64,14 +80,21 @@ def is_held_out(rows: DataFrame, key: str, sealed: DataFrame) -> DataFrame:
     return rows.withColumn("fingerprint", T.fp16(F.col(key).cast("string"))).join(flags, "fingerprint", "left").withColumn("held_out", F.coalesce("held_out", F.lit(False)))
 
 
-def lease_chain(beats: DataFrame, lease_s: int = 1800) -> DataFrame:
-    """Per holder: the first break of its lease chain, or null: sequence not +1, or issued after the lease before ran out."""
+def lease_chain(beats: DataFrame, lease_s: int = 1800, now: str | None = None) -> DataFrame:
+    """Per holder: the first break of its lease chain, or null: sequence not +1, or not issued after the lease before began
+    and before it ran out. With ``now`` the last lease must still be active. Where beats carry ``expires_at`` a lease
+    must last exactly ``lease_s``."""
     w = Window.partitionBy("session_id").orderBy("seq")
     fault = (
         F.when(F.col("ts").isNull(), "no_time")
         .when(F.lag("seq").over(w) + 1 != F.col("seq"), "sequence")
         .when(F.unix_timestamp("ts") - F.unix_timestamp(F.lag("ts").over(w)) > lease_s, "late")
     )
+    if "expires_at" in beats.columns:
+        fault = F.coalesce(fault, F.when(~F.coalesce(F.unix_timestamp("expires_at") - F.unix_timestamp("ts") == lease_s, F.lit(False)), "length"), F.when(F.col("ts") <= F.lag("ts").over(w), "early"))
+    if now is not None:
+        over = F.lead("seq").over(w).isNull() & (F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp("ts") >= lease_s)
+        fault = F.coalesce(fault, F.when(over, "expired"))
     each = beats.withColumn("fault", fault)
     return each.groupBy("session_id").agg(F.min(F.when(F.col("fault").isNotNull(), F.struct("seq", "fault"))).alias("f")).select("session_id", F.col("f.fault").alias("fault"), F.col("f.seq").cast("string").alias("seq"))
 
@@ -115,9 +138,16 @@ def uncited_rows(specs: DataFrame, column: str = "text", row: str = r"^\| S-", c
 def select_capped(pool: DataFrame, k: int, per_account: int, share: float, seed: str) -> DataFrame:
     """A deterministic pick of ``k``: at most ``per_account`` of an account and ``share * k`` of a class, in hash order."""
     h = F.sha2(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")), 256)
-    rank = lambda c: F.row_number().over(Window.partitionBy(c).orderBy("h", "id"))
-    capped = pool.withColumn("h", h).withColumn("a", rank("account_id")).where(F.col("a") <= per_account).withColumn("c", rank("class")).where(F.col("c") <= int(share * k))
-    return capped.orderBy("h", "id").limit(k).drop("h", "a", "c")
+
+
+    def first(df: DataFrame, column: str, most: int) -> DataFrame:
+        """The first ``most`` of each value, first in 64 parts of it, so a popular value is no single sort."""
+        for by in ([column, F.substring("h", 1, 2)], [column]):
+            df = df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy("h", "id"))).where(F.col("_k") <= most).drop("_k")
+        return df
+
+    capped = first(first(pool.withColumn("h", h), "account_id", per_account), "class", int(share * k))
+    return first_by_hash(capped, "h", k).drop("h")
 
 
 def apply_doses(corpus: DataFrame, doses: dict[str, int], halve: list[str], seed: str) -> DataFrame:

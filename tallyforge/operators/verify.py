@@ -64,41 +64,59 @@ def rule_roles(chat: DataFrame) -> DataFrame:
 
 
 def rule_tool_pairing(traj: DataFrame) -> DataFrame:
-    """Calls must be answered in order by tool messages: an orphan or misordered answer, a new call or a user or system
-    message while answers are pending, and calls left unanswered before the record's end. An unanswered last call is the
-    record's label and stands."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "role", "call_id")))
-    state = F.struct(F.array().cast("array<string>").alias("pending"), F.array().cast("array<string>").alias("errors"))
+    """Calls must be answered in order by tool messages: an orphan, unknown or misordered answer, new calls or a user or
+    system message while answers are pending (which are dropped then), and calls left unanswered that are not the
+    record's last message. An unanswered last message is the record's label and stands. A message with several calls is
+    several rows of one ``pos``, in the order of ``call`` where there is such a column."""
+    index = F.col("call") if "call" in traj.columns else F.lit(0)
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), index.alias("call"), "role", "call_id")))
+    none = F.array().cast("array<string>")
+    state = F.struct(none.alias("pending"), F.lit(-1).alias("owner"), none.alias("errors"))
 
     def step(s: Column, m: Column) -> Column:
         pending, errors = s["pending"], s["errors"]
         waiting = F.size(pending) > 0
-        is_call = (m["role"] == "assistant") & m["call_id"].isNotNull()
+        calls = (m["role"] == "assistant") & m["call_id"].isNotNull()
+        again = calls & (m["pos"] == s["owner"])
+        answer = m["role"] == "tool"
+        known = F.coalesce(F.array_contains(pending, m["call_id"]), F.lit(False))
+        speaks = m["role"].isin("user", "system")
         err = (
-            F.when((m["role"] == "tool") & ~waiting, "orphan_result")
-            .when((m["role"] == "tool") & ~F.coalesce(F.element_at(pending, 1) == m["call_id"], F.lit(False)), "wrong_result_id")
-            .when((m["role"] != "tool") & waiting, F.concat(F.lit("pending_at_"), m["role"]))
+            F.when(answer & ~waiting, "orphan_result")
+            .when(answer & ~known, "unknown_result")
+            .when(answer & (F.try_element_at(pending, F.lit(1)) != m["call_id"]), "out_of_order")
+            .when(calls & ~again & waiting, "pending_at_assistant")
+            .when(speaks & waiting, F.concat(F.lit("pending_at_"), m["role"]))
         )
+        place = F.array_position(pending, m["call_id"]).cast("int")
+        rest = F.concat(F.slice(pending, F.lit(1), F.greatest(place - 1, F.lit(0))), F.slice(pending, F.greatest(place, F.lit(0)) + 1, F.size(pending)))
         after = (
-            F.when((m["role"] == "tool") & waiting, F.slice(pending, F.lit(2), F.size(pending)))
-            .when(is_call, F.array(m["call_id"]))
-            .when(m["role"] != "tool", F.array().cast("array<string>"))
+            F.when(answer & known, rest)
+            .when(again, F.concat(pending, F.array(m["call_id"])))
+            .when(calls, F.array(m["call_id"]))
+            .when(speaks, none)
             .otherwise(pending)
         )
-        return F.struct(after.alias("pending"), F.when(err.isNotNull(), F.concat(errors, F.array(err))).otherwise(errors).alias("errors"))
+        said = F.when(err.isNotNull(), F.concat(errors, F.array(err))).otherwise(errors)
+        return F.struct(after.alias("pending"), F.when(calls, m["pos"]).otherwise(s["owner"]).alias("owner"), said.alias("errors"))
 
-    folded = traj.groupBy("line").agg(ordered.alias("m")).select("line", F.aggregate("m", state, step)["errors"].alias("e"))
-    return _out(folded.withColumn("d", F.explode("e")), "tool_pairing", F.col("d"))
+    folded = traj.groupBy("line").agg(ordered.alias("m")).select("line", F.aggregate("m", state, step).alias("s"), F.element_at("m", -1)["pos"].alias("last"))
+    left = (F.size("s.pending") > 0) & (F.col("s.owner") != F.col("last"))
+    errors = F.when(left, F.concat("s.errors", F.array(F.lit("unanswered")))).otherwise(F.col("s.errors"))
+    return _out(folded.withColumn("d", F.explode(errors)), "tool_pairing", F.col("d"))
 
 
 def rule_tool_struct(traj: DataFrame, declared: list[str]) -> DataFrame:
-    """Call id present and unique in its record, declared name, arguments a JSON object in a string."""
+    """Call id present and unique in its record, type ``function`` (where there is a column ``call_type``), declared name,
+    arguments a JSON object in a string."""
+    kind = F.coalesce(F.col("call_type") != "function", F.lit(True)) if "call_type" in traj.columns else F.lit(False)
     calls = traj.where("role = 'assistant' and (call_id is not null or tool_name is not null or args is not null)")
     w = Window.partitionBy("line", "call_id")
     args = F.try_parse_json("args")
     tests = [
         ("no_id", F.col("call_id").isNull()),
         ("duplicate_id", F.count("*").over(w) > 1),
+        ("not_function", kind),
         ("undeclared_tool", ~F.coalesce(F.col("tool_name").isin(declared), F.lit(False))),
         ("bad_arguments", args.isNull() | ~F.schema_of_variant(args).startswith("OBJECT")),
     ]
@@ -107,9 +125,14 @@ def rule_tool_struct(traj: DataFrame, declared: list[str]) -> DataFrame:
 
 
 def rule_weights(meta: DataFrame) -> DataFrame:
-    """Record weight absent, not positive, or above the maximum."""
+    """Record weight absent, no number (a boolean or a text, in a variant column too), not positive, or above the maximum."""
+    kind = dict(meta.dtypes)["weight"]
+    other = F.lit(kind in ("boolean", "string"))
     w = F.col("weight").cast("double")
-    return _out(meta.withColumn("d", F.when(w.isNull() | F.isnan(w), "missing").when(w <= 0, "not_positive").when(w > WEIGHT_MAX, "too_large")).where("d is not null"), "weights", F.col("d"))
+    if kind == "variant":
+        other = F.schema_of_variant("weight").isin("BOOLEAN", "STRING") | F.schema_of_variant("weight").rlike("^(OBJECT|ARRAY)")
+        w = F.try_variant_get("weight", "$", "double")
+    return _out(meta.withColumn("d", F.when(F.col("weight").isNotNull() & other, "not_numeric").when(w.isNull() | F.isnan(w), "missing").when(w <= 0, "not_positive").when(w > WEIGHT_MAX, "too_large")).where("d is not null"), "weights", F.col("d"))
 
 
 def rule_masks(chat: DataFrame) -> DataFrame:
@@ -127,15 +150,23 @@ def rule_content(chat: DataFrame, calls: Column | None = None) -> DataFrame:
     return _out(chat.where("role = 'assistant'").withColumn("d", d).where("d is not null"), "content", F.concat_ws(":", F.col("d"), F.col("pos").cast("string")))
 
 
-def rule_caps(chat: DataFrame, messages: int = CAP_MESSAGES, tokens: int = CAP_TOKENS) -> DataFrame:
-    """More messages or estimated tokens (characters div 4) than a record may have."""
+def rule_caps(chat: DataFrame, calls: DataFrame | None = None, tools: DataFrame | None = None, messages: int = CAP_MESSAGES, tokens: int = CAP_TOKENS, turn_calls: int = CAP_CALLS, record_tools: int = CAP_TOOLS) -> DataFrame:
+    """More messages or estimated tokens (characters div 4) than a record may have; more calls in a message (``calls``: a
+    row ``line, pos`` per call) or declared tools (``tools``: a row ``line, tool`` each)."""
     of = chat.groupBy("line").agg(F.count("*").alias("n"), F.floor(F.sum(F.length(F.coalesce("content", F.lit("")))) / 4).alias("t"))
     codes = F.explode(F.array_compact(F.array(F.when(F.col("n") > messages, F.lit("messages")), F.when(F.col("t") > tokens, F.lit("tokens")))))
-    return _out(of.withColumn("d", codes), "caps", F.col("d"))
-
-
-def rule_grounding(traj: DataFrame) -> DataFrame:
-    """Significant numbers of assistant text that occur in no system, user or tool text nor call argument of the record."""
+    out = _out(of.withColumn("d", codes), "caps", F.col("d"))
+    if calls is not None:
+        out = out.unionByName(_out(calls.groupBy("line", "pos").agg(F.count("*").alias("n")).where(F.col("n") > turn_calls), "caps", F.concat(F.lit("calls:"), F.col("pos").cast("string"))))
+    if tools is not None:
+        out = out.unionByName(_out(tools.groupBy("line").agg(F.countDistinct("tool").alias("n")).where(F.col("n") > record_tools), "caps", F.lit("tools")))
+    return out
+
+
+def rule_grounding(traj: DataFrame, tooled: DataFrame | None = None) -> DataFrame:
+    """Significant numbers of assistant text that occur in no system, user or tool text nor call argument of the record.
+    Only records with tools (``tooled``: their ``line``; all if not given) are held to it."""
+    traj = traj if tooled is None else traj.join(tooled.select("line").distinct(), "line", "left_semi")
     numbers = traj.select("line", "role", T.significant_numbers(F.coalesce("content", F.lit(""))).alias("c"), T.significant_numbers(F.coalesce("args", F.lit(""))).alias("a"))
     own = F.when(F.col("role") == "assistant", F.col("c")).otherwise(F.array().cast("array<string>"))
     given = F.when(F.col("role") == "assistant", F.col("a")).otherwise(F.concat("c", "a"))
@@ -144,9 +175,14 @@ def rule_grounding(traj: DataFrame) -> DataFrame:
     return _out(of.withColumn("x", loose).where("size(x) > 0"), "grounding", F.array_join("x", ","))
 
 
-def rule_probe_markers(records: DataFrame, text_col: str = "content") -> DataFrame:
-    """Canary phrases in any content."""
-    return _out(records.where(F.col(text_col).rlike(PROBE_CANARY)), "probe_markers", F.lit("canary"))
+def rule_probe_markers(records: DataFrame, text_col: str = "content", keys_col: str | None = None) -> DataFrame:
+    """Canary phrases in any content; with ``keys_col`` (an array of a record's keys) also marker keys, in any case and with
+    any leading underscores."""
+    out = _out(records.where(F.col(text_col).rlike(PROBE_CANARY)), "probe_markers", F.lit("canary"))
+    if keys_col is None:
+        return out
+    keyed = records.withColumn("_key", F.explode(keys_col)).where(F.lower(F.regexp_replace("_key", "^_+", "")).isin(PROBE_KEYS))
+    return out.unionByName(_out(keyed, "probe_markers", F.concat(F.lit("key:"), F.col("_key"))))
 
 
 def rule_duplicates(raw: DataFrame) -> DataFrame:
@@ -162,6 +198,18 @@ def rule_manifest(corpus: DataFrame, meta: DataFrame) -> DataFrame:
     return _out(c.join(m, "line", "full_outer").withColumn("d", d).where("d is not null"), "manifest", F.col("d"))
 
 
+def manifest_state(corpus: DataFrame, meta: DataFrame | None, required: bool = False) -> DataFrame:
+    """One row ``rows, declared, faults, verdict``: without a manifest the check did not run (suspect if one is required);
+    unequal row counts or any fault of ``rule_manifest`` fail."""
+    size = corpus.agg(F.count("*").alias("rows"))
+    if meta is None:
+        return size.select("rows", F.lit(0).cast("long").alias("declared"), F.lit(0).cast("long").alias("faults"), F.lit("suspect" if required else "not_run").alias("verdict"))
+    declared, faults = meta.agg(F.count("*").alias("declared")), rule_manifest(corpus, meta).agg(F.count("*").alias("faults"))
+    bad = (F.col("rows") != F.col("declared")) | (F.col("faults") > 0)
+    empty = "suspect" if required else "not_run"
+    return size.crossJoin(declared).crossJoin(faults).withColumn("verdict", F.when(F.col("declared") == 0, empty).when(bad, "fail").otherwise("pass"))
+
+
 def rule_contamination(prompts: DataFrame, probes: DataFrame, text_col: str = "text") -> DataFrame:
     """Prompts whose fingerprint is a probe's. Both sides are hashed and joined on the hash."""
     keys = probes.select(T.prompt_fingerprint(F.col(text_col)).alias("h")).distinct()
@@ -177,12 +225,9 @@ def report(violations: DataFrame, rules: list[str], records: DataFrame, examples
     empty every verdict is suspect."""
     spark = violations.sparkSession
     names = spark.createDataFrame([(r,) for r in rules], "rule string")
-    ranked = violations.withColumn("k", F.row_number().over(Window.partitionBy("rule").orderBy("line", "detail")))
-    of = ranked.groupBy("rule").agg(
-        F.count("*").alias("n"),
-        F.countDistinct("line").alias("l"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("k") <= examples, F.struct("k", "line")))), lambda x: x["line"].cast("string")), ",").alias("f"),
-    )
+    counts = violations.groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("line").alias("l"))
+    few = first_of_each(violations, examples).groupBy("rule").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda x: x["line"].cast("string")), ",").alias("f"))
+    of = counts.join(few, "rule")
     size = records.agg(F.count("*").alias("total"))
     return names.join(of, "rule", "left").crossJoin(size).select(
         "rule",
@@ -193,21 +238,32 @@ def report(violations: DataFrame, rules: list[str], records: DataFrame, examples
     )
 
 
+def first_of_each(violations: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` violations of each rule by line, numbered ``k``: first of each of 64 parts of a rule, then of those, so
+    a rule that most records break is no single sort."""
+    order = ["line", "detail"]
+    part = F.pmod(F.xxhash64("line"), F.lit(64))
+    some = violations.withColumn("_p", part).withColumn("k", F.row_number().over(Window.partitionBy("rule", "_p").orderBy(*order))).where(F.col("k") <= n).drop("_p")
+    return some.withColumn("k", F.row_number().over(Window.partitionBy("rule").orderBy(*order))).where(F.col("k") <= n)
+
+
 def sample_violations(violations: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` of each rule by line, with the rule's true total."""
-    by = Window.partitionBy("rule")
-    return (
-        violations.withColumn("k", F.row_number().over(by.orderBy("line", "detail")))
-        .withColumn("total", F.count("*").over(by))
-        .where(F.col("k") <= n)
-        .drop("k")
-    )
+    totals = violations.groupBy("rule").agg(F.count("*").alias("total"))
+    return first_of_each(violations, n).drop("k").join(totals, "rule").select(*violations.columns, "total")
 
 
 def corpus_stats(chat: DataFrame) -> DataFrame:
-    """Records, messages, and estimated tokens least, most and in all."""
+    """Records, messages, weighted and masked messages, prompts (first user messages) that repeat an earlier one, and
+    estimated tokens: least, upper median, most and in all. The median is read from a table of distinct token counts."""
+    prompts = chat.where("role = 'user'").groupBy("line").agg(F.min_by("content", "pos").alias("p"))
+    again = prompts.groupBy(T.prompt_fingerprint(F.coalesce("p", F.lit(""))).alias("h")).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_prompts"))
     of = chat.groupBy("line").agg(F.count("*").alias("n"), F.floor(F.sum(F.length(F.coalesce("content", F.lit("")))) / 4).alias("t"))
-    return of.agg(F.count("*").alias("records"), F.sum("n").alias("messages"), F.min("t").alias("tokens_min"), F.max("t").alias("tokens_max"), F.sum("t").alias("tokens_total"))
+    total = of.agg(F.count("*").alias("records"), F.sum("n").alias("messages"), F.min("t").alias("tokens_min"), F.max("t").alias("tokens_max"), F.sum("t").alias("tokens_total"))
+    masks = chat.agg(F.count_if(F.col("weight") > 0).alias("weighted"), F.count_if(F.coalesce(F.col("weight") == 0, F.lit(True))).alias("masked"))
+    spread = of.groupBy("t").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(Window.orderBy("t"))).crossJoin(total.select("records"))
+    median = spread.where(F.col("upto") > F.floor(F.col("records") / 2)).agg(F.min("t").alias("tokens_median"))
+    return total.crossJoin(masks).crossJoin(again).crossJoin(median)
 
 
 def weight_distribution(chat: DataFrame) -> DataFrame:
@@ -224,7 +280,8 @@ def mask_convention(chat: DataFrame) -> DataFrame:
 
 
 def rule_render(chat: DataFrame) -> DataFrame:
-    """Weighted non-assistant, empty or one-token target, a record without any target, negative weights."""
+    """Weighted non-assistant, empty or one-token target, a record without any target, a record of weight 0 (where there is
+    a column ``record_weight``), negative weights."""
     w = F.col("weight").cast("double")
     target = (F.col("role") == "assistant") & (w > 0)
     size = F.length(F.coalesce("content", F.lit("")))
@@ -237,7 +294,10 @@ def rule_render(chat: DataFrame) -> DataFrame:
     codes = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in tests]))
     each = chat.withColumn("codes", codes).withColumn("d", F.explode("codes"))
     none = chat.groupBy("line").agg(F.count_if(target).alias("t")).where("t = 0")
-    return _out(each, "render", F.concat_ws(":", F.col("d"), F.col("pos").cast("string"))).unionByName(_out(none, "render", F.lit("no_target")))
+    out = _out(each, "render", F.concat_ws(":", F.col("d"), F.col("pos").cast("string"))).unionByName(_out(none, "render", F.lit("no_target")))
+    if "record_weight" in chat.columns:
+        out = out.unionByName(_out(chat.where("record_weight = 0").select("line").distinct(), "render", F.lit("record_weight_0")))
+    return out
 
 
 def rule_render_tools(traj: DataFrame, declared: list[str]) -> DataFrame:
@@ -252,9 +312,15 @@ def rule_render_tools(traj: DataFrame, declared: list[str]) -> DataFrame:
 
 
 def loss_share(chat: DataFrame) -> DataFrame:
-    """Per record and in all: the share of characters that carry loss, at four places."""
+    """The share of characters that carry loss, at four places: in all, and over records the least, upper median and most; a
+    verdict: without records suspect, without any loss fail, with a record of none suspect."""
     size = F.length(F.coalesce("content", F.lit("")))
     loss = F.when((F.col("role") == "assistant") & (F.col("weight") > 0), size).otherwise(0)
     of = chat.groupBy("line").agg(F.sum(size).alias("n"), F.sum(loss).alias("l"))
     share = of.select(T.pct4(F.col("l"), F.col("n")).alias("s"), "n", "l")
-    return share.agg(F.count("*").alias("records"), T.pct4(F.sum("l"), F.sum("n")).alias("share"), F.min("s").alias("share_min"), F.max("s").alias("share_max"))
+    total = share.agg(F.count("*").alias("records"), T.pct4(F.sum("l"), F.sum("n")).alias("share"), F.min("s").alias("share_min"), F.max("s").alias("share_max"))
+    known = share.where("s is not null").groupBy("s").agg(F.count("*").alias("c"))  # at most 10001 shares
+    spread = known.withColumn("upto", F.sum("c").over(Window.orderBy("s"))).withColumn("all", F.sum("c").over(Window.partitionBy()))
+    median = spread.where(F.col("upto") > F.floor(F.col("all") / 2)).agg(F.min("s").alias("share_median"))
+    verdict = F.when(F.col("records") == 0, "suspect").when(F.coalesce(F.col("share"), F.lit(0.0)) == 0, "fail").when(F.col("share_min") == 0, "suspect").otherwise("pass")
+    return total.crossJoin(median).withColumn("verdict", verdict)

@@ -16,15 +16,22 @@ NIGHTS, LEDGER, BEATS, POOL, META, TRAJ, COST, CHAT = (with_tables(n) for n in (
 @query(
     "agg_01_aggregate_arm",
     NIGHTS
-    + """, r AS (SELECT *, row_number() OVER (PARTITION BY night, arm, mode ORDER BY wall_ms NULLS LAST) AS k, count(wall_ms) OVER (PARTITION BY night, arm, mode) AS m FROM nights),
+    + """, r AS (SELECT *, row_number() OVER (PARTITION BY night, arm, mode ORDER BY wall_ms NULLS LAST) AS k, count(wall_ms) OVER (PARTITION BY night, arm, mode) AS m, row_number() OVER (PARTITION BY night, arm, mode ORDER BY importance NULLS LAST) AS ki, count(importance) OVER (PARTITION BY night, arm, mode) AS mi FROM nights),
+tt AS (SELECT night, arm, mode, string_agg(t || '=' || n, ',' ORDER BY n DESC, t) AS top_tools FROM (SELECT *, row_number() OVER (PARTITION BY night, arm, mode ORDER BY n DESC, t) AS k FROM (SELECT night, arm, mode, 't' || event_id % 8 AS t, count(*) AS n FROM nights WHERE event_id % 8 > 0 GROUP BY ALL)) WHERE k <= 5 GROUP BY ALL),
 h AS (SELECT night, arm, mode, string_agg(output_type || '=' || n, ',' ORDER BY output_type || '=' || n) AS output_types FROM (SELECT night, arm, mode, output_type, count(*) AS n FROM nights WHERE output_type IS NOT NULL GROUP BY ALL) GROUP BY ALL)
-SELECT night, arm, mode, count(*) AS records, count(DISTINCT account_id) AS accounts, count(*) FILTER (is_error) AS errors, round_even(count(*) FILTER (is_error) / count(*), 4) AS error_rate, count(*) FILTER (emitted) AS emitted, count(*) FILTER (output_type = 'no_action') AS no_action,
-count(*) FILTER (emitted AND output_type <> 'no_action') AS actionable, sha256(string_agg(DISTINCT envelope_hash, chr(10) ORDER BY envelope_hash)) AS envelopes, round_even(avg(wall_ms), 4) AS latency_mean,
+SELECT night, arm, mode, count(*) AS records, count(DISTINCT account_id) AS accounts, count(*) FILTER (is_error) AS errors, round_even(count(*) FILTER (is_error) / count(*), 4) AS error_rate, count(*) FILTER (emitted) AS emitted, count(*) FILTER (NOT emitted) AS never_emitted, count(*) FILTER (output_type = 'no_action') AS no_action, round_even(count(*) FILTER (output_type = 'no_action') / count(*), 4) AS no_action_rate,
+count(*) FILTER (emitted AND output_type <> 'no_action') AS actionable, sha256(string_agg(DISTINCT envelope_hash, chr(10) ORDER BY envelope_hash)) AS envelopes, count(DISTINCT envelope_hash) AS envelope_hashes, round_even(avg(wall_ms), 4) AS latency_mean,
+CAST(sum(coalesce(tool_calls, 0)) AS BIGINT) AS tool_calls_total, CAST(sum(tool_errors) AS BIGINT) AS tool_errors_total, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens_total, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens_total,
+round_even(sum(iterations) / count(*), 4) AS iterations_mean, round_even(sum(prompt_tokens) / count(*), 4) AS prompt_tokens_mean, round_even(sum(completion_tokens) / count(*), 4) AS completion_tokens_mean,
+count(*) FILTER (tool_errors > 0) AS records_with_tool_error, count(*) FILTER (coalesce(tool_calls, 0) = 0) AS zero_tool_call_records, round_even(count(*) FILTER (coalesce(tool_calls, 0) = 0) / count(*), 4) AS zero_tool_call_rate,
+max(max_parallel) AS max_parallel_calls, count(*) FILTER (truncated) AS truncated_records, string_agg(DISTINCT provider, ',' ORDER BY provider) AS providers, string_agg(DISTINCT model_id, ',' ORDER BY model_id) AS serving_model_ids,
+max(importance) FILTER (ki = CAST(round_even((mi - 1) * 0.5, 0) AS BIGINT) + 1) AS importance_p50, any_value(top_tools) AS top_tools,
 CAST(max(wall_ms) FILTER (m > 0 AND k = CAST(round_even((m - 1) * 0.5, 0) AS BIGINT) + 1) AS DOUBLE) AS latency_p50, CAST(max(wall_ms) FILTER (m > 0 AND k = CAST(round_even((m - 1) * 0.95, 0) AS BIGINT) + 1) AS DOUBLE) AS latency_p95, any_value(output_types) AS output_types
-FROM r LEFT JOIN h USING (night, arm, mode) GROUP BY night, arm, mode""",
+FROM r LEFT JOIN h USING (night, arm, mode) LEFT JOIN tt USING (night, arm, mode) GROUP BY night, arm, mode""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return A.aggregate_arm(load(spark, sf, "nights"), ["night", "arm", "mode"])
+    names = F.when(c("event_id") % 8 > 0, F.array(F.concat(F.lit("t"), (c("event_id") % 8).cast("string"))))
+    return A.aggregate_arm(load(spark, sf, "nights").withColumn("tool_names", names), ["night", "arm", "mode"])
 
 
 @query("agg_02_absent_latency", NIGHTS + " SELECT night, arm, count(wall_ms) > 0 AS has_latency FROM nights GROUP BY ALL")
@@ -103,15 +110,25 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return A.observed_surface(load(spark, sf, "ledger").select("tool", F.when(c("ok"), "ok").alias("output_type"), c("dt").alias("night")))
 
 
-@query("agg_13_contract_parity", "SELECT event_type AS tool, 'called_not_offered' AS code, count(*) AS calls, 'fail' AS verdict FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY ALL UNION ALL SELECT 'search', 'offered_unobserved', 0, 'info'")
+@query("agg_13_contract_parity", "SELECT event_type AS tool, 'called_not_offered' AS code, count(*) AS calls, 'fail' AS verdict FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY ALL UNION ALL SELECT 'search', 'offered_unobserved', 0, 'info' UNION ALL SELECT o_orderstatus, 'rogue_output', count(*), 'fail' FROM orders WHERE o_orderstatus NOT IN ('F', 'P') GROUP BY ALL UNION ALL SELECT o_orderpriority, 'forbidden_class', count(*), 'fail' FROM orders WHERE o_orderpriority IN ('2-HIGH', '9-NONE') GROUP BY ALL")
 def _(spark, sf):  # noqa: ANN001, ANN202
+    orders = load(spark, sf, "orders")
     offered = spark.createDataFrame([("view",), ("click",), ("search",)], "tool string")
-    return A.contract_parity(load(spark, sf, "events").select(c("event_type").alias("tool"), F.lit(1).alias("calls")), offered)
+    return A.contract_parity(load(spark, sf, "events").select(c("event_type").alias("tool"), F.lit(1).alias("calls")), offered, orders.select(c("o_orderstatus").alias("output_type")), ["F", "P"], orders.select(c("o_orderpriority").alias("gold_class")), ["2-HIGH", "9-NONE"])
 
 
-@query("agg_14_emit_lint", TRAJ + " SELECT count(*) AS emits, count(*) FILTER (NOT json_valid(args)) AS unreadable, count(*) FILTER (length(args) < 10) AS short, count(*) FILTER (json_valid(args) AND regexp_matches(args, '\"k\"[ ]*:[ ]*0[^0-9]')) AS zero FROM traj WHERE tool_name = 'purchase'")
+@query(
+    "agg_14_emit_lint",
+    """WITH e AS (SELECT event_id AS k, event_id % 13 = 0 AS bad, event_id % 2 = 0 AS own FROM events WHERE event_type = 'purchase')
+SELECT (SELECT count(*) FROM events) AS records, count(*) FILTER (NOT bad AND own AND k % 5 = 0) AS bad_archetype, count(*) FILTER (NOT bad AND k % 7 = 0) AS nonempty_drafts, count(*) FILTER (NOT bad AND k % 3 > 0) AS importance_drift,
+count(*) FILTER (NOT bad AND own AND k % 1000 > 0 AND (k % 1000 < 200 OR k % 1000 > 900)) AS rationale_out_of_band, 'fail' AS verdict FROM e""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return A.emit_lint(load(spark, sf, "traj"), "purchase")
+    k = c("line")
+    sequence = F.struct(F.when(k % 5 == 0, "C").when(k % 5 == 1, "").otherwise("A").alias("archetype"), F.repeat(F.lit("r"), (k % 1000).cast("int")).alias("rationale"))
+    args = F.struct(F.when(k % 2 == 0, "winback_enrollment").otherwise("other").alias("output_type"), F.struct(sequence.alias("sequence")).alias("payload"), F.lit("B").alias("archetype"), F.when(k % 7 == 0, "draft").otherwise("").alias("draft_body"), (k % 3).alias("importance_score"))
+    calls = load(spark, sf, "traj").withColumn("args", F.when(k % 13 == 0, "{bad").otherwise(F.to_json(args)))
+    return A.emit_lint(calls, tool="purchase")
 
 
 @query("agg_15_staleness", "SELECT event_id AS key, round_even((epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(date_trunc('second', ts))) / 3600, 1) + 0.0 AS hours, CASE WHEN round_even((epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(date_trunc('second', ts))) / 3600, 1) > 0 THEN 'stale' ELSE 'fresh' END AS state FROM events")
@@ -130,10 +147,10 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return A.readiness(book)
 
 
-@query("agg_18_project_cost", "SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS key, round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0, 4) AS usd, CASE WHEN round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0, 4) > 60 THEN 'stop' WHEN round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0, 4) <= 20 THEN 'auto' ELSE 'ask' END AS action FROM lineitem")
+@query("agg_18_project_cost", "SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS key, round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0 * 2.0 * 1.1 + 1.5, 4) AS usd, CASE WHEN round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0 * 2.0 * 1.1 + 1.5, 4) > 60 THEN 'stop' WHEN round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0 * 2.0 * 1.1 + 1.5, 4) <= 20 THEN 'auto' ELSE 'ask' END AS action FROM lineitem")
 def _(spark, sf):  # noqa: ANN001, ANN202
     runs = load(spark, sf, "lineitem").select(F.concat_ws("-", *[c(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("key"), (c("l_quantity").cast("double") * 1e6).alias("tokens"), c("l_linenumber").alias("epochs"), F.lit(1.0).alias("unroll"))
-    return A.project_cost(runs, 0.5, 60, 20)
+    return A.project_cost(runs, 0.5, 60, 20, dual=2.0, calibration=1.1, eval_cap=1.5)
 
 
 @query("agg_19_cost_summary", COST + " SELECT role_id, count(*) AS attempts, count(coalesce(corrected_usd, value_usd)) AS known, round_even(count(coalesce(corrected_usd, value_usd)) / count(*), 4) AS coverage, CASE WHEN count(coalesce(corrected_usd, value_usd)) = count(*) THEN round(sum(coalesce(corrected_usd, value_usd)), 2) END AS usd FROM swarm_cost WHERE role_id % 2 = 1 OR attempt_id % 6 <> 0 GROUP BY role_id")
@@ -177,9 +194,11 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return A.session_activity(load(spark, sf, "ledger"))
 
 
-@query("agg_25_project_usage", "SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events")
+@query("agg_25_project_usage", "SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS input_tokens, CASE WHEN event_id % 5 > 0 THEN event_id END AS output_tokens, CASE WHEN event_id % 3 > 0 THEN event_id % 3 END AS turns FROM events")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return A.project_usage(load(spark, sf, "events"), "props", ["k"])
+    k = c("event_id")
+    usage = F.struct(F.regexp_extract("props", "([0-9]+)", 1).cast("long").alias("input_tokens"), F.when(k % 5 > 0, k).alias("output_tokens"), F.when(k % 3 > 0, F.array_repeat(F.struct(k.alias("n")), (k % 3).cast("int"))).alias("iterations"))
+    return A.project_usage(load(spark, sf, "events").withColumn("usage", F.to_json(usage)), "usage", ["input_tokens", "output_tokens"])
 
 
 @query("agg_26_mixture_report", "WITH s AS (SELECT lang AS slice, count(*) AS records, CAST(sum(length(text) // 4) AS BIGINT) AS tokens FROM documents GROUP BY lang), t(slice, target) AS (VALUES ('en', 0.6), ('de', 0.05), ('fr', 0.15)) SELECT s.slice, records, tokens, round_even(tokens / (SELECT sum(tokens) FROM s), 4) AS share, CAST(target AS DOUBLE) AS target, CASE WHEN target IS NULL THEN 'suspect' WHEN abs(round_even(tokens / (SELECT sum(tokens) FROM s), 4) - target) > 0.05 THEN 'fail' ELSE 'pass' END AS verdict FROM s LEFT JOIN t ON t.slice = s.slice")
@@ -191,7 +210,7 @@ def _(spark, sf):  # noqa: ANN001, ANN202
 _ARMS = "WITH a AS (SELECT doc_id % 3 AS arm, count(*) AS n, sum(quality) AS q, sum(toxic) AS t FROM labels GROUP BY ALL)"
 
 
-@query("agg_28_lexicographic_gates", _ARMS + " SELECT arm, round_even(((q / n) + 3.8416 / (2 * n) - 1.96 * sqrt((q / n) * (1 - q / n) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 4) AS low, round_even(((q / n) + 3.8416 / (2 * n) + 1.96 * sqrt((q / n) * (1 - q / n) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 4) AS high, CASE WHEN t / n > 0.2 THEN 'fail_toxic' WHEN q / n < (SELECT max(q / n) FROM a) - 0.02 THEN 'fail_quality' ELSE 'pass' END AS verdict FROM a")
+@query("agg_28_lexicographic_gates", _ARMS + " SELECT arm, round_even(((q / n) + 3.8416 / (2 * n) - 1.96 * sqrt((q / n) * (1 - q / n) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 4) AS low, round_even(((q / n) + 3.8416 / (2 * n) + 1.96 * sqrt((q / n) * (1 - q / n) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 4) AS high, CASE WHEN t / n > (SELECT min(t / n) FROM a) THEN 'fail_toxic' WHEN q / n < (SELECT max(q / n) FROM a) - 0.02 THEN 'fail_quality' ELSE 'pass' END AS verdict FROM a")
 def _(spark, sf):  # noqa: ANN001, ANN202
     arms = load(spark, sf, "labels").groupBy((c("doc_id") % 3).alias("arm")).agg(F.count("*").alias("n"), F.sum("quality").alias("quality"), F.sum("toxic").alias("toxic"))
     return A.lexicographic_gates(arms)

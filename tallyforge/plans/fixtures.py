@@ -49,7 +49,11 @@ select cast(ts as date) as night, case when user_id % 3 = 0 then 'v3' when user_
        case when event_type = 'view' then 'no_action' when event_type = 'signup' then null else event_type end as output_type,
        event_type = 'error' as is_error, event_type <> 'error' as emitted,
        case when user_id % 3 = 2 then cast(floor(value * 10) as int) end as wall_ms,
-       cast(event_id % 5 as string) as envelope_hash
+       cast(event_id % 5 as string) as envelope_hash,
+       case when event_id % 6 = 0 then null else cast(event_id % 4 as int) end as tool_calls, cast(case when event_id % 4 = 3 then event_id % 2 else 0 end as int) as tool_errors,
+       cast(event_id % 3 as int) as max_parallel, cast(event_id % 7 as int) as iterations, event_id % 1000 as prompt_tokens, event_id % 300 as completion_tokens,
+       event_id % 50 = 0 as truncated, case when event_id % 9 > 0 then cast(event_id % 9 as int) end as importance,
+       case when event_id % 2 = 0 then 'p1' else 'p2' end as provider, 'm' || cast(user_id % 2 as string) as model_id
 from events cross join (select 'live-shadow' as mode union all select 'retro-replay') v
 where mode = 'live-shadow' or user_id % 3 = 2
 """,

@@ -60,6 +60,13 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.contradictions(load(spark, sf, "qa"))
 
 
+@query("jon_06_contradiction_report", QA + """, s AS (SELECT min(line) AS line, question, left(answer, 3) AS a, marked FROM qa GROUP BY question, left(answer, 3), marked), b AS (SELECT count(*) AS n FROM s GROUP BY question),
+p AS (SELECT x.marked OR y.marked AS m FROM s x JOIN s y ON x.question = y.question AND x.line < y.line AND x.a <> y.a)
+SELECT CAST((SELECT sum(n * (n - 1) // 2) FROM b) AS BIGINT) AS comparisons, count(*) FILTER (NOT m) AS unmarked, count(*) FILTER (m) AS marked, CASE WHEN (SELECT sum(n * (n - 1) // 2) FROM b) > 2000000 THEN 'suspect' WHEN count(*) FILTER (NOT m) > 0 THEN 'fail' ELSE 'pass' END AS verdict FROM p""")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    return J.contradiction_report(load(spark, sf, "qa"))
+
+
 _ASOF = LEDGER + """, r AS (SELECT * FROM ledger WHERE ok AND tool = 'read'), w AS (SELECT * FROM ledger WHERE ok AND tool = 'write')"""
 
 
@@ -110,6 +117,15 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.match_label(spark.createDataFrame([(x,) for x in _LABELS], "label string"), load(spark, sf, "documents").select(c("doc_id").alias("key"), "text"))
 
 
+@query("jon_10_match_spawn_label", "SELECT doc_id AS key, CASE WHEN doc_id % 4 = 0 THEN source WHEN doc_id % 4 = 1 THEN lang || '_agent' END AS label FROM documents")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    d = load(spark, sf, "documents")
+    labels = d.select(c("source").alias("label")).union(d.select(F.concat("lang", F.lit("_Agent"))))
+    kinds = F.when(c("doc_id") % 4 == 0, F.concat(F.lit("You are the "), c("source"), F.lit(", not "), c("lang"), F.lit("_agent. "))).when(c("doc_id") % 4 == 1, F.concat(F.lit("You are "), c("lang"), F.lit("_agent: ")))
+    kinds = kinds.when(c("doc_id") % 4 == 2, F.concat(F.lit("You are "), F.repeat(F.lit("x "), 75), c("source"), F.lit(" "))).otherwise(F.concat(F.lit("Ask "), c("source"), F.lit(" ")))
+    return J.match_spawn_label(labels, d.select(c("doc_id").alias("key"), F.concat(kinds, F.lit("~ "), F.when(c("doc_id") % 4 != 1, F.regexp_replace("text", "[A-Za-z0-9]", ".")).otherwise("")).alias("text")))
+
+
 _PATH = "array_to_string(list_filter(string_split(split_part(url, '/', 3) || '/' || split_part(url, '/', 4) || '/' || split_part(split_part(url, '/', 5), '?', 1), '/'), lambda x: x <> ''), '/')"
 
 
@@ -173,14 +189,28 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.decision_outcomes(load(spark, sf, "orders").select(c("o_orderkey").alias("decision_id")), out).select("decision_id", "n", "outcome")
 
 
+@query(
+    "jon_11_owner_by_glob",
+    """SELECT page_id, 'lib/m' || (page_id % 7) || CASE WHEN page_id % 2 = 0 THEN '/a.py' ELSE '/sub/b.py' END AS path, CASE WHEN page_id % 7 = 3 THEN 'deep' WHEN page_id % 2 = 0 THEN 'flat' ELSE 'root' END AS owner FROM pages""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("page_id")
+    p = load(spark, sf, "pages").select("page_id", F.concat(F.lit("lib/m"), (k % 7).cast("string"), F.when(k % 2 == 0, "/a.py").otherwise("/sub/b.py")).alias("path"))
+    scopes = spark.createDataFrame([("lib", "root")], "scope string, owner string")
+    globs = spark.createDataFrame([("lib/*/*.py", "flat"), ("lib/m3/**.py", "deep"), ("other/**", "none")], "scope string, owner string")
+    return J.owner_of(p, scopes, globs).select("page_id", "path", "owner")
+
+
 @query(
     "jon_16_audit_twins",
     META
-    + """, r AS (SELECT source_row_id, count(*) AS n, min(gold_class) AS g FROM meta WHERE block = 'real_trajectory' GROUP BY ALL)
-SELECT count(*) AS twins, count(*) FILTER (n IS NULL) AS missing, count(*) FILTER (n > 1) AS duplicate, count(*) FILTER (g <> gold_class) AS class_differs, CASE WHEN count(*) = 0 THEN 'suspect' WHEN count(*) FILTER (n IS NULL) > 0 THEN 'fail' ELSE 'pass' END AS verdict FROM meta LEFT JOIN r ON r.source_row_id = twin_of WHERE twin_of IS NOT NULL""",
+    + """, r AS (SELECT source_row_id, count(*) AS n, min(gold_class) AS g, min(cf_group) AS c, min(night) AS d, min(weight) AS w FROM meta WHERE block = 'real_trajectory' GROUP BY ALL),
+t AS (SELECT m.*, r.source_row_id AS src, n, g, c, d, w FROM meta m LEFT JOIN r ON r.source_row_id = twin_of WHERE twin_of IS NOT NULL)
+SELECT count(*) AS twins, count(*) FILTER (src IS NULL) AS missing, count(*) FILTER (n > 1) AS duplicate, count(*) FILTER (g <> gold_class) AS gold_class_differs, count(*) FILTER (c <> cf_group) AS cf_group_differs, count(*) FILTER (d <> night) AS night_differs, count(*) FILTER (w <> weight) AS weight_differs,
+round_even((SELECT count(*) FROM r WHERE source_row_id IN (SELECT twin_of FROM meta)) / (SELECT count(*) FROM r), 4) AS real_covered, round_even(count(src) / count(*), 4) AS twins_resolved, round_even(count(*) FILTER (g = gold_class AND c = cf_group AND d = night AND w = weight) / count(*), 4) AS twins_clean, 'fail' AS verdict FROM t""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return J.audit_twins(load(spark, sf, "meta"))
+    return J.audit_twins(load(spark, sf, "meta"), ["gold_class", "cf_group", "night", "weight"])
 
 
 @query("jon_17_resolve_edges", "SELECT event_id, user_id AS from_key, user_id + 1 AS to_key, CAST(CASE WHEN user_id % 4 <> 0 AND (user_id + 1) % 4 <> 0 AND user_id // 10 <> (user_id + 1) // 10 THEN NULL WHEN user_id % 4 <> 0 AND user_id IN (SELECT user_id FROM events) THEN user_id // 10 WHEN (user_id + 1) % 4 <> 0 AND user_id + 1 IN (SELECT user_id FROM events) THEN (user_id + 1) // 10 END AS VARCHAR) AS run_id FROM events WHERE user_id + 1 IN (SELECT user_id FROM events)")
@@ -192,11 +222,20 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.resolve_edges(edges, agents).select("event_id", "from_key", "to_key", c("run_id").cast("string").alias("run_id"))
 
 
-@query("jon_18_parent_edges")
+@query(
+    "jon_18_parent_edges",
+    """WITH a AS (SELECT c_custkey AS k FROM customer) SELECT 'a' || k AS child, CASE WHEN k % 3 = 1 THEN 'a' || (k - 1) WHEN k % 6 = 0 THEN 'boss' ELSE 'lead' END AS parent, CASE WHEN k % 3 = 1 THEN 'folder' WHEN k % 6 = 0 THEN 'dispatch' ELSE 'goal' END AS basis, CASE WHEN k % 3 = 1 OR k % 6 = 0 THEN 'high' ELSE 'medium' END AS confidence FROM a WHERE (k % 3 = 1 AND k - 1 IN (SELECT k FROM a)) OR (k % 3 <> 1 AND k % 6 = 0) OR (k % 3 <> 1 AND k % 6 <> 0 AND k % 5 = 0)""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
-    e = load(spark, sf, "events")
-    basis = F.when(c("event_type") == "view", "folder").when(c("event_type") == "click", "dispatch").otherwise("goal")
-    return J.parent_edges(e.select(c("user_id").alias("child"), F.when(c("event_type") == "view", c("event_id") % 3).otherwise(c("user_id") % 5).alias("parent"), basis.alias("basis")))
+    a = load(spark, sf, "customer").select(c("c_custkey").alias("k"))
+    name = lambda n: F.concat(F.lit("a"), n.cast("string"))
+    # every third agent lives in a folder of its own with the next one below it; the others apart
+    folder = F.when(c("k") % 3 == 1, F.concat(F.lit("run/f"), (c("k") - 1).cast("string"), F.lit("/sub"))).otherwise(F.concat(F.lit("run/f"), c("k").cast("string")))
+    agents = a.select(name(c("k")).alias("agent"), folder.alias("folder"))
+    dispatches = a.where("k % 6 = 0").select(F.lit("boss").alias("parent"), name(c("k")).alias("child"))
+    twice = F.explode(F.when(c("k") % 5 == 0, F.array(F.lit("lead"))).otherwise(F.array(F.lit("lead"), F.lit("other"))))
+    goals = a.where("k > 1").select(twice.alias("parent"), name(c("k")).alias("child"))
+    return J.parent_edges(J.parent_candidates(agents, dispatches, goals))
 
 
 @query("jon_19_pair_tool_results", TRAJ + " SELECT a.line, a.call_id, a.tool_name, t.content AS result FROM traj a LEFT JOIN traj t ON t.line = a.line AND t.role = 'tool' AND t.call_id = a.call_id WHERE a.role = 'assistant' AND a.call_id IS NOT NULL")
@@ -229,6 +268,14 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.scope_overlaps(_paths(spark, sf).withColumnRenamed("page_id", "id"))
 
 
+@query("jon_23_lane_crossings", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'left' ELSE 'right' END AS lane, CASE WHEN o_orderkey % 2 = 0 THEN 'right' ELSE 'left' END AS crosses FROM orders WHERE o_orderkey % 3 = 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("o_orderkey")
+    mine, other = F.when(k % 2 == 0, "left").otherwise("right"), F.when(k % 2 == 0, "right").otherwise("left")
+    path = F.when(k % 3 == 0, F.concat(F.lit("work/"), other, F.lit("_lane/x"))).when(k % 3 == 1, F.concat(F.lit("work/"), mine, F.lit("_lane/"), other, F.lit("_lane"))).otherwise(F.concat(F.lit("work/"), other, F.lit("_lane2")))
+    return J.lane_crossings(load(spark, sf, "orders").select(k.alias("id"), mine.alias("lane"), path.alias("path")), {"left": "left_lane", "right": "right_lane"})
+
+
 @query("jon_24_artifact_closure", "SELECT doc_id AS path, CASE WHEN doc_id % 11 = 0 THEN 'undeclared' WHEN doc_id % 13 = 0 THEN 'missing' ELSE 'stale' END AS fault FROM documents WHERE (doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0) AND NOT (doc_id % 11 = 0 AND doc_id % 13 = 0)")
 def _(spark, sf):  # noqa: ANN001, ANN202
     d = load(spark, sf, "documents").select(c("doc_id").alias("path"), F.sha2("text", 256).alias("sha"))

@@ -151,10 +151,10 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return E.project_agents(sessions, ledger)
 
 
-@query("evt_07_dispatch_rows", "SELECT event_id AS id, CASE event_type WHEN 'view' THEN 'stopped' WHEN 'error' THEN 'failed' ELSE 'finished' END AS state, CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 100 AS DOUBLE) / 8 END AS cost FROM events")
+@query("evt_07_dispatch_rows", "SELECT event_id AS id, CASE event_type WHEN 'view' THEN 'stopped' WHEN 'error' THEN 'failed' ELSE 'finished' END AS state, CASE WHEN event_id % 3 <> 0 THEN round_even(CAST(event_id % 100 AS DOUBLE) / 8, 2) END AS cost FROM events")
 def _(spark, sf):  # noqa: ANN001, ANN202
     o = F.when(c("event_type") == "view", "stopped").when(c("event_type") == "error", "error").otherwise("ok")
-    return E.dispatch_rows(load(spark, sf, "events").select(c("event_id").alias("id"), o.alias("outcome"), F.when(c("event_id") % 3 != 0, c("event_id") % 100 / 8).alias("cost"))).withColumn("cost", F.when(c("id") % 3 != 0, c("id") % 100 / 8))
+    return E.dispatch_rows(load(spark, sf, "events").select(c("event_id").alias("id"), o.alias("outcome"), F.when(c("event_id") % 3 != 0, c("event_id") % 100 / 8).alias("cost")))
 
 
 @query("evt_08_project_swarm", COST + " SELECT DISTINCT 'agent' AS family, CAST(role_id AS VARCHAR) AS key FROM swarm_cost UNION ALL SELECT 'event', CAST(attempt_id AS VARCHAR) FROM swarm_cost UNION ALL SELECT 'handoff', CAST(attempt_id AS VARCHAR) FROM swarm_cost WHERE corrected_usd IS NOT NULL")
@@ -192,10 +192,49 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return E.handoff_edges(d, d.where("id % 3 = 0").select("id", F.concat(F.lit("r"), c("id").cast("string")).alias("reader")))
 
 
-@query("flw_05_table_edges", "SELECT CASE event_type WHEN 'view' THEN 'GATE' WHEN 'click' THEN 'STEER' ELSE 'PROJECTION' END AS edge_type, user_id AS from_key, count(*) AS n FROM events GROUP BY ALL")
+@query(
+    "flw_05_table_edges",
+    """SELECT 'GATE' AS edge_type, CAST(user_id AS VARCHAR) AS from_key, CASE WHEN event_id % 3 = 0 THEN 'human' ELSE 'u' || (user_id + 1) END AS to_key, event_id AS ref FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'STEER', CAST(user_id + event_id % 2 AS VARCHAR), CAST(user_id AS VARCHAR), event_id FROM events WHERE event_type = 'click' AND event_id % 2 = 1
+UNION ALL SELECT 'PROJECTION', CAST(user_id AS VARCHAR), event_type, min(event_id) FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY user_id, event_type""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
-    kind = F.when(c("event_type") == "view", "GATE").when(c("event_type") == "click", "STEER").otherwise("PROJECTION")
-    return load(spark, sf, "events").groupBy(kind.alias("edge_type"), c("user_id").alias("from_key")).agg(F.count("*").alias("n"))
+    e = load(spark, sf, "events").withColumnsRenamed({"user_id": "run_id", "event_id": "id"})
+    gates = e.where("event_type = 'view'").withColumn("approver", F.when(c("id") % 3 != 0, F.concat(F.lit("u"), (c("run_id") + 1).cast("string"))))
+    steers = e.where("event_type = 'click'").withColumn("author", c("run_id") + c("id") % 2)
+    return E.table_edges(gates, steers, e.where("event_type not in ('view', 'click')").withColumn("target", c("event_type")))
+
+
+@query("flw_01_report_edges", "SELECT 'REPORT' AS edge_type, 's' || c_custkey AS from_key, 'p' || (c_custkey % 10) AS to_key FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 7 > 1 UNION ALL SELECT 'UNCLAIMED', 's' || c_custkey, NULL FROM customer WHERE c_custkey % 7 = 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("c_custkey")
+    name = lambda p, n: F.concat(F.lit(p), n.cast("string"))
+    of = load(spark, sf, "customer")
+    sessions = of.select(name("s", k).alias("session"), F.when(k % 2 == 0, "done").otherwise("live").alias("state"))
+    records = of.where(k % 7 != 0).select(name("s", k).alias("child"), F.explode(F.when(k % 7 == 1, F.array(F.lit("p0"), F.lit("x"))).otherwise(F.array(name("p", k % 10)))).alias("parent"))
+    free = E.unclaimed_sessions(sessions, records).select(F.lit("UNCLAIMED").alias("edge_type"), c("session").alias("from_key"), F.lit(None).cast("string").alias("to_key"))
+    return E.report_edges(sessions, records).unionByName(free)
+
+
+@query(
+    "flw_02_ledger_and_owner_edges",
+    LEDGER
+    + """, w AS (SELECT * FROM ledger WHERE ok AND tool = 'write'), f AS (SELECT r.path, r.session_id AS reader, (SELECT arg_max(w.session_id, (w.ts, w.event_id)) FROM w WHERE w.path = r.path AND (w.ts < r.ts OR (w.ts = r.ts AND w.event_id < r.event_id))) AS writer FROM ledger r WHERE ok AND tool = 'read')
+SELECT DISTINCT writer AS from_key, reader AS to_key, path, 'ledger' AS basis FROM f WHERE writer <> reader UNION ALL SELECT DISTINCT 'o' || (doc_id % 9), source, 'a' || (doc_id % 9), 'header' FROM documents WHERE doc_id % 9 <> 4""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("doc_id")
+    docs = load(spark, sf, "documents").select(k.alias("id"), c("source").alias("reader"), F.concat(F.lit("Consumes: a"), (k % 9).cast("string"), F.lit(", nowhere.md\n"), F.col("text")).alias("text"))
+    owners = spark.range(9).select(F.concat(F.lit("a"), c("id").cast("string")).alias("path"), F.explode(F.when(c("id") == 4, F.array(F.lit("x"), F.lit("y"))).otherwise(F.array(F.concat(F.lit("o"), c("id").cast("string"))))).alias("owner"))
+    return E.artifact_edges(load(spark, sf, "ledger"), docs, owners)
+
+
+@query("flw_03_addendum_by_heading", "SELECT 'ADDENDUM' AS edge_type, doc_id AS id, CASE WHEN doc_id % 6 = 0 THEN 'd' || (doc_id - 1) ELSE source END AS to_key, CASE WHEN doc_id % 6 = 0 THEN 'high' ELSE 'medium' END AS confidence FROM documents WHERE doc_id % 6 < 2")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("doc_id")
+    other = F.concat(F.lit("## Addendum to DOC-"), c("source"))
+    t = F.when(k % 6 == 0, F.concat(F.lit("corrects: d"), (k - 1).cast("string"), F.lit("\n"), other)).when(k % 6 == 1, other).when(k % 6 == 2, F.concat(other, F.lit(" and doc-x"))).otherwise(F.concat(F.lit("# Notes on doc-"), c("source")))
+    return E.addendum_edges(load(spark, sf, "documents").select(k.alias("id"), F.concat(t, F.lit("\n"), F.regexp_replace("text", "#", "")).alias("text")))
 
 
 @query("flw_06_project_edges", "SELECT event_id, CASE WHEN user_id % 5 = 0 THEN 'unsupported' WHEN event_type = 'view' THEN 'handoff' ELSE 'event' END AS family FROM events")
@@ -209,13 +248,43 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return E.agent_artifacts(load(spark, sf, "conversations"))
 
 
+@query(
+    "art_01_transcript_artifacts",
+    """WITH p AS (SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS prompt, arg_max(text, turn) FILTER (role = 'assistant') AS output, string_agg('tool' || turn, chr(10) ORDER BY turn) FILTER (role = 'assistant') AS tool_calls, string_agg('mull ' || text, chr(10) ORDER BY turn) FILTER (role = 'assistant') AS thinking FROM conversations GROUP BY conv_id),
+k AS (SELECT conv_id, unnest(['prompt', 'output', 'tool_calls', 'thinking']) AS kind, unnest([prompt, output, tool_calls, thinking]) AS content FROM p)
+SELECT conv_id, kind, CASE WHEN conv_id % 10 <> 0 THEN content END AS content, CASE WHEN conv_id % 10 = 0 THEN 'excluded_by_policy' WHEN content IS NULL THEN 'not_recorded' END AS reason FROM k""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    rows = load(spark, sf, "conversations")
+    block = lambda kind, text, name: F.struct(F.lit(kind).alias("type"), text.cast("string").alias("text"), name.cast("string").alias("name"))
+    both = F.array(block("thinking", F.concat(F.lit("mull "), c("text")), F.lit(None)), block("tool_use", F.lit(None), F.concat(F.lit("tool"), c("turn").cast("string"))), block("text", c("text"), F.lit(None)))
+    raw = F.when(c("role") == "assistant", F.to_json(F.struct(F.struct("role", both.alias("content")).alias("message")))).otherwise(F.to_json(F.struct(c("role").alias("type"), F.struct(c("text").alias("content")).alias("message"))))
+    blocks = R.transcript_blocks(rows.select(c("conv_id").alias("session"), c("turn").alias("line"), raw.alias("raw"))).withColumnRenamed("session", "conv_id")
+    return E.agent_artifacts(rows.where("conv_id % 3 > 0 or role = 'user'"), blocks, rows.where("conv_id % 10 = 0"))
+
+
+@query("val_03_challengers", "SELECT o_orderkey AS id, 'no_challenger' AS code FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 4 > 0 UNION ALL SELECT -1 - o_orderkey, 'ratio' FROM orders WHERE 1 = 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("o_orderkey")
+    base = load(spark, sf, "orders").select(k.alias("id"), F.lit(1).alias("numerator"), F.lit(2).alias("denominator"), F.lit(False).alias("blocking"), F.lit("opinion").alias("basis"), (c("o_orderstatus") == "O").alias("load_bearing"), F.lit("m1").alias("method"), F.lit(None).cast(dict(load(spark, sf, "orders").dtypes)["o_orderkey"]).alias("challenges"))
+    rivals = base.where("load_bearing and id % 4 < 2").select((-1 - c("id")).alias("id"), F.lit(0).alias("numerator"), "denominator", "blocking", "basis", F.lit(False).alias("load_bearing"), F.when(c("id") % 4 == 0, "m2").otherwise("m1").alias("method"), c("id").alias("challenges"))
+    return E.validate_claims(base.unionByName(rivals))
+
+
+@query("val_04_costs", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'known_and_accepted' WHEN 1 THEN 'negative_cost' ELSE 'zero_without_evidence' END AS code FROM events WHERE event_id % 5 < 3")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("event_id") % 5
+    cost = F.struct(F.when(k == 1, -1.0).when(k == 2, 0.0).when(k == 3, 0.0).when(k == 0, 2.0).alias("value_usd"), (k.isin(0, 4)).alias("accepted_unknown"), F.when(k == 3, "log").alias("evidence"))
+    return E.validate_swarm_events(load(spark, sf, "events").select("event_id", F.lit("attempt").alias("category"), F.to_json(F.struct(cost.alias("cost"))).alias("data")), {"attempt": ["cost"]})
+
+
 @query("val_03_validate_claims", "SELECT o_orderkey AS id, 'ratio' AS code FROM orders WHERE o_custkey > o_orderkey UNION ALL SELECT o_orderkey, 'block_basis' FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
     basis = F.when(c("o_orderkey") % 2 == 0, "opinion").otherwise("deterministic")
     return E.validate_claims(load(spark, sf, "orders").select(c("o_orderkey").alias("id"), c("o_custkey").alias("numerator"), c("o_orderkey").alias("denominator"), (c("o_orderstatus") == "F").alias("blocking"), basis.alias("basis")))
 
 
-@query("val_04_validate_swarm_events", "SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'unreadable' WHEN event_type NOT IN ('view', 'click') THEN 'unknown_category' WHEN event_type = 'click' THEN 'missing_field' END AS code FROM events WHERE event_id % 13 = 0 AND event_type IN ('view', 'click') OR event_type NOT IN ('view', 'click') OR event_type = 'click'".replace("CASE WHEN event_id % 13 = 0 THEN 'unreadable' WHEN event_type NOT IN ('view', 'click') THEN 'unknown_category'", "CASE WHEN event_type NOT IN ('view', 'click') THEN 'unknown_category' WHEN event_id % 13 = 0 THEN 'unreadable'"))
+@query("val_04_validate_swarm_events", "SELECT event_id, CASE WHEN event_type NOT IN ('view', 'click') THEN 'unknown_category' WHEN event_id % 13 = 0 THEN 'unreadable' ELSE 'missing_field' END AS code FROM events WHERE event_type <> 'view' OR event_id % 13 = 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
     data = F.when(c("event_id") % 13 == 0, "{bad").otherwise(c("props"))
     return E.validate_swarm_events(load(spark, sf, "events").select("event_id", c("event_type").alias("category"), data.alias("data")), {"view": ["k"], "click": ["k", "cost"]})
@@ -242,21 +311,70 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.attempt_transitions(load(spark, sf, "beats"))
 
 
-@query("str_03_lease_breaks", BEATS + " SELECT session_id, count(*) AS late FROM (SELECT session_id, epoch(date_trunc('second', ts)) - epoch(date_trunc('second', lag(ts) OVER (PARTITION BY session_id ORDER BY seq))) AS d FROM beats) WHERE d > 1800 GROUP BY session_id")
+@query("str_03_lease_breaks", BEATS + ", k AS (SELECT session_id, seq, ts, lag(ts) OVER w AS p, lag(seq) OVER w AS q FROM beats WHERE event_id % 7 <> 0 WINDOW w AS (PARTITION BY session_id ORDER BY seq)), f AS (SELECT session_id, seq, CASE WHEN ts IS NULL THEN 'no_time' WHEN q + 1 <> seq THEN 'sequence' WHEN epoch(date_trunc('second', ts)) - epoch(date_trunc('second', p)) > 1800 THEN 'late' END AS f FROM k) SELECT session_id, arg_min(f, seq) FILTER (f IS NOT NULL) AS fault, CAST(min(seq) FILTER (f IS NOT NULL) AS VARCHAR) AS seq FROM f GROUP BY session_id")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    from tallyforge.operators.selection import lease_chain
+
+    return lease_chain(load(spark, sf, "beats").where("event_id % 7 <> 0"))
+
+
+@query("win_10_lease_lengths", BEATS + ", k AS (SELECT *, lag(ts) OVER w AS p, lag(seq) OVER w AS q, lead(seq) OVER w IS NULL AS z FROM beats WINDOW w AS (PARTITION BY session_id ORDER BY seq)), f AS (SELECT session_id, seq, CASE WHEN ts IS NULL THEN 'no_time' WHEN epoch(date_trunc('second', ts)) - epoch(date_trunc('second', p)) > 3000000 THEN 'late' WHEN event_id % 11 = 0 THEN 'length' WHEN ts <= p THEN 'early' WHEN z AND epoch(TIMESTAMP '2024-06-01 00:00:00') - epoch(date_trunc('second', ts)) >= 3000000 THEN 'expired' END AS f FROM k) SELECT session_id, arg_min(f, seq) FILTER (f IS NOT NULL) AS fault, CAST(min(seq) FILTER (f IS NOT NULL) AS VARCHAR) AS seq FROM f GROUP BY session_id")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    from pyspark.sql import Window
+    from tallyforge.operators.selection import lease_chain
 
-    gap = F.unix_timestamp("ts") - F.unix_timestamp(F.lag("ts").over(Window.partitionBy("session_id").orderBy("seq")))
-    return load(spark, sf, "beats").withColumn("d", gap).where("d > 1800").groupBy("session_id").agg(F.count("*").alias("late"))
+    late = F.when(c("event_id") % 11 == 0, F.expr("ts + interval 1 hour")).otherwise(F.expr("ts + interval 3000000 seconds"))
+    return lease_chain(load(spark, sf, "beats").withColumn("expires_at", late), 3_000_000, "2024-06-01 00:00:00")
 
 
-@query("str_04_dedupe_events", "SELECT event_id, min(event_type) AS body, event_id % 10 = 0 AND event_type <> 'a' AS collision FROM events GROUP BY event_id, event_type".replace("min(event_type) AS body", "CASE WHEN event_id % 10 = 0 THEN 'a' ELSE event_type END AS body"))
+@query("str_04_dedupe_events", "SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'a' ELSE event_type END AS body, event_id % 10 = 0 AND event_type <> 'a' AS collision FROM events")
 def _(spark, sf):  # noqa: ANN001, ANN202
     e = load(spark, sf, "events").select("event_id", c("event_type").alias("body"), "ts")
     again = e.withColumn("body", F.when(c("event_id") % 10 == 0, "a").otherwise(c("body")))
     return J.dedupe_events(e.unionByName(again))
 
 
+@query("str_04_append_new", "SELECT 'new' AS family, event_id, event_type AS body FROM events WHERE event_id % 3 > 0 UNION ALL SELECT 'collision', event_id, event_type || '!' FROM events WHERE event_id % 10 = 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    e = load(spark, sf, "events").select("event_id", c("event_type").alias("body"), "ts")
+    batch = e.unionByName(e.where("event_id % 10 = 0").select("event_id", F.concat("body", F.lit("!")).alias("body"), (c("ts") + F.expr("interval 1 second")).alias("ts")))
+    new, other = J.append_new(batch, e.where("event_id % 3 = 0"))
+    return new.select(F.lit("new").alias("family"), "event_id", "body").unionByName(other.select(F.lit("collision").alias("family"), "event_id", "body"))
+
+
+def _fed(spark, batches, sink, path):  # noqa: ANN001, ANN202
+    """The table that a ``foreachBatch`` sink writes from some batches, the last one fed twice as after a restart."""
+    for i, batch in [*enumerate(batches), (len(batches) - 1, batches[-1])]:
+        sink(batch, i)
+    return spark.read.parquet(path)
+
+
+def _folder(spark) -> str:  # noqa: ANN001
+    """A new folder in the place that all executors share."""
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/sink-{uuid.uuid4().hex}"
+
+
+@query("str_06_timeline_sink", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'closed' ELSE o_orderstatus END AS status FROM orders")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    o = load(spark, sf, "orders").select(c("o_orderkey").alias("id"), c("o_orderstatus").alias("status"))
+    path = _folder(spark)
+    return _fed(spark, [o.where("id % 2 = 0"), o, o.where("id % 3 = 0").withColumn("status", F.lit("closed"))], J.upsert_sink(path, ["id"]), path)
+
+
+@query("str_07_finding_sink", "WITH f AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 4 = 0) SELECT CAST(k AS VARCHAR) AS id, CASE WHEN k % 8 = 0 THEN 'resolved' ELSE 'open' END AS status FROM f")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    o = load(spark, sf, "orders").where("o_orderkey % 4 = 0").select(c("o_orderkey").alias("id"), F.lit("audit").alias("check"))
+    path = _folder(spark)
+    rows = _fed(spark, [o, o.where("id % 8 <> 0")], J.finding_sink(path), path)
+    return rows.groupBy("id").agg(F.max_by("status", "batch").alias("status"))
+
+
 @query("str_05_activity_windows", "SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def _(spark, sf):  # noqa: ANN001, ANN202
     return J.activity_windows(load(spark, sf, "events"), "1 day")
@@ -311,17 +429,26 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return K.recipe_comparison(recipe_diff(load(spark, sf, "orders"), "o_custkey", "o_orderkey", ["o_orderstatus"]))
 
 
-@query("fn_17_canonical_sha", "SELECT o_orderkey, left(sha256('{\"a\":' || o_orderkey || ',\"b\":\"' || o_orderstatus || '\"}'), 12) AS value FROM orders")
+@query("fn_17_canonical_sha", "SELECT o_orderkey, sha256(t) AS whole, left(sha256(t), 12) AS short FROM (SELECT o_orderkey, '{\"a\":' || o_orderkey || ',\"b\":' || CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE '\"' || o_orderstatus || '\"' END || '}' AS t FROM orders)")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    text = F.to_json(F.struct(c("o_orderkey").alias("a"), c("o_orderstatus").alias("b")))
-    return load(spark, sf, "orders").select("o_orderkey", F.left(F.sha2(text, 256), F.lit(12)).alias("value"))
+    fields = {"b": F.when(c("o_orderkey") % 5 != 0, c("o_orderstatus")), "a": c("o_orderkey")}
+    return load(spark, sf, "orders").select("o_orderkey", T.canonical_sha(**fields).alias("whole"), T.evidence_sha12(**fields).alias("short"))
 
 
-@query("fn_15_is_marked", "SELECT doc_id, contains(text || CASE WHEN doc_id % 7 = 0 THEN '[CONTRADICTION-OK]' ELSE '' END, '[CONTRADICTION-OK]') OR doc_id % 5 = 0 AS value FROM documents")
+@query("fn_15_is_marked", "SELECT doc_id, contains(text || CASE WHEN doc_id % 7 = 0 THEN '[CONTRADICTION-OK]' ELSE '' END, '[CONTRADICTION-OK]') OR doc_id % 5 = 0 OR doc_id % 11 IN (1, 2) AS value FROM documents")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    system = F.concat("text", F.when(c("doc_id") % 7 == 0, "[CONTRADICTION-OK]").otherwise(""))
-    tags = F.when(c("doc_id") % 5 == 0, F.array(F.lit(" Counter-Instance "))).otherwise(F.array(F.lit("x")))
-    return load(spark, sf, "documents").select("doc_id", T.is_marked(system, tags).alias("value"))
+    k = c("doc_id")
+    system = F.concat("text", F.when(k % 7 == 0, "[CONTRADICTION-OK]").otherwise(""))
+    tags = F.when(k % 5 == 0, F.array(F.lit(" Counter-Instance "))).otherwise(F.array(F.lit("x")))
+    record = F.when(k % 11 == 1, '{"counter-instance": true}').when(k % 11 == 2, '{"meta": {"contradiction": 1}}').when(k % 11 == 3, '{"contradiction": false, "metadata": {"contradiction_marker": ""}}').otherwise("{bad")
+    return load(spark, sf, "documents").select("doc_id", T.is_marked(system, tags, record).alias("value"))
+
+
+@query("fn_24_stage_status", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR (o_orderkey % 7 = 1 AND o_orderkey % 2 = 0) THEN 'blocked_on_gate' WHEN o_orderkey % 7 = 2 THEN 'failed' WHEN o_orderkey % 7 = 3 AND o_orderkey % 2 = 1 THEN 'running' ELSE 'passed' END AS value FROM orders")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("o_orderkey")
+    status = F.when(k % 7 == 0, "BLOCKED_ON_GATE").when(k % 7 == 1, "gate_pending").when(k % 7 == 2, "no_go").when(k % 7 == 3, "dispatched").otherwise("ok")
+    return load(spark, sf, "orders").select("o_orderkey", T.stage_status(F.when(k % 2 == 0, "review").otherwise("train"), status, ["review"]).alias("value"))
 
 
 @query("fn_24_run_status", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'failed' WHEN o_orderkey % 3 = 1 AND o_orderkey % 5 = 0 THEN 'finished' WHEN o_orderkey % 3 = 1 THEN 'running' ELSE 'queued' END AS value FROM orders")
@@ -330,12 +457,22 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return load(spark, sf, "orders").select("o_orderkey", T.run_status(k % 3 == 0, k % 3 == 1, k % 5 == 0).alias("value"))
 
 
-@query("fn_25_classify_runtime", "SELECT page_id, CASE WHEN url LIKE 'http://%' THEN 'local' WHEN url LIKE '%example.net%' THEN 'cloud' WHEN url LIKE '%example%' THEN 'hosted' ELSE 'unknown' END AS value FROM pages")
+@query("fn_25_classify_runtime", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'cursor_sdk_dispatch' WHEN o_orderkey % 3 = 0 THEN 'tier2_dispatch' WHEN o_orderkey % 2 = 0 THEN 'machine_wide_session' ELSE 'interactive_run_session' END AS value FROM orders")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return load(spark, sf, "pages").select("page_id", T.first_match(c("url"), [("local", "^http://"), ("cloud", "example\\.net"), ("hosted", "example")], "unknown").alias("value"))
+    k = c("o_orderkey")
+    return load(spark, sf, "orders").select("o_orderkey", T.classify_runtime(F.when(k % 4 == 0, "c1").otherwise(""), F.when(k % 3 == 0, "S5"), F.when(k % 2 == 1, k)).alias("value"))
 
 
-@query("fn_29_mission_overlap", "SELECT doc_id, round_even(len(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9'']+')), lambda x: x IN ('the', 'of', 'and', 'thing', 'zebra'))) / 5.0, 4) AS value FROM documents")
+@query(
+    "fn_29_best_spec",
+    """WITH g AS (SELECT event_id AS id, list_distinct(list_filter(regexp_extract_all(lower('The ' || event_type || ' rate fell on mobile' || CASE WHEN event_id % 2 = 0 THEN ' checkout pages' ELSE '' END), '[a-z][a-z0-9-]{3,}'), lambda x: x NOT IN ('this', 'that', 'with', 'from', 'what', 'data', 'check', 'report', 'factory', 'investigate'))) AS w FROM events),
+s(spec, m) AS (VALUES ('clicks', ['click', 'rate', 'fell']), ('pages', ['checkout', 'pages', 'mobile', 'rate']), ('views', ['view', 'rate', 'fell', 'mobile'])),
+x AS (SELECT id, spec, len(list_intersect(w, m)) AS k, len(w) AS n FROM g, s), b AS (SELECT id, arg_min({'s': spec, 'v': round_even(k / n, 4)}, (-k, spec)) AS b FROM x WHERE k > 0 GROUP BY id)
+SELECT g.id, CASE WHEN b.v >= 0.6 THEN b.s END AS spec, CASE WHEN b.v >= 0.6 THEN b.v END AS share FROM g LEFT JOIN b ON b.id = g.id""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
-    mission = F.array(*map(F.lit, ["the", "of", "and", "thing", "zebra"]))
-    return load(spark, sf, "documents").select("doc_id", F.bround(F.size(F.array_intersect(T.words(c("text")), mission)) / 5, 4).alias("value"))
+    from tallyforge.operators.joins import best_spec
+
+    specs = spark.createDataFrame([("views", "View rate fell, on mobile"), ("clicks", "The click rate fell"), ("pages", "checkout pages: mobile rate"), ("none", "a b c")], "spec string, mission string")
+    text = F.concat(F.lit("The "), c("event_type"), F.lit(" rate fell on mobile"), F.when(c("event_id") % 2 == 0, " checkout pages").otherwise(""))
+    return best_spec(load(spark, sf, "events").select(c("event_id").alias("id"), text.alias("text")), specs)

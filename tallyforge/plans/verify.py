@@ -11,7 +11,7 @@ from tallyforge.plans.registry import query
 CHAT, TRAJ, META = with_tables("chat"), with_tables("traj"), with_tables("meta")
 DECLARED = ["view", "click", "purchase", "signup"]
 _DECLARED = "('view', 'click', 'purchase', 'signup')"
-_TERMINAL = V.T.TERMINAL_CHARS.replace("'", "''")
+_TERMINAL = ".!?\"''`)]}:;$*_%…»。？！"
 
 
 @query(
@@ -55,22 +55,52 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return V.rule_roles(load(spark, sf, "chat"))
 
 
-@query("ver_03_tool_pairing")
+def _broken_traj(spark, sf):  # noqa: ANN001, ANN202
+    """The trajectories with planted faults of pairing: a user message in place of a result, results without a call, last
+    calls without a result, and messages of two calls whose results come in another order."""
+    e = F.col("line")
+    t = load(spark, sf, "traj")
+    t = t.withColumn("role", F.when((e % 37 == 0) & (F.col("pos") == 3), "user").otherwise(F.col("role")))
+    t = t.where(~((e % 43 == 0) & (e % 37 != 0) & (e % 29 != 0) & (e % 41 != 0) & F.col("pos").isin(3, 4)))
+    extra = t.where((e % 41 == 0) & (F.col("pos") == 2)).withColumns({"pos": F.lit(5), "role": F.lit("tool")})
+    pairs = load(spark, sf, "conversations").groupBy(F.col("conv_id").alias("line")).agg(F.min("turn").alias("t")).select((-1 - e).alias("line"))
+    rows = [("assistant", 0, 0, "a"), ("assistant", 0, 1, "b"), ("tool", 1, 0, "b"), ("tool", 2, 0, "a"), ("assistant", 3, 0, "c")]
+    two = pairs.select("line", F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.lit(p).alias("pos"), F.lit(k).alias("call"), F.lit(i).alias("call_id")) for r, p, k, i in rows])).alias("r")).select("line", "r.role", "r.pos", "r.call", "r.call_id")
+    cols = ["line", "role", "pos", "call", "call_id"]
+    return t.unionByName(extra).withColumn("call", F.lit(0)).select(cols).unionByName(two.select(cols))
+
+
+@query(
+    "ver_03_tool_pairing",
+    """SELECT 'tool_pairing' AS rule, event_id AS line, 'pending_at_user' AS detail FROM events WHERE event_id % 37 = 0
+UNION ALL SELECT 'tool_pairing', event_id, 'unknown_result' FROM events WHERE event_id % 37 <> 0 AND event_id % 29 = 0
+UNION ALL SELECT 'tool_pairing', event_id, 'unanswered' FROM events WHERE event_id % 37 <> 0 AND event_id % 29 = 0 AND event_id % 41 <> 0
+UNION ALL SELECT 'tool_pairing', event_id, 'orphan_result' FROM events WHERE event_id % 41 = 0 AND (event_id % 37 = 0 OR event_id % 29 <> 0)
+UNION ALL SELECT DISTINCT 'tool_pairing', -1 - conv_id, 'out_of_order' FROM conversations""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return V.rule_tool_pairing(load(spark, sf, "traj"))
+    return V.rule_tool_pairing(_broken_traj(spark, sf))
 
 
 @query(
     "ver_04_tool_struct",
     TRAJ
     + f""" SELECT 'tool_struct' AS rule, line, 'undeclared_tool' AS detail FROM traj WHERE role = 'assistant' AND tool_name IS NOT NULL AND tool_name NOT IN {_DECLARED}
-UNION ALL SELECT 'tool_struct', line, 'bad_arguments' FROM traj WHERE role = 'assistant' AND call_id IS NOT NULL AND (NOT json_valid(args) OR json_type(CASE WHEN json_valid(args) THEN args ELSE '1' END) <> 'OBJECT')""",
+UNION ALL SELECT 'tool_struct', line, 'bad_arguments' FROM traj WHERE role = 'assistant' AND call_id IS NOT NULL AND (NOT json_valid(args) OR json_type(CASE WHEN json_valid(args) THEN args ELSE '1' END) <> 'OBJECT')
+UNION ALL SELECT 'tool_struct', line, 'not_function' FROM traj WHERE role = 'assistant' AND call_id IS NOT NULL AND line % 47 = 0""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return V.rule_tool_struct(load(spark, sf, "traj"), DECLARED)
+    return V.rule_tool_struct(load(spark, sf, "traj").withColumn("call_type", F.when(F.col("line") % 47 != 0, "function")), DECLARED)
 
 
-@query("ver_05_weights", META + " SELECT 'weights' AS rule, line, CASE WHEN weight IS NULL THEN 'missing' WHEN weight <= 0 THEN 'not_positive' ELSE 'too_large' END AS detail FROM meta WHERE weight IS NULL OR weight <= 0 OR weight > 10")
+@query("ver_05_weights", "WITH w AS (SELECT o_orderkey AS line, CASE WHEN o_orderkey % 12 = 7 THEN NULL WHEN o_orderkey % 12 < 2 THEN 'x' ELSE CAST(o_orderkey % 12 - 3 AS VARCHAR) END AS w FROM orders) SELECT 'weights' AS rule, line, CASE WHEN w IS NULL THEN 'missing' WHEN w = 'x' THEN 'not_numeric' ELSE 'not_positive' END AS detail FROM w WHERE w IS NULL OR w IN ('x', '-1', '0')")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = F.col("o_orderkey") % 12
+    text = F.when(k == 7, None).when(k == 0, "true").when(k == 1, '"2"').otherwise((k - 3).cast("string"))
+    return V.rule_weights(load(spark, sf, "orders").select(F.col("o_orderkey").alias("line"), F.parse_json(text).alias("weight")))
+
+
+@query("ver_05_weights_of_numbers", META + " SELECT 'weights' AS rule, line, CASE WHEN weight IS NULL THEN 'missing' WHEN weight <= 0 THEN 'not_positive' ELSE 'too_large' END AS detail FROM meta WHERE weight IS NULL OR weight <= 0 OR weight > 10")
 def _(spark, sf):  # noqa: ANN001, ANN202
     return V.rule_weights(load(spark, sf, "meta"))
 
@@ -85,9 +115,17 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return V.rule_content(load(spark, sf, "chat"))
 
 
-@query("ver_08_caps", CHAT + _CAPS_SQL + " SELECT * FROM caps")
+@query(
+    "ver_08_caps",
+    CHAT + _CAPS_SQL + """ SELECT * FROM caps UNION ALL SELECT 'caps', line, 'calls:' || pos FROM chat WHERE role = 'assistant' AND line % 20 > 16
+UNION ALL SELECT 'caps', line, 'tools' FROM chat WHERE line % 70 > 64 GROUP BY line""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return V.rule_caps(load(spark, sf, "chat"), messages=6, tokens=1500)
+    chat = load(spark, sf, "chat")
+    many = lambda n: F.explode(F.sequence(F.lit(0), F.col("line") % n)).alias("k")
+    calls = chat.where("role = 'assistant'").select("line", "pos", many(20)).where("k > 0")
+    tools = chat.select("line").distinct().select("line", many(70)).where("k > 0").withColumnRenamed("k", "tool")
+    return V.rule_caps(chat, calls, tools, messages=6, tokens=1500)
 
 
 @query(
@@ -95,17 +133,23 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     TRAJ
     + """, n AS (SELECT line, role, unnest(regexp_extract_all(coalesce(content, ''), '[0-9]+(?:\\.[0-9]+)?')) AS c FROM traj), a AS (SELECT line, unnest(regexp_extract_all(coalesce(args, ''), '[0-9]+(?:\\.[0-9]+)?')) AS c FROM traj),
 g AS (SELECT line, c FROM n WHERE role <> 'assistant' UNION SELECT line, c FROM a),
-u AS (SELECT DISTINCT line, c FROM n WHERE role = 'assistant' AND (contains(c, '.') OR length(c) >= 3) AND NOT EXISTS (SELECT 1 FROM g WHERE g.line = n.line AND g.c = n.c))
+u AS (SELECT DISTINCT line, c FROM n WHERE line % 2 = 0 AND role = 'assistant' AND (contains(c, '.') OR length(c) >= 3) AND NOT EXISTS (SELECT 1 FROM g WHERE g.line = n.line AND g.c = n.c))
 SELECT 'grounding' AS rule, line, string_agg(c, ',' ORDER BY c) AS detail FROM u GROUP BY line""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return V.rule_grounding(load(spark, sf, "traj"))
+    traj = load(spark, sf, "traj")
+    return V.rule_grounding(traj, traj.where("line % 2 = 0 and pos = 0").select("line"))
 
 
-@query("ver_10_probe_markers", "SELECT 'probe_markers' AS rule, doc_id AS line, 'canary' AS detail FROM (SELECT doc_id, text || CASE WHEN doc_id % 50 = 0 THEN ' Do not train' ELSE '' END AS t FROM documents) WHERE regexp_matches(t, '" + V.PROBE_CANARY + "')")
+@query(
+    "ver_10_probe_markers",
+    r"""SELECT 'probe_markers' AS rule, doc_id AS line, 'canary' AS detail FROM (SELECT doc_id, text || CASE WHEN doc_id % 50 = 0 THEN ' Do not train' ELSE '' END AS t FROM documents) WHERE regexp_matches(t, '(?i)do[ _\t-]*not[ _\t-]*train|held[ _\t-]out|probe[ _\t-]only|canary[ _\t-]?string')
+UNION ALL SELECT 'probe_markers', doc_id, 'key:' || CASE WHEN doc_id % 40 = 0 THEN '__Is_Probe' ELSE 'split' END FROM documents WHERE doc_id % 40 < 2""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
     planted = F.concat("text", F.when(F.col("doc_id") % 50 == 0, " Do not train").otherwise(""))
-    return V.rule_probe_markers(load(spark, sf, "documents").select(F.col("doc_id").alias("line"), planted.alias("content")))
+    key = F.when(F.col("doc_id") % 40 == 0, "__Is_Probe").when(F.col("doc_id") % 40 == 1, "split").otherwise("messages")
+    return V.rule_probe_markers(load(spark, sf, "documents").select(F.col("doc_id").alias("line"), planted.alias("content"), F.array(F.lit("tools"), key).alias("keys")), keys_col="keys")
 
 
 @query("ver_11_duplicates", "SELECT 'duplicates' AS rule, min(doc_id) AS line, CAST(count(*) AS VARCHAR) AS detail FROM documents GROUP BY sha256(text) HAVING count(*) > 1")
@@ -124,6 +168,13 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return V.rule_manifest(rows.where("line % 41 <> 0"), meta)
 
 
+@query("ver_12_manifest_state", "SELECT count(*) FILTER (doc_id % 41 <> 0) AS rows, count(*) FILTER (doc_id % 43 <> 0) AS declared, count(*) FILTER ((doc_id % 41 = 0) <> (doc_id % 43 = 0)) AS faults, 'fail' AS verdict FROM documents UNION ALL SELECT count(*), 0, 0, 'not_run' FROM documents UNION ALL SELECT count(*), 0, 0, 'suspect' FROM documents")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    rows = load(spark, sf, "documents").select(F.col("doc_id").alias("line"), F.sha2("text", 256).alias("sha"))
+    whole = V.manifest_state(rows.where("line % 41 <> 0"), rows.where("line % 43 <> 0"))
+    return whole.unionByName(V.manifest_state(rows, None)).unionByName(V.manifest_state(rows, None, required=True))
+
+
 _SQUASH = "lower(trim(regexp_replace({}, '[ \\t\\n\\r\\x0B\\f]+', ' ', 'g')))"
 
 
@@ -136,26 +187,46 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return V.rule_contamination(docs.where("line % 2 = 1"), docs.where("line % 2 = 0"))
 
 
-RULES = ["role_sequence", "masks", "content", "caps", "duplicates"]
+RULES = ["role_sequence", "masks", "content", "caps", "duplicates", "probe_markers", "contamination", "manifest"]
 
 
 def verify_corpus(spark, sf):  # noqa: ANN001, ANN201
     chat = load(spark, sf, "chat")
-    parts = [V.rule_roles(chat), V.rule_masks(chat), V.rule_content(chat), V.rule_caps(chat, messages=6, tokens=1500), V.rule_duplicates(raw_lines(chat))]
+    raw = raw_lines(chat)
+    parts = [V.rule_roles(chat), V.rule_masks(chat), V.rule_content(chat), V.rule_caps(chat, messages=6, tokens=1500), V.rule_duplicates(raw)]
+    users = chat.where("role = 'user'").select("line", F.col("content").alias("text"))
+    parts += [V.rule_probe_markers(chat), V.rule_contamination(users.where("line < 1000000"), users.where("line >= 1000000"))]
+    sums = raw.select("line", F.sha2("raw", 256).alias("sha"))
+    parts.append(V.rule_manifest(sums, sums.where("line % 11 <> 0")))
     return V.report(V.union(*parts), RULES, chat)
 
 
-_ALL_SQL = _ROLES_SQL + _MASKS_SQL + _CONTENT_SQL + _CAPS_SQL + _DUP_SQL + ", v AS (SELECT * FROM roles UNION ALL SELECT * FROM masks UNION ALL SELECT * FROM content UNION ALL SELECT * FROM caps UNION ALL SELECT * FROM dup)"
+_KEY = "lower(trim(regexp_replace(content, '[ \\t\\n\\r\\x0B\\f]+', ' ', 'g')))"
+_REST_SQL = f""", probe AS (SELECT 'probe_markers' AS rule, line, 'canary' AS detail FROM chat WHERE regexp_matches(content, '(?i)do[ _\\t-]*not[ _\\t-]*train|held[ _\\t-]out|probe[ _\\t-]only|canary[ _\\t-]?string')),
+cont AS (SELECT 'contamination' AS rule, line, 'probe_prompt' AS detail FROM chat WHERE role = 'user' AND line < 1000000 AND {_KEY} IN (SELECT {_KEY} FROM chat WHERE role = 'user' AND line >= 1000000)),
+mani AS (SELECT DISTINCT 'manifest' AS rule, line, 'not_in_manifest' AS detail FROM chat WHERE line % 11 = 0)"""
+_ALL_SQL = _ROLES_SQL + _MASKS_SQL + _CONTENT_SQL + _CAPS_SQL + _DUP_SQL + _REST_SQL + ", v AS (" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in ("roles", "masks", "content", "caps", "dup", "probe", "cont", "mani")) + ")"
 query(
     "ver_14_report",
     CHAT
     + _ALL_SQL
-    + """, k AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY line, detail) AS k FROM v), n(rule) AS (VALUES ('role_sequence'), ('masks'), ('content'), ('caps'), ('duplicates'))
+    + """, k AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY line, detail) AS k FROM v), n(rule) AS (VALUES ('role_sequence'), ('masks'), ('content'), ('caps'), ('duplicates'), ('probe_markers'), ('contamination'), ('manifest'))
 SELECT n.rule, count(k.rule) AS violations, count(DISTINCT line) AS lines, coalesce(string_agg(line, ',' ORDER BY k) FILTER (k <= 20), '') AS first_lines, CASE WHEN count(k.rule) > 0 THEN 'fail' ELSE 'pass' END AS verdict
 FROM n LEFT JOIN k ON k.rule = n.rule GROUP BY n.rule""",
 )(verify_corpus)
 
 
+@query(
+    "ver_14_corpus_stats",
+    CHAT
+    + f""", s AS (SELECT line, count(*) AS n, sum(length(coalesce(content, ''))) // 4 AS t FROM chat GROUP BY line), r AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS k FROM s),
+p AS (SELECT line, arg_min(content, pos) AS content FROM chat WHERE role = 'user' GROUP BY line), d AS (SELECT count(*) - count(DISTINCT {_KEY}) AS d FROM p)
+SELECT count(*) AS records, CAST(sum(n) AS BIGINT) AS messages, min(t) AS tokens_min, max(t) AS tokens_max, CAST(sum(t) AS BIGINT) AS tokens_total, (SELECT count(*) FROM chat WHERE weight > 0) AS weighted, (SELECT count(*) FROM chat WHERE weight = 0) AS masked, (SELECT d FROM d) AS duplicate_prompts, (SELECT t FROM r WHERE k = (SELECT count(*) // 2 FROM s)) AS tokens_median FROM s""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    return V.corpus_stats(load(spark, sf, "chat"))
+
+
 @query("top_02_sample_violations", CHAT + _MASKS_SQL + " SELECT rule, line, detail, total FROM (SELECT *, count(*) OVER (PARTITION BY rule) AS total, row_number() OVER (PARTITION BY rule ORDER BY line, detail) AS k FROM masks) WHERE k <= 20")
 def _(spark, sf):  # noqa: ANN001, ANN202
     return V.sample_violations(V.rule_masks(load(spark, sf, "chat")), 20)
@@ -177,10 +248,10 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     CHAT
     + """, c AS (SELECT *, length(coalesce(content, '')) AS n, role = 'assistant' AND weight > 0 AS t FROM chat)
 SELECT 'render' AS rule, line, 'mask_leak:' || pos AS detail FROM c WHERE role <> 'assistant' AND weight <> 0 UNION ALL SELECT 'render', line, 'empty_target:' || pos FROM c WHERE t AND n = 0
-UNION ALL SELECT 'render', line, 'short_target:' || pos FROM c WHERE t AND n > 0 AND n <= 4 UNION ALL SELECT 'render', line, 'no_target' FROM c GROUP BY line HAVING count(*) FILTER (t) = 0""",
+UNION ALL SELECT 'render', line, 'short_target:' || pos FROM c WHERE t AND n > 0 AND n <= 4 UNION ALL SELECT 'render', line, 'no_target' FROM c GROUP BY line HAVING count(*) FILTER (t) = 0 UNION ALL SELECT DISTINCT 'render', line, 'record_weight_0' FROM c WHERE line % 13 = 0""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return V.rule_render(load(spark, sf, "chat"))
+    return V.rule_render(load(spark, sf, "chat").withColumn("record_weight", F.when(F.col("line") % 13 == 0, 0.0).otherwise(1.0)))
 
 
 @query(
@@ -197,7 +268,8 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     "ren_04_loss_share",
     CHAT
     + """, s AS (SELECT line, sum(length(coalesce(content, ''))) AS n, sum(CASE WHEN role = 'assistant' AND weight > 0 THEN length(coalesce(content, '')) ELSE 0 END) AS l FROM chat GROUP BY line)
-SELECT count(*) AS records, round_even(sum(l) / sum(n), 4) AS share, min(round_even(l / n, 4)) AS share_min, max(round_even(l / n, 4)) AS share_max FROM s""",
+SELECT count(*) AS records, round_even(sum(l) / sum(n), 4) AS share, min(round_even(l / n, 4)) AS share_min, max(round_even(l / n, 4)) AS share_max, (SELECT x FROM (SELECT round_even(l / n, 4) AS x, row_number() OVER (ORDER BY l / n) - 1 AS k FROM s WHERE n > 0) WHERE k = (SELECT count(*) // 2 FROM s WHERE n > 0)) AS share_median,
+CASE WHEN sum(l) = 0 THEN 'fail' WHEN min(round_even(l / n, 4)) = 0 THEN 'suspect' ELSE 'pass' END AS verdict FROM s""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
     return V.loss_share(load(spark, sf, "chat"))

@@ -95,7 +95,7 @@ def read_md_tables(docs: DataFrame, heading: str, id_col: str = "doc", column: s
     title = F.when(F.col("s").startswith("#"), F.trim(F.regexp_replace("s", "^#+", "")))
     table = F.col("s").startswith("|")
     part = lines.withColumn("h", F.last(title, True).over(seen)).withColumn("first", table & ~F.coalesce(F.lag(table).over(w), F.lit(False)))
-    cells = F.transform(F.slice(F.split(F.regexp_replace("s", r"^\||\|$", ""), r"\|"), F.lit(1), F.lit(64)), lambda x: F.trim(x))
+    cells = F.transform(F.split(F.regexp_replace("s", r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     keyed = part.withColumn("cells", cells).withColumn("header", F.last(F.when(F.col("first"), F.transform("cells", lambda x: F.lower(x))), True).over(seen))
     rows = keyed.where((F.col("h") == heading) & table & ~F.col("first") & ~F.col("s").rlike(r"^[|: -]+$") & (F.size("cells") == F.size("header")))
     return rows.select(id_col, (F.col("line") + 1).alias("line"), F.map_from_arrays("header", "cells").alias("cells"))
@@ -110,12 +110,14 @@ def parse_lessons(docs: DataFrame, id_col: str = "doc", column: str = "text") ->
 
 
 def transcript_blocks(messages: DataFrame, column: str = "raw") -> DataFrame:
-    """Transcript lines whose content is a text or a list of blocks, to ``session, pos, type, text, id``."""
+    """Transcript lines whose content is a text or a list of blocks, to ``session, line, role, pos, type, text, id,
+    name``. The role is that of the message, or the line's own ``type`` in transcripts that put it there."""
     v = F.try_parse_json(column)
     kind = "array<struct<type:string,text:string,id:string,name:string>>"
     one = F.array(F.struct(F.lit("text").alias("type"), F.try_variant_get(v, "$.message.content", "string").alias("text"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name")))
     blocks = F.coalesce(F.try_variant_get(v, "$.message.content", kind), one)
-    return messages.select("session", "line", F.posexplode(blocks).alias("pos", "b")).select("session", "line", "pos", "b.type", "b.text", "b.id", "b.name")
+    role = F.coalesce(F.try_variant_get(v, "$.message.role", "string"), F.try_variant_get(v, "$.type", "string"))
+    return messages.select("session", "line", role.alias("role"), F.posexplode(blocks).alias("pos", "b")).select("session", "line", "role", "pos", "b.type", "b.text", "b.id", "b.name")
 
 
 def loss_curve(rows: DataFrame) -> DataFrame:

@@ -46,10 +46,41 @@ def dedupe_events(events: DataFrame) -> DataFrame:
 
 
 def dedupe_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Exact repeats dropped within the watermark; equal ids with other bodies pass and are for the sink to flag."""
+    """Exact repeats dropped within the watermark; equal ids with other bodies pass, and ``collision_sink`` tells them apart."""
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id", "body"])
 
 
+def append_new(batch: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``event_id, body, ts`` against the table: rows to append (the first body of each new id), and collisions (the id came
+    with another body than the one kept, or with several)."""
+    first = batch.groupBy("event_id").agg(F.min_by(F.struct("body", "ts"), F.struct("ts", "body")).alias("f"))
+    old = kept.select("event_id", F.col("body").alias("_old")).distinct()
+    new = first.join(old.select("event_id"), "event_id", "left_anti").select("event_id", "f.body", "f.ts")
+    held = old.unionByName(new.select("event_id", F.col("body").alias("_old")))
+    other = batch.select("event_id", "body").distinct().join(held, "event_id").where("body <> _old").select("event_id", "body")
+    return new, other
+
+
+def collision_sink(path: str, collisions: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: append new events to one Parquet table and colliding bodies to another. Each batch writes its own
+    folders, so a batch that is run again replaces what it wrote."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = "event_id long, body string, ts timestamp, batch long"
+        try:
+            kept = spark.read.schema(schema).parquet(path).where(F.col("batch") != batch_id)
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            kept = spark.createDataFrame([], schema)
+        new, other = append_new(batch, kept)
+        other.write.mode("overwrite").parquet(f"{collisions.rstrip('/')}/batch={batch_id}")
+        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return write
+
+
 def activity_windows(events: DataFrame, width: str, slide: str | None = None, delay: str | None = None) -> DataFrame:
     """Rows and distinct-ish users per tumbling or sliding window."""
     rows = events.withWatermark("ts", delay) if delay else events
@@ -74,7 +105,9 @@ def upsert_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        last = batch.dropDuplicates(keys)
+        rest = [c for c in batch.columns if c not in keys]
+        order = F.struct(*(["ts"] if "ts" in rest else []), *[c for c in rest if c != "ts"])
+        last = batch.groupBy(*keys).agg(F.max(order).alias("_r")).select(*[F.col(c) if c in keys else F.col(f"_r.{c}") for c in batch.columns])  # the latest of a key
         try:
             target = spark.read.parquet(path)
         except Exception as e:  # noqa: BLE001

@@ -109,3 +109,44 @@ def test_upsert_and_finding_sinks(spark, tmp_path):
     find(spark.createDataFrame([("y", "m")], "id string, check string"), 1)
     got = {(r.id, r.status, r.batch) for r in spark.read.parquet(str(tmp_path / "f")).collect()}
     assert got == {("x", "open", 0), ("y", "open", 1), ("x", "resolved", 1)}
+
+
+def test_collision_sink_is_idempotent(spark, tmp_path):
+    from tallyforge.streaming import jobs as J
+
+    kept, clash = str(tmp_path / "kept"), str(tmp_path / "clash")
+    schema = "event_id long, body string, ts timestamp"
+    at = lambda s: __import__("datetime").datetime(2024, 1, 1, 0, 0, s)
+    sink = J.collision_sink(kept, clash)
+    batches = [[(1, "a", at(1)), (2, "b", at(2)), (2, "b", at(3))], [(1, "z", at(4)), (3, "c", at(5)), (3, "d", at(6))]]
+    for i, rows in [*enumerate(batches), (1, batches[1])]:
+        sink(spark.createDataFrame(rows, schema), i)
+    assert sorted((r.event_id, r.body) for r in spark.read.parquet(kept).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert sorted((r.event_id, r.body) for r in spark.read.parquet(clash).collect()) == [(1, "z"), (3, "d")]
+
+
+def test_battery_catches_checks_that_fail_while_they_run(spark):
+    from pyspark.sql import functions as F
+
+    from tallyforge.plans import checks as K
+
+    bad = lambda: spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("verdict"))
+    good = lambda: spark.range(1).select(F.lit("pass").alias("verdict"))
+    got = {r["check"]: r.verdict for r in K.run_battery(spark, {"bad": bad, "good": good}).collect()}
+    assert got == {"bad": "suspect", "good": "pass"}
+
+
+def test_free_text_patterns_survive_long_repeats(spark):
+    from pyspark.sql import functions as F
+
+    from tallyforge.functions import text as T
+
+    n = 100_000
+    key = "-----BEGIN PRIVATE KEY-----"
+    hostile = [key + "a" * n, key + "a\n" * n + "-----END PRIVATE KEY-----", "1" + ".1" * n + " boxes", "a" * n, "a." * n, "x@" + "a." * n, "A" * n, "A b " * 20_000, "?" * n, "token=" * 20_000, " " * n, "'" * n]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(hostile)], "i int, t string")
+    t = F.col("t")
+    made = [T.scrub_pii(t), T.redact_secrets(t), T.grounding_key(t), F.array_join(T.unit_claims(t), ","), F.array_join(T.ask_tokens(t), ","), F.array_join(T.name_tokens(t), ","), T.stance(t), T.truncation_signal(t), F.array_join(T.significant_numbers(t), ",")]
+    got = {r.i: r for r in df.select("i", *[x.alias(f"c{k}") for k, x in enumerate(made)]).collect()}
+    assert len(got) == len(hostile)
+    assert got[0].c1 == hostile[0] and got[1].c1 == T.MARK and got[3].c0 == hostile[3]
