@@ -36,10 +36,10 @@ LEAST = 5
 RATIO = 16
 #: A special token of the vocabulary that stands between words which are encoded together.
 SEPARATOR = "<|startoftext|>"
-#: Words that a worker remembers with their ids.
-CACHE_WORDS = 1 << 20
+#: Words that a worker remembers with their ids, and pre-tokens that it remembers within a task.
+CACHE_WORDS, CACHE_PIECES = 1 << 20, 1 << 19
 #: Bytes of text encoded at a time: a word beyond the remembered ones is encoded once in each.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: The most bytes of text that one shard should hold. There are at least as many shards as shuffle partitions.
 SHARD_BYTES = 512 << 20
 
@@ -141,6 +141,11 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: one more than the largest id, the end id included
+        self.terminals = max([END_ID, *self.tokenizer.get_vocab(with_added_tokens=True).values()]) + 1
+
+    def rest(self) -> None:
+        """Let go of what only one task needs: workers are used again by other operators."""
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
         raw = data.tobytes()
@@ -171,6 +176,9 @@ class WordEncoder(TextEncoder):
         self.pieces: dict[str, int] = {}
         self.piece_ids = _Lists()
 
+    def rest(self) -> None:
+        self.pieces, self.piece_ids = {}, _Lists()
+
     @staticmethod
     def fits(spec: dict) -> bool:
         """Whether a tokenizer file has the normaliser, pre-tokenizer and model that this encoder stands for."""
@@ -228,7 +236,9 @@ class WordEncoder(TextEncoder):
     def encode(self, data: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
         """One uint32 array per text. Beyond ``CACHE_WORDS`` all words are forgotten before the next call."""
         if self.words.n > CACHE_WORDS:
-            self.words, self.ids, self.pieces, self.piece_ids = _Numbers(), _Lists(), {}, _Lists()
+            self.words, self.ids = _Numbers(), _Lists()
+        if len(self.pieces) > CACHE_PIECES:
+            self.rest()
         hashes, starts, rows = C.words(data, offs)
         hashes = np.maximum(hashes, np.uint64(1))
         number = self.words.find(hashes)
@@ -258,11 +268,6 @@ def encoder(path: str) -> TextEncoder:
     return _ENCODERS[path]
 
 
-def terminals(path: str) -> int:
-    """Ids of a vocabulary: one more than the largest, the end id included."""
-    return max([END_ID, *encoder(path).tokenizer.get_vocab(with_added_tokens=True).values()]) + 1
-
-
 def _counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values, sorted, and how often each occurs."""
     x = np.sort(x)
@@ -423,7 +428,7 @@ class Block:
 
 def _write(path: str):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, limit = encoder(path), terminals(path)
+        texts = encoder(path)
         shard = TaskContext.get().partitionId()
         block = done = held = 0
         ids: list[int | None] = []
@@ -433,7 +438,7 @@ def _write(path: str):  # noqa: ANN202
         def close() -> pa.RecordBatch:
             nonlocal block, done, held
             out = pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([done], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([compress(docs, limit)], pa.binary())],
+                [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([done], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([compress(docs, texts.terminals)], pa.binary())],
                 names=_BLOCK_SCHEMA.names,
             )
             block, done, held = block + 1, done + held, 0
@@ -452,6 +457,7 @@ def _write(path: str):  # noqa: ANN202
                     held += len(got) + 1
         if docs:
             yield close()
+        texts.rest()
 
     return run
 

@@ -661,7 +661,7 @@ def test_repair_random_access():
     rng = np.random.default_rng(4)
     docs = [rng.choice([5, 6, 7, 49000], size=n).astype(np.uint32) for n in (0, 1, 2, 3000, 17, 9000)] + [np.full(501, 9, np.uint32)]
     docs += [docs[5][100:900]] * 40
-    for terminals in (repair.terminals(registry.tokenizer_path()), 70_000):
+    for terminals in (repair.encoder(registry.tokenizer_path()).terminals, 70_000):
         block = repair.Block(repair.compress(docs, terminals))
         assert len(block.rules) > 0 and len(block) == len(docs)
         assert block.size.max() > 100  # long repeated passages become one symbol
