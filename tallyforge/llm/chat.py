@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm import common as C
 from tallyforge.session import ship
 
 Turn = tuple[str, str]
@@ -175,7 +176,7 @@ def format_conversations(rows: DataFrame, template: Render = render, trained: st
         F.col("turn").cast("long").alias("turn"),
     )
     ordered = clean.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return ordered.mapInArrow(_formatter(template, trained, part_chars), _FORMATTED)
+    return ordered.mapInArrow(C.tidy(_formatter(template, trained, part_chars)), _FORMATTED)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,4 +219,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation of this module's template, from the formatted text alone: turns, trained text and their hashes."""
     ship(formatted.sparkSession)
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part").select("conv_id", "formatted", "loss", "rewrites")
-    return ordered.mapInArrow(_reader, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean")
+    return ordered.mapInArrow(C.tidy(_reader), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean")

@@ -6,9 +6,11 @@ NumPy helpers turn Arrow string columns into word and shingle hashes without a P
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function that hands freed memory back to the system when its task ends: Spark keeps the worker for
+    tasks of other operators, and what the allocators hold back would count against the executor all that time."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's own call; elsewhere there is none
+        if trim is not None:
+            trim(0)
+
+    return task
+
+
 # --- hashing ---------------------------------------------------------------------------------------------------
 
 _U = np.uint64

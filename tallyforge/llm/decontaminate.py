@@ -218,7 +218,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_
     found = None
     for matcher in item_blocks(benchmark, max_edits, block_words):
         shared = spark.sparkContext.broadcast(matcher)
-        part = C.stage(rows.mapInArrow(_search(shared), schema), "hits")
+        part = C.stage(rows.mapInArrow(C.tidy(_search(shared)), schema), "hits")
         shared.destroy()
         found = part if found is None else found.unionByName(part)
     if found is None:

@@ -246,7 +246,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     texts are stored like empty ones; null ids stay null; repeated rows repeat; other columns are left out."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_encode, "doc_id long, n_bytes long, media binary").withColumn("declared", F.lit("application/octet-stream"))
+    return rows.mapInArrow(C.tidy(_encode), "doc_id long, n_bytes long, media binary").withColumn("declared", F.lit("application/octet-stream"))
 
 
 _SNIFFED = "type string, length long, corrected boolean, places int, embedded array<struct<type:string,start:long,end:long>>"
@@ -287,7 +287,7 @@ def sniff_media(df: DataFrame, media_col: str = "media", declared_col: str = "de
     carry = [c for c in df.columns if c not in new]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in carry), _SNIFFED])
     order = df.columns
-    return df.mapInArrow(_sniffer(order.index(media_col), order.index(declared_col), [order.index(c) for c in carry], carry + new), schema)
+    return df.mapInArrow(C.tidy(_sniffer(order.index(media_col), order.index(declared_col), [order.index(c) for c in carry], carry + new)), schema)
 
 
 def carve(sniffed: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -315,4 +315,4 @@ def digest(stored: DataFrame) -> DataFrame:
     """Read stored media back and describe each row; equal texts give equal values."""
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     rows = sniff_media(stored).select("doc_id", "n_bytes", "media", "type", "places", F.transform("embedded", lambda e: e["start"]).alias("inside"))
-    return rows.mapInArrow(_features, schema)
+    return rows.mapInArrow(C.tidy(_features), schema)

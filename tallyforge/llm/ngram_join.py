@@ -60,7 +60,7 @@ def token_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Ranks (uint16) of the sketch cells by how often their tokens occur in all documents. It comes to the driver as
     at most ``CELLS`` rows, whatever the input."""
     cells = np.zeros(CELLS, dtype=np.int64)
-    for r in docs.select(text).mapInArrow(_sketch, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in docs.select(text).mapInArrow(C.tidy(_sketch), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
         cells[r.cell] = r.n
     return np.minimum(np.round(np.log2(cells + 1.0) * 1500), 65535).astype(np.uint16)
 
@@ -119,7 +119,7 @@ def _words_of_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _bitmap(ids: DataFrame) -> np.ndarray:
     """A bit for each hashed id, ``2**BITS`` bits whatever the input: a filter that may pass too much, never too little."""
     out = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    for r in ids.mapInArrow(_words_of_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+    for r in ids.mapInArrow(C.tidy(_words_of_bits), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
         out[r.word] = r.bits
     return out.view(np.uint64)
 
@@ -141,7 +141,7 @@ def _needed_sets(bitmap):  # noqa: ANN001, ANN202
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
-    return C.stage(docs.where("doc_id is not null").mapInArrow(_needed_sets(bitmap), "cls long, tokens array<long>"), "sets")
+    return C.stage(docs.where("doc_id is not null").mapInArrow(C.tidy(_needed_sets(bitmap)), "cls long, tokens array<long>"), "sets")
 
 
 def _open(percent: int):  # noqa: ANN202
@@ -233,7 +233,7 @@ def _verify(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: in
     return (
         rows.repartition("comp", "blk", "chunk")
         .sortWithinPartitions("comp", "blk", "chunk", "query")
-        .mapInArrow(_open(percent), "q long, s long")
+        .mapInArrow(C.tidy(_open(percent)), "q long, s long")
     )
 
 
@@ -251,7 +251,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranks = spark.sparkContext.broadcast(token_ranks(docs))
-    signed = C.stage(docs.mapInArrow(_signatures(ranks, percent), "doc_id long, n long, sig1 long, sig2 long, low long, prefix array<long>"), "signed")
+    signed = C.stage(docs.mapInArrow(C.tidy(_signatures(ranks, percent)), "doc_id long, n long, sig1 long, sig2 long, low long, prefix array<long>"), "signed")
 
     live = signed.where("n > 0 and doc_id is not null")
     classes = live.groupBy("sig1", "sig2", "n").agg(F.min("doc_id").alias("cls"))

@@ -475,7 +475,7 @@ def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return C.stage(ordered.mapInArrow(_write(tokenizer), _BLOCK_SCHEMA), "token-shards")
+    return C.stage(ordered.mapInArrow(C.tidy(_write(tokenizer)), _BLOCK_SCHEMA), "token-shards")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -498,5 +498,5 @@ def shard_index(shards: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     before = totals.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    docs = shards.select("shard", "first_id", "doc_ids", "payload").mapInArrow(_digest, "doc_id long, shard int, at long, n_tokens long, ids_crc32 long")
+    docs = shards.select("shard", "first_id", "doc_ids", "payload").mapInArrow(C.tidy(_digest), "doc_id long, shard int, at long, n_tokens long, ids_crc32 long")
     return docs.join(F.broadcast(before), "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
