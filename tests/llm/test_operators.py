@@ -776,3 +776,37 @@ def test_pipeline_against_its_stages(spark, tmp_path):
     assert mix.columns == names
     assert {r.doc_id for r in mix.collect()} <= {r.doc_id for r in clean.collect()}
     assert P.run(spark, sf).count() == mix.count()
+
+
+@pytest.mark.parametrize("rows", [[], [*AWKWARD, (8, words(60)), (9, words(60))]], ids=["empty", "awkward"])
+def test_pipeline_stages_on_awkward_rows(spark, rows):
+    """Nulls, empty, long and repeated rows, and columns named like those the stages use inside: no stage fails, and all but
+    the last return the columns they got."""
+    import corpus_pipeline as P
+
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, rows)
+    for c in ("_copy", "_held", "_id", "t", "key", "rate", "component_id", "shard"):
+        docs = docs.withColumn(c, F.lit("own"))
+    names = docs.columns
+    for _, function in P.STAGES[:-1]:
+        before = {(r.doc_id, r.text) for r in docs.collect()}
+        docs = C.stage(function(spark, docs, sf), "awkward")
+        assert docs.columns == names
+        after = docs.collect()
+        assert {(r.doc_id, r.text) for r in after} <= before
+        assert all(r._copy == r._held == r.key == "own" for r in after)
+    got = P.STAGES[-1][1](spark, docs, sf).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r.doc_id) for r in docs.collect())
+
+
+def test_pipeline_stages_keep_rows_without_id(spark):
+    """Rows without id have no copies and no planted items of their own: these stages let them through; equal texts under
+    two ids leave one row."""
+    import corpus_pipeline as P
+
+    sf, text = "/root/testdata/sf0.001", words(40)
+    docs = table(spark, [(None, text), (None, None), (3, text), (2, text), (5, ""), (6, "")])
+    one = P.one_of_each_group(spark, docs, sf)
+    assert sorted(str(r.doc_id) for r in one.collect()) == ["2", "5", "6", "None", "None"]
+    assert P.no_benchmark(spark, one, sf).count() == 5
