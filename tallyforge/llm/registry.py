@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import chat, decontaminate, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan
+from tallyforge.llm import chat, decontaminate, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan, suffix_dedup
 from tallyforge.llm.common import stage, table
 
 
@@ -66,6 +66,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(stage(media.store(table(spark, sf_dir, "documents")), "media"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 #: The secret rules as the SQL twin states them: kind, pattern, group whose length counts, least length.
 _OP3_RULES = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -147,6 +151,20 @@ r(doc_id, c) AS (SELECT doc_id, doc_id FROM g UNION SELECT bi.v, r.c FROM r JOIN
 SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM g JOIN r USING (doc_id) GROUP BY g.doc_id, len(g.s)
 """
 
+#: Every window of 50 bytes (100 hex digits) of every text, and the smallest document in which it starts.
+OP11_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT rid, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE doc_id IS NOT NULL)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+hit AS (SELECT rid, i FROM w JOIN f USING (s) WHERE least < doc_id),
+g AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+s AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS k FROM g) GROUP BY rid, k),
+p AS (SELECT rid, a, b, lag(b, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS before FROM s),
+k AS (SELECT rid, h, doc_id, count(a) AS n_spans, coalesce(sum(b - a), 0) AS n_removed, coalesce(max(b), 0) AS last,
+  coalesce(string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a), '') AS kept FROM d LEFT JOIN p USING (rid) GROUP BY rid, h, doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(kept || substr(h, 2 * last + 1))) AS kept_sha256 FROM k
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1,
     "op2_benchmark_decontamination": op2,
@@ -158,6 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_shards": op8,
     "op9_personal_data": op9,
     "op10_media_columns": op10,
+    "op11_suffix_dedup": op11,
 }
 
 ORACLES: dict[str, str] = {
@@ -165,4 +184,5 @@ ORACLES: dict[str, str] = {
     "op3_secret_scan": _op3_sql(),
     "op5_poisson_mixing": OP5_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
+    "op11_suffix_dedup": OP11_SQL,
 }
