@@ -130,13 +130,13 @@ def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int
         at = end
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+``, A-Z lowered: 64-bit hashes, byte starts, and per row the index of its first word
-    (one more entry at the end)."""
+def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+``, or runs of the bytes marked by ``inside``, A-Z lowered: 64-bit hashes, byte starts, and
+    per row the index of its first word (one more entry at the end)."""
     n = len(data)
     if not n:
         return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    word = ~IS_SPACE[data]
+    word = ~IS_SPACE[data] if inside is None else inside[data]
     begin = word.copy()
     begin[1:] &= ~word[:-1]
     first = offs[:-1][offs[:-1] < n]
@@ -145,7 +145,8 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if not len(starts):
         return np.zeros(0, _U), starts, np.zeros(len(offs), np.int64)
     power, inverse = _powers(n)
-    summed = np.add.reduceat(_BYTES[data] * power[:n], starts)
+    values = _BYTES if inside is None else np.where(inside, _BYTES, _U(0))
+    summed = np.add.reduceat(values[data] * power[:n], starts)
     return mix(summed * inverse[starts]), starts, np.searchsorted(starts, offs)
 
 

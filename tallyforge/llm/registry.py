@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import chat, decontaminate, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan, suffix_dedup
+from tallyforge.llm import chat, decontaminate, lexical_search, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan, suffix_dedup
 from tallyforge.llm.common import stage, table
 
 
@@ -70,6 +70,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The secret rules as the SQL twin states them: kind, pattern, group whose length counts, least length.
 _OP3_RULES = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -165,6 +169,20 @@ k AS (SELECT rid, h, doc_id, count(a) AS n_spans, coalesce(sum(b - a), 0) AS n_r
 SELECT doc_id, length(h) // 2 AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(kept || substr(h, 2 * last + 1))) AS kept_sha256 FROM k
 """
 
+_OP12_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_OP12_TERMS} AS w FROM documents),
+n AS (SELECT rid, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+i AS (SELECT DISTINCT item_id, unnest({_OP12_TERMS}) AS term FROM benchmark),
+t AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) SEMI JOIN i USING (term) GROUP BY rid, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+c AS (SELECT item_id, rid, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score FROM i JOIN t USING (term) JOIN w USING (term) JOIN n USING (rid), s GROUP BY item_id, rid),
+r AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM c JOIN n USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1,
     "op2_benchmark_decontamination": op2,
@@ -177,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9,
     "op10_media_columns": op10,
     "op11_suffix_dedup": op11,
+    "op12_lexical_search": op12,
 }
 
 ORACLES: dict[str, str] = {
@@ -185,4 +204,5 @@ ORACLES: dict[str, str] = {
     "op5_poisson_mixing": OP5_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
     "op11_suffix_dedup": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
