@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import chat, decontaminate, lexical_search, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan, suffix_dedup
+from tallyforge.llm import chat, decontaminate, lexical_search, license_scan, media, mixing, ngram_join, pii, quality, repair, secret_scan, suffix_dedup, whitening
 from tallyforge.llm.common import stage, table
 
 
@@ -74,6 +74,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 #: The secret rules as the SQL twin states them: kind, pattern, group whose length counts, least length.
 _OP3_RULES = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -196,6 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_media_columns": op10,
     "op11_suffix_dedup": op11,
     "op12_lexical_search": op12,
+    "op13_embedding_whitening": op13,
 }
 
 ORACLES: dict[str, str] = {
