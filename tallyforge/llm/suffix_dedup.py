@@ -212,31 +212,52 @@ def _entries(least: int, parts: int):  # noqa: ANN202
 
 #: A document's settled spans (place, windows), and the spans whose bytes are asked for (place, windows, part).
 _SPANS = "doc_id long, mark int, gone array<long>, asked array<long>, parts array<long>"
+_REPLY = ((np.int64, 8), (np.uint32, 4), (np.int64, 6), (np.int64, 5))
 
 
-def _by_document(ids: np.ndarray, marks: np.ndarray, gone: np.ndarray, asked: np.ndarray, spans: np.ndarray, route: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _reply(ids: np.ndarray, marks: np.ndarray, spans: np.ndarray, route: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Spans packed for the task that gathers their documents. ``route`` is 0 for a settled span, else the part it is asked
+    for in, plus 2, or 1 for a hot one."""
+    home = ((C.mix(ids.view(_U) ^ marks.astype(_U))) % _U(parts)).astype(np.int64)
+    by = np.lexsort((spans, marks, ids, home))
+    cut = np.append(np.flatnonzero(np.append(True, home[by][1:] != home[by][:-1])), len(by)) if len(by) else np.zeros(1, np.int64)
+    to, blobs = [], []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        some = by[a:b]
+        to.append(int(home[some[0]]))
+        blobs.append(_pack((ids[some], 8), (marks[some], 4), (spans[some], 6), (route[some], 5)))
+        if len(blobs) == 256:
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(blobs, pa.binary())], ["home", "blob"])
+            to, blobs = [], []
+    if blobs:
+        yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(blobs, pa.binary())], ["home", "blob"])
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each document that has spans."""
-    take = np.flatnonzero(gone | asked)
-    take = take[np.lexsort((spans[take], marks[take], ids[take]))]
-    if not len(take):
+    got = [_unpack(blob, *_REPLY) for batch in batches for blob in batch.column(1).to_pylist()]
+    if not got:
         return
-    cut = np.flatnonzero(np.append(True, (ids[take][1:] != ids[take][:-1]) | (marks[take][1:] != marks[take][:-1])))
-    for a in range(0, len(cut), 4096):
-        some = cut[a : a + 4096]
-        inside = take[some[0] : cut[a + 4096] if a + 4096 < len(cut) else len(take)]
-        doc = np.searchsorted(some - some[0], np.arange(len(inside)), "right") - 1
-
-        def lists(which: np.ndarray, values: np.ndarray, inside: np.ndarray = inside, doc: np.ndarray = doc, n: int = len(some)) -> pa.Array:
-            keep = which[inside]
+    ids, marks, spans, route = (np.concatenate(x) for x in zip(*got, strict=True))
+    got.clear()
+    by = np.lexsort((spans, marks, ids))
+    ids, marks, spans, route = ids[by], marks[by], spans[by], route[by]
+    cut = np.append(np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]))), len(ids))
+    for a in range(0, len(cut) - 1, 4096):
+        some = cut[a : a + 4097]
+        inside = slice(int(some[0]), int(some[-1]))
+        doc = np.repeat(np.arange(len(some) - 1), np.diff(some))
+
+        def lists(keep: np.ndarray, values: np.ndarray, doc: np.ndarray = doc, n: int = len(some) - 1) -> pa.Array:
             offs = np.zeros(n + 1, np.int32)
             np.cumsum(np.bincount(doc[keep], minlength=n), out=offs[1:])
-            return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(values[inside][keep], pa.int64()))
+            return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(values[keep], pa.int64()))
 
-        head = take[some]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[head]), pa.array(marks[head].view(np.int32)), lists(gone, spans), lists(asked, spans), lists(asked, route)], ["doc_id", "mark", "gone", "asked", "parts"])
+        head, at, to = some[:-1], spans[inside], route[inside]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[head]), pa.array(marks[head].view(np.int32)), lists(to == 0, at), lists(to > 0, at), lists(to > 0, to - 2)], ["doc_id", "mark", "gone", "asked", "parts"])
 
 
-def _settle(batches: Iterator[pa.RecordBatch], hot_runs: int) -> Iterator[pa.RecordBatch]:
+def _settle(batches: Iterator[pa.RecordBatch], hot_runs: int, parts: int) -> Iterator[pa.RecordBatch]:
     got = []
     for batch in batches:
         for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -248,7 +269,7 @@ def _settle(batches: Iterator[pa.RecordBatch], hot_runs: int) -> Iterator[pa.Rec
     got.clear()
     live = np.flatnonzero(~settled)
     live = live[np.lexsort((ids[live], r[live], h[live]))]
-    gone, asked, route = settled, np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    gone, route = settled, np.zeros(len(h), np.int64)
     if len(live):
         group = np.append(True, h[live][1:] != h[live][:-1])
         same = group | np.append(True, r[live][1:] != r[live][:-1])
@@ -261,10 +282,11 @@ def _settle(batches: Iterator[pa.RecordBatch], hot_runs: int) -> Iterator[pa.Rec
         heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         differ = np.minimum.reduceat(ids[firsts], heads) < np.maximum.reduceat(ids[firsts], heads)
         hot = np.add.reduceat(same[~later].astype(np.int64), heads) > hot_runs
-        asked[firsts] = np.repeat(differ, np.diff(np.append(heads, len(firsts))))
-        key = (C.mix(h[firsts]) >> _U(33)).astype(np.int64)
-        route[firsts] = np.where(np.repeat(hot, np.diff(np.append(heads, len(firsts)))), -1, key)
-    yield from _by_document(ids, marks, gone, asked, spans, route)
+        size = np.diff(np.append(heads, len(firsts)))
+        key = np.where(np.repeat(hot, size), 1, (C.mix(h[firsts]) >> _U(33)).astype(np.int64) + 2)
+        route[firsts] = np.where(np.repeat(differ, size), key, 0)
+    told = np.flatnonzero(gone | (route > 0))
+    yield from _reply(ids[told], marks[told], spans[told], route[told], parts)
 
 
 # --- 3. suffix order --------------------------------------------------------------------------------------------
@@ -383,7 +405,7 @@ def factors(data: np.ndarray, starts: np.ndarray, doc: np.ndarray, least: int) -
     return out
 
 
-def _sort(least: int):  # noqa: ANN202
+def _sort(least: int, parts: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [_unpack(blob, (np.int64, 8), (np.uint32, 4), (np.uint32, 1), (np.uint32, 4), (np.uint8, 1), (np.uint8, 1)) for batch in batches for blob in batch.column(1).to_pylist()]
         if not got:
@@ -406,8 +428,7 @@ def _sort(least: int):  # noqa: ANN202
         done = np.flatnonzero(settled)
         ids, marks = np.concatenate([ids[owner[head]], ids[done]]), np.concatenate([marks[owner[head]], marks[done]])
         spans = np.concatenate([spans, (at[done].astype(np.int64) << 8) | 1])
-        every = np.ones(len(ids), bool)
-        yield from _by_document(ids, marks, every, ~every, spans, np.zeros(len(ids), np.int64))
+        yield from _reply(ids, marks, spans, np.zeros(len(ids), np.int64), parts)
 
     return run
 
@@ -474,17 +495,20 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id",
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     marked = rows.select("doc_id", F.hash("text").alias("mark"), "text")
     entries = marked.where((F.octet_length("text") >= least) & F.col("doc_id").isNotNull()).mapInArrow(C.tidy(_entries(least, parts)), "part int, blob binary")
-    found = C.stage(entries.repartitionById(parts, "part").mapInArrow(C.tidy(lambda batches: _settle(batches, hot_runs)), _SPANS), "runs")
+    settled = entries.repartitionById(parts, "part").mapInArrow(C.tidy(lambda batches: _settle(batches, hot_runs, parts)), "home int, blob binary")
+    found = C.stage(settled.repartitionById(parts, "home").mapInArrow(C.tidy(_gather), _SPANS), "runs")
     windows = found.agg(F.sum(F.aggregate("asked", F.lit(0).cast("long"), lambda s, x: s + x.bitwiseAND(255)))).first()[0] or 0
     pieces = max(parts, -(-windows // SORT_WINDOWS))
 
     # one exchange of texts serves both joins: their left sides are the same plan
     texts = marked.mapInArrow(C.tidy(_compressed), "doc_id long, mark int, z binary").repartition(parts, "doc_id", "mark")
-    asked = found.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("asked")).alias("asked"), F.flatten(F.collect_list("parts")).alias("parts"))
-    fetched = texts.join(asked.hint("shuffle_merge"), ["doc_id", "mark"], "left").select("doc_id", "mark", "z", "asked", "parts").mapInArrow(C.tidy(_fetch(least, pieces)), "part int, blob binary")
-    ordered = fetched.repartitionById(pieces, "part").mapInArrow(C.tidy(_sort(least)), _SPANS)
-    gone = found.select("doc_id", "mark", "gone").unionByName(ordered.select("doc_id", "mark", "gone")).groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    return texts.join(gone.hint("shuffle_merge"), ["doc_id", "mark"], "left").select("doc_id", "z", "gone").mapInArrow(
+    joined = texts.join(found.hint("shuffle_merge"), ["doc_id", "mark"], "left")
+    fetched = joined.select("doc_id", "mark", "z", "asked", "parts").mapInArrow(C.tidy(_fetch(least, pieces)), "part int, blob binary")
+    ordered = fetched.repartitionById(pieces, "part").mapInArrow(C.tidy(_sort(least, parts)), "home int, blob binary")
+    more = ordered.repartitionById(parts, "home").mapInArrow(C.tidy(_gather), _SPANS).select("doc_id", "mark", F.col("gone").alias("more"))
+    none = F.array().cast("array<long>")
+    both = texts.join(found.select("doc_id", "mark", "gone").hint("shuffle_merge"), ["doc_id", "mark"], "left").join(more.hint("shuffle_merge"), ["doc_id", "mark"], "left")
+    return both.select("doc_id", "z", F.concat(F.coalesce("gone", none), F.coalesce("more", none)).alias("gone")).mapInArrow(
         C.tidy(_cut(least)), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
     )
 
