@@ -384,6 +384,18 @@ def factors(data: np.ndarray, starts: np.ndarray, doc: np.ndarray, least: int) -
     Suffixes are sorted by their first ``least`` bytes, eight at a time from the last."""
     if not len(starts):
         return np.zeros(0, np.int64)
+    out = np.zeros(len(starts), np.int64)
+    # a suffix whose first bytes no other one has, by a hash, has no factor of that length and needs no place
+    power, inverse = C._powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=_U)
+    np.cumsum(_BYTE[data] * power[: len(data)], dtype=_U, out=total[1:])
+    prints = (total[starts + least] - total[starts]) * inverse[starts]
+    by = np.argsort(prints)
+    same = prints[by][1:] == prints[by][:-1]
+    keep = np.sort(by[np.append(same, False) | np.append(False, same)])
+    if not len(keep):
+        return out
+    starts, doc = starts[keep], doc[keep]
     wide = np.concatenate([data, np.zeros(least + 8, np.uint8)])
     by = np.arange(len(starts))
     for word in range(-(-least // 8) - 1, -1, -1):
@@ -400,8 +412,7 @@ def factors(data: np.ndarray, starts: np.ndarray, doc: np.ndarray, least: int) -
     order = doc[by]
     before = previous_factors(order, lcp, least)
     after = previous_factors(order[::-1], np.append(0, lcp[1:][::-1]), least)[::-1]
-    out = np.zeros(len(starts), np.int64)
-    out[by] = np.maximum(before, after)
+    out[keep[by]] = np.maximum(before, after)
     return out
 
 
