@@ -98,11 +98,6 @@ def fp16(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
-def set_hash(values: Column) -> Column:
-    """Aggregate: sha256 of the sorted distinct values, joined by newlines."""
-    return F.sha2(F.array_join(F.array_sort(F.collect_set(values)), "\n"), 256)
-
-
 def opening(text: Column, n: int = 6) -> Column:
     """The first ``n`` word tokens, or null without any."""
     return F.nullif(F.array_join(F.slice(words(text), 1, n), " "), F.lit(""))
@@ -226,6 +221,64 @@ def scrub_pii(text: Column) -> Column:
     return text
 
 
+def variant_walk(v: Column, depth: int = 12) -> Column:
+    """What lies inside a VARIANT: a struct of ``keys``, all names of object fields down to ``depth`` levels, and ``deeper``,
+    whether there is more below. Each level's values come from those before as maps and arrays of VARIANT."""
+    nothing = F.array().cast("array<variant>")
+
+    def fields(x: Column) -> Column:
+        return F.coalesce(F.map_values(F.try_variant_get(x, "$", "map<string,variant>")), nothing)
+
+    def down(s: Column, _: Column) -> Column:
+        named = F.transform(s["level"], lambda x: F.coalesce(F.map_keys(F.try_variant_get(x, "$", "map<string,variant>")), F.array().cast("array<string>")))
+        below = F.transform(s["level"], lambda x: F.concat(fields(x), F.coalesce(F.try_variant_get(x, "$", "array<variant>"), nothing)))
+        return F.struct(F.flatten(below).alias("level"), F.array_union(s["keys"], F.flatten(named)).alias("keys"))
+
+    start = F.struct(F.array(v).alias("level"), F.array().cast("array<string>").alias("keys"))
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, down, lambda s: F.struct(s["keys"].alias("keys"), F.exists(s["level"], lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)")).alias("deeper")))
+    return F.when(v.isNotNull(), end)
+
+
+def has_json_key(text: Column, keys: list[str], depth: int = 12) -> Column:
+    """Whether a JSON text has a field of one of these names at any depth, names compared as parsed. It fails closed: a text
+    nested deeper than ``depth`` counts as having one, and one that is no JSON (or repeats a key in an object) does if it
+    holds a quoted name before a colon. A null text has none."""
+
+    def inside(v: Column) -> Column:
+        walk = variant_walk(v, depth)
+        loose = text.rlike('"(?:' + "|".join(r"\Q" + k.replace(r"\E", r"\E\\E\Q") + r"\E" for k in keys) + r')"[ \t\n\r]*+:') if keys else F.lit(False)
+        return F.when(v.isNull(), loose).otherwise(let(walk, lambda w: F.arrays_overlap(w["keys"], F.array(*map(F.lit, keys)).cast("array<string>")) | w["deeper"]))
+
+    return F.coalesce(let(F.try_parse_json(text), inside), F.lit(False))
+
+
+def scrub_json(text: Column, exempt: list[str] | None = None) -> Column:
+    """Structured personal data scrubbed from every text value of a JSON text, at any depth; names of fields, numbers and the
+    values of ``exempt`` fields (identifiers) stay as they are, and so does all white space. A text that is no JSON is
+    scrubbed as it is.
+
+    Raw control characters can't occur in JSON, so escaped backslashes and quotes are held as such while the text is cut at
+    its quotes; each value is unescaped before it is scrubbed, so a shape is found however it is written."""
+    held = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    back = lambda t: F.replace(F.replace(t, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+    tokens = F.regexp_extract_all(held, F.lit('"[^"]*+"|[^"]++'), F.lit(0))
+    names = [f'"{k}"' for k in exempt or []]
+
+    def clean(parts: Column) -> Column:
+        def one(t: Column, i: Column) -> Column:
+            following, before = F.coalesce(F.try_element_at(parts, i + 2), F.lit("")), F.coalesce(F.try_element_at(parts, F.when(i > 0, i)), F.lit(""))
+            owner = F.coalesce(F.try_element_at(parts, F.when(i > 1, i - 1)), F.lit(""))
+            name = following.rlike("^[ \\t\\n\\r]*+:")
+            kept = before.rlike(":[ \\t\\n\\r]*$") & owner.isin(names) if names else F.lit(False)
+            value = F.try_variant_get(F.try_parse_json(back(t)), "$", "string")
+            new = let(value, lambda x: let(scrub_pii(x), lambda y: F.when(y != x, F.to_json(y.cast("variant"))).otherwise(back(t))))
+            return F.when(~t.startswith('"') | name | kept, back(t)).otherwise(F.coalesce(new, back(t)))
+
+        return F.array_join(F.transform(parts, one), "")
+
+    return F.when(F.try_parse_json(text).isNull(), scrub_pii(text)).otherwise(let(tokens, clean))
+
+
 def redact_secrets(text: Column, literals: list[str] | None = None) -> Column:
     """Mask listed literals (longest first), credential shapes, then values of sensitive assignments."""
     for value in sorted(set(literals or []), key=lambda v: (-len(v), v)):
@@ -383,13 +436,13 @@ def worst_verdict(verdict: Column) -> Column:
 
 
 #: Marks that make a lesson critical.
-CRITICAL_MARKS = ["[Daniel directive", "[CORRECTED", "[FALSIFIED", "[MANDATORY", "NO-GO", "regressed"]
+CRITICAL_MARKS = ["[CORRECTED", "[FALSIFIED", "[MANDATORY", "NO-GO", "regressed"]
 
 
-def lesson_severity(text: Column) -> Column:
-    """critical if a lesson carries one of the marks (as written), else minor."""
+def lesson_severity(text: Column, marks: list[str] | None = None) -> Column:
+    """critical if a lesson carries one of the marks (as written; a program may have more of its own), else minor."""
     found = F.lit(False)
-    for mark in CRITICAL_MARKS:
+    for mark in CRITICAL_MARKS if marks is None else marks:
         found = found | text.contains(mark)
     return F.when(found, "critical").otherwise("minor")
 

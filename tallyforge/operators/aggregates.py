@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
+from tallyforge.operators import fingerprints
 
 
 def _rank_of(count: Column, fraction: float) -> Column:
@@ -73,11 +74,12 @@ def aggregate_arm(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if(F.col("output_type") == "no_action").alias("no_action"),
         T.pct4(F.count_if(F.col("output_type") == "no_action"), n).alias("no_action_rate"),
         F.count_if(F.col("emitted") & (F.col("output_type") != "no_action")).alias("actionable"),
-        T.set_hash(F.col("envelope_hash")).alias("envelopes"),
         F.countDistinct("envelope_hash").alias("envelope_hashes"),
         F.bround(F.avg("wall_ms"), 4).alias("latency_mean"),
         *_optional(rows.columns, n),
     )
+    sets = fingerprints.set_fingerprint(rows, "envelope_hash", keys).withColumnRenamed("fingerprint", "envelopes").drop("members")
+    of = of.join(sets, keys, "left").withColumn("envelopes", F.coalesce("envelopes", F.sha2(F.lit(""), 256)))
     ranks = nearest_ranks(rows, keys, "wall_ms", {"latency_p50": lambda c: _rank_of(c, 0.5), "latency_p95": lambda c: _rank_of(c, 0.95)})
     of = of.join(ranks.withColumns({c: F.col(c).cast("double") for c in ("latency_p50", "latency_p95")}), keys, "left")
     if "importance" in rows.columns:
@@ -90,7 +92,8 @@ def aggregate_arm(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def set_identity(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(T.set_hash(F.col(column)).alias("set_hash"), F.countDistinct(column).alias("members"))
+    """The fingerprint of each group's distinct values, built in parts where they are many."""
+    return fingerprints.set_fingerprint(rows, column, keys).withColumnRenamed("fingerprint", "set_hash")
 
 
 def rank_percentiles(rows: DataFrame, key: str, value: str, fractions: dict[str, float]) -> DataFrame:

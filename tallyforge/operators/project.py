@@ -25,17 +25,22 @@ def redact_or_withhold(df: DataFrame, column: str = "content") -> DataFrame:
     return df.withColumn("reason", reason).withColumn(column, F.when(F.col("reason").isNull(), clean))
 
 
-def rows_with_keys(df: DataFrame, json_col: str, keys: list[str]) -> DataFrame:
+def rows_with_keys(df: DataFrame, json_col: str, keys: list[str], depth: int = 12) -> DataFrame:
     """Rows whose JSON text has one of the keys at any depth; a sink refuses the set if there are any."""
-    return df.where(F.col(json_col).rlike('"(' + "|".join(keys) + r')"[ ]*:'))
+    return df.where(T.has_json_key(F.col(json_col), keys, depth))
 
 
-def assert_no_keys(df: DataFrame, json_col: str, keys: list[str]) -> DataFrame:
+def assert_no_keys(df: DataFrame, json_col: str, keys: list[str], depth: int = 12) -> DataFrame:
     """``df``, failing at run time at the first row with a sensitive key."""
-    bad = F.col(json_col).rlike('"(' + "|".join(keys) + r')"[ ]*:')
+    bad = T.has_json_key(F.col(json_col), keys, depth)
     return df.withColumn(json_col, F.when(bad, F.raise_error(F.lit("sensitive key in " + json_col)).cast("string")).otherwise(F.col(json_col)))
 
 
+def scrub_json_columns(df: DataFrame, columns: list[str], exempt: list[str] | None = None) -> DataFrame:
+    """Personal data scrubbed from the text values of JSON columns at any depth; ``exempt`` fields keep their values."""
+    return df.withColumns({c: T.scrub_json(F.col(c), exempt) for c in columns})
+
+
 def project_detail(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Head and tail of a text within their limits, and the source, nulls kept as nulls."""
     return df.select("doc_id", F.left(F.col(text_col), F.lit(4000)).alias("head"), F.right(F.col(text_col), F.lit(500)).alias("tail"), "source")

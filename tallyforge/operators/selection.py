@@ -236,15 +236,3 @@ def patch_links(agents: DataFrame, links: DataFrame, key: str, column: str) -> D
     j = agents.join(cand, key, "left")
     conflict = F.coalesce((F.col("_n") > 1) | (F.col(column).isNotNull() & (F.col(column) != F.col("_v"))), F.lit(False))
     return j.withColumn("conflict", conflict).withColumn(column, F.coalesce(column, F.when(F.col("_n") == 1, F.col("_v")))).drop("_n", "_v")
-
-
-def write_table(state: DataFrame, path: str) -> None:
-    """Replace a Parquet table by its new state, which may read the old one: written beside it and renamed."""
-    spark = state.sparkSession
-    temporary = path.rstrip("/") + "__new"
-    state.write.mode("overwrite").parquet(temporary)
-    jvm = spark._jvm
-    old = jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(temporary), old)

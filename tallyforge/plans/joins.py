@@ -44,10 +44,19 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.reserved_leaks(keyed.where("line < 1000000"), keyed.where("line >= 1000000"), ["surface", "sha"])
 
 
-@query("jon_05_population_drift", "SELECT count(*) AS sealed, count(*) FILTER (c_custkey % 50 <> 0) AS resolved, (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 0) AS population, 'suspect' AS verdict FROM customer WHERE c_custkey % 5 = 0")
+_PRINT = "SELECT left(sha256(string_agg(f, chr(10) ORDER BY f)), 16) FROM (SELECT left(sha256(CAST(c_custkey AS VARCHAR)), 16) AS f FROM customer WHERE {})"
+
+
+@query(
+    "jon_05_population_drift",
+    f"""WITH s AS (SELECT count(*) AS sealed, count(*) FILTER (c_custkey % 50 <> 0) AS resolved FROM customer WHERE c_custkey % 5 = 0), p AS (SELECT *, (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 0) AS population, ({_PRINT.format('c_custkey % 50 <> 0')}) AS population_fingerprint FROM s)
+SELECT *, 'not_evaluated' AS drift, 'suspect' AS verdict FROM p UNION ALL SELECT *, 'drifted', 'fail' FROM p UNION ALL SELECT *, 'clean', 'suspect' FROM p""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
     pop = load(spark, sf, "customer").select("c_custkey", J.T.fp16(c("c_custkey").cast("string")).alias("fingerprint"))
-    return J.population_drift(pop.where("c_custkey % 5 = 0"), pop.where("c_custkey % 50 <> 0"))
+    sealed, now = pop.where("c_custkey % 5 = 0"), pop.where("c_custkey % 50 <> 0")
+    then, same = (J.set_fingerprint(x, "fingerprint").first().fingerprint[:16] for x in (pop, now))
+    return J.population_drift(sealed, now).unionByName(J.population_drift(sealed, now, then)).unionByName(J.population_drift(sealed, now, same))
 
 
 @query(

@@ -159,6 +159,24 @@ _SQL_SECRETS = [
     ),
 ]
 on_documents("pii_01_scrub", lambda: T.scrub_pii(F.col("text")), _chain("text", _SQL_PII))
+query(
+    "pii_01_scrub_nested",
+    f"SELECT doc_id, CAST(to_json({{'ids': {{'phone_id': '212-555-' || (1000 + doc_id % 9000)}}, 'notes': [{{'said': {_chain('text', _SQL_PII)}, 'n': doc_id}}], 'back': chr(92) || chr(34) || ' [redacted-email]'}}) AS VARCHAR) AS value FROM documents",
+)(
+    lambda spark, sf: load(spark, sf, "documents").select(
+        "doc_id",
+        T.scrub_json(
+            F.to_json(
+                F.struct(
+                    F.struct(F.concat(F.lit("212-555-"), (1000 + F.col("doc_id") % 9000).cast("string")).alias("phone_id")).alias("ids"),
+                    F.array(F.struct(F.col("text").alias("said"), F.col("doc_id").alias("n"))).alias("notes"),
+                    F.lit('\\" a@b.example').alias("back"),
+                )
+            ),
+            ["phone_id"],
+        ).alias("value"),
+    )
+)
 query("pii_02_scrub_columns", f"SELECT doc_id, source, {_chain('text', _SQL_PII)} AS text FROM documents")(
     lambda spark, sf: P.scrub_columns(load(spark, sf, "documents").select("doc_id", "source", "text"), ["text"])
 )
@@ -176,6 +194,27 @@ query("pii_05_redact_path", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '[pa
 query("pii_06_assert_no_keys", "SELECT event_id FROM events WHERE regexp_matches(props, '\"(password|k[0-4])\"[ ]*:')")(
     lambda spark, sf: P.rows_with_keys(load(spark, sf, "events"), "props", ["password", "k0", "k1", "k2", "k3", "k4"]).select("event_id")
 )
+query("pii_06_nested_keys", "SELECT event_id FROM events WHERE event_id % 6 IN (0, 1, 2, 5)")(
+    lambda spark, sf: P.rows_with_keys(
+        load(spark, sf, "events").select(
+            "event_id",
+            F.concat(
+                F.lit('{"o": [1, {"'),
+                F.when(F.col("event_id") % 6 == 0, 'password"\n\t')
+                .when(F.col("event_id") % 6 == 1, '\\u0070assword" ')
+                .when(F.col("event_id") % 6 == 2, 'x": {"y": [[{"password"\r:1}]]}, "z"')
+                .when(F.col("event_id") % 6 == 3, 'passwords": "say \\"password\\": no", "z"')
+                .when(F.col("event_id") % 6 == 4, 'k"')
+                .otherwise('k": 1, "k": 1, "password"'),  # a repeated name is no readable object: it fails closed
+                F.lit(": "),
+                F.col("props"),
+                F.lit("}]}"),
+            ).alias("raw"),
+        ),
+        "raw",
+        ["password"],
+    ).select("event_id")
+)
 query("pii_06_assert_no_keys_passes", "SELECT event_id, props FROM events")(
     lambda spark, sf: P.assert_no_keys(load(spark, sf, "events"), "props", ["password", "ssn"]).select("event_id", "props")
 )

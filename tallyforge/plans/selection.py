@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tallyforge.operators import seal
 from tallyforge.operators import selection as S
 from tallyforge.plans.fixtures import load, with_tables
 from tallyforge.plans.registry import query
+from tallyforge.sources.files import shared_folder
+from tallyforge.sources.snapshots import SnapshotTable
 
 c = F.col
 NIGHTS, BEATS, POOL = with_tables("nights"), with_tables("beats"), with_tables("pool")
@@ -58,6 +63,16 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return S.seal_heldout(load(spark, sf, "customer"), "c_custkey", "7")
 
 
+@query("win_08_write_once", _SEAL + " SELECT fingerprint, (SELECT count(*) FROM customer) AS population, (SELECT left(sha256(string_agg(f, chr(10) ORDER BY f)), 16) FROM (SELECT left(sha256(CAST(c_custkey AS VARCHAR)), 16) AS f FROM customer)) AS population_fingerprint, '7' AS seed FROM s")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    folder = f"{shared_folder(spark)}/seal-{uuid.uuid4().hex}"
+    people = load(spark, sf, "customer")
+    seal.seal_once(people, folder, "c_custkey", "7")
+    again = seal.seal_once(people.where("c_custkey % 2 = 0"), folder, "c_custkey", "8", fraction=0.5)  # the first seal stands
+    m = seal.read_manifest(spark, folder)
+    return again.select("fingerprint", F.lit(m["population_size"]).cast("long").alias("population"), F.lit(m["population_fingerprint"]).alias("population_fingerprint"), F.lit(m["seed"]).alias("seed"))
+
+
 @query("win_09_is_held_out", _SEAL + " SELECT o_orderkey, CAST(o_custkey AS VARCHAR) IN (SELECT id FROM s) AS held_out FROM orders")
 def _(spark, sf):  # noqa: ANN001, ANN202
     sealed = S.seal_heldout(load(spark, sf, "customer"), "c_custkey", "7")
@@ -164,6 +179,18 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return S.upsert(o.where("o_orderkey % 5 = 0"), o.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus")), ["o_orderkey"])
 
 
+@query("snk_01_snapshot_table", "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'Y' WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, 3 AS versions, true AS same FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 3 = 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    table = SnapshotTable(spark, f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}")
+    into = lambda old, new: S.upsert(old, new, ["o_orderkey"])
+    table.replace(o.where("o_orderkey % 5 = 0"), ["o_orderkey"])
+    for i, (part, mark) in enumerate([("o_orderkey % 3 = 0", "X"), ("o_orderkey % 6 = 0", "Y"), ("o_orderkey % 6 = 0", "Y")]):
+        table.merge(o.where(part).withColumn("o_orderstatus", F.lit(mark)), ["o_orderkey"], into, "load", min(i, 1))
+    before = table.read(0).agg(F.count("*").alias("n")).crossJoin(o.where("o_orderkey % 5 = 0").agg(F.count("*").alias("m"))).select((c("n") == c("m")).alias("same"))
+    return table.read().withColumn("versions", F.lit(len(table.versions()))).crossJoin(before)
+
+
 @query("snk_02_insert_ignore", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE 'new' END AS o_orderstatus FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 3 = 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")

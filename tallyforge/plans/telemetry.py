@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
@@ -11,6 +13,8 @@ from tallyforge.plans import checks as K
 from tallyforge.plans.fixtures import load, with_tables
 from tallyforge.plans.registry import query
 from tallyforge.sources import readers as R
+from tallyforge.sources.files import shared_folder
+from tallyforge.sources.snapshots import SnapshotTable
 from tallyforge.streaming import jobs as J
 
 c = F.col
@@ -345,19 +349,11 @@ def _fed(spark, batches, sink, path):  # noqa: ANN001, ANN202
     """The table that a ``foreachBatch`` sink writes from some batches, the last one fed twice as after a restart."""
     for i, batch in [*enumerate(batches), (len(batches) - 1, batches[-1])]:
         sink(batch, i)
-    return spark.read.parquet(path)
+    return SnapshotTable(spark, path).read()
 
 
 def _folder(spark) -> str:  # noqa: ANN001
-    """A new folder in the place that all executors share."""
-    import tempfile
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/sink-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/sink-{uuid.uuid4().hex}"
 
 
 @query("str_06_timeline_sink", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'closed' ELSE o_orderstatus END AS status FROM orders")
@@ -375,6 +371,16 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return rows.groupBy("id").agg(F.max_by("status", "batch").alias("status"))
 
 
+@query("str_04_collision_sink", "SELECT 'kept' AS family, event_id, event_type AS body FROM events UNION ALL SELECT 'collision', event_id, event_type || '!' FROM events WHERE event_id % 10 = 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    e = load(spark, sf, "events").select("event_id", c("event_type").alias("body"), "ts")
+    other = e.where("event_id % 10 = 0").select("event_id", F.concat("body", F.lit("!")).alias("body"), "ts")
+    kept, clash = _folder(spark), _folder(spark)
+    first = _fed(spark, [e.where("event_id % 4 = 0"), e.unionByName(e), other], J.collision_sink(kept, clash), kept)
+    both = SnapshotTable(spark, clash).read()
+    return first.select(F.lit("kept").alias("family"), "event_id", "body").unionByName(both.select(F.lit("collision").alias("family"), "event_id", "body"))
+
+
 @query("str_05_activity_windows", "SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def _(spark, sf):  # noqa: ANN001, ANN202
     return J.activity_windows(load(spark, sf, "events"), "1 day")

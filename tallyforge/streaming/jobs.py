@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.operators import selection as S
+from tallyforge.sources.snapshots import SnapshotTable
 
 
 def read_log(spark, path: str, schema: str) -> DataFrame:  # noqa: ANN001
@@ -62,21 +63,22 @@ def append_new(batch: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def collision_sink(path: str, collisions: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: append new events to one Parquet table and colliding bodies to another. Each batch writes its own
-    folders, so a batch that is run again replaces what it wrote."""
+    """For ``foreachBatch``: add new events to one snapshot table and colliding bodies to another. A batch is held against the
+    buckets of its own ids, not the whole history; one that is run again changes nothing. Collisions are committed
+    first, so a crash between the two commits repeats the second one only."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = "event_id long, body string, ts timestamp, batch long"
+        kept, clash = SnapshotTable(spark, path), SnapshotTable(spark, collisions)
+        if kept.done("stream", batch_id):
+            return
+        rows = batch.select("event_id", "body", "ts").persist()
         try:
-            kept = spark.read.schema(schema).parquet(path).where(F.col("batch") != batch_id)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            kept = spark.createDataFrame([], schema)
-        new, other = append_new(batch, kept)
-        other.write.mode("overwrite").parquet(f"{collisions.rstrip('/')}/batch={batch_id}")
-        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+            new, other = append_new(rows, kept.read_for(rows, ["event_id"]))
+            clash.merge(other, ["event_id"], DataFrame.unionByName, "stream", batch_id)
+            kept.merge(new, ["event_id"], DataFrame.unionByName, "stream", batch_id)
+        finally:
+            rows.unpersist()
 
     return write
 
@@ -101,40 +103,43 @@ def night_aggregates(rows: DataFrame, delay: str | None = "1 day") -> DataFrame:
 
 
 def upsert_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: merge each batch into a Parquet table; a batch that is run again changes nothing."""
+    """For ``foreachBatch``: merge each batch into a snapshot table; only the buckets of its keys are written anew, and a batch
+    that is run again changes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rest = [c for c in batch.columns if c not in keys]
         order = F.struct(*(["ts"] if "ts" in rest else []), *[c for c in rest if c != "ts"])
-        last = batch.groupBy(*keys).agg(F.max(order).alias("_r")).select(*[F.col(c) if c in keys else F.col(f"_r.{c}") for c in batch.columns])  # the latest of a key
+        last = batch.groupBy(*keys).agg(F.max(order).alias("_r")).select(*[F.col(c) if c in keys else F.col(f"_r.{c}") for c in batch.columns]).persist()  # the latest of a key
         try:
-            target = spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            last.write.parquet(path)
-            return
-        S.write_table(S.upsert(target, last, keys), path)
+            SnapshotTable(batch.sparkSession, path).merge(last, keys, lambda old, new: S.upsert(old, new, keys), "stream", batch_id)
+        finally:
+            last.unpersist()
 
     return write
 
 
+_FINDINGS = "id string, `check` string, status string, batch long"
+
+
 def finding_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: append status rows of new findings, and of open ones a check no longer makes."""
+    """For ``foreachBatch``: add status rows of new findings, and of open ones a check no longer makes, to a snapshot table.
+    What a check no longer makes is only known from all its open findings, so these are read; what is written are the
+    buckets of changed ones."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            rows = spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            rows = spark.createDataFrame([], "id string, `check` string, status string, batch long")
+        table = SnapshotTable(spark, path)
+        if table.done("stream", batch_id):
+            return
+        rows = table.read() if table.versions() else spark.createDataFrame([], _FINDINGS)
         old = rows.groupBy("id").agg(F.max_by(F.struct("check", "status"), "batch").alias("x")).select("id", "x.check", "x.status")
         new = batch.select(F.col("id").cast("string").alias("id"), "check").distinct()
         changes = S.transition_findings(old, new, batch.select("check"))
         checks = new.unionByName(old.select("id", "check")).groupBy("id").agg(F.min("check").alias("check"))
-        changes.join(checks, "id").select("id", "check", "status", F.lit(batch_id).cast("long").alias("batch")).write.mode("append").parquet(path)
+        changed = changes.join(checks, "id").select("id", "check", "status", F.lit(batch_id).cast("long").alias("batch")).persist()
+        try:
+            table.merge(changed, ["id"], DataFrame.unionByName, "stream", batch_id)
+        finally:
+            changed.unpersist()
 
     return write
