@@ -32,6 +32,8 @@ Render = Callable[[list[Turn]], str]
 OPEN, CLOSE = "<|turn|>", "<|end|>"
 _CONTROL = re.compile(r"(<(?=\|)|<(?=/?s>)|\[(?=/?INST\])|<(?=<SYS>>)|<(?=</SYS>>))")
 _TURN = re.compile(r"<\|turn\|>((?:\\.|[^\\\n])*)\n((?:\\.|[^\\])*?)<\|end\|>\n", re.DOTALL)
+#: Private characters, one of which stands for a text while its place is found.
+_MARKS = (range(0xE000, 0xF900), range(0xF0000, 0xFFFFE), range(0x100000, 0x10FFFE))
 #: Formatted text of one output row; a longer conversation continues in the next row.
 PART_CHARS = 64 << 20
 
@@ -53,41 +55,66 @@ def _unescape_role(role: str) -> str:
     return re.sub(r"\\(n|\\|)", lambda m: {"n": "\n", "\\": "\\", "": ""}[m[1]], role)
 
 
-@lru_cache(maxsize=4096)
 def _render_turn(turn: Turn) -> str:
     return f"{OPEN}{_escape_role(turn[0])}\n{escape(turn[1])}{CLOSE}\n"
 
 
+#: Rendered turns that are remembered: short ones only, so that what a worker keeps is bounded (some 40 MB).
+_SHORT = 2048
+_remembered = lru_cache(maxsize=4096)(_render_turn)
+
+
 def render(turns: list[Turn]) -> str:
     """The template of this module: marked turns, escaped texts."""
-    return "".join(map(_render_turn, turns))
+    return "".join(_remembered(t) if len(t[0]) + len(t[1]) <= _SHORT else _render_turn(t) for t in turns)
 
 
 @dataclass
 class Rendered:
     """A conversation rendered so far: its text, the span of each turn and of the text inside it (None where it cannot be
-    told), and whether the template rewrote what it had said before."""
+    told), whether the template rewrote what it had said before, and the error if it refused the last prefix."""
 
     text: str = ""
     spans: list[tuple[int, int]] = field(default_factory=list)
     texts: list[tuple[int, int] | None] = field(default_factory=list)
     rewrites: bool = False
+    error: str | None = None
 
 
 class Prefixes:
-    """Feeds a conversation to a template turn by turn and compares each output with the one before."""
+    """Feeds a conversation to a template turn by turn and compares each output with the one before. What a template says of
+    no turns at all belongs to no turn; one that can't be asked that says nothing. A prefix that it refuses leaves the
+    output as it was, with an empty span, and is part of what the next prefix adds."""
 
     def __init__(self, template: Render = render) -> None:
         self.template, self.turns = template, []
-        self.done = Rendered(template([]))
+        self.done = Rendered(self._said([]) or "")
+
+    def _said(self, turns: list[Turn]) -> str | None:
+        """The template's output, None if it raises or gives no text; the error of the last call is kept."""
+        self.failed = None
+        try:
+            out = self.template(turns)
+        except Exception as e:  # noqa: BLE001
+            self.failed = f"{type(e).__name__}: {e}"[:200]
+            return None
+        if not isinstance(out, str):
+            self.failed = f"TypeError: the template gave {type(out).__name__}"
+            return None
+        return out
 
     def add(self, turn: Turn, inside: bool = True) -> None:
         """A turn that changes earlier output gets the span from the first changed character. ``inside``: find the turn's
         own text, too."""
         before = self.done.text
         self.turns.append(turn)
-        now = self.template(self.turns)
+        now = self._said(self.turns)
+        self.done.error = self.failed
         at = len(before)
+        if now is None:
+            self.done.spans.append((at, at))
+            self.done.texts.append(None)
+            return
         if not now.startswith(before):
             self.done.rewrites = True
             at = next((i for i, (a, b) in enumerate(zip(before, now, strict=False)) if a != b), min(len(before), len(now)))
@@ -97,10 +124,15 @@ class Prefixes:
 
     def _inside(self, turn: Turn, at: int) -> tuple[int, int] | None:
         now = self.done.text
-        mark = next(c for c in map(chr, range(0xE000, 0xF900)) if c not in now and c not in turn[0])
+        taken = {*now, *turn[0]}
+        mark = next((c for area in _MARKS for c in map(chr, area) if c not in taken), None)
+        if mark is None:  # a text that holds every private character
+            return None
         self.turns[-1] = (turn[0], mark)
-        probe = self.template(self.turns)
+        probe = self._said(self.turns)
         self.turns[-1] = turn
+        if probe is None:
+            return None
         head, _, tail = probe.partition(mark)
         if probe.count(mark) != 1 or len(head) < at or len(head) + len(tail) > len(now) or not (now.startswith(head) and now.endswith(tail)):
             return None
@@ -115,7 +147,7 @@ def spans_of(turns: list[Turn], template: Render = render) -> Rendered:
     return prefixes.done
 
 
-_FORMATTED = "conv_id long, part int, turns int, formatted string, loss array<struct<start:int,end:int>>, rewrites boolean, unlocated int"
+_FORMATTED = "conv_id long, part int, turns int, formatted string, loss array<struct<start:int,end:int>>, rewrites boolean, unlocated int, error string"
 
 
 def _formatter(template: Render, trained: str, part_chars: int):  # noqa: ANN202
@@ -133,12 +165,12 @@ def _formatter(template: Render, trained: str, part_chars: int):  # noqa: ANN202
                     continue
                 stop = end if i + 1 < len(done.spans) else len(done.text)
                 loss = [{"start": s[0] - begin, "end": s[1] - begin} for s in found[first : i + 1] if s]
-                yield key[1], part, i + 1 - first, done.text[begin:stop], loss, done.rewrites, lost
+                yield key[1], part, i + 1 - first, done.text[begin:stop], loss, done.rewrites, lost, done.error
                 begin, first, part = stop, i + 1, part + 1
 
         def batch_of(out: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.bool_(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["conv_id", "part", "turns", "formatted", "loss", "rewrites", "unlocated"])
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.bool_(), pa.int32(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["conv_id", "part", "turns", "formatted", "loss", "rewrites", "unlocated", "error"])
 
         for batch in batches:
             out: list[tuple] = []
@@ -159,13 +191,14 @@ def _formatter(template: Render, trained: str, part_chars: int):  # noqa: ANN202
 
 def format_conversations(rows: DataFrame, template: Render = render, trained: str = "assistant", part_chars: int = PART_CHARS) -> DataFrame:
     """Rows ``conv_id, turn, role, text`` to formatted conversations: ``conv_id, part, turns, formatted, loss, rewrites,
-    unlocated``. A conversation is one row unless it is longer than ``part_chars``; then it goes on in further rows.
+    unlocated, error``. A conversation is one row unless it is longer than ``part_chars``; then it goes on in further rows.
 
     Turns go by turn number (null first), then role and text, so ties are the same on every run; repeated rows are
     turns of their own. Null roles and texts count as empty. Rows without ``conv_id`` form one conversation of
     their own. ``loss`` holds code-point spans, inside ``formatted``, of the trained role's texts; it is empty where the
     template rewrites history, and leaves out turns whose text the template changes beyond finding (counted in
-    ``unlocated``). Other columns are ignored; an empty table gives none. Rendering every prefix takes time quadratic in
+    ``unlocated``). A template that refuses a prefix (roles must alternate, say) ends no job: its turn is counted so, and where it
+    refuses the whole conversation ``error`` says why, beside what it last said. Other columns are ignored; an empty table gives none. Rendering every prefix takes time quadratic in
     the turns of a conversation.
     """
     ship(rows.sparkSession)
