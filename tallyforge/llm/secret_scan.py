@@ -50,7 +50,8 @@ MORE = [
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # the first part is taken whole, and what has no further parts is dropped: no start inside it is tried again
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}+(\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)?", 1, 1),
     Rule("private", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
 ]
 RULES = [*BASE, *MORE]
