@@ -34,6 +34,9 @@ class Value:
     def __init__(self, raw: bytes) -> None:
         self.raw, self.view, self.size = raw, memoryview(raw), len(raw)
         self._next: dict[bytes, tuple[int, int]] = {}
+        self._chunks: dict[int, tuple[int, int, int, int, int]] = {}
+        self._blocks: dict[int, int] = {}
+        self.frames: dict[int, tuple[int, bool]] = {}
 
     def find(self, mark: bytes, at: int) -> int:
         since, place = self._next.get(mark, (0, -2))
@@ -42,6 +45,42 @@ class Value:
             self._next[mark] = (at, place)
         return place
 
+    def chunk(self, at: int) -> tuple[int, int, int, int, int]:
+        """Of a RIFF chunk: the next one, one far ahead, how many follow, and the first chunk from here on of kind fmt and
+        of kind data (the size of the value plus one if there is none). Chunks follow one another in one way only, so each
+        is looked at once however many files claim it; the far ones halve the way to any place ahead."""
+        never = self.size + 1
+        path = []
+        while at not in self._chunks and at + 8 <= self.size:
+            path.append(at)
+            size = self.number(at + 4, 4)
+            at += 8 + size + size % 2
+        last = self._chunks.get(at)
+        for place in reversed(path):
+            if last is None:
+                here = (at, at, 1, never, never)
+            else:
+                far = self._chunks.get(last[1])
+                # as in a skew-binary list: two stretches of one length make one
+                same = far is not None and last[2] - far[2] == far[2] - (self._chunks[far[1]][2] if far[1] in self._chunks else 0)
+                here = (at, far[1] if same else at, last[2] + 1, last[3], last[4])
+            kind = bytes(self.view[place : place + 4])
+            here = (*here[:3], place if kind == b"fmt " else here[3], place if kind == b"data" else here[4])
+            self._chunks[place] = last = here
+            at = place
+        return last if last is not None else (at, at, 0, never, never)
+
+    def after_blocks(self, at: int) -> int:
+        """The place behind a run of GIF sub-blocks, each with its length before it; each block is passed once."""
+        path = []
+        while at not in self._blocks and at < self.size and self.raw[at]:
+            path.append(at)
+            at += 1 + self.raw[at]
+        end = self._blocks.get(at, at + 1)
+        for place in path:
+            self._blocks[place] = end
+        return end
+
     def number(self, at: int, size: int, order: str = "little") -> int:
         return int.from_bytes(self.view[at : at + size], order)
 
@@ -53,12 +92,16 @@ def _wav(v: Value, at: int) -> int:
     end = at + 8 + v.number(at + 4, 4)
     if end > v.size:
         return 0
-    chunk, seen = at + 12, set()
+    chunk = at + 12
+    if chunk + 8 > end:
+        return 0
+    first = v.chunk(chunk)
+    if max(first[3], first[4]) + 8 > end:
+        return 0
     while chunk + 8 <= end:
-        seen.add(bytes(v.view[chunk : chunk + 4]))
-        size = v.number(chunk + 4, 4)
-        chunk += 8 + size + size % 2
-    return end - at if chunk in (end, end + 1) and {b"fmt ", b"data"} <= seen else 0
+        step = v.chunk(chunk)
+        chunk = step[1] if step[1] + 8 <= end else step[0]
+    return end - at if chunk in (end, end + 1) else 0
 
 
 def _png(v: Value, at: int) -> int:
@@ -78,29 +121,29 @@ def _png(v: Value, at: int) -> int:
 
 
 def _gif(v: Value, at: int) -> int:
-    """Logical screen, colour table, blocks, trailer."""
+    """Logical screen, colour table, blocks, trailer. What follows a block does not depend on what came before, so the end
+    and whether an image comes are kept for each place passed."""
     b = v.raw
     if at + 14 > v.size:
         return 0
-    place = at + 13 + (3 << (b[at + 10] & 7) + 1 if b[at + 10] & 0x80 else 0)
-
-    def blocks(place: int) -> int:
-        while place < v.size and b[place]:
-            place += 1 + b[place]
-        return place + 1
-
-    images = 0
-    while place < v.size:
-        if b[place] == 0x3B:
-            return place + 1 - at if images else 0
-        if b[place] == 0x21:
-            place = blocks(place + 2)
-        elif b[place] == 0x2C and place + 10 < v.size:
-            place = blocks(place + 11 + (3 << (b[place + 9] & 7) + 1 if b[place + 9] & 0x80 else 0))
-            images += 1
+    place, path = at + 13 + (3 << (b[at + 10] & 7) + 1 if b[at + 10] & 0x80 else 0), []
+    while place < v.size and place not in v.frames:
+        kind = b[place]
+        if kind == 0x3B:
+            v.frames[place] = (place + 1, False)
+        elif kind == 0x21:
+            path.append((place, False))
+            place = v.after_blocks(place + 2)
+        elif kind == 0x2C and place + 10 < v.size:
+            path.append((place, True))
+            place = v.after_blocks(place + 11 + (3 << (b[place + 9] & 7) + 1 if b[place + 9] & 0x80 else 0))
         else:
-            return 0
-    return 0
+            v.frames[place] = (0, False)
+    end, images = v.frames.get(place, (0, False))
+    for passed, image in reversed(path):
+        images = images or image
+        v.frames[passed] = (end, images)
+    return end - at if end and images else 0
 
 
 def _jpeg(v: Value, at: int) -> int:
