@@ -70,6 +70,12 @@ def rule_tool_pairing(traj: DataFrame) -> DataFrame:
     several rows of one ``pos``, in the order of ``call`` where there is such a column."""
     index = F.col("call") if "call" in traj.columns else F.lit(0)
     ordered = F.array_sort(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), index.alias("call"), "role", "call_id")))
+    errors = pairing_errors(F.col("m"))
+    return _out(traj.groupBy("line").agg(ordered.alias("m")).withColumn("d", F.explode(errors)), "tool_pairing", F.col("d"))
+
+
+def pairing_errors(messages: Column) -> Column:
+    """The pairing faults of one record, from its ordered messages: structs with ``pos, role, call_id``."""
     none = F.array().cast("array<string>")
     state = F.struct(none.alias("pending"), F.lit(-1).alias("owner"), none.alias("errors"))
 
@@ -100,10 +106,11 @@ def rule_tool_pairing(traj: DataFrame) -> DataFrame:
         said = F.when(err.isNotNull(), F.concat(errors, F.array(err))).otherwise(errors)
         return F.struct(after.alias("pending"), F.when(calls, m["pos"]).otherwise(s["owner"]).alias("owner"), said.alias("errors"))
 
-    folded = traj.groupBy("line").agg(ordered.alias("m")).select("line", F.aggregate("m", state, step).alias("s"), F.element_at("m", -1)["pos"].alias("last"))
-    left = (F.size("s.pending") > 0) & (F.col("s.owner") != F.col("last"))
-    errors = F.when(left, F.concat("s.errors", F.array(F.lit("unanswered")))).otherwise(F.col("s.errors"))
-    return _out(folded.withColumn("d", F.explode(errors)), "tool_pairing", F.col("d"))
+    def close(s: Column) -> Column:
+        left = (F.size(s["pending"]) > 0) & (s["owner"] != F.element_at(messages, -1)["pos"])
+        return F.when(left, F.concat(s["errors"], F.array(F.lit("unanswered")))).otherwise(s["errors"])
+
+    return F.aggregate(messages, state, step, close)
 
 
 def rule_tool_struct(traj: DataFrame, declared: list[str]) -> DataFrame:
@@ -126,13 +133,17 @@ def rule_tool_struct(traj: DataFrame, declared: list[str]) -> DataFrame:
 
 def rule_weights(meta: DataFrame) -> DataFrame:
     """Record weight absent, no number (a boolean or a text, in a variant column too), not positive, or above the maximum."""
-    kind = dict(meta.dtypes)["weight"]
+    fault = weight_fault(F.col("weight"), dict(meta.dtypes)["weight"])
+    return _out(meta.withColumn("d", fault).where("d is not null"), "weights", F.col("d"))
+
+
+def weight_fault(weight: Column, kind: str) -> Column:
+    """What is wrong with a record's weight, null if nothing; ``kind`` is the column's type."""
     other = F.lit(kind in ("boolean", "string"))
-    w = F.col("weight").cast("double")
+    w = weight.cast("double") if kind != "variant" else F.try_variant_get(weight, "$", "double")
     if kind == "variant":
-        other = F.schema_of_variant("weight").isin("BOOLEAN", "STRING") | F.schema_of_variant("weight").rlike("^(OBJECT|ARRAY)")
-        w = F.try_variant_get("weight", "$", "double")
-    return _out(meta.withColumn("d", F.when(F.col("weight").isNotNull() & other, "not_numeric").when(w.isNull() | F.isnan(w), "missing").when(w <= 0, "not_positive").when(w > WEIGHT_MAX, "too_large")).where("d is not null"), "weights", F.col("d"))
+        other = F.schema_of_variant(weight).isin("BOOLEAN", "STRING") | F.schema_of_variant(weight).rlike("^(OBJECT|ARRAY)")
+    return F.when(weight.isNotNull() & other, "not_numeric").when(w.isNull() | F.isnan(w), "missing").when(w <= 0, "not_positive").when(w > WEIGHT_MAX, "too_large")
 
 
 def rule_masks(chat: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyforge.operators import verify as V
-from tallyforge.plans.fixtures import load, with_tables
+from tallyforge.operators import verify_pass as VP
+from tallyforge.plans.fixtures import FIXTURES, load, with_tables
 from tallyforge.plans.registry import query
 
 CHAT, TRAJ, META = with_tables("chat"), with_tables("traj"), with_tables("meta")
@@ -216,6 +217,57 @@ FROM n LEFT JOIN k ON k.rule = n.rule GROUP BY n.rule""",
 )(verify_corpus)
 
 
+def whole_corpus(spark, sf):  # noqa: ANN001, ANN201
+    """Chat records, and tool trajectories behind them, with a weight for each record."""
+    k = F.col("line") % 14
+    both = load(spark, sf, "chat").unionByName(load(spark, sf, "traj").withColumn("line", F.col("line") + 10_000_000), allowMissingColumns=True)
+    return both.withColumn("record_weight", F.when(k != 5, (k - 1).cast("double")))
+
+
+def whole_pass(spark, sf):  # noqa: ANN001, ANN201
+    return VP.keep(VP.digest(whole_corpus(spark, sf), DECLARED, messages_cap=6, tokens_cap=1500))
+
+
+_WHOLE = (
+    f"WITH chat0 AS ({FIXTURES['chat'].strip()}), traj AS ({FIXTURES['traj'].strip()}), chat AS (SELECT line, pos, role, content, weight, NULL AS call_id, NULL AS tool_name, NULL AS args FROM chat0 UNION ALL SELECT line + 10000000, pos, role, content, weight, call_id, tool_name, args FROM traj)"
+    + _ROLES_SQL + _MASKS_SQL + _CONTENT_SQL.replace("WHEN coalesce(w, '') = '' THEN 'empty'", "WHEN coalesce(w, '') = '' AND call_id IS NOT NULL THEN NULL WHEN coalesce(w, '') = '' THEN 'empty'") + _CAPS_SQL
+    + _DUP_SQL.replace("|| weight,", "|| weight || coalesce(call_id, '') || coalesce(tool_name, '') || coalesce(args, ''),")
+    + _REST_SQL
+    + f""", pairing AS (SELECT 'tool_pairing' AS rule, 10000000 + event_id AS line, d AS detail FROM events, (VALUES ('unknown_result'), ('unanswered')) v(d) WHERE event_id % 29 = 0),
+struct AS (SELECT 'tool_struct' AS rule, line, 'undeclared_tool' AS detail FROM chat WHERE role = 'assistant' AND tool_name IS NOT NULL AND tool_name NOT IN {_DECLARED}
+UNION ALL SELECT 'tool_struct', line, 'bad_arguments' FROM chat WHERE role = 'assistant' AND call_id IS NOT NULL AND (NOT json_valid(args) OR json_type(CASE WHEN json_valid(args) THEN args ELSE '1' END) <> 'OBJECT')),
+weights AS (SELECT DISTINCT 'weights' AS rule, line, CASE WHEN line % 14 = 5 THEN 'missing' WHEN line % 14 < 2 THEN 'not_positive' ELSE 'too_large' END AS detail FROM chat WHERE line % 14 IN (0, 1, 5, 12, 13)),
+num AS (SELECT line, role, unnest(regexp_extract_all(coalesce(content, ''), '[0-9]+(?:\\.[0-9]+)?')) AS c FROM traj), arg AS (SELECT line, unnest(regexp_extract_all(coalesce(args, ''), '[0-9]+(?:\\.[0-9]+)?')) AS c FROM traj),
+giv AS (SELECT line, c FROM num WHERE role <> 'assistant' UNION SELECT line, c FROM arg), sig AS (SELECT DISTINCT line, c FROM num WHERE role = 'assistant' AND (contains(c, '.') OR length(c) >= 3)),
+ground AS (SELECT 'grounding' AS rule, line + 10000000 AS line, string_agg(c, ',' ORDER BY c) AS detail FROM sig WHERE NOT EXISTS (SELECT 1 FROM giv WHERE giv.line = sig.line AND giv.c = sig.c) GROUP BY line),
+v AS (""" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in ("roles", "pairing", "struct", "weights", "masks", "content", "caps", "ground", "dup", "probe", "cont", "mani")) + ")"
+)
+query(
+    "ver_14_whole_report",
+    _WHOLE
+    + f""", k AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY line, detail) AS k FROM v), n(rule) AS (VALUES {", ".join(f"('{r}')" for r in VP.RULES)})
+SELECT n.rule, count(k.rule) AS violations, count(DISTINCT line) AS lines, coalesce(string_agg(line, ',' ORDER BY k) FILTER (k <= 20), '') AS first_lines, CASE WHEN n.rule = 'parse' THEN 'not_run' WHEN count(k.rule) > 0 THEN 'fail' ELSE 'pass' END AS verdict,
+(SELECT count(DISTINCT line) FROM chat) AS checked, 1.0 AS coverage FROM n LEFT JOIN k ON k.rule = n.rule GROUP BY n.rule""",
+)(lambda spark, sf: _whole_report(spark, sf))
+
+
+def _whole_report(spark, sf):  # noqa: ANN001, ANN202
+    records = whole_pass(spark, sf)
+    # probes are prompts of the copies; only originals are held against them
+    probes = records.where("line between 1000000 and 9999999").select(F.explode("prompts").alias("h"))
+    own = records.withColumn("prompts", F.when(F.col("line") < 1_000_000, F.col("prompts")).otherwise(F.array().cast("array<string>")))
+    return VP.report(own, None, probes, records.where("line % 11 <> 0").select("line", "sha"))
+
+
+query(
+    "ver_14_lanes",
+    _WHOLE
+    + """, size AS (SELECT line, sum(length(coalesce(content, ''))) // 4 AS t FROM chat GROUP BY line)
+SELECT lane, count(*) AS records, CAST(sum(coalesce(n, 0)) AS BIGINT) AS numbers_checked, 0 AS ends_on_call, CASE WHEN lane = 'grounded' THEN (SELECT count(DISTINCT tool_name) FROM traj) ELSE 0 END AS tools, CAST(sum(t) AS BIGINT) AS tokens
+FROM (SELECT line, CASE WHEN line >= 10000000 THEN 'grounded' ELSE 'ungrounded' END AS lane, t, n FROM size LEFT JOIN (SELECT line + 10000000 AS line, count(*) AS n FROM num WHERE role = 'assistant' AND (contains(c, '.') OR length(c) >= 3) GROUP BY ALL) USING (line)) GROUP BY lane""",
+)(lambda spark, sf: VP.lanes(whole_pass(spark, sf)))
+
+
 @query(
     "ver_14_corpus_stats",
     CHAT
