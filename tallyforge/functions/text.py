@@ -279,12 +279,30 @@ def scrub_json(text: Column, exempt: list[str] | None = None) -> Column:
     return F.when(F.try_parse_json(text).isNull(), scrub_pii(text)).otherwise(let(tokens, clean))
 
 
+def _keys_masked(shape: str) -> Callable[[Column], Column]:
+    """Key blocks masked in the text up to its last end mark, where every start finds an end."""
+    last = shape[shape.index("-----END") :]
+
+    def masked(t: Column) -> Column:
+        upto = F.regexp_extract(t, rf"^[\s\S]*{last}", 0)
+        return F.when(t.contains("PRIVATE KEY-----"), let(upto, lambda h: F.concat(F.regexp_replace(h, shape, MARK), F.substr(t, F.length(h) + 1)))).otherwise(t)
+
+    return masked
+
+
 def redact_secrets(text: Column, literals: list[str] | None = None) -> Column:
     """Mask listed literals (longest first), credential shapes, then values of sensitive assignments."""
     for value in sorted(set(literals or []), key=lambda v: (-len(v), v)):
         text = F.replace(text, F.lit(value), F.lit(MARK))
     for shape in SECRET_SHAPES:
-        text = F.regexp_replace(text, shape, MARK)
+        if shape.startswith("eyJ"):
+            # from the first start in a run of its characters only: one further in has the same rest behind the run
+            run, _, rest = shape[len("eyJ") :].partition("{15,}")
+            text = F.regexp_replace(text, rf"(?<!{run})((?:(?!eyJ){run})*+)eyJ{run}{{15,}}+{rest}", "$1" + MARK.replace("[", "\\[").replace("]", "\\]"))
+        elif shape.startswith("-----BEGIN"):
+            text = let(text, _keys_masked(shape))
+        else:
+            text = F.regexp_replace(text, shape, MARK)
     return F.regexp_replace(text, SECRET_ASSIGNMENT, "$1$2$3" + MARK.replace("[", "\\[").replace("]", "\\]"))
 
 
@@ -338,6 +356,12 @@ def progress_of_pair(done: Column, total: Column) -> Column:
     return F.when((total > 0) & (done >= 0), F.least(done / total, F.lit(1.0)))
 
 
+def pick_path(record: Column, paths: list[str], kind: str = "string") -> Column:
+    """The first of several paths of a VARIANT that holds a value of this kind, neither null nor an empty text."""
+    found = [F.try_variant_get(record, p, kind) for p in paths]
+    return F.coalesce(*[F.nullif(x, F.lit("")) if kind == "string" else x for x in found])
+
+
 def pick_alias(*columns: Column) -> Column:
     """The first alias that is neither null nor empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])

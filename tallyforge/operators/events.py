@@ -75,6 +75,18 @@ def iteration_digest(reports: DataFrame, stages: list[str]) -> DataFrame:
     return wide.select("run", *[F.coalesce(*[F.col(f"`{s}`") for s in reversed(stages[: i + 1])]).alias(f"s{i + 1}") for i in range(len(stages))])
 
 
+def nested_digest(reports: DataFrame, picks: dict[str, tuple[str, list[str], str]]) -> DataFrame:
+    """One row per run from its stage reports ``run, stage, ts, body`` (JSON text): each pick names a column and says from which
+    stage's latest report, by which paths in order, and as what kind. A report that can't be read, a stage that
+    did not run or paths that lead nowhere leave it null; ``unreadable`` counts reports that are no JSON objects."""
+    v = F.try_parse_json("body")
+    ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    rows = reports.withColumn("_v", F.when(ok, v))
+    last = lambda stage, value: F.max_by(value, F.when((F.col("stage") == stage) & F.col("_v").isNotNull(), F.struct("ts", "body")))
+    columns = [last(stage, T.pick_path(F.col("_v"), paths, kind)).alias(name) for name, (stage, paths, kind) in picks.items()]
+    return rows.groupBy("run").agg(*columns, F.count_if(F.col("_v").isNull()).alias("unreadable"))
+
+
 def report_edges(sessions: DataFrame, records: DataFrame) -> DataFrame:
     """Finished sessions report to who dispatched them: ``session, state`` and dispatch records ``parent, child`` to REPORT
     edges from child to parent. Sessions that no record names have none (see ``unclaimed_sessions``)."""

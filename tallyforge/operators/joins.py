@@ -276,6 +276,77 @@ def decision_outcomes(decisions: DataFrame, outcomes: DataFrame) -> DataFrame:
     return decisions.join(of, "decision_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def first_difference(a: Column, b: Column) -> Column:
+    """The place, from 1, at which two ordered chains differ; 0 if they are equal. A chain that ends early differs there, a
+    null chain counts as empty."""
+    none = F.array().cast("array<string>")
+    x, y = F.coalesce(a, none), F.coalesce(b, none)
+    n = F.greatest(F.size(x), F.size(y))
+    places = F.filter(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: ~F.try_element_at(x, i).eqNullSafe(F.try_element_at(y, i)))
+    return F.coalesce(F.try_element_at(places, F.lit(1)), F.lit(0))
+
+
+def common_subsequence(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two chains: the table of the two, row by row."""
+    none = F.array().cast("array<string>")
+    x, y = F.coalesce(a, none), F.coalesce(b, none)
+    zeros = F.transform(F.concat(F.array(F.lit("")), y), lambda _: F.lit(0))
+
+    def row(above: Column, step: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(y))
+        grown = lambda r, j: F.concat(r, F.array(F.greatest(F.element_at(r, -1), F.element_at(above, j + 1), F.element_at(above, j) + (F.element_at(y, j).eqNullSafe(step)).cast("int"))))
+        return F.aggregate(at, F.array(F.lit(0)), grown)
+
+    return F.when((F.size(x) == 0) | (F.size(y) == 0), 0).otherwise(F.element_at(F.aggregate(x, zeros, row), -1))
+
+
+def twin_chains(meta: DataFrame) -> DataFrame:
+    """Each twin whose source is a retained real row: ``line, source_row_id, first_difference, common, steps`` of the two ordered tool
+    chains. Of several real rows of one source the one with the smallest line counts."""
+    real = meta.where("block = 'real_trajectory' and source_row_id is not null").groupBy(F.col("source_row_id").alias("twin_of")).agg(F.min_by("chain", "line").alias("_chain"))
+    pairs = meta.where("block = 'twins'").join(real, "twin_of")
+    return pairs.select("line", F.col("twin_of").alias("source_row_id"), first_difference(F.col("_chain"), F.col("chain")).alias("first_difference"), common_subsequence(F.col("_chain"), F.col("chain")).alias("common"), F.size(F.coalesce("chain", F.array().cast("array<string>"))).alias("steps"))
+
+
+#: Fixed value: the tool by which a record gives its output.
+EMIT_TOOL = "emit_output"
+
+
+def audit_twin_lineage(meta: DataFrame, messages: DataFrame, fields: list[str], emit: str = EMIT_TOOL) -> DataFrame:
+    """One row of twin lineage: counts of real rows and twins, of sources paired, unpaired, repeated and missing, of identity
+    fields that differ and of chains that do (which is what a twin is for, and no fault); twins with tool calls, with
+    results and with the output tool; three shares and a verdict for each question: source identity, one twin for
+    each selected source, one for all real rows. ``messages`` has ``line, role, tool_name`` and a row for each call."""
+    real, twins = meta.where("block = 'real_trajectory'"), meta.where("block = 'twins'")
+    by_source = real.groupBy(F.col("source_row_id").alias("twin_of")).agg(F.count("*").alias("_n"), *[F.max_by(f, "line").alias(f"_{f}") for f in fields])
+    paired = twins.groupBy("twin_of").agg(F.count("*").alias("_t"))
+    sources = paired.join(by_source.select("twin_of", "_n"), "twin_of", "left").agg(
+        F.count("*").alias("unique_paired_sources"),
+        F.coalesce(F.sum("_t"), F.lit(0)).alias("twins"),
+        F.count_if(F.col("_t") > 1).alias("duplicate_twin_sources"),
+        F.count_if(F.col("_n").isNull()).alias("missing_sources"),
+        F.count_if(F.col("twin_of").isNull()).alias("_null"),
+    )
+    differs = F.lit(0)
+    for f in fields:
+        differs = differs + (~F.col(f).eqNullSafe(F.col(f"_{f}"))).cast("int")
+    wrong = twins.join(by_source, "twin_of").agg(F.coalesce(F.sum(differs), F.lit(0)).alias("identity_mismatches"))
+    chains = twin_chains(meta).agg(F.count_if(F.col("first_difference") > 0).alias("chain_differences"))
+    called = (F.col("role") == "assistant") & F.col("tool_name").isNotNull()
+    shapes = messages.join(twins.select("line").distinct(), "line", "left_semi").groupBy("line").agg(F.max(called).alias("c"), F.max(F.col("role") == "tool").alias("r"), F.max(F.coalesce(called & (F.col("tool_name") == emit), F.lit(False))).alias("e"))
+    counts = shapes.agg(F.count_if("c").alias("twins_with_calls"), F.count_if("r").alias("twins_with_results"), F.count_if("e").alias("twins_with_output"))
+    every = real.agg(F.count("*").alias("real"), (F.count("*") - F.countDistinct("source_row_id") - F.max(F.col("source_row_id").isNull().cast("int"))).alias("duplicate_real_sources"))
+    one = every.crossJoin(sources).crossJoin(wrong).crossJoin(chains).crossJoin(counts).fillna({"duplicate_real_sources": 0})  # one row each
+    identity = (F.col("duplicate_real_sources") == 0) & (F.col("duplicate_twin_sources") == 0) & (F.col("identity_mismatches") == 0) & (F.col("_null") == 0)
+    verdict = lambda ok: F.when(F.col("twins") == 0, "suspect").when(ok, "pass").otherwise("fail")
+    return one.select(
+        "real", "twins", "unique_paired_sources", (F.col("real") - F.col("unique_paired_sources")).alias("unpaired_real"),
+        "duplicate_real_sources", "duplicate_twin_sources", "missing_sources", "identity_mismatches", "chain_differences", "twins_with_calls", "twins_with_results", "twins_with_output",
+        T.pct4(F.col("unique_paired_sources"), F.col("twins")).alias("selected_share"), T.pct4(F.col("unique_paired_sources"), F.col("real")).alias("real_share"), T.pct4(F.col("twins") - F.col("missing_sources"), F.col("twins")).alias("resolved_share"),
+        verdict(identity).alias("source_identity"), verdict((F.col("twins") == F.col("unique_paired_sources")) & (F.col("duplicate_twin_sources") == 0) & (F.col("_null") == 0)).alias("one_to_one_selected"), verdict(F.col("real") == F.col("unique_paired_sources")).alias("one_to_one_all"),
+    )
+
+
 def audit_twins(meta: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Rows with ``twin_of`` against the real rows of that source: twins, missing and duplicate ones, each of the ``fields``
     that differs (``<field>_differs``), the share of real rows that have a twin, of twins with a real row and of twins

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
@@ -19,19 +19,24 @@ VALIDATORS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
 def run_battery(spark: SparkSession, checks: dict[str, Check | None]) -> DataFrame:
-    """``check, verdict, note``: a check of None is not mechanised. Each check runs by itself, aggregated by Spark to its
-    worst verdict; one that fails, while it is planned or while it runs, is suspect with the error's name."""
+    """``check, verdict, note, rows, violations``: a check of None is not mechanised. Each check runs by itself, aggregated by Spark
+    to its worst verdict; its rows, and their ``violations`` where it has such a column, are observed while it runs. One
+    that fails, while it is planned or while it runs, is suspect with the error's name and no counts."""
+    schema = "check string, verdict string, note string, rows long, violations long"
     out = None
     for name, check in checks.items():
         if check is None:
-            row = spark.range(1).select(F.lit(name).alias("check"), F.lit("not_mechanized").alias("verdict"), F.lit("").alias("note"))
+            row = (name, "not_mechanized", "", None, None)
         else:
             try:
-                verdict = check().agg(T.worst_verdict(F.col("verdict")).alias("verdict")).first()[0]  # one row; it runs here, so a check that fails while it runs is caught
-                row = spark.range(1).select(F.lit(name).alias("check"), F.lit(verdict).alias("verdict"), F.lit("").alias("note"))
+                df, seen = check(), Observation()
+                counts = [F.count(F.lit(1)).alias("rows"), (F.sum("violations") if "violations" in df.columns else F.max(F.lit(None).cast("long"))).alias("violations")]
+                verdict = df.observe(seen, *counts).agg(T.worst_verdict(F.col("verdict")).alias("verdict")).first()[0]  # one row; it runs here, so a check that fails while it runs is caught
+                row = (name, verdict, "", seen.get["rows"], seen.get["violations"])
             except Exception as e:  # noqa: BLE001
-                row = spark.range(1).select(F.lit(name).alias("check"), F.lit("suspect").alias("verdict"), F.lit(type(e).__name__).alias("note"))
-        out = row if out is None else out.unionByName(row)
+                row = (name, "suspect", type(e).__name__, None, None)
+        one = spark.createDataFrame([row], schema)
+        out = one if out is None else out.unionByName(one)
     return out
 
 
@@ -42,7 +47,7 @@ def register_check(hook: str, name: str, function: Callable[..., DataFrame]) ->
 def run_hook(spark: SparkSession, hook: str, *inputs: DataFrame) -> DataFrame:
     """All checks of a hook over the same inputs; a hook without checks gives one suspect row."""
     checks = {n: (lambda f=f: f(*inputs)) for n, f in HOOKS[hook].items()}
-    return run_battery(spark, checks) if checks else spark.range(1).select(F.lit(hook).alias("check"), F.lit("suspect").alias("verdict"), F.lit("no checks").alias("note"))
+    return run_battery(spark, checks) if checks else spark.range(1).select(F.lit(hook).alias("check"), F.lit("suspect").alias("verdict"), F.lit("no checks").alias("note"), F.lit(0).cast("long").alias("rows"), F.lit(None).cast("long").alias("violations"))
 
 
 def validate_kind(kind: str, df: DataFrame) -> DataFrame:

@@ -222,6 +222,44 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.audit_twins(load(spark, sf, "meta"), ["gold_class", "cf_group", "night", "weight"])
 
 
+_TWINS = META + """, chained AS (SELECT *, CASE WHEN line % 17 = 0 THEN NULL WHEN block = 'twins' AND line % 5 = 0 THEN ['read', 'emit_output'] WHEN block = 'twins' AND line % 5 = 1 THEN ['list', 'emit_output', 'read'] ELSE ['list', 'read', 'emit_output'] END AS chain FROM meta),
+rc AS (SELECT source_row_id, arg_min({'c': chain}, line).c AS rc FROM chained WHERE block = 'real_trajectory' GROUP BY source_row_id), tp AS (SELECT line, twin_of AS source_row_id, coalesce(rc, []) AS a, coalesce(chain, []) AS b FROM chained JOIN rc ON rc.source_row_id = twin_of WHERE block = 'twins'),
+td AS (SELECT line, source_row_id, coalesce(list_min([i FOR i IN range(1, greatest(len(a), len(b)) + 1) IF a[i] IS DISTINCT FROM b[i]]), 0) AS first_difference, CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 WHEN a = b THEN 3 ELSE 2 END AS common, len(b) AS steps FROM tp)"""
+
+
+def _chained(spark, sf):  # noqa: ANN001, ANN202
+    list_, read, emit = (F.lit(x) for x in ("list", "read", "emit_output"))
+    k, twin = c("line") % 5, c("block") == "twins"
+    chain = F.when(c("line") % 17 != 0, F.when(twin & (k == 0), F.array(read, emit)).when(twin & (k == 1), F.array(list_, emit, read)).otherwise(F.array(list_, read, emit)))
+    return load(spark, sf, "meta").withColumn("chain", chain)
+
+
+@query("jon_16_twin_chains", _TWINS + " SELECT line, source_row_id, CAST(first_difference AS INTEGER) AS first_difference, common, CAST(steps AS INTEGER) AS steps FROM td")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    return J.twin_chains(_chained(spark, sf))
+
+
+@query(
+    "jon_16_twin_lineage",
+    _TWINS
+    + """, re AS (SELECT count(*) AS real, count(*) - count(DISTINCT source_row_id) AS duplicate_real_sources FROM meta WHERE block = 'real_trajectory'),
+pa AS (SELECT twin_of, count(*) AS t FROM meta WHERE block = 'twins' GROUP BY twin_of), so AS (SELECT count(*) AS unique_paired_sources, sum(t) AS twins, count(*) FILTER (t > 1) AS duplicate_twin_sources, count(*) FILTER (twin_of NOT IN (SELECT source_row_id FROM meta WHERE block = 'real_trajectory')) AS missing_sources FROM pa),
+la AS (SELECT source_row_id, arg_max({'g': gold_class, 'n': night, 's': source_row_id}, line) AS r FROM meta WHERE block = 'real_trajectory' GROUP BY source_row_id),
+mi AS (SELECT sum((gold_class <> r.g)::INT + (night <> r.n)::INT + (m.source_row_id <> r.s)::INT) AS identity_mismatches FROM meta m JOIN la ON la.source_row_id = m.twin_of WHERE block = 'twins'),
+sh AS (SELECT count(*) FILTER (line % 3 > 0) AS c, count(*) FILTER (line % 4 = 0) AS r, count(*) FILTER (line % 3 = 2) AS e FROM meta WHERE block = 'twins')
+SELECT real, CAST(twins AS BIGINT) AS twins, unique_paired_sources, real - unique_paired_sources AS unpaired_real, duplicate_real_sources, duplicate_twin_sources, missing_sources, CAST(identity_mismatches AS BIGINT) AS identity_mismatches, (SELECT count(*) FROM td WHERE first_difference > 0) AS chain_differences,
+c AS twins_with_calls, r AS twins_with_results, e AS twins_with_output, round_even(unique_paired_sources / twins, 4) AS selected_share, round_even(unique_paired_sources / real, 4) AS real_share, round_even((twins - missing_sources) / twins, 4) AS resolved_share, 'fail' AS source_identity,
+CASE WHEN twins = unique_paired_sources THEN 'pass' ELSE 'fail' END AS one_to_one_selected, CASE WHEN real = unique_paired_sources THEN 'pass' ELSE 'fail' END AS one_to_one_all FROM re, so, mi, sh""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    meta = _chained(spark, sf)
+    k = c("line")
+    calls = meta.where("line % 3 > 0").select("line", F.lit("assistant").alias("role"), F.when(k % 3 == 2, "emit_output").otherwise("read").alias("tool_name"))
+    results = meta.where("line % 4 = 0").select("line", F.lit("tool").alias("role"), F.lit(None).cast("string").alias("tool_name"))
+    asked = meta.select("line", F.lit("user").alias("role"), F.lit(None).cast("string").alias("tool_name"))
+    return J.audit_twin_lineage(meta, calls.unionByName(results).unionByName(asked), ["source_row_id", "gold_class", "night"])
+
+
 @query("jon_17_resolve_edges", "SELECT event_id, user_id AS from_key, user_id + 1 AS to_key, CAST(CASE WHEN user_id % 4 <> 0 AND (user_id + 1) % 4 <> 0 AND user_id // 10 <> (user_id + 1) // 10 THEN NULL WHEN user_id % 4 <> 0 AND user_id IN (SELECT user_id FROM events) THEN user_id // 10 WHEN (user_id + 1) % 4 <> 0 AND user_id + 1 IN (SELECT user_id FROM events) THEN (user_id + 1) // 10 END AS VARCHAR) AS run_id FROM events WHERE user_id + 1 IN (SELECT user_id FROM events)")
 def _(spark, sf):  # noqa: ANN001, ANN202
     e = load(spark, sf, "events")

@@ -12,6 +12,7 @@ from tallyforge.operators import verify as V
 from tallyforge.plans import checks as K
 from tallyforge.plans.fixtures import load, with_tables
 from tallyforge.plans.registry import query
+from tallyforge.plans.verify import ALL_RULES_SQL
 from tallyforge.sources import readers as R
 from tallyforge.sources.files import shared_folder
 from tallyforge.sources.snapshots import SnapshotTable
@@ -34,6 +35,18 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return load(spark, sf, "meta").groupBy("gold_class", "block").agg(F.count("*").alias("n"), F.count("twin_of").alias("twins"))
 
 
+@query("src_02_sidecar", "SELECT (SELECT count(*) FROM documents) AS records, count(*) AS declared, (SELECT count(*) FROM documents WHERE doc_id % 10 = 0) AS unmatched, 'fail' AS verdict, count(DISTINCT CASE WHEN doc_id % 3 > 0 THEN source END) AS accounts FROM documents WHERE doc_id % 10 > 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    at = f"{_folder(spark)}.jsonl"
+    docs = load(spark, sf, "documents").orderBy("doc_id")
+    turns = F.array(F.struct(F.lit("user").alias("role"), c("text").alias("content")))
+    docs.select(F.to_json(F.struct(turns.alias("messages"))).alias("value")).coalesce(1).write.text(at)  # one file, as a corpus is
+    rows = docs.where("doc_id % 10 > 0").select(F.to_json(F.struct((c("doc_id") + 1).alias("line"), F.when(c("doc_id") % 3 > 0, c("source")).alias("account_id"))).alias("value"))
+    rows.coalesce(1).write.text(at.replace(".jsonl", ".meta.jsonl"))
+    _, side, aligned = R.read_with_sidecar(spark, at)
+    return aligned.drop("sidecar").crossJoin(side.agg(F.countDistinct("account_id").alias("accounts")))
+
+
 @query("src_03_normalize_pool", POOL + " SELECT class AS pool, CAST(id AS VARCHAR) AS id, class FROM pool WHERE id % 3 <> 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
     row = F.struct(F.when(c("id") % 2 == 0, c("id").cast("string")).alias("row_id"), c("id").cast("string").alias("id"), "class")
@@ -64,6 +77,18 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return R.scrape_reports(load(spark, sf, "pages"))
 
 
+@query(
+    "src_07_report_tables",
+    """SELECT page_id, 1 AS "table", 2 AS row, 'Name' AS name, 'm' || page_id AS value FROM pages UNION ALL SELECT page_id, 1, 2, 'Loss & step', (page_id % 7) || ' x' FROM pages
+UNION ALL SELECT page_id, 1, 3, 'Name', 'left' FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 2, 1, 'total', CAST(page_id AS VARCHAR) FROM pages""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    n = c("page_id").cast("string")
+    roster = F.concat(F.lit('<table border="1"><tr><th scope=col>Name</th><th>Loss &amp; step</th></tr><tr><td>m'), n, F.lit("</td><td> <b>"), (c("page_id") % 7).cast("string"), F.lit("</b>\n x</td></tr>"))
+    html = F.concat("html", roster, F.when(c("page_id") % 2 == 0, "<tr><td>left").otherwise(""), F.lit("</table><TABLE><tr><td>total<td>"), n, F.lit("</TABLE><script>'<table><tr><td>no</td>'</script>"))
+    return R.report_tables(load(spark, sf, "pages").withColumn("html", html))
+
+
 def _md(spark, sf):  # noqa: ANN001, ANN202
     n = c("doc_id").cast("string")
     body = F.concat(F.lit("# Notes\n| A | B |\n|---|---|\n| x"), n, F.lit(" | 1 |\n| y | "), n, F.lit(" |\nprose\n# Other\n| A | B |\n|---|---|\n| z | 2 |\n1. first\n2) second\n1. again"))
@@ -75,6 +100,13 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return R.read_md_tables(_md(spark, sf), "Notes").select("doc", "line", c("cells")["a"].alias("a"), c("cells")["b"].alias("b"))
 
 
+@query("src_08_equal_headers", "SELECT doc_id AS doc, 3 AS line, CAST(doc_id AS VARCHAR) AS a, '2' AS second, '3' AS third, 3 AS names FROM documents")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    body = F.concat(F.lit("# T\n| A | a | A |\n| "), c("doc_id").cast("string"), F.lit(" | 2 | 3 |"))
+    rows = R.read_md_tables(load(spark, sf, "documents").select(c("doc_id").alias("doc"), body.alias("text")), "T")
+    return rows.select("doc", "line", c("cells")["a"].alias("a"), c("cells")["a#2"].alias("second"), c("cells")["a#3"].alias("third"), F.size("cells").alias("names"))
+
+
 @query("src_09_lessons", "SELECT doc_id AS doc, 1 AS code, 'first || again' AS body FROM documents UNION ALL SELECT doc_id, 2, 'second' FROM documents")
 def _(spark, sf):  # noqa: ANN001, ANN202
     return R.parse_lessons(_md(spark, sf))
@@ -95,6 +127,23 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return R.loss_curve(rows)
 
 
+@query(
+    "src_11_metrics",
+    """SELECT user_id AS run, CASE WHEN event_id % 7 > 1 THEN event_id END AS step, CASE WHEN event_id % 7 > 2 THEN value END AS train_loss, CASE WHEN event_id % 7 = 2 THEN value * 2 END AS eval_loss, event_id % 7 < 2 AS skipped FROM events""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k, e, v = c("event_id") % 7, c("event_id").cast("string"), c("value").cast("string")
+    line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    raw = (
+        F.when(k == 0, "step 12 done").when(k == 1, line('{"step": "', e, '", "loss": ', v, "}"))
+        .when(k == 2, line('{"global_step": ', e, ', "eval/loss": ', (c("value") * 2).cast("string"), "}"))
+        .when(k == 3, line('{"step": null, "steps": ', e, '.0, "train/loss": ', v, "}"))
+        .when(k == 4, line('{"epoch": ', e, ', "loss": true, "training_loss": ', v, "}"))
+        .otherwise(line('{"step": ', e, ', "loss": ', v, ', "lr": 0.1}'))
+    )
+    return R.parse_metrics(load(spark, sf, "events").select(c("user_id").alias("run"), raw.alias("raw")))
+
+
 @query("src_12_org_configs", "SELECT n_name AS slug, CAST(CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE n_nationkey // 2 END AS VARCHAR) AS org_id, CASE WHEN n_nationkey % 6 = 0 THEN 'missing_field' WHEN count(*) OVER (PARTITION BY CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE n_nationkey // 2 END) > 1 THEN 'shared_org' END AS fault FROM nation")
 def _(spark, sf):  # noqa: ANN001, ANN202
     n = load(spark, sf, "nation").select(c("n_name").alias("slug"), F.when(c("n_nationkey") % 6 != 0, F.floor(c("n_nationkey") / 2).cast("string")).alias("org_id"), c("n_name").alias("name"))
@@ -172,6 +221,19 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return E.iteration_digest(r, ["1-URGENT", "2-HIGH"])
 
 
+@query(
+    "evt_09_nested_digest",
+    """WITH r AS (SELECT o_custkey AS run, o_orderpriority AS stage, (o_orderdate, o_orderkey) AS ts, o_orderkey AS k, o_orderstatus AS s FROM orders)
+SELECT run, arg_max(CASE WHEN k % 3 = 0 THEN s ELSE 'm' || k END, ts) FILTER (stage = '1-URGENT' AND k % 5 > 0) AS model, arg_max(k * 2, ts) FILTER (stage = '2-HIGH' AND k % 5 > 0) AS records, count(*) FILTER (k % 5 = 0) AS unreadable FROM r GROUP BY run""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("o_orderkey")
+    body = F.when(k % 5 == 0, "[1]").when(k % 3 == 0, F.to_json(F.struct(F.struct(F.lit("").alias("id")).alias("model"), c("o_orderstatus").alias("model_id"), F.struct(F.struct((k * 2).alias("records")).alias("counts")).alias("build"))))
+    body = body.otherwise(F.to_json(F.struct(F.struct(F.concat(F.lit("m"), k.cast("string")).alias("id")).alias("model"), (k * 2).alias("n"))))
+    reports = load(spark, sf, "orders").select(c("o_custkey").alias("run"), c("o_orderpriority").alias("stage"), F.struct("o_orderdate", "o_orderkey").alias("ts"), body.alias("body"))
+    return E.nested_digest(reports, {"model": ("1-URGENT", ["$.model.id", "$.model_id"], "string"), "records": ("2-HIGH", ["$.build.counts.records", "$.n"], "long")})
+
+
 @query("flw_01_spawn_edges", "SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 'w' || doc_id ELSE 'review' END AS to_key, CASE WHEN doc_id % 4 = 0 THEN 'high' ELSE 'medium' END AS confidence FROM documents WHERE doc_id % 4 < 2")
 def _(spark, sf):  # noqa: ANN001, ANN202
     t = F.when(c("doc_id") % 4 == 0, F.concat(F.lit("Dispatches: w"), c("doc_id").cast("string"), F.lit(" for review"))).when(c("doc_id") % 4 == 1, "Work for review").otherwise("none")
@@ -400,7 +462,10 @@ def _(spark, sf):  # noqa: ANN001, ANN202
 # --- checks ----------------------------------------------------------------------------------------------------------
 
 
-@query("chk_01_run_battery", "SELECT * FROM (VALUES ('verify', 'fail', ''), ('style', 'pass', ''), ('broken', 'suspect', 'ValueError'), ('shortcut', 'not_mechanized', '')) t(\"check\", verdict, note)")
+@query(
+    "chk_01_run_battery",
+    CHAT + ALL_RULES_SQL + """ SELECT * FROM (VALUES ('verify', 'fail', '', 8, (SELECT count(*) FROM v)), ('style', 'pass', '', 1, NULL), ('broken', 'suspect', 'ValueError', NULL, NULL), ('shortcut', 'not_mechanized', '', NULL, NULL)) t("check", verdict, note, rows, violations)""",
+)
 def _(spark, sf):  # noqa: ANN001, ANN202
     from tallyforge.operators.aggregates import style_concentration
     from tallyforge.plans.verify import verify_corpus
@@ -411,7 +476,7 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return K.run_battery(spark, {"verify": lambda: verify_corpus(spark, sf), "style": lambda: style_concentration(load(spark, sf, "documents"), "text"), "broken": broken, "shortcut": None})
 
 
-@query("chk_02_run_hook", "SELECT 'masks' AS \"check\", 'fail' AS verdict, '' AS note")
+@query("chk_02_run_hook", CHAT + " SELECT 'masks' AS \"check\", 'fail' AS verdict, '' AS note, 1 AS rows, count(*) AS violations FROM chat WHERE (role = 'assistant' AND weight <= 0) OR (role <> 'assistant' AND weight <> 0)")
 def _(spark, sf):  # noqa: ANN001, ANN202
     K.register_check("pre-s5", "masks", lambda chat: V.report(V.rule_masks(chat), ["masks"], chat))
     return K.run_hook(spark, "pre-s5", load(spark, sf, "chat"))
@@ -450,6 +515,25 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return load(spark, sf, "documents").select("doc_id", T.is_marked(system, tags, record).alias("value"))
 
 
+@query(
+    "fn_in_sql",
+    r"""WITH d AS (SELECT doc_id, text, source, trim(regexp_replace(text, '[ \t\n\r\x0B\f]+', ' ', 'g')) AS s FROM documents)
+SELECT doc_id, sha256(lower(s)) AS prompt, left(sha256(lower(regexp_replace(text, '[ \t\n\r\x0B\f]+', '', 'g'))), 16) AS surface, round_even(doc_id / 7.0, 4) AS share, length(text) // 4 AS least, greatest(CAST(ceil(length(text) / 4.0) AS BIGINT), 1) AS most,
+nullif(array_to_string(regexp_extract_all(lower(text), '[a-z0-9'']+')[1:3], ' '), '') AS opening, regexp_replace('id ' || doc_id || ' 123-45-6789', '\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b', '[redacted-ssn]') AS clean,
+CASE WHEN doc_id % 3 = 0 THEN 'failed' WHEN doc_id % 2 = 0 THEN 'running' ELSE 'queued' END AS status, CASE WHEN doc_id % 2 = 0 THEN 'minor' ELSE 'critical' END AS severity, regexp_matches(source, '^[A-Za-z0-9(][A-Za-z0-9._/§#:@=,()+-]{0,199}$') AS pointer, CASE WHEN source = 'src0' THEN 1.0 ELSE 0.5 END AS likeness FROM d""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    from tallyforge.functions import sql
+
+    sql.register(spark)
+    return spark.sql(
+        """SELECT doc_id, prompt_fingerprint(text) AS prompt, fp16(norm_surface(text)) AS surface, pct4(doc_id, 7) AS share, est_tokens_floor(length(text)) AS least, est_tokens_ceil(length(text)) AS most, opening(text, 3) AS opening,
+scrub_pii(concat('id ', doc_id, ' 123-45-6789')) AS clean, run_status(doc_id % 3 = 0, doc_id % 2 = 0, null) AS status, error_severity(CASE WHEN doc_id % 2 = 0 THEN ' **Fixed' ELSE 'open' END) AS severity, valid_pointer(source) AS pointer,
+jaccard(array('src0'), array_distinct(array('src0', source))) AS likeness FROM {docs}""",
+        docs=load(spark, sf, "documents"),
+    )
+
+
 @query("fn_24_stage_status", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR (o_orderkey % 7 = 1 AND o_orderkey % 2 = 0) THEN 'blocked_on_gate' WHEN o_orderkey % 7 = 2 THEN 'failed' WHEN o_orderkey % 7 = 3 AND o_orderkey % 2 = 1 THEN 'running' ELSE 'passed' END AS value FROM orders")
 def _(spark, sf):  # noqa: ANN001, ANN202
     k = c("o_orderkey")

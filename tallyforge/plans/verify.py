@@ -206,11 +206,11 @@ _KEY = "lower(trim(regexp_replace(content, '[ \\t\\n\\r\\x0B\\f]+', ' ', 'g')))"
 _REST_SQL = f""", probe AS (SELECT 'probe_markers' AS rule, line, 'canary' AS detail FROM chat WHERE regexp_matches(content, '(?i)do[ _\\t-]*not[ _\\t-]*train|held[ _\\t-]out|probe[ _\\t-]only|canary[ _\\t-]?string')),
 cont AS (SELECT 'contamination' AS rule, line, 'probe_prompt' AS detail FROM chat WHERE role = 'user' AND line < 1000000 AND {_KEY} IN (SELECT {_KEY} FROM chat WHERE role = 'user' AND line >= 1000000)),
 mani AS (SELECT DISTINCT 'manifest' AS rule, line, 'not_in_manifest' AS detail FROM chat WHERE line % 11 = 0)"""
-_ALL_SQL = _ROLES_SQL + _MASKS_SQL + _CONTENT_SQL + _CAPS_SQL + _DUP_SQL + _REST_SQL + ", v AS (" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in ("roles", "masks", "content", "caps", "dup", "probe", "cont", "mani")) + ")"
+ALL_RULES_SQL = _ROLES_SQL + _MASKS_SQL + _CONTENT_SQL + _CAPS_SQL + _DUP_SQL + _REST_SQL + ", v AS (" + " UNION ALL ".join(f"SELECT * FROM {x}" for x in ("roles", "masks", "content", "caps", "dup", "probe", "cont", "mani")) + ")"
 query(
     "ver_14_report",
     CHAT
-    + _ALL_SQL
+    + ALL_RULES_SQL
     + """, k AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY line, detail) AS k FROM v), n(rule) AS (VALUES ('role_sequence'), ('masks'), ('content'), ('caps'), ('duplicates'), ('probe_markers'), ('contamination'), ('manifest'))
 SELECT n.rule, count(k.rule) AS violations, count(DISTINCT line) AS lines, coalesce(string_agg(line, ',' ORDER BY k) FILTER (k <= 20), '') AS first_lines, CASE WHEN count(k.rule) > 0 THEN 'fail' ELSE 'pass' END AS verdict
 FROM n LEFT JOIN k ON k.rule = n.rule GROUP BY n.rule""",

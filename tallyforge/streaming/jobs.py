@@ -96,12 +96,30 @@ def session_windows(events: DataFrame, gap: str, delay: str | None = None) -> Da
     return rows.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), "n")
 
 
-def night_aggregates(rows: DataFrame, delay: str | None = "1 day") -> DataFrame:
-    """Records and errors per night and arm; late rows within the watermark are added."""
+def night_aggregates(rows: DataFrame, delay: str | None = "1 day", observe: str | None = None) -> DataFrame:
+    """Records and errors per night and arm; late rows within the watermark are added, later ones are dropped and counted by
+    Spark. With ``observe`` the rows and errors of each batch are counted under that name in the same pass; both numbers
+    are read by ``progress_counts``."""
     source = rows.withWatermark("ts", delay) if delay else rows
+    if observe is not None:
+        source = source.observe(observe, F.count(F.lit(1)).alias("rows"), F.count_if("is_error").alias("errors"), F.count_if(F.col("ts").isNull()).alias("without_time"))
     return source.groupBy(F.window("ts", "1 day").alias("w"), "arm").agg(F.count("*").alias("records"), F.count_if("is_error").alias("errors")).select(F.col("w.start").cast("date").alias("night"), "arm", "records", "errors")
 
 
+def progress_counts(progress: list, observe: str | None = None) -> dict[str, int]:
+    """What the batches of a query have counted, from its ``recentProgress`` or from what a listener kept of it: ``input`` rows,
+    ``late`` rows dropped behind the watermark (each once for every stateful operator they reach), and the sums of
+    the observed counts."""
+    out = {"input": 0, "late": 0}
+    for p in progress:
+        out["input"] += p.numInputRows
+        out["late"] += sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        seen = p.observedMetrics.get(observe) if observe else None
+        for name, value in (seen.asDict() if seen is not None else {}).items():
+            out[name] = out.get(name, 0) + value
+    return out
+
+
 def upsert_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: merge each batch into a snapshot table; only the buckets of its keys are written anew, and a batch
     that is run again changes nothing."""
