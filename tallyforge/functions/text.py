@@ -308,7 +308,12 @@ def redact_secrets(text: Column, literals: list[str] | None = None) -> Column:
 
 def uuid5(namespace: str, name: Column) -> Column:
     """Version-5 UUID of a text in a namespace given as hex."""
-    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    return uuid5_in(F.lit(namespace), name)
+
+
+def uuid5_in(namespace: Column, name: Column) -> Column:
+    """The same with a namespace in a column."""
+    h = F.sha1(F.concat(F.unhex(F.replace(namespace, F.lit("-"), F.lit(""))), F.encode(name, "UTF-8")))
     variant = F.substring(F.lower(F.hex(F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 8)), 1, 1)
     return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 

@@ -78,6 +78,17 @@ select o_orderkey as line,
             else 'I cannot see that from here.' end as answer,
        o_orderkey % 10 = 0 as marked
 from orders
+""",
+    "swarm": """
+select o_orderkey as seq, 'l' || cast(cast(floor(o_orderkey / 10) as bigint) % 4 as string) as lane, 'e' || cast(o_orderkey as string) as event_id, cast(o_orderdate as string) as observed_at,
+       case when o_orderkey % 10 < 4 then 'attempt' when o_orderkey % 10 < 6 then 'attempt_cost' when o_orderkey % 10 = 6 then 'contribution' when o_orderkey % 10 = 7 then 'conflict' when o_orderkey % 10 = 8 then 'budget' else 'flow' end as category,
+       'attempt-' || cast(o_orderkey - case when o_orderkey % 10 in (4, 5) then 4 when o_orderkey % 10 = 6 and o_orderkey % 7 > 0 then 6 else 0 end as string) as attempt_id,
+       'team/r' || cast(o_orderkey % 9 as string) as role_id, case when o_orderkey % 13 = 0 then 'RUNNING' else 'COMPLETED' end as state,
+       case when o_orderkey % 6 = 0 then null else cast(o_totalprice as double) end as usd, o_orderkey % 12 = 0 as accepted,
+       'c' || cast(o_orderkey % 70 as string) as conflict_id, case when o_orderkey % 3 = 0 then 'critical' else 'minor' end as severity, case when o_orderkey % 11 < 3 then 'open' else 'closed' end as status,
+       'b' || cast(o_orderkey % 120 as string) as budget_id, case cast(floor(o_orderkey / 40) as bigint) % 5 when 0 then 'agents' when 1 then 'corpus' when 2 then 'training' when 3 then 'shadow' else 'evaluation' end as cost_category,
+       case when o_orderkey % 20 = 9 then 'terminal_decision' else 'handoff' end as flow_type, case when o_orderkey % 4 = 1 then 'accepted' else 'rejected' end as disposition
+from orders
 """,
     "swarm_cost": """
 select o_orderkey as attempt_id, o_custkey % 8 as role_id, o_orderpriority as cost_category, o_orderdate as observed_at,
