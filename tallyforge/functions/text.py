@@ -454,6 +454,11 @@ def valid_pointer(ref: Column, limit: int = 200) -> Column:
     return F.coalesce(ref.rlike(rf"^[A-Za-z0-9(][A-Za-z0-9._/§#:@=,()+-]{{0,{limit - 1}}}$"), F.lit(False))
 
 
+def valid_pointers(refs: Column, limit: int = 200, most: int = 8) -> Column:
+    """A list of at most ``most`` references, each one valid; a null list is not."""
+    return F.coalesce((F.size(refs) <= most) & F.forall(refs, lambda r: valid_pointer(r, limit)), F.lit(False))
+
+
 VERDICT_RANK = {"pass": 0, "info": 0, "suspect": 1, "fail": 2}
 
 

@@ -143,6 +143,25 @@ def fillability(pool: DataFrame, plan: DataFrame, total: int, floor: int) -> Dat
     return out.select("class", "needed", "available", F.when(F.col("available") >= F.col("needed"), "pass").otherwise("fail").alias("verdict"))
 
 
+def fillability_state(pool: DataFrame, plan: DataFrame | None, total: int, floor: int, allowed: list[str] | None = None) -> DataFrame:
+    """One row: classes planned, pool rows counted, planned classes the pool can't fill and those the served contract forbids
+    (``allowed``: what it enables), with their names, and a verdict. No plan, no pool rows or no contract to hold it
+    against leave it suspect; a class that can't be filled or is forbidden fails."""
+    spark = pool.sparkSession
+    names = lambda column: F.array_join(F.array_sort(F.collect_list(column)), ",")
+    plan = plan if plan is not None else spark.createDataFrame([], "class string, share double")
+    doses = fillability(pool, plan, total, floor)
+    forbidden = ~F.col("class").isin(allowed) if allowed is not None else F.lit(False)
+    of = doses.agg(
+        F.count("*").alias("classes_planned"), F.count_if(F.col("verdict") == "fail").alias("unfillable"), names(F.when(F.col("verdict") == "fail", F.col("class"))).alias("unfillable_classes"),
+        F.count_if(forbidden).alias("inadmissible"), names(F.when(forbidden, F.col("class"))).alias("inadmissible_classes"),
+    )  # a plan names a few classes
+    size = pool.agg(F.count("*").alias("pool_rows"))
+    unknown = (F.col("classes_planned") == 0) | (F.col("pool_rows") == 0) | F.lit(allowed is None)
+    verdict = F.when((F.col("pool_rows") > 0) & (F.col("unfillable") > 0) | (F.col("inadmissible") > 0), "fail").when(unknown, "suspect").otherwise("pass")
+    return of.crossJoin(size).select("classes_planned", "pool_rows", "unfillable", "unfillable_classes", "inadmissible", "inadmissible_classes", verdict.alias("verdict"))
+
+
 def anchor_census(anchors: DataFrame, pool: DataFrame) -> DataFrame:
     """``night, claimed`` outside 0.8 x - 2 to 1.25 x + 2 of the pool's actual rows of the night."""
     actual = pool.groupBy("night").agg(F.count("*").alias("actual"))
@@ -163,9 +182,14 @@ def window_hygiene(rows: DataFrame, windows: DataFrame, warn: str) -> DataFrame:
 
 
 def observed_surface(reviews: DataFrame) -> DataFrame:
-    """``kind, value, n``: histograms of tools and output types, and nights seen."""
-    long = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in (("tool", "tool"), ("output", "output_type"), ("night", "night"))]))
-    return reviews.select(long.alias("s")).where("s.value is not null").groupBy("s.kind", "s.value").agg(F.count("*").alias("n"))
+    """``kind, value, n``: histograms of tools and output types, and nights seen; where rows carry a ``stamp`` (JSON text) of what
+    served them, also of its keys, with rows without a readable one as the value null of the kind ``unstamped``."""
+    one = lambda k, v: F.array(F.struct(F.lit(k).alias("kind"), v.cast("string").alias("value")))
+    parts = [one(k, F.col(c)) for k, c in (("tool", "tool"), ("output", "output_type"), ("night", "night"))]
+    if "stamp" in reviews.columns:
+        keys = F.map_keys(F.try_variant_get(F.try_parse_json("stamp"), "$", "map<string,variant>"))
+        parts.append(F.when(keys.isNull(), one("unstamped", F.lit("none"))).otherwise(F.transform(keys, lambda k: F.struct(F.lit("stamp_key").alias("kind"), k.alias("value")))))
+    return reviews.select(F.explode(F.concat(*parts)).alias("s")).where("s.value is not null").groupBy("s.kind", "s.value").agg(F.count("*").alias("n"))
 
 
 def contract_parity(observed: DataFrame, offered: DataFrame, outputs: DataFrame | None = None, allowed: list[str] | None = None, gold: DataFrame | None = None, forbidden: list[str] | None = None) -> DataFrame:
@@ -228,6 +252,20 @@ def readiness(book: DataFrame) -> DataFrame:
     return of.select("org", "facts", "zeros", (40 * F.col("facts") + 10 * F.col("zeros")).alias("dose"), share.alias("fact_share"), F.when(share >= 0.5, "A").when(share >= 0.25, "B").otherwise("C").alias("tier"))
 
 
+#: Accounts of a substantial book, and the share of accounts with facts below which it is thin.
+SUBSTANTIAL_BOOK, THIN_BOOK = 220, 0.25
+
+
+def recommend(census: DataFrame) -> DataFrame:
+    """``org, accounts, transcripts, reviews, facts, zeros`` (counts) to tier, QA dose, fact share and what to build: A has accounts,
+    transcripts and reviews, B a substantial book only, C neither. C is declined, B deferred in its behavioural part, a
+    thin book of tier A is mostly behavioural, all else is full."""
+    tier = F.when((F.col("accounts") > 0) & (F.col("transcripts") > 0) & (F.col("reviews") > 0), "A").when(F.col("accounts") >= SUBSTANTIAL_BOOK, "B").otherwise("C")
+    share = F.when(F.col("accounts") > 0, F.col("facts") / F.col("accounts")).otherwise(0.0)
+    advice = F.when(tier == "C", "decline").when(tier == "B", "behavioral_deferred").when(share < THIN_BOOK, "behavioral_dominant").otherwise("full")
+    return census.select("org", tier.alias("tier"), (40 * F.col("facts") + 10 * F.col("zeros")).alias("dose"), F.bround(share, 3).alias("fact_share"), advice.alias("recommendation"))
+
+
 def project_cost(runs: DataFrame, rate: float, cap: float, approve: float, dual: float = 1.0, calibration: float = 1.0, eval_cap: float = 0.0) -> DataFrame:
     """``key, tokens, epochs, unroll`` to a projected cost and what to do with it. ``dual`` is 2 for two models at once,
     ``calibration`` corrects by what earlier runs really cost, ``eval_cap`` is what evaluation may cost on top."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
+from tallyforge.operators.project import dispatch_detail
 from tallyforge.operators import joins as J
 
 NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -48,6 +49,50 @@ def cloud_agent_rows(beats: DataFrame) -> DataFrame:
     return beats.select("session_id", "event_id", state.alias("state"), F.concat_ws(" ", F.lit("seq"), F.col("seq").cast("string"), state).alias("summary"))
 
 
+#: What a blocked session may say it waits for.
+BLOCKERS = ["needs-decision", "needs-credential", "needs-human-action", "dependency-missing", "rate-limited", "ambiguous-instruction"]
+
+
+def fleet_rows(beats: DataFrame) -> DataFrame:
+    """The newest heartbeat of each session, ``session_id, seq, ts, status, blocker, task``, as an agent row: a blocked session is still
+    active and says so in ``blocker`` only, a failed one has ended, a kind of blocker that is not listed is dropped, and a
+    status that is not known is stale. The summary joins what is there."""
+    last = beats.groupBy("session_id").agg(F.max_by(F.struct("seq", "ts", "status", "blocker", "task"), F.struct("seq", "ts")).alias("b")).select("session_id", "b.*")
+    status = F.when(F.col("status").isin("ACTIVE", "BLOCKED"), "active").when(F.col("status").isin("DONE", "FAILED"), "ended").otherwise("stale")
+    blocker = F.when((F.col("status") == "BLOCKED") & F.col("blocker").isin(BLOCKERS), F.col("blocker"))
+    said = F.concat_ws(" · ", F.lower("status"), blocker, F.nullif(T.clean_text(F.col("task"), 120), F.lit("")))
+    return last.select("session_id", status.alias("status"), blocker.alias("blocker"), said.alias("summary"), F.col("ts").alias("last_seen_at"))
+
+
+def session_agents(sessions: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Every session, with a run or without, as an agent row: first and last time seen, rows, distinct tools, and whether it has ended
+    (its last row says so)."""
+    end = F.max_by(F.col("tool"), F.struct("ts", "event_id"))
+    of = ledger.groupBy("session_id").agg(F.min("ts").alias("spawned_at"), F.max("ts").alias("last_seen_at"), F.count("*").alias("rows"), F.countDistinct("tool").alias("tools"), end.alias("_last"))
+    out = sessions.join(of, "session_id", "left")
+    return out.select("session_id", "run_id", "spawned_at", "last_seen_at", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.coalesce("tools", F.lit(0)).cast("long").alias("tools"), F.when(F.col("_last").isNull(), "stale").when(F.col("_last") == "end", "ended").otherwise("active").alias("status"))
+
+
+def dispatch_events(dispatch: DataFrame) -> DataFrame:
+    """``id, outcome, ts, detail`` (JSON text) to dispatch event rows with repeatable ids; the detail is projected to what may be
+    shown (``project.dispatch_detail``). Stopped is not failed."""
+    state = F.when(F.col("outcome") == "stopped", "stopped").when(F.col("outcome") == "error", "failed").otherwise("finished")
+    key = F.concat(F.lit("agent_dispatched|"), F.col("id").cast("string"))
+    return dispatch.select(T.uuid5(NAMESPACE, key).alias("event_id"), F.lit("agent_dispatched").alias("kind"), "ts", F.concat_ws(" ", F.lit("dispatch"), state).alias("headline"), dispatch_detail(F.col("detail")).alias("detail"))
+
+
+def night_previews(nights: DataFrame, roster: DataFrame, incumbent: str) -> DataFrame:
+    """Night events with their preview: ``night, arm, accounts, records, errors`` beside the incumbent's of the same night, as JSON
+    text: challenger and incumbent, accounts compared (of the arm), records and errors of both. A night of the roster
+    without any arm is a marker row without a preview; one without the incumbent leaves its numbers out."""
+    base = nights.where(F.col("arm") == incumbent).select("night", F.col("records").alias("_r"), F.col("errors").alias("_e"), F.lit(incumbent).alias("_i"))
+    of = roster.select("night").distinct().join(nights.where(F.col("arm") != incumbent), "night", "left").join(base, "night", "left")
+    preview = F.to_json(F.struct(F.col("arm").alias("challenger"), F.col("_i").alias("incumbent"), F.col("accounts").alias("accounts_compared"), "records", "errors", F.col("_r").alias("incumbent_records"), F.col("_e").alias("incumbent_errors")))
+    text = F.format_string("%s: %d records, %d errors", "arm", "records", "errors")
+    kind = F.when(F.col("arm").isNull(), "roster_only").otherwise("night_result")
+    return of.select("night", "arm", kind.alias("kind"), F.when(F.col("arm").isNull(), "roster only").otherwise(text).alias("headline"), F.when(F.col("arm").isNotNull(), preview).alias("preview"))
+
+
 def project_agents(sessions: DataFrame, ledger: DataFrame) -> DataFrame:
     """Sessions with a run get spawned and finished events at their first and last row; run-less ones none."""
     span = ledger.groupBy("session_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))

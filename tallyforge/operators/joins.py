@@ -25,13 +25,17 @@ def lineage_misses(meta: DataFrame, pools: DataFrame, source: str = "source_row_
     return meta.where(F.col(source).isNotNull()).join(keys, source, "left_anti")
 
 
-def heldout_leaks(rows: DataFrame, sealed: DataFrame, text_col: str = "text") -> DataFrame:
+def heldout_leaks(rows: DataFrame, sealed: DataFrame, text_col: str = "text", keys: list[str] | None = None) -> DataFrame:
     """``row_id`` and text to sealed fingerprints found in it: words of the text, their part before a colon, and UUIDs, lowered
-    and hashed. Only fingerprints are returned."""
+    and hashed. ``keys`` names meta columns that hold identifiers; they are hashed as they are, lowered, and by their
+    part before a colon. Only fingerprints are returned."""
     low = F.lower(F.col(text_col))
     tokens = F.regexp_extract_all(low, F.lit(r"[a-z0-9][a-z0-9:_-]*"), F.lit(0))
     uuids = F.regexp_extract_all(low, F.lit(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"), F.lit(0))
-    every = F.array_distinct(F.concat(tokens, F.transform(tokens, lambda t: F.element_at(F.split(t, ":"), 1)), uuids))
+    head = lambda t: F.element_at(F.split(t, ":"), 1)
+    own = [F.col(k).cast("string") for k in keys or []]
+    meta = F.array_compact(F.array(*own, *map(F.lower, own), *[head(F.lower(k)) for k in own])) if own else F.array().cast("array<string>")
+    every = F.array_distinct(F.concat(F.coalesce(F.concat(tokens, F.transform(tokens, head), uuids), F.array().cast("array<string>")), meta))
     found = rows.select("row_id", F.explode(every).alias("t")).select("row_id", T.fp16(F.col("t")).alias("fingerprint")).distinct()
     return found.join(sealed.select("fingerprint").distinct(), "fingerprint", "left_semi").select("row_id", "fingerprint")
 
@@ -121,6 +125,21 @@ def contradictions(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
     return pairs.where("axis is not null").distinct()  # a pair may share several prefix tokens
 
 
+def divergent_grounding(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
+    """How many pairs ask alike of one subject from different facts, and so are not held against each other: ``pairs``. Rows that
+    are equal in all that is compared are one; pairs meet by subject and a prefix token of their asks."""
+    one = contradiction_rows(qa)
+    freq = one.select(F.explode("ask").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    tokens = one.select("line", "subject", "facts", "prompt", "ask", F.explode("ask").alias("t")).join(freq, "t")
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"])  # one question's words
+    keyed = tokens.groupBy("line", "subject", "facts").agg(F.first("prompt").alias("prompt"), F.first("ask").alias("ask"), ranked.alias("r"))
+    side = keyed.withColumn("key", F.explode(_prefix_tokens(F.col("r"), similarity))).drop("r")
+    x, y = side.alias("x"), side.alias("y")
+    same = (F.col("x.subject") == F.col("y.subject")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.line") < F.col("y.line")) & (F.col("x.facts") != F.col("y.facts"))
+    like = (T.jaccard(F.col("x.ask"), F.col("y.ask")) >= similarity) & (T.jaccard(F.col("x.prompt"), F.col("y.prompt")) >= similarity)
+    return x.join(y, same & like).select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct().agg(F.count("*").alias("pairs"))
+
+
 def contradiction_report(qa: DataFrame, budget: int = 2_000_000) -> DataFrame:
     """Comparisons that blocks by subject would take, same-question pairs that conflict (unmarked and marked), and a
     verdict: no rows, or more comparisons than the budget, are suspect; an unmarked conflict fails."""

@@ -48,6 +48,14 @@ def merge_boards(rows: DataFrame) -> DataFrame:
     return rows.groupBy("session").agg(F.max_by(F.struct("goal", "seq"), F.struct("seq", "goal")).alias("b")).select("session", "b.goal", "b.seq")
 
 
+def agent_index(rows: DataFrame) -> DataFrame:
+    """``title, run_id, last_seen_at, id``: of the rows of one title (white space squashed, empty ones dropped) one that belongs to a run
+    comes first, then the one seen last."""
+    title = T.squash(F.col("title"))
+    best = F.max_by(F.struct("id", "run_id", "last_seen_at"), F.struct(F.col("run_id").isNotNull(), F.coalesce(F.col("last_seen_at").cast("string"), F.lit("")), "id"))
+    return rows.where(title != "").groupBy(title.alias("title")).agg(best.alias("b")).select("title", "b.id", "b.run_id", "b.last_seen_at")
+
+
 def seal_heldout(population: DataFrame, key: str, seed: str, fraction: float = 0.2, least: int = 5) -> DataFrame:
     """The first ``max(least, round_half_even(fraction * n))`` distinct keys by sha256 of ``seed:key``; refuses fewer than
     ``least`` keys. The same population and seed give the same seal."""
@@ -150,6 +158,15 @@ def select_capped(pool: DataFrame, k: int, per_account: int, share: float, seed:
     return first_by_hash(capped, "h", k).drop("h")
 
 
+def over_generate(pool: DataFrame, k: int, per_account: int, share: float, seed: str, over: float = 2.0) -> DataFrame:
+    """Candidates for ``k`` places: up to ``over * k`` rows under the caps of an account and a class (of ``over * k``), of which the first
+    ``k`` in hash order are ``picked``. The same seed gives the same candidates and picks."""
+    drafted = select_capped(pool, int(over * k), per_account, share, seed)
+    h = F.sha2(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")), 256)
+    chosen = first_by_hash(drafted.withColumn("h", h), "h", k).select("id", F.lit(True).alias("picked"))
+    return drafted.join(chosen, "id", "left").withColumn("picked", F.coalesce("picked", F.lit(False)))
+
+
 def apply_doses(corpus: DataFrame, doses: dict[str, int], halve: list[str], seed: str) -> DataFrame:
     """Rows of a slice repeated by its dose, or half of them by hash parity; ``copy`` numbers the repeats."""
     dose = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in doses.items() for x in (k, v)]), F.col("slice")), F.lit(1))
@@ -218,6 +235,14 @@ def copy_catalog(parents: DataFrame, children: DataFrame, keep: Column, parent_k
     return kept, children.join(kept.select(F.col(parent_key).alias(child_key)), child_key, "left_semi")
 
 
+def copy_natural(table: DataFrame, keys: list[str], surrogate: str = "id") -> DataFrame:
+    """A table whose rows are known by a natural key, for a copy into another database: the surrogate id, which would clash
+    there, is dropped, and of rows of one key the one with the largest id is kept."""
+    rest = [c for c in table.columns if c not in (*keys, surrogate)]
+    last = F.max_by(F.struct(F.lit(1).alias("_one"), *rest), surrogate).alias("r")
+    return table.groupBy(*keys).agg(last).select(*[F.col(c) if c in keys else F.col(f"r.{c}") for c in table.columns if c != surrogate])
+
+
 def changed_only(new: DataFrame, old: DataFrame, key: str, digest: str) -> DataFrame:
     """Rows whose content hash differs from the stored one, or that are not stored."""
     before = old.select(key, F.col(digest).alias("_old"))

@@ -84,6 +84,14 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return A.fillability(load(spark, sf, "pool"), plan, 1000, 5)
 
 
+@query("agg_08_fillability_state", POOL + ", n AS (SELECT class, count(*) AS n FROM pool GROUP BY class), p(class, share) AS (VALUES ('1-URGENT', 0.1), ('2-HIGH', 0.9), ('9-NONE', 0.1)), d AS (SELECT p.class, coalesce(n, 0) >= greatest(5, CAST(round_even(share * (SELECT count(*) FROM pool), 0) AS INTEGER)) AS ok FROM p LEFT JOIN n USING (class)), t AS (SELECT (SELECT count(*) FROM pool) AS r, count(*) FILTER (NOT ok) AS u, string_agg(class, ',' ORDER BY class) FILTER (NOT ok) AS un FROM d) SELECT 3 AS classes_planned, r AS pool_rows, u AS unfillable, un AS unfillable_classes, 1 AS inadmissible, '9-NONE' AS inadmissible_classes, 'fail' AS verdict FROM t UNION ALL SELECT 3, r, u, un, 0, '', 'fail' FROM t UNION ALL SELECT 0, r, 0, '', 0, '', 'suspect' FROM t")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    plan = spark.createDataFrame([("1-URGENT", 0.1), ("2-HIGH", 0.9), ("9-NONE", 0.1)], "class string, share double")
+    pool = load(spark, sf, "pool")
+    n = pool.count()
+    return A.fillability_state(pool, plan, n, 5, ["1-URGENT", "2-HIGH"]).unionByName(A.fillability_state(pool, plan, n, 5)).unionByName(A.fillability_state(pool, None, n, 5, ["x"]))
+
+
 @query("agg_09_anchor_census", POOL + ", a AS (SELECT night, count(*) AS actual, count(*) + day(night) % 7 - 3 AS claimed FROM pool GROUP BY night) SELECT night, claimed, actual FROM a WHERE claimed < 0.8 * actual - 2 OR claimed > 1.25 * actual + 2")
 def _(spark, sf):  # noqa: ANN001, ANN202
     pool = load(spark, sf, "pool")
@@ -110,6 +118,14 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return A.observed_surface(load(spark, sf, "ledger").select("tool", F.when(c("ok"), "ok").alias("output_type"), c("dt").alias("night")))
 
 
+@query("agg_12_stamp_keys", "SELECT 'stamp_key' AS kind, k AS value, count(*) AS n FROM (SELECT unnest(CASE WHEN event_id % 3 = 0 THEN ['model', 'k'] ELSE ['k'] END) AS k FROM events WHERE event_id % 5 > 0) GROUP BY ALL UNION ALL SELECT 'unstamped', 'none', count(*) FROM events WHERE event_id % 5 = 0 UNION ALL SELECT 'tool', event_type, count(*) FROM events GROUP BY ALL")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("event_id")
+    stamp = F.when(k % 5 == 0, F.when(k % 2 == 0, "{bad")).when(k % 3 == 0, '{"model": {"a": 1}, "k": null}').otherwise(c("props"))
+    rows = load(spark, sf, "events").select(c("event_type").alias("tool"), F.lit(None).cast("string").alias("output_type"), F.lit(None).cast("date").alias("night"), stamp.alias("stamp"))
+    return A.observed_surface(rows)
+
+
 @query("agg_13_contract_parity", "SELECT event_type AS tool, 'called_not_offered' AS code, count(*) AS calls, 'fail' AS verdict FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY ALL UNION ALL SELECT 'search', 'offered_unobserved', 0, 'info' UNION ALL SELECT o_orderstatus, 'rogue_output', count(*), 'fail' FROM orders WHERE o_orderstatus NOT IN ('F', 'P') GROUP BY ALL UNION ALL SELECT o_orderpriority, 'forbidden_class', count(*), 'fail' FROM orders WHERE o_orderpriority IN ('2-HIGH', '9-NONE') GROUP BY ALL")
 def _(spark, sf):  # noqa: ANN001, ANN202
     orders = load(spark, sf, "orders")
@@ -147,6 +163,19 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return A.readiness(book)
 
 
+@query(
+    "agg_17_recommend",
+    """WITH o AS (SELECT c_nationkey AS org, count(DISTINCT c_custkey) AS accounts, count(*) FILTER (o_orderstatus = 'O' AND c_nationkey % 3 > 0) AS transcripts, count(*) FILTER (o_orderstatus = 'P') AS reviews, count(DISTINCT c_custkey) FILTER (o_orderkey % 4 = 0) AS facts, count(DISTINCT c_custkey) FILTER (o_orderkey % 9 = 0) AS zeros FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
+t AS (SELECT *, CASE WHEN accounts > 0 AND transcripts > 0 AND reviews > 0 THEN 'A' WHEN accounts >= 220 THEN 'B' ELSE 'C' END AS tier FROM o)
+SELECT org, tier, 40 * facts + 10 * zeros AS dose, round_even(facts / accounts, 3) AS fact_share, CASE tier WHEN 'C' THEN 'decline' WHEN 'B' THEN 'behavioral_deferred' ELSE CASE WHEN facts / accounts < 0.25 THEN 'behavioral_dominant' ELSE 'full' END END AS recommendation FROM t""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    both = load(spark, sf, "orders").join(load(spark, sf, "customer"), c("c_custkey") == c("o_custkey"))
+    who = lambda test: F.countDistinct(F.when(test, c("c_custkey")))
+    of = both.groupBy(c("c_nationkey").alias("org")).agg(F.countDistinct("c_custkey").alias("accounts"), F.count_if(c("o_orderstatus") == "O").alias("t"), F.count_if(c("o_orderstatus") == "P").alias("reviews"), who(c("o_orderkey") % 4 == 0).alias("facts"), who(c("o_orderkey") % 9 == 0).alias("zeros"))
+    return A.recommend(of.withColumn("transcripts", F.when(c("org") % 3 == 0, 0).otherwise(c("t"))))
+
+
 @query("agg_18_project_cost", "SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS key, round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0 * 2.0 * 1.1 + 1.5, 4) AS usd, CASE WHEN round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0 * 2.0 * 1.1 + 1.5, 4) > 60 THEN 'stop' WHEN round_even(l_quantity * 1000000.0 * l_linenumber / 1e6 * 0.5 * 1.0 * 2.0 * 1.1 + 1.5, 4) <= 20 THEN 'auto' ELSE 'ask' END AS action FROM lineitem")
 def _(spark, sf):  # noqa: ANN001, ANN202
     runs = load(spark, sf, "lineitem").select(F.concat_ws("-", *[c(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("key"), (c("l_quantity").cast("double") * 1e6).alias("tokens"), c("l_linenumber").alias("epochs"), F.lit(1.0).alias("unroll"))

@@ -30,6 +30,14 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.heldout_leaks(rows, sealed)
 
 
+@query("jon_03_meta_keys", "SELECT o_orderkey AS row_id, left(sha256('c' || o_custkey), 16) AS fingerprint FROM orders WHERE o_custkey % 10 = 0 AND o_orderkey % 3 > 0")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    who = F.concat(F.lit("C"), c("o_custkey").cast("string"))
+    rows = load(spark, sf, "orders").select(c("o_orderkey").alias("row_id"), F.lit(None).cast("string").alias("text"), F.when(c("o_orderkey") % 3 == 1, who).alias("account_id"), F.when(c("o_orderkey") % 3 == 2, F.concat(who, F.lit(":night 3"))).alias("cf_group"))
+    sealed = load(spark, sf, "customer").where("c_custkey % 10 = 0").select(J.T.fp16(F.concat(F.lit("c"), c("c_custkey").cast("string"))).alias("fingerprint"))
+    return J.heldout_leaks(rows, sealed, keys=["account_id", "cf_group"])
+
+
 _CONV = "SELECT conv_id AS line, sha256(lower(regexp_replace(text, '[ \\t\\n\\r]+', '', 'g'))) AS surface, sha256(text) AS sha FROM (SELECT conv_id, text FROM conversations WHERE role = 'user' UNION ALL SELECT conv_id + 1000000, ' ' || text FROM conversations WHERE role = 'user' AND conv_id % 9 = 0)"
 
 
@@ -69,6 +77,12 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return J.contradictions(load(spark, sf, "qa"))
 
 
+@query("jon_06_divergent_grounding", QA + ", s AS (SELECT DISTINCT question, left(answer, 3) AS a, marked, line % 3 AS k FROM qa) SELECT count(*) AS pairs FROM s x JOIN s y ON x.question = y.question AND x.k < y.k")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    facts = F.concat(F.lit(" more boxes of cable from the northern depot today for 1"), (c("line") % 3).cast("string"), F.lit("00 units?"))
+    return J.divergent_grounding(load(spark, sf, "qa").withColumn("question", F.concat(F.regexp_replace("question", " today.*", ""), facts)))
+
+
 @query("jon_06_contradiction_report", QA + """, s AS (SELECT min(line) AS line, question, left(answer, 3) AS a, marked FROM qa GROUP BY question, left(answer, 3), marked), b AS (SELECT count(*) AS n FROM s GROUP BY question),
 p AS (SELECT x.marked OR y.marked AS m FROM s x JOIN s y ON x.question = y.question AND x.line < y.line AND x.a <> y.a)
 SELECT CAST((SELECT sum(n * (n - 1) // 2) FROM b) AS BIGINT) AS comparisons, count(*) FILTER (NOT m) AS unmarked, count(*) FILTER (m) AS marked, CASE WHEN (SELECT sum(n * (n - 1) // 2) FROM b) > 2000000 THEN 'suspect' WHEN count(*) FILTER (NOT m) > 0 THEN 'fail' ELSE 'pass' END AS verdict FROM p""")

@@ -188,6 +188,10 @@ on_documents(
 query("pii_04_redact_or_withhold", f"SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE {_chain('text', _SQL_SECRETS)} END AS content, CASE WHEN doc_id % 17 = 0 THEN 'no_content' END AS reason FROM documents")(
     lambda spark, sf: P.redact_or_withhold(load(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 17 != 0, F.col("text")).alias("content")))
 )
+query("pii_04_withheld", f"SELECT doc_id, CASE WHEN doc_id % 4 > 1 AND length(text) <= 3000 THEN {_chain('text', _SQL_SECRETS)} END AS content, CASE WHEN doc_id % 4 = 0 THEN 'no_content' WHEN length(text) + CASE WHEN doc_id % 4 = 1 THEN 11 ELSE 0 END > 3000 THEN 'too_long' WHEN doc_id % 4 = 1 THEN 'redaction_failed' END AS reason FROM documents")(
+    # the second literal is a part of the mark, so what the first one leaves behind still holds it
+    lambda spark, sf: P.redact_or_withhold(load(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" longlivedpw"))).when(F.col("doc_id") % 4 > 1, F.col("text")).alias("content")), limit=3000, literals=["longlivedpw", "REDACTED]"])
+)
 query("pii_05_redact_path", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '[path]' ELSE 'src/p' || page_id END AS value FROM pages")(
     lambda spark, sf: load(spark, sf, "pages").select("page_id", T.redact_path(F.concat(F.when(F.col("page_id") % 3 == 0, "/home/../etc/p").otherwise("src/x/.././p"), F.col("page_id").cast("string")), ["src"]).alias("value"))
 )
@@ -224,6 +228,23 @@ query("prj_02_project_detail", "SELECT doc_id, left(text, 4000) AS head, right(t
 )
 on_documents("prj_03_cap_bytes", lambda: F.octet_length(T.cap_bytes(F.regexp_replace(F.col("text"), "[^\\x00-\\x7F]", "?"), 2000, 1200, 300)), "CASE WHEN length(text) > 2000 THEN 1500 + length(chr(10) || '[... ' || (length(text) - 1500) || ' bytes left out ...]' || chr(10)) ELSE length(text) END")
 on_documents("prj_04_clean_text", lambda: T.clean_text(F.concat(F.lit("\x1b[31m"), F.col("text"), F.lit("\x07")), 120), f"CASE WHEN length({SQUASH}) > 120 THEN left({SQUASH}, 119) || '…' ELSE {SQUASH} END")
+query(
+    "prj_02_dispatch_detail",
+    f"""SELECT doc_id, '{{"spec_slug":"s' || doc_id || '","max_turns":7' || CASE WHEN doc_id % 2 = 0 THEN ',"cost_usd":0.5' ELSE '' END || ',"final_response":' || to_json({_chain('left(text, 4000)', _SQL_PII)}) || ',"stderr_tail":"' || repeat('x', 488) || ' [redacted-ssn]","ledger_session_id":"212-555-0100"}}' AS value FROM documents""",
+)(
+    lambda spark, sf: load(spark, sf, "documents").select(
+        "doc_id",
+        P.dispatch_detail(
+            F.to_json(
+                F.struct(
+                    F.concat(F.lit("s"), F.col("doc_id").cast("string")).alias("spec_slug"), F.lit("hidden").alias("prompt_file"), F.lit("212-555-0100").alias("ledger_session_id"), F.when(F.col("doc_id") % 2 == 0, 0.5).alias("cost_usd"),
+                    F.lit(None).cast("string").alias("model"), F.lit(7).alias("max_turns"), F.col("text").alias("final_response"), F.concat(F.lit("lost "), F.repeat(F.lit("x"), 488), F.lit(" 123-45-6789")).alias("stderr_tail"),
+                ),
+                {"ignoreNullFields": "false"},
+            )
+        ).alias("value"),
+    )
+)
 query(
     "val_01_validate",
     """SELECT event_id AS row_id, 'vocabulary' AS code, 'event_type' AS path FROM events WHERE event_type NOT IN ('view', 'click', 'purchase') UNION ALL SELECT event_id, 'range', 'value' FROM events WHERE value > 50 UNION ALL SELECT event_id, 'required', 'user_id' FROM events WHERE user_id % 10 = 0""",
@@ -237,3 +258,6 @@ query(
 query("val_02_valid_pointer", "SELECT page_id, regexp_matches(url, '^[A-Za-z0-9(][A-Za-z0-9._/§#:@=,()+-]{0,199}$') AS value FROM pages")(
     lambda spark, sf: load(spark, sf, "pages").select("page_id", T.valid_pointer(F.col("url")).alias("value"))
 )
+query("val_02_valid_pointers", "SELECT page_id, page_id % 10 > 0 AND page_id % 10 < 4 AND regexp_matches(url, '^[A-Za-z0-9(][A-Za-z0-9._/§#:@=,()+-]{0,199}$') AS value FROM pages")(
+    lambda spark, sf: load(spark, sf, "pages").select("page_id", T.valid_pointers(F.when(F.col("page_id") % 10 > 0, F.array_repeat(F.col("url"), (F.col("page_id") % 10).cast("int"))), most=3).alias("value"))
+)

@@ -55,6 +55,13 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return S.merge_boards(load(spark, sf, "events").select(c("user_id").alias("session"), c("event_type").alias("goal"), c("event_id").alias("seq")))
 
 
+@query("win_07_agent_index", "WITH r AS (SELECT 't ' || (user_id % 7) AS title, event_id AS id, CASE WHEN event_id % 4 = 0 THEN user_id END AS run_id, ts FROM events WHERE user_id % 11 > 0) SELECT title, arg_max({'i': id, 'r': run_id}, (run_id IS NOT NULL, ts, id)).i AS id, arg_max({'i': id, 'r': run_id}, (run_id IS NOT NULL, ts, id)).r AS run_id FROM r GROUP BY title")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    title = F.when(c("user_id") % 11 > 0, F.concat(F.lit(" t \t"), (c("user_id") % 7).cast("string"))).otherwise(" ")
+    rows = load(spark, sf, "events").select(title.alias("title"), c("event_id").alias("id"), F.when(c("event_id") % 4 == 0, c("user_id")).alias("run_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_seen_at"))
+    return S.agent_index(rows).select("title", "id", "run_id")
+
+
 _SEAL = "WITH r AS (SELECT CAST(c_custkey AS VARCHAR) AS id, row_number() OVER (ORDER BY sha256('7:' || c_custkey), CAST(c_custkey AS VARCHAR)) AS k, count(*) OVER () AS n FROM customer), s AS (SELECT id, left(sha256(id), 16) AS fingerprint FROM r WHERE k <= greatest(5, CAST(round_even(0.2 * n, 0) AS BIGINT)))"
 
 
@@ -167,6 +174,16 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return S.union_all(e.where("event_type = 'view'").select("event_id", "user_id"), e.where("event_type = 'click'").select("event_id", "event_type"))
 
 
+@query(
+    "win_15_over_generate",
+    POOL
+    + """, h AS (SELECT *, sha256('11:' || id) AS h FROM pool), a AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY h, id) AS a FROM h), k AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY h, id) AS c FROM a WHERE a <= 2),
+d AS (SELECT * FROM k WHERE c <= 60 ORDER BY h, id LIMIT 200) SELECT id, row_number() OVER (ORDER BY h, id) <= 100 AS picked FROM d""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    return S.over_generate(load(spark, sf, "pool"), 100, 2, 0.3, "11").select("id", "picked")
+
+
 @query("set_04_disjoint", "SELECT count(*) AS shared, CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS verdict FROM (SELECT p_partkey FROM part WHERE p_partkey % 2 = 0 INTERSECT SELECT p_partkey FROM part WHERE p_partkey % 3 = 0)")
 def _(spark, sf):  # noqa: ANN001, ANN202
     p = load(spark, sf, "part").select("p_partkey")
@@ -203,6 +220,12 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return lines.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+@query("snk_03_natural_keys", "SELECT l_orderkey, l_linenumber, arg_max(l_quantity, (l_partkey, l_suppkey, l_extendedprice)) AS l_quantity FROM lineitem GROUP BY l_orderkey, l_linenumber")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    lines = load(spark, sf, "lineitem").select(F.struct("l_partkey", "l_suppkey", "l_extendedprice").alias("id"), "l_orderkey", "l_linenumber", "l_quantity")
+    return S.copy_natural(lines, ["l_orderkey", "l_linenumber"])
+
+
 @query("snk_04_changed_only", "SELECT doc_id, sha256(text) AS sha FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 = 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
     d = load(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))

@@ -112,6 +112,22 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return R.parse_lessons(_md(spark, sf))
 
 
+@query("src_09_register", "SELECT doc_id AS doc, doc_id % 5 + 1 AS code, 'late' AS body, CASE WHEN doc_id % 2 = 0 THEN 'minor' ELSE 'critical' END AS severity FROM documents UNION ALL SELECT doc_id, 9, 'lost || again', 'minor' FROM documents")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    state = F.when(c("doc_id") % 2 == 0, "**Fixed in 2**").otherwise("open")
+    body = F.concat(F.lit("# Errors\n| Code | Error | Status |\n|---|---|---|\n| E-"), (c("doc_id") % 5 + 1).cast("string"), F.lit(". | late | "), state, F.lit(" |\n| none | x | open |\n| 9 | lost | open |\n| **9** | again | Improved |"))
+    return R.parse_register(load(spark, sf, "documents").select(c("doc_id").alias("doc"), body.alias("text")), "Errors")
+
+
+@query("src_10_transcript_texts", "SELECT conv_id AS session, turn AS line, role, text FROM conversations")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    rows = load(spark, sf, "conversations")
+    one = F.to_json(F.struct(c("role").alias("type"), F.struct(c("text").alias("content")).alias("message")))
+    many = F.to_json(F.struct(F.struct("role", F.array(F.struct(F.lit("text").alias("type"), "text")).alias("content")).alias("message")))
+    raw = F.when(c("turn") % 2 == 0, one).otherwise(many)
+    return R.transcript_blocks(rows.select(c("conv_id").alias("session"), c("turn").alias("line"), raw.alias("raw"))).select("session", "line", "role", "text")
+
+
 @query("src_10_transcripts", "SELECT conv_id AS session, turn AS line, 0 AS pos, CASE WHEN turn % 2 = 0 THEN 'text' ELSE 'tool_use' END AS type FROM conversations UNION ALL SELECT conv_id, turn, 1, 'thinking' FROM conversations WHERE turn % 2 = 1")
 def _(spark, sf):  # noqa: ANN001, ANN202
     plain = F.to_json(F.struct(F.struct(c("text").alias("content")).alias("message")))
@@ -177,6 +193,29 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return rows.groupBy("kind", "severity").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
 
 
+_ID = "(SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', 1 + (instr('0123456789abcdef', substr(h, 17, 1)) - 1) % 4, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) FROM (SELECT sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode({})) AS h))"
+
+
+@query("evt_02_finding_ids", f"SELECT {_ID.format("'finding|' || o_orderkey")} AS event_id, CASE WHEN o_orderstatus = 'F' THEN 'finding.fail' WHEN o_orderstatus = 'O' THEN 'finding.info' ELSE 'finding.suspect' END AS kind FROM orders")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    v = F.when(c("o_orderstatus") == "F", "fail").when(c("o_orderstatus") == "O", "info").otherwise("suspect")
+    return E.finding_events(load(spark, sf, "orders").select(c("o_orderkey").alias("id"), v.alias("verdict"), c("o_orderpriority").alias("severity"), c("o_orderdate").alias("ts"))).select("event_id", "kind")
+
+
+@query(
+    "evt_03_night_previews",
+    NIGHTS
+    + """, a AS (SELECT night, arm, count(DISTINCT account_id) AS c, count(*) AS n, count(*) FILTER (is_error) AS e FROM nights WHERE day(night) % 4 <> 0 AND (arm <> 'v5' OR day(night) % 3 > 0) GROUP BY ALL), r AS (SELECT DISTINCT night FROM nights)
+SELECT CAST(r.night AS VARCHAR) AS night, x.arm, CASE WHEN x.arm IS NULL THEN 'roster_only' ELSE 'night_result' END AS kind, CASE WHEN x.arm IS NULL THEN 'roster only' ELSE x.arm || ': ' || x.n || ' records, ' || x.e || ' errors' END AS headline,
+'{"challenger":"' || x.arm || CASE WHEN i.arm IS NULL THEN '' ELSE '","incumbent":"v5' END || '","accounts_compared":' || x.c || ',"records":' || x.n || ',"errors":' || x.e || CASE WHEN i.arm IS NULL THEN '' ELSE ',"incumbent_records":' || i.n || ',"incumbent_errors":' || i.e END || '}' AS preview
+FROM r LEFT JOIN a x ON x.night = r.night AND x.arm <> 'v5' LEFT JOIN a i ON i.night = x.night AND i.arm = 'v5'""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    n = load(spark, sf, "nights")
+    of = n.where((F.day("night") % 4 != 0) & ((c("arm") != "v5") | (F.day("night") % 3 > 0))).groupBy("night", "arm").agg(F.countDistinct("account_id").alias("accounts"), F.count("*").alias("records"), F.count_if("is_error").alias("errors"))
+    return E.night_previews(of, n, "v5").withColumn("night", c("night").cast("string"))
+
+
 @query("evt_03_night_events", NIGHTS + ", r AS (SELECT DISTINCT night FROM nights), a AS (SELECT night, arm, count(*) AS n, count(*) FILTER (is_error) AS e FROM nights WHERE day(night) % 4 <> 0 GROUP BY ALL) SELECT r.night, arm, CASE WHEN arm IS NULL THEN 'roster only' ELSE arm || ': ' || n || ' records, ' || e || ' errors' END AS headline FROM r LEFT JOIN a ON a.night = r.night")
 def _(spark, sf):  # noqa: ANN001, ANN202
     n = load(spark, sf, "nights")
@@ -197,6 +236,34 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     return E.cloud_agent_rows(load(spark, sf, "beats"))
 
 
+@query(
+    "evt_05_fleet_rows",
+    """WITH r AS (SELECT user_id, arg_max({'e': event_type, 'k': event_id}, (event_id)) AS x FROM events GROUP BY user_id), s AS (SELECT user_id, x.k AS k, CASE x.e WHEN 'view' THEN 'ACTIVE' WHEN 'click' THEN 'BLOCKED' WHEN 'purchase' THEN 'DONE' ELSE 'ODD' END AS s FROM r)
+SELECT 's' || user_id AS session_id, CASE WHEN s IN ('ACTIVE', 'BLOCKED') THEN 'active' WHEN s = 'DONE' THEN 'ended' ELSE 'stale' END AS status, CASE WHEN s = 'BLOCKED' AND k % 2 = 0 THEN 'needs-decision' END AS blocker, lower(s) || CASE WHEN s = 'BLOCKED' AND k % 2 = 0 THEN ' · needs-decision' ELSE '' END || CASE WHEN k % 3 > 0 THEN ' · task ' || k ELSE '' END AS summary FROM s""",
+)
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k, e = c("event_id"), c("event_type")
+    status = F.when(e == "view", "ACTIVE").when(e == "click", "BLOCKED").when(e == "purchase", "DONE").otherwise("ODD")
+    beats = load(spark, sf, "events").select(F.concat(F.lit("s"), c("user_id").cast("string")).alias("session_id"), k.alias("seq"), "ts", status.alias("status"), F.when(k % 2 == 0, "needs-decision").otherwise("needs-coffee").alias("blocker"), F.when(k % 3 > 0, F.concat(F.lit(" task\n"), k.cast("string"))).otherwise(" ").alias("task"))
+    return E.fleet_rows(beats).drop("last_seen_at")
+
+
+@query("evt_06_session_agents", LEDGER + ", s AS (SELECT session_id, count(*) AS n, count(DISTINCT tool) AS t, arg_max(tool, (ts, event_id)) AS x FROM ledger WHERE CAST(session_id AS INTEGER) % 5 > 0 GROUP BY ALL) SELECT a.session_id, CASE WHEN CAST(a.session_id AS INTEGER) % 3 <> 0 THEN 'r' || a.session_id END AS run_id, coalesce(n, 0) AS rows, coalesce(t, 0) AS tools, CASE WHEN x IS NULL THEN 'stale' WHEN x = 'other' THEN 'ended' ELSE 'active' END AS status FROM (SELECT DISTINCT session_id FROM ledger) a LEFT JOIN s ON s.session_id = a.session_id")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    ledger = load(spark, sf, "ledger")
+    sessions = ledger.select("session_id").distinct().withColumn("run_id", F.when(c("session_id").cast("int") % 3 != 0, F.concat(F.lit("r"), c("session_id"))))
+    rows = ledger.where("cast(session_id as int) % 5 > 0").withColumn("tool", F.when(c("tool") == "other", "end").otherwise(c("tool")))
+    return E.session_agents(sessions, rows).drop("spawned_at", "last_seen_at")
+
+
+@query("evt_07_dispatch_events", f"SELECT {_ID.format("'agent_dispatched|' || event_id")} AS event_id, 'agent_dispatched' AS kind, 'dispatch ' || CASE event_type WHEN 'view' THEN 'stopped' WHEN 'error' THEN 'failed' ELSE 'finished' END AS headline, CASE WHEN event_id % 7 = 0 THEN '{{}}' WHEN event_id % 3 = 0 THEN '{{\"verdict\":\"' || event_type || '\"}}' ELSE '{{\"cost_usd\":' || (event_id % 10) || '.25,\"verdict\":\"' || event_type || '\"}}' END AS detail FROM events")
+def _(spark, sf):  # noqa: ANN001, ANN202
+    k = c("event_id")
+    o = F.when(c("event_type") == "view", "stopped").when(c("event_type") == "error", "error").otherwise("ok")
+    body = F.to_json(F.struct(F.when(k % 3 > 0, k % 10 + 0.25).alias("cost_usd"), c("event_type").alias("verdict"), F.lit("x").alias("prompt_file"), F.lit(None).cast("string").alias("usage")), {"ignoreNullFields": "false"})
+    return E.dispatch_events(load(spark, sf, "events").select(k.alias("id"), o.alias("outcome"), "ts", F.when(k % 7 == 0, "oops").otherwise(body).alias("detail"))).drop("ts")
+
+
 @query("evt_06_project_agents", LEDGER + ", s AS (SELECT session_id, min(ts) AS a, max(ts) AS b FROM ledger GROUP BY ALL) SELECT session_id, 'r' || session_id AS run_id, 'spawned' AS kind, a AS ts FROM s WHERE CAST(session_id AS INTEGER) % 3 <> 0 UNION ALL SELECT session_id, 'r' || session_id, 'finished', b FROM s WHERE CAST(session_id AS INTEGER) % 3 <> 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
     ledger = load(spark, sf, "ledger")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyforge.functions import text as T
 from tallyforge.sources import files
 
 MODES = {"-live": "live-shadow", "-retro": "retro-replay"}
@@ -208,6 +209,23 @@ def parse_lessons(docs: DataFrame, id_col: str = "doc", column: str = "text") ->
     return of
 
 
+def parse_register(docs: DataFrame, heading: str, id_col: str = "doc", column: str = "text", status: str = "status") -> DataFrame:
+    """A register of errors in a pipe table: ``doc, code, body, severity``. The code is the leading number of the first cell, rows without
+    one are skipped, rows of one code are joined by a double bar in order, and the severity is that of their last status."""
+    rows = read_md_tables(docs, heading, id_col, column)
+    first = F.map_values("cells")[0]
+    cells = rows.select(id_col, "line", F.try_to_number(F.regexp_extract(first, r"^[^0-9]{0,3}([0-9]{1,9})", 1), F.lit("999999999")).cast("int").alias("code"), F.coalesce(F.try_element_at(F.map_values("cells"), F.lit(2)), F.lit("")).alias("b"), F.col("cells")[status].alias("s"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "b"))), lambda x: x["b"]), " || ")
+    return cells.where("code is not null").groupBy(id_col, "code").agg(joined.alias("body"), F.max_by("s", "line").alias("s")).select(id_col, "code", "body", T.error_severity(F.coalesce("s", F.lit(""))).alias("severity"))
+
+
+def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """Blocks of the transcripts of a folder; a session is a file by its name without the ending."""
+    lines = numbered_lines(spark, path)
+    name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.jsonl?$", "")
+    return transcript_blocks(lines.select(name.alias("session"), "line", "raw"))
+
+
 def transcript_blocks(messages: DataFrame, column: str = "raw") -> DataFrame:
     """Transcript lines whose content is a text or a list of blocks, to ``session, line, role, pos, type, text, id,
     name``. The role is that of the message, or the line's own ``type`` in transcripts that put it there."""
