@@ -204,9 +204,12 @@ def synthetic(spark: SparkSession, n: int = SYNTHETIC, seed: int = 9) -> DataFra
         (0, cat(lit("AB12"), upper(26), lit("CDE"))),
         (0, cat(lit("KX77"), upper(27), upper(28))),
     ]
-    made = F.array(*[F.struct(lit(y).alias("y"), x.alias("item")) for y, x in items])
+    # the form is picked first: a row makes its own item and none of the others
+    made, form = F.lit(None), draw(1, len(items))
+    for i, (y, x) in enumerate(items):
+        made = F.when(form == i, F.struct(lit(y).alias("y"), x.alias("item"))).otherwise(made)
     around = F.array(*[F.struct(lit(a).alias("a"), lit(b).alias("b")) for a, b in _AROUND])
-    rows = spark.range(n).select("id", F.element_at(made, (draw(1, len(items)) + 1).cast("int")).alias("m"), F.element_at(around, (draw(2, len(_AROUND)) + 1).cast("int")).alias("w"))
+    rows = spark.range(n).select("id", made.alias("m"), F.element_at(around, (draw(2, len(_AROUND)) + 1).cast("int")).alias("w"))
     return rows.select(F.col("id").alias("doc_id"), F.concat("w.a", "m.item", "w.b").alias("text"), F.col("m.y").alias("truth"), F.length("m.item").alias("size"))
 
 
@@ -286,14 +289,17 @@ def fit(loose: DataFrame, rounds: int = ROUNDS) -> Trees:
     if not total[0] or not total[1] or total[0] == total[1]:
         return model
     model.bias = math.log(total[1] / (total[0] - total[1]))
-    cell = lambda f, a, b: F.struct(F.lit(f).alias(a), F.col(f).alias(b))
+    # each pair of features once; the sums are the same the other way round
+    pair = lambda f, g: F.struct(F.lit(f).alias("f"), F.col(f).alias("v"), F.lit(g).alias("bf"), F.col(g).alias("bv"))
+    pairs = F.explode(F.array(*[pair(f, g) for i, f in enumerate(names) for g in names[i:]]))
     for _ in range(rounds):
         p = 1 / (1 + F.exp(-model.raw()))
         rows = train.select((F.col("n") * (p - F.col("y"))).alias("g"), (F.col("n") * p * (1 - p)).alias("h"), *names)
-        one = rows.select("*", F.explode(F.array(*[cell(f, "f", "v") for f in names])).alias("a"))
-        two = one.select("g", "h", "a", F.explode(F.array(*[cell(f, "f", "v") for f in names])).alias("b"))
-        sums = two.groupBy("a.f", "a.v", F.col("b.f").alias("bf"), F.col("b.v").alias("bv")).agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        model.trees.append(_tree({(r.f, r.v, r.bf, r.bv): (r.g, r.h) for r in sums.collect()}))  # at most the square of the features' values
+        sums = rows.select("g", "h", pairs.alias("a")).groupBy("a.f", "a.v", "a.bf", "a.bv").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        joint: dict[tuple[str, int, str, int], tuple[float, float]] = {}
+        for r in sums.collect():  # at most the square of the features' values
+            joint[r.f, r.v, r.bf, r.bv] = joint[r.bf, r.bv, r.f, r.v] = (r.g, r.h)
+        model.trees.append(_tree(joint))
     held = weighed.where("held").groupBy("kind", model.score().alias("s")).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("y")).collect()  # at most 1001 scores of each kind
     for kind in range(len(LOOSE)):
         n = y = 0.0
