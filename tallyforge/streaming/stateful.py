@@ -57,8 +57,8 @@ class _Silence(_LastBeat):
     def handleInputRows(self, key, rows, timerValues):  # noqa: ANN001, ANN201, N802, N803
         last = self.before()
         for seq, status, at in _beats(rows):
-            if last is None or seq >= last[1]:
-                last = (status, seq, max(at, last[2] if last else -1))
+            if last is None or (at, seq) >= (last[2], last[1]):  # the last in time, as in the batch twin
+                last = (status, seq, at)
         if last is not None:
             self.last.update(last)
             for old in list(self.handle.listTimers()):
@@ -121,8 +121,8 @@ def _run(beats: DataFrame, processor: StatefulProcessor, schema: str, delay: str
 
 
 def silent_sessions(beats: DataFrame, minutes: int = 15, delay: str = "5 minutes") -> DataFrame:
-    """``session_id, status, last_seq``: sessions whose last beat is older than ``minutes`` when the watermark passes it. The
-    status is the last one seen, as staleness never changes it. A session that speaks again is watched again."""
+    """``session_id, status, last_seq``: sessions whose last beat in time is older than ``minutes`` when the watermark passes it.
+    The status is that beat's, as staleness never changes it. A session that speaks again is watched again."""
     return _run(beats, _Silence(minutes * 60_000), "session_id string, status string, last_seq long", delay)
 
 
