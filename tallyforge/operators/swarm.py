@@ -23,9 +23,9 @@ SYNC_VERSION = "swarm-local-v1"
 
 def _read(events: DataFrame, category: str, **fields: str) -> DataFrame:
     """Events of a category with fields of their data as columns: ``name="path"`` or ``name="path:type"``."""
-    v = F.try_parse_json("data")
-    made = [F.try_variant_get(v, f"$.{path}", kind or "string").alias(name) for name, (path, _, kind) in ((n, p.partition(":")) for n, p in fields.items())]
-    return events.where(F.col("category") == category).select("lane", "seq", "event_id", "observed_at", *made)
+    wanted = [(name, *path.partition(":")[::2]) for name, path in fields.items()]
+    read = T.let(F.try_parse_json("data"), lambda v: F.struct(*[F.try_variant_get(v, f"$.{path}", kind or "string").alias(name) for name, path, kind in wanted]))
+    return events.where(F.col("category") == category).select("lane", "seq", "event_id", "observed_at", read.alias("_d")).select("lane", "seq", "event_id", "observed_at", "_d.*")
 
 
 def _latest(rows: DataFrame, key: str) -> DataFrame:

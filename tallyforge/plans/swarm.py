@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators import swarm as S
@@ -27,10 +30,10 @@ def ledger(spark, sf):  # noqa: ANN001, ANN201
         "budget": F.struct("budget_id", "cost_category", cost.alias("cost")),
         "flow": F.struct("flow_type", c("attempt_id").alias("from_ref"), F.lit("human").alias("to_ref"), F.lit("report.md").alias("artifact"), F.sha2("event_id", 256).alias("artifact_sha256"), F.when(c("flow_type") != "handoff", "FINALIZED_SHIPPED").alias("terminal_state"), F.when(c("flow_type") != "handoff", c("event_id")).alias("signed_by")),
     }
-    data = F.lit(None).cast("string")
-    for category, body in bodies.items():
-        data = F.when(c("category") == category, F.to_json(body, {"ignoreNullFields": "false"})).otherwise(data)
-    return load(spark, sf, "swarm").select("lane", "seq", "event_id", "category", "observed_at", data.alias("data"))
+    rows = load(spark, sf, "swarm")
+    kept = ["lane", "seq", "event_id", "category", "observed_at"]
+    parts = [rows.where(c("category") == category).select(*kept, F.to_json(body, {"ignoreNullFields": "false"}).alias("data")) for category, body in bodies.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def runs(events):  # noqa: ANN001, ANN201
