@@ -188,8 +188,8 @@ on_documents(
 query("pii_04_redact_or_withhold", f"SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE {_chain('text', _SQL_SECRETS)} END AS content, CASE WHEN doc_id % 17 = 0 THEN 'no_content' END AS reason FROM documents")(
     lambda spark, sf: P.redact_or_withhold(load(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 17 != 0, F.col("text")).alias("content")))
 )
-query("pii_04_withheld", f"SELECT doc_id, CASE WHEN doc_id % 4 > 1 AND length(text) <= 3000 THEN {_chain('text', _SQL_SECRETS)} END AS content, CASE WHEN doc_id % 4 = 0 THEN 'no_content' WHEN length(text) + CASE WHEN doc_id % 4 = 1 THEN 11 ELSE 0 END > 3000 THEN 'too_long' WHEN doc_id % 4 = 1 THEN 'redaction_failed' END AS reason FROM documents")(
-    # the second literal is a part of the mark, so what the first one leaves behind still holds it
+query("pii_04_withheld", f"WITH d AS (SELECT doc_id, text, {_chain('text', _SQL_SECRETS)} AS r FROM documents) SELECT doc_id, CASE WHEN doc_id % 4 > 1 AND length(text) <= 3000 AND NOT contains(r, 'REDACTED]') THEN r END AS content, CASE WHEN doc_id % 4 = 0 THEN 'no_content' WHEN length(text) + CASE WHEN doc_id % 4 = 1 THEN 12 ELSE 0 END > 3000 THEN 'too_long' WHEN doc_id % 4 = 1 OR contains(r, 'REDACTED]') THEN 'redaction_failed' END AS reason FROM d")(
+    # the second literal is a part of the mark, so whatever is masked still holds it
     lambda spark, sf: P.redact_or_withhold(load(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" longlivedpw"))).when(F.col("doc_id") % 4 > 1, F.col("text")).alias("content")), limit=3000, literals=["longlivedpw", "REDACTED]"])
 )
 query("pii_05_redact_path", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '[path]' ELSE 'src/p' || page_id END AS value FROM pages")(
