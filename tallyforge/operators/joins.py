@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
-from tallyforge.operators.fingerprints import set_fingerprint
+from tallyforge.operators.fingerprints import sorted_digest
 
 
 #: Words that say nothing about what a mission covers.
@@ -53,14 +53,14 @@ def reserved_leaks(train: DataFrame, reserved: DataFrame, surfaces: list[str]) -
     return out
 
 
-def population_drift(sealed: DataFrame, population: DataFrame, sealed_fingerprint: str | None = None) -> DataFrame:
-    """``fingerprint`` rows on both sides: how many sealed hashes the population still resolves, its own set fingerprint, and a
-    verdict. None resolved fails: the sides hash different identifiers. With the population's fingerprint as it was
+def population_drift(sealed: DataFrame, population: DataFrame, sealed_fingerprint: str | None = None, of: DataFrame | None = None) -> DataFrame:
+    """``fingerprint`` rows on both sides: how many sealed hashes the population still resolves, the hash of its sorted
+    fingerprints (``of``: its ``sorted_digest``, where it is known already), and a verdict. None resolved fails: the sides hash different identifiers. With the population's fingerprint as it was
     sealed a population that has changed since is ``drifted`` and fails; without one that was not evaluated, and a sealed
     hash that is gone is suspect."""
     now = population.select("fingerprint").distinct()
     flagged = sealed.select("fingerprint").distinct().join(now.withColumn("there", F.lit(True)), "fingerprint", "left")
-    of = set_fingerprint(now, "fingerprint").select(F.col("members").alias("population"), F.left("fingerprint", F.lit(16)).alias("population_fingerprint"))
+    of = (of or sorted_digest(now, "fingerprint")).select(F.col("members").alias("population"), F.left("fingerprint", F.lit(16)).alias("population_fingerprint"))
     counts = flagged.agg(F.count("*").alias("sealed"), F.count("there").alias("resolved")).crossJoin(of)
     drift = F.lit("not_evaluated") if sealed_fingerprint is None else F.when(F.col("population_fingerprint") == sealed_fingerprint, "clean").otherwise("drifted")
     verdict = F.when(((F.col("sealed") > 0) & (F.col("resolved") == 0)) | (F.col("drift") == "drifted"), "fail").when(F.col("resolved") < F.col("sealed"), "suspect").otherwise("pass")

@@ -63,8 +63,9 @@ SELECT *, 'not_evaluated' AS drift, 'suspect' AS verdict FROM p UNION ALL SELECT
 def _(spark, sf):  # noqa: ANN001, ANN202
     pop = load(spark, sf, "customer").select("c_custkey", J.T.fp16(c("c_custkey").cast("string")).alias("fingerprint"))
     sealed, now = pop.where("c_custkey % 5 = 0"), pop.where("c_custkey % 50 <> 0")
-    then, same = (J.set_fingerprint(x, "fingerprint").first().fingerprint[:16] for x in (pop, now))
-    return J.population_drift(sealed, now).unionByName(J.population_drift(sealed, now, then)).unionByName(J.population_drift(sealed, now, same))
+    of = J.sorted_digest(now, "fingerprint")
+    then, same = (x.first().fingerprint[:16] for x in (J.sorted_digest(pop, "fingerprint"), of))
+    return J.population_drift(sealed, now, None, of).unionByName(J.population_drift(sealed, now, then, of)).unionByName(J.population_drift(sealed, now, same, of))
 
 
 @query(

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.functions import sha256
 from tallyforge.operators import fingerprints, seal
 from tallyforge.operators import selection as S
 from tallyforge.sources import files
@@ -160,3 +161,30 @@ def test_fingerprints_of_large_sets_are_built_in_parts(spark, leaf):
     one = fingerprints.set_fingerprint(df.where("g = 'a'").orderBy("v"), "v", leaf=leaf).first()
     assert tuple(one) == (trie(sets["a"], leaf), 300)
     assert tuple(fingerprints.set_fingerprint(df.limit(0), "v").first()) == (hashlib.sha256(b"").hexdigest(), 0)
+
+
+@pytest.mark.parametrize("run", [1 << 18, 700])
+def test_a_sorted_digest_is_one_hash_of_any_number_of_values(spark, run):
+    values = [hashlib.sha256(str(i).encode()).hexdigest()[:16] for i in range(5000)] + ["", "\u00e9\u4e2d"]
+    df = spark.createDataFrame([(v,) for v in [*values, *values[:9], None]], "v string").repartition(5)
+    want = hashlib.sha256("\n".join(sorted(values)).encode()).hexdigest()
+    assert tuple(fingerprints.sorted_digest(df, "v", run).first()) == (want, 5002)
+    assert tuple(fingerprints.sorted_digest(df.limit(0), "v", run).first()) == (hashlib.sha256(b"").hexdigest(), 0)
+
+
+@pytest.mark.parametrize("blocks", [sha256._blocks, sha256._blocks_here])
+def test_an_interrupted_hash_is_that_of_all_bytes(blocks):
+    for size, step in ((0, 1), (55, 20), (56, 56), (64, 64), (1000, 37), (40_003, 9_001)):
+        data, state = bytes(i * i % 251 for i in range(size)), sha256.START
+        for i in range(0, size, step):
+            state = sha256.absorb(state, data[i : i + step], blocks)
+        assert sha256.digest(state) == hashlib.sha256(data).hexdigest()
+
+
+def test_a_population_of_over_4096_members_has_its_flat_fingerprint(spark):
+    from tallyforge.operators import joins as J
+
+    values = [hashlib.sha256(str(i).encode()).hexdigest()[:16] for i in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "fingerprint string")
+    got = J.population_drift(df, df).first()
+    assert (got.population, got.population_fingerprint) == (5000, hashlib.sha256("\n".join(sorted(values)).encode()).hexdigest()[:16])
