@@ -63,7 +63,7 @@ def seal_once(population: DataFrame, folder: str, key: str, seed: str, fraction:
         raise SealError(str(e)) from e
     name = f"rows-{uuid.uuid4().hex}"
     rows.write.parquet(f"{folder}/{name}")
-    of = fingerprints.set_fingerprint(ids.select(T.fp16(F.col("id")).alias("f")), "f").first()
+    of = fingerprints.sorted_digest(ids.select(T.fp16(F.col("id")).alias("f")), "f").first()
     manifest = {
         "sealed": True,
         "hash_algo": "sha256/16",

@@ -188,3 +188,9 @@ def test_a_population_of_over_4096_members_has_its_flat_fingerprint(spark):
     df = spark.createDataFrame([(v,) for v in values], "fingerprint string")
     got = J.population_drift(df, df).first()
     assert (got.population, got.population_fingerprint) == (5000, hashlib.sha256("\n".join(sorted(values)).encode()).hexdigest()[:16])
+
+
+def test_the_manifest_of_over_4096_members_has_their_flat_fingerprint(spark, tmp_path):
+    seal.seal_once(spark.range(5000), str(tmp_path / "s"), "id", "7")
+    prints = sorted(hashlib.sha256(str(i).encode()).hexdigest()[:16] for i in range(5000))
+    assert seal.read_manifest(spark, str(tmp_path / "s"))["population_fingerprint"] == hashlib.sha256("\n".join(prints).encode()).hexdigest()[:16]
