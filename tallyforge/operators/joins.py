@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text as T
 from tallyforge.operators.fingerprints import sorted_digest
+from tallyforge.sources import files
 
 
 #: Words that say nothing about what a mission covers.
@@ -78,39 +79,57 @@ def contradiction_rows(qa: DataFrame, ratio: float = 0.05) -> DataFrame:
     than ``max(2, ratio * questions)``. Rows equal in all of it are one, with their first line."""
     q, a = F.col("question"), F.col("answer")
     names, tokens = T.name_tokens(q), F.array_distinct(T.stems(q))
+    asked = qa.groupBy("question").agg(F.count("*").alias("n"))  # a question's text is read once, however often it is asked
     total = qa.count()
-    common = qa.select(F.explode(tokens).alias("t")).groupBy("t").agg(F.count("*").alias("df")).where(F.col("df") >= max(2, ratio * total))
+    common = asked.select(F.explode(tokens).alias("t"), "n").groupBy("t").agg(F.sum("n").alias("df")).where(F.col("df") >= max(2, ratio * total))
     often = F.broadcast(common.agg(F.collect_set("t").alias("often")))  # at most mean tokens / ratio of them
-    rows = qa.crossJoin(often).select(
-        "line",
-        "marked",
+    questions = asked.crossJoin(often).select(
+        "question",
         F.array_join(F.array_sort(F.array_except(names, F.col("often"))), " ").alias("subject"),
         T.grounding_key(q).alias("facts"),
         tokens.alias("prompt"),
         T.ask_tokens(q).alias("ask"),
         T.is_yes_no(q).alias("yes_no"),
-        T.stance(a).alias("stance"),
-        T.sole_date(a).alias("date"),
-        T.unit_claims(a).alias("units"),
     )
+    said = qa.groupBy("question", "answer", "marked").agg(F.min("line").alias("line"))
+    answers = said.select("question", "line", "marked", T.stance(a).alias("stance"), T.sole_date(a).alias("date"), T.unit_claims(a).alias("units"))
+    # a null question is a row as any other
+    rows = answers.join(questions.withColumnRenamed("question", "_q"), F.col("question").eqNullSafe(F.col("_q")))
     return rows.groupBy("subject", "facts", "prompt", "ask", "yes_no", "stance", "date", "units", "marked").agg(F.min("line").alias("line"))
 
 
-def contradictions(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
+#: Rows of one block that are compared pair by pair; larger blocks are parted by prefix tokens.
+BLOCK = 64
+
+
+def _meeting(one: DataFrame, block: list[str], similarity: float, most: int) -> DataFrame:
+    """Rows with the ``key`` under which those of one block meet: one key for a block of up to ``most`` rows; in a larger block the
+    prefix tokens of the asks, rarest first, of which any two asks of that similarity share one."""
+    large = one.groupBy(*block).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*block)
+    few = one.join(large, block, "left_anti").withColumn("key", F.lit(""))
+    many = one.join(large, block, "left_semi")
+    asks = many.select("ask").distinct()
+    freq = many.select(F.explode("ask").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"])  # one question's words
+    keys = asks.withColumn("t", F.explode("ask")).join(freq, "t").groupBy("ask").agg(ranked.alias("r"))
+    parted = many.join(keys, "ask").withColumn("key", F.explode(_prefix_tokens(F.col("r"), similarity)))
+    return few.select(*one.columns, "key").unionByName(parted.select(*one.columns, "key"))
+
+
+def contradictions(qa: DataFrame, similarity: float = 0.70, most: int = BLOCK) -> DataFrame:
     """Pairs that ask the same question of the same named subject and disagree: ``line_a, line_b, axis, marked``.
 
-    Blocked by the rare name tokens of the subject and the facts supplied; within such a block two rows meet only if they
-    share a prefix token of their asks, rarest first, which any two asks of that similarity do, so a block of many
-    unlike questions (such as those without a subject) is not compared pair by pair. Then prompt similarity, then the
-    axis. Rows with equal answers are first put together, so a popular subject meets once per distinct answer and not
-    once per pair of rows; lines are the first of each side.
+    Blocked by the rare name tokens of the subject and the facts supplied. The rows of a small block meet each other; in
+    a larger one two rows meet only if they share a prefix token of their asks, rarest first, which any two asks of that
+    similarity do, so a block of many unlike questions (such as those without a subject) is not compared pair by pair.
+    Then prompt similarity, then the axis. Rows with equal answers are first put together, so a popular subject meets once
+    per distinct answer and not once per pair of rows; lines are the first of each side.
     """
-    one = contradiction_rows(qa)
-    freq = one.select(F.explode("ask").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
-    tokens = one.withColumn("t", F.explode("ask")).join(freq, "t")
-    ranked = F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"])  # one question's words
-    keyed = tokens.groupBy(*[c for c in one.columns if c not in ("prompt", "ask", "units")]).agg(*[F.first(c).alias(c) for c in ("prompt", "ask", "units")], ranked.alias("r"))
-    side = keyed.withColumn("key", F.explode(_prefix_tokens(F.col("r"), similarity))).drop("r")
+    return _contradicting(files.staged(contradiction_rows(qa), "answers"), similarity, most)
+
+
+def _contradicting(one: DataFrame, similarity: float, most: int) -> DataFrame:
+    side = _meeting(one, ["subject", "facts"], similarity, most)
     x, y = side.alias("x"), side.alias("y")
     same = (
         (F.col("x.subject") == F.col("y.subject"))
@@ -125,15 +144,12 @@ def contradictions(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
     return pairs.where("axis is not null").distinct()  # a pair may share several prefix tokens
 
 
-def divergent_grounding(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
+def divergent_grounding(qa: DataFrame, similarity: float = 0.70, most: int = BLOCK) -> DataFrame:
     """How many pairs ask alike of one subject from different facts, and so are not held against each other: ``pairs``. Rows that
-    are equal in all that is compared are one; pairs meet by subject and a prefix token of their asks."""
-    one = contradiction_rows(qa)
-    freq = one.select(F.explode("ask").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
-    tokens = one.select("line", "subject", "facts", "prompt", "ask", F.explode("ask").alias("t")).join(freq, "t")
-    ranked = F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"])  # one question's words
-    keyed = tokens.groupBy("line", "subject", "facts").agg(F.first("prompt").alias("prompt"), F.first("ask").alias("ask"), ranked.alias("r"))
-    side = keyed.withColumn("key", F.explode(_prefix_tokens(F.col("r"), similarity))).drop("r")
+    are equal in all that is compared are one; pairs meet by subject, and in a subject of many rows by a prefix token of
+    their asks."""
+    one = files.staged(contradiction_rows(qa).select("line", "subject", "facts", "prompt", "ask"), "grounds")
+    side = _meeting(one, ["subject"], similarity, most)
     x, y = side.alias("x"), side.alias("y")
     same = (F.col("x.subject") == F.col("y.subject")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.line") < F.col("y.line")) & (F.col("x.facts") != F.col("y.facts"))
     like = (T.jaccard(F.col("x.ask"), F.col("y.ask")) >= similarity) & (T.jaccard(F.col("x.prompt"), F.col("y.prompt")) >= similarity)
@@ -143,9 +159,10 @@ def divergent_grounding(qa: DataFrame, similarity: float = 0.70) -> DataFrame:
 def contradiction_report(qa: DataFrame, budget: int = 2_000_000) -> DataFrame:
     """Comparisons that blocks by subject would take, same-question pairs that conflict (unmarked and marked), and a
     verdict: no rows, or more comparisons than the budget, are suspect; an unmarked conflict fails."""
-    blocks = contradiction_rows(qa).groupBy("subject").agg(F.count("*").alias("n"))
+    one = files.staged(contradiction_rows(qa), "answers")
+    blocks = one.groupBy("subject").agg(F.count("*").alias("n"))
     size = blocks.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0)).cast("long").alias("comparisons"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
-    found = contradictions(qa).agg(F.count_if(~F.col("marked")).alias("unmarked"), F.count_if("marked").alias("marked"))
+    found = _contradicting(one, 0.70, BLOCK).agg(F.count_if(~F.col("marked")).alias("unmarked"), F.count_if("marked").alias("marked"))
     verdict = F.when((F.col("rows") == 0) | (F.col("comparisons") > budget), "suspect").when(F.col("unmarked") > 0, "fail").otherwise("pass")
     return size.crossJoin(found).select("comparisons", "unmarked", "marked", verdict.alias("verdict"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 class ExistsError(RuntimeError):
@@ -78,3 +78,10 @@ def create_once(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _at(spark, path)
     fs.delete(p, True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Rows as Parquet files of the shared folder, for plans that read them more than once."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
