@@ -40,9 +40,9 @@ def _(spark, sf):  # noqa: ANN001, ANN202
     at = f"{_folder(spark)}.jsonl"
     docs = load(spark, sf, "documents").orderBy("doc_id")
     turns = F.array(F.struct(F.lit("user").alias("role"), c("text").alias("content")))
-    docs.select(F.to_json(F.struct(turns.alias("messages"))).alias("value")).coalesce(1).write.text(at)  # one file, as a corpus is
+    docs.select(F.to_json(F.struct(turns.alias("messages"))).alias("value")).write.text(at)  # sorted part files, one after the other
     rows = docs.where("doc_id % 10 > 0").select(F.to_json(F.struct((c("doc_id") + 1).alias("line"), F.when(c("doc_id") % 3 > 0, c("source")).alias("account_id"))).alias("value"))
-    rows.coalesce(1).write.text(at.replace(".jsonl", ".meta.jsonl"))
+    rows.write.text(at.replace(".jsonl", ".meta.jsonl"))
     _, side, aligned = R.read_with_sidecar(spark, at)
     return aligned.drop("sidecar").crossJoin(side.agg(F.countDistinct("account_id").alias("accounts")))
 

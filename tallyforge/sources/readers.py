@@ -11,15 +11,17 @@ from tallyforge.sources import files
 MODES = {"-live": "live-shadow", "-retro": "retro-replay"}
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, across: bool = False) -> DataFrame:
     """``file, line, raw`` of text files, lines from 1, blank ones counted but left out. Lines are numbered within each split,
-    and the splits' counts (one row per split) are summed to offsets, so no file meets in one task."""
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"))
+    and the splits' counts (one row per split) are summed to offsets, so no file meets in one task. With ``across`` the
+    files of the path are one text, in the order of their names."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"), (F.trim("value") != "").alias("some"))
     counts = rows.groupBy("file", "block").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    order = Window.orderBy("file", "block") if across else Window.partitionBy("file").orderBy("block")  # a row for each split
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("file", "block", F.coalesce(before, F.lit(0)).alias("offset"))
     within = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
-    return rows.withColumn("i", within).join(offsets, ["file", "block"]).where(F.trim("raw") != "").select("file", (F.col("offset") + F.col("i")).alias("line"), "raw")
+    return rows.withColumn("i", within).join(offsets, ["file", "block"]).where("some").select("file", (F.col("offset") + F.col("i")).alias("line"), "raw")
 
 
 def parse_chat(lines: DataFrame) -> DataFrame:
@@ -31,16 +33,16 @@ def parse_chat(lines: DataFrame) -> DataFrame:
     return lines.withColumn("rec", v).withColumns({"ok": F.coalesce(ok, F.lit(False)), "messages": messages, "tools": F.try_variant_get(v, "$.tools", "array<variant>"), "weight": F.try_variant_get(v, "$.weight", "double")})
 
 
-def read_chat_corpus(spark: SparkSession, path: str) -> DataFrame:
-    return parse_chat(numbered_lines(spark, path))
+def read_chat_corpus(spark: SparkSession, path: str, across: bool = False) -> DataFrame:
+    return parse_chat(numbered_lines(spark, path, across))
 
 
 META_SCHEMA = "line long, account_id string, candidate_id string, cf_group string, sha256_record string, source_row_id string, night date, gold_class string, block string, twin_of string, chain string"
 
 
-def read_meta(spark: SparkSession, path: str) -> DataFrame:
+def read_meta(spark: SparkSession, path: str, across: bool = False) -> DataFrame:
     """A sidecar by its schema; a line number that the rows do not carry is taken from their place."""
-    lines = numbered_lines(spark, path)
+    lines = numbered_lines(spark, path, across)
     row = F.from_json("raw", META_SCHEMA)
     return lines.select(F.coalesce(row["line"], F.col("line")).alias("line"), *[row[n].alias(n) for n in [x.split()[0] for x in META_SCHEMA.split(", ")][1:]])
 
@@ -55,13 +57,14 @@ def find_sidecar(spark: SparkSession, corpus: str) -> str | None:
 def read_with_sidecar(spark: SparkSession, corpus: str, meta: str | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """A corpus, its side file's rows (given or found beside it; None without one), and one row that says how they
     align: ``records, declared, unmatched, sidecar, verdict``. Each record needs the row of its line and the other way
-    round; unequal lengths fail, no side file is ``not_run``."""
-    rows = read_chat_corpus(spark, corpus)
+    round; unequal lengths fail, no side file is ``not_run``. Either side may be a folder of part files; its lines are
+    counted on from one to the next by name."""
+    rows = read_chat_corpus(spark, corpus, across=True)
     path = meta or find_sidecar(spark, corpus)
     size = rows.agg(F.count("*").alias("records"))
     if path is None:
         return rows, None, size.select("records", F.lit(0).cast("long").alias("declared"), F.lit(0).cast("long").alias("unmatched"), F.lit(None).cast("string").alias("sidecar"), F.lit("not_run").alias("verdict"))
-    side = read_meta(spark, path)
+    side = read_meta(spark, path, across=True)
     both = rows.select("line", F.lit(1).alias("_c")).join(side.select("line", F.lit(1).alias("_m")), "line", "full_outer")
     of = both.agg(F.count("_c").alias("records"), F.count("_m").alias("declared"), F.count_if(F.col("_c").isNull() | F.col("_m").isNull()).alias("unmatched"))
     verdict = F.when((F.col("records") == 0) | (F.col("declared") == 0), "suspect").when((F.col("unmatched") > 0) | (F.col("records") != F.col("declared")), "fail").otherwise("pass")

@@ -91,6 +91,35 @@ def test_equal_headers_do_not_end_a_scan(spark):
     assert got.cells == {"a": "1", "a#2": "2", "a#4": "4"}
 
 
+def test_a_corpus_of_part_files_is_numbered_through(spark, tmp_path):
+    corpus, n = str(tmp_path / "x.jsonl"), 60
+    ids = spark.range(n).repartitionByRange(7, "id").sortWithinPartitions("id")
+    ids.select(F.concat(F.lit('{"messages": [{"role": "user", "content": "'), F.col("id").cast("string"), F.lit('"}]}')).alias("value")).write.text(corpus)
+    ids.where("id <> 41").select(F.to_json(F.struct((F.col("id") + 1).alias("line"))).alias("value")).write.text(corpus.replace(".jsonl", ".meta.jsonl"))
+    rows, _, state = R.read_with_sidecar(spark, corpus)
+    assert {r.line: r.messages[0].content for r in rows.select("line", "messages").collect()} == {i + 1: str(i) for i in range(n)}
+    assert rows.select("file").distinct().count() == 7 and tuple(state.drop("sidecar").first()) == (n, n - 1, 1, "fail")
+
+
+def test_a_written_corpus_is_no_single_file(spark):
+    """The query's corpus and its side table are written by as many tasks as sort it."""
+    from tallyforge.plans import catalog
+    from tallyforge.sources import files
+
+    before = set(files.names(spark, files.shared_folder(spark)))
+    aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        catalog.QUERIES["src_02_sidecar"](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
+    folder = files.shared_folder(spark)
+    made = [n for n in files.names(spark, folder) if n not in before]
+    assert len(made) == 2
+    for name in made:
+        assert len([n for n in files.names(spark, f"{folder}/{name}") if n.startswith("part-")]) > 1
+
+
 def test_sidecars_are_found_and_aligned(spark, tmp_path):
     corpus, meta = tmp_path / "c.jsonl", tmp_path / "c.meta.jsonl"
     corpus.write_text("\n".join(json.dumps({"messages": []}) for _ in range(3)) + "\n")
