@@ -73,13 +73,13 @@ def occurrences(text: Column, part: str) -> Column:
 
 def truncation_signal(text: Column) -> Column:
     """The first sign that a text was cut off (names are fixed values), or null."""
-    whole = F.rtrim(F.regexp_replace(text, r"[ \t\n\r]+$", ""))
-    return (
+    sign = lambda whole: (
         F.when(whole == "", "empty")
         .when(occurrences(whole, "```") % 2 == 1, "unclosed_code_fence")
         .when(occurrences(whole, "**") % 2 == 1, "unbalanced_bold_emphasis")
         .when(~F.lit(TERMINAL_CHARS).contains(F.right(whole, F.lit(1))), "no_terminal_punctuation")
     )
+    return let(F.rtrim(F.regexp_replace(text, r"[ \t\n\r]+$", "")), sign)
 
 
 def squash(text: Column) -> Column:

@@ -103,7 +103,7 @@ def pairing_errors(messages: Column) -> Column:
             .when(speaks, none)
             .otherwise(pending)
         )
-        said = F.when(err.isNotNull(), F.concat(errors, F.array(err))).otherwise(errors)
+        said = T.let(err, lambda e: F.when(e.isNotNull(), F.concat(errors, F.array(e))).otherwise(errors))
         return F.struct(after.alias("pending"), F.when(calls, m["pos"]).otherwise(s["owner"]).alias("owner"), said.alias("errors"))
 
     def close(s: Column) -> Column:

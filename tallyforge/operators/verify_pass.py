@@ -56,20 +56,24 @@ def _mask(x: Column) -> Column:
 
 
 def _content(x: Column) -> Column:
-    blank = x["content"].isNull() | (T.squash(x["content"]) == "")
-    d = F.when(blank & (x["call_id"].isNotNull() | x["tool_name"].isNotNull()), None).when(blank, "empty").otherwise(T.truncation_signal(x["content"]))
-    return F.when((x["role"] == "assistant") & d.isNotNull(), _at(d, x))
+    """Inside a lambda Spark evaluates an expression as often as it is written, so each text is bound to a name first."""
+    calls = x["call_id"].isNotNull() | x["tool_name"].isNotNull()
+    of = T.let(
+        x["content"].isNull() | ~x["content"].rlike(r"[^ \t\n\r\x0B\f]"),
+        lambda blank: F.when(blank & calls, None).when(blank, "empty").otherwise(T.truncation_signal(x["content"])),
+    )
+    return F.when(x["role"] == "assistant", T.let(of, lambda d: F.when(d.isNotNull(), _at(d, x))))
 
 
 def _struct(calls: Column, declared: list[str], typed: bool) -> Column:
     def codes(x: Column) -> Column:
-        args = F.try_parse_json(x["args"])
+        loose = T.let(F.try_parse_json(x["args"]), lambda args: args.isNull() | ~F.schema_of_variant(args).startswith("OBJECT"))
         tests = [
             ("no_id", x["call_id"].isNull()),
             ("duplicate_id", F.size(F.filter(calls, lambda y: y["call_id"].eqNullSafe(x["call_id"]))) > 1),
             ("not_function", F.coalesce(x["call_type"] != "function", F.lit(True)) if typed else F.lit(False)),
             ("undeclared_tool", ~F.coalesce(x["tool_name"].isin(declared), F.lit(False))),
-            ("bad_arguments", args.isNull() | ~F.schema_of_variant(args).startswith("OBJECT")),
+            ("bad_arguments", loose),
         ]
         return F.array(*[F.when(c, F.lit(n)) for n, c in tests])
 

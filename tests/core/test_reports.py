@@ -257,3 +257,19 @@ def test_repeated_key_starts_take_no_time(spark):
     assert time.time() - begin < 30
     assert got[8] == "x [REDACTED] y [REDACTED] z -----BEGIN PRIVATE KEY----- open" and got[0] == texts[0]
     assert got[9] == "pre[REDACTED] eyJshort.[REDACTED] end" and got[10] == "[REDACTED]"
+
+
+def test_texts_are_bound_where_a_lambda_names_them_twice():
+    """Inside a lambda an expression is evaluated as often as it is written, so the content rule writes each search once."""
+    message = F.struct(F.lit("assistant").alias("role"), F.lit("a **b").alias("content"), F.lit(None).cast("string").alias("call_id"), F.lit(None).cast("string").alias("tool_name"), F.lit(2).alias("pos"))
+    written = str(T.let(message, VP._content)._jc.toString())
+    assert written.count("regexp_replace") + written.count("RLIKE") + written.count("rlike") <= 2
+
+
+def test_content_faults_of_the_pass_are_those_of_the_rule(spark):
+    texts = ["a.", "", None, " \t\n\r\x0b\f", "**a", "``` x", "a", " a. \n", " ", "**a** ```b```!"]
+    rows = [(i, 1, "assistant", t, "c" if call else None, None) for i, (t, call) in enumerate((t, call) for t in texts for call in (True, False))]
+    chat = spark.createDataFrame(rows, "line long, pos int, role string, content string, call_id string, tool_name string")
+    got = chat.withColumn("d", T.let(F.struct(*chat.columns), VP._content)).where("d is not null")
+    want = V.rule_content(chat, F.col("call_id").isNotNull())
+    assert sorted((r.line, r.d) for r in got.collect()) == sorted((r.line, r.detail) for r in want.collect()) != []
