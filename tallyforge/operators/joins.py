@@ -352,27 +352,34 @@ def audit_twin_lineage(meta: DataFrame, messages: DataFrame, fields: list[str],
     """One row of twin lineage: counts of real rows and twins, of sources paired, unpaired, repeated and missing, of identity
     fields that differ and of chains that do (which is what a twin is for, and no fault); twins with tool calls, with
     results and with the output tool; three shares and a verdict for each question: source identity, one twin for
-    each selected source, one for all real rows. ``messages`` has ``line, role, tool_name`` and a row for each call."""
+    each selected source, one for all real rows. ``messages`` has ``line, role, tool_name`` and a row for each call.
+    ``meta`` is read a few times: write it first where it is dear to compute. Twins and real rows move once, by their source."""
     real, twins = meta.where("block = 'real_trajectory'"), meta.where("block = 'twins'")
-    by_source = real.groupBy(F.col("source_row_id").alias("twin_of")).agg(F.count("*").alias("_n"), *[F.max_by(f, "line").alias(f"_{f}") for f in fields])
-    paired = twins.groupBy("twin_of").agg(F.count("*").alias("_t"))
-    sources = paired.join(by_source.select("twin_of", "_n"), "twin_of", "left").agg(
+    last, chain = F.max_by(F.struct(*fields), "line").alias("_last"), F.min_by("chain", "line").alias("_chain")
+    by_source = real.where("source_row_id is not null").groupBy(F.col("source_row_id").alias("twin_of")).agg(F.count("*").alias("_n"), last, chain)
+    differs = F.lit(0)
+    for f in fields:
+        differs = differs + (~F.col(f).eqNullSafe(F.col("_last")[f])).cast("int")
+    found = F.col("_n").isNotNull()
+    compared = twins.where("twin_of is not null").join(by_source, "twin_of", "left").select("twin_of", "_n", F.when(found, differs).alias("_d"), (found & (first_difference(F.col("_chain"), F.col("chain")) > 0)).alias("_c"))
+    paired = compared.groupBy("twin_of").agg(F.count("*").alias("_t"), F.max("_n").alias("_n"), F.sum("_d").alias("_d"), F.count_if("_c").alias("_c"))  # lies by twin_of already
+    nowhere = twins.where("twin_of is null").agg(F.max("twin_of").alias("twin_of"), F.count("*").alias("_t")).where("_t > 0")  # one group, which no shuffle need bring together
+    sources = paired.unionByName(nowhere, allowMissingColumns=True).agg(
         F.count("*").alias("unique_paired_sources"),
         F.coalesce(F.sum("_t"), F.lit(0)).alias("twins"),
         F.count_if(F.col("_t") > 1).alias("duplicate_twin_sources"),
         F.count_if(F.col("_n").isNull()).alias("missing_sources"),
         F.count_if(F.col("twin_of").isNull()).alias("_null"),
+        F.coalesce(F.sum("_d"), F.lit(0)).alias("identity_mismatches"),
+        F.coalesce(F.sum("_c"), F.lit(0)).alias("chain_differences"),
     )
-    differs = F.lit(0)
-    for f in fields:
-        differs = differs + (~F.col(f).eqNullSafe(F.col(f"_{f}"))).cast("int")
-    wrong = twins.join(by_source, "twin_of").agg(F.coalesce(F.sum(differs), F.lit(0)).alias("identity_mismatches"))
-    chains = twin_chains(meta).agg(F.count_if(F.col("first_difference") > 0).alias("chain_differences"))
     called = (F.col("role") == "assistant") & F.col("tool_name").isNotNull()
-    shapes = messages.join(twins.select("line").distinct(), "line", "left_semi").groupBy("line").agg(F.max(called).alias("c"), F.max(F.col("role") == "tool").alias("r"), F.max(F.coalesce(called & (F.col("tool_name") == emit), F.lit(False))).alias("e"))
-    counts = shapes.agg(F.count_if("c").alias("twins_with_calls"), F.count_if("r").alias("twins_with_results"), F.count_if("e").alias("twins_with_output"))
+    bit = lambda is_so, n: F.when(is_so, n).otherwise(0)
+    shapes = messages.groupBy("line").agg(F.bit_or(bit(called, 1) + bit(F.col("role") == "tool", 2) + bit(called & (F.col("tool_name") == emit), 4)).alias("_has"))
+    has = lambda n: F.count_if(F.col("_has").bitwiseAND(n) > 0)
+    counts = shapes.join(twins.select("line"), "line", "left_semi").agg(has(1).alias("twins_with_calls"), has(2).alias("twins_with_results"), has(4).alias("twins_with_output"))
     every = real.agg(F.count("*").alias("real"), (F.count("*") - F.countDistinct("source_row_id") - F.max(F.col("source_row_id").isNull().cast("int"))).alias("duplicate_real_sources"))
-    one = every.crossJoin(sources).crossJoin(wrong).crossJoin(chains).crossJoin(counts).fillna({"duplicate_real_sources": 0})  # one row each
+    one = every.crossJoin(sources).crossJoin(counts).fillna({"duplicate_real_sources": 0})  # one row each
     identity = (F.col("duplicate_real_sources") == 0) & (F.col("duplicate_twin_sources") == 0) & (F.col("identity_mismatches") == 0) & (F.col("_null") == 0)
     verdict = lambda ok: F.when(F.col("twins") == 0, "suspect").when(ok, "pass").otherwise("fail")
     return one.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators import joins as J
 from tallyforge.plans.fixtures import load, with_tables
 from tallyforge.plans.registry import query
+from tallyforge.sources import files
 
 c = F.col
 META, LEDGER, BEATS, TRAJ, QA = (with_tables(n) for n in ("meta", "ledger", "beats", "traj", "qa"))
@@ -242,16 +243,16 @@ rc AS (SELECT source_row_id, arg_min({'c': chain}, line).c AS rc FROM chained WH
 td AS (SELECT line, source_row_id, coalesce(list_min([i FOR i IN range(1, greatest(len(a), len(b)) + 1) IF a[i] IS DISTINCT FROM b[i]]), 0) AS first_difference, CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 WHEN a = b THEN 3 ELSE 2 END AS common, len(b) AS steps FROM tp)"""
 
 
-def _chained(spark, sf):  # noqa: ANN001, ANN202
+def _chained(meta):  # noqa: ANN001, ANN202
     list_, read, emit = (F.lit(x) for x in ("list", "read", "emit_output"))
     k, twin = c("line") % 5, c("block") == "twins"
     chain = F.when(c("line") % 17 != 0, F.when(twin & (k == 0), F.array(read, emit)).when(twin & (k == 1), F.array(list_, emit, read)).otherwise(F.array(list_, read, emit)))
-    return load(spark, sf, "meta").withColumn("chain", chain)
+    return meta.withColumn("chain", chain)
 
 
 @query("jon_16_twin_chains", _TWINS + " SELECT line, source_row_id, CAST(first_difference AS INTEGER) AS first_difference, common, CAST(steps AS INTEGER) AS steps FROM td")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    return J.twin_chains(_chained(spark, sf))
+    return J.twin_chains(_chained(load(spark, sf, "meta")))
 
 
 @query(
@@ -267,12 +268,12 @@ c AS twins_with_calls, r AS twins_with_results, e AS twins_with_output, round_ev
 CASE WHEN twins = unique_paired_sources THEN 'pass' ELSE 'fail' END AS one_to_one_selected, CASE WHEN real = unique_paired_sources THEN 'pass' ELSE 'fail' END AS one_to_one_all FROM re, so, mi, sh""",
 )
 def _(spark, sf):  # noqa: ANN001, ANN202
-    meta = _chained(spark, sf)
-    k = c("line")
-    calls = meta.where("line % 3 > 0").select("line", F.lit("assistant").alias("role"), F.when(k % 3 == 2, "emit_output").otherwise("read").alias("tool_name"))
-    results = meta.where("line % 4 = 0").select("line", F.lit("tool").alias("role"), F.lit(None).cast("string").alias("tool_name"))
-    asked = meta.select("line", F.lit("user").alias("role"), F.lit(None).cast("string").alias("tool_name"))
-    return J.audit_twin_lineage(meta, calls.unionByName(results).unionByName(asked), ["source_row_id", "gold_class", "night"])
+    meta = _chained(files.staged(load(spark, sf, "meta").select("line", "source_row_id", "gold_class", "night", "block", "twin_of"), "lineage"))  # numbered once
+    k, none = c("line"), F.lit(None).cast("string")
+    said = lambda role, tool: F.struct(F.lit(role).alias("role"), tool.alias("tool_name"))
+    calls = F.when(k % 3 > 0, said("assistant", F.when(k % 3 == 2, "emit_output").otherwise("read")))
+    messages = meta.select("line", F.inline(F.array_compact(F.array(calls, F.when(k % 4 == 0, said("tool", none)), said("user", none)))))
+    return J.audit_twin_lineage(meta, messages, ["source_row_id", "gold_class", "night"])
 
 
 @query("jon_17_resolve_edges", "SELECT event_id, user_id AS from_key, user_id + 1 AS to_key, CAST(CASE WHEN user_id % 4 <> 0 AND (user_id + 1) % 4 <> 0 AND user_id // 10 <> (user_id + 1) // 10 THEN NULL WHEN user_id % 4 <> 0 AND user_id IN (SELECT user_id FROM events) THEN user_id // 10 WHEN (user_id + 1) % 4 <> 0 AND user_id + 1 IN (SELECT user_id FROM events) THEN (user_id + 1) // 10 END AS VARCHAR) AS run_id FROM events WHERE user_id + 1 IN (SELECT user_id FROM events)")

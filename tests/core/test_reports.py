@@ -13,6 +13,7 @@ from tallyforge.functions import text as T
 from tallyforge.operators import joins as J
 from tallyforge.operators import verify as V
 from tallyforge.operators import verify_pass as VP
+from tallyforge.plans import catalog
 from tallyforge.plans import checks as K
 from tallyforge.plans.fixtures import load
 from tallyforge.plans.verify import DECLARED, whole_corpus
@@ -177,6 +178,33 @@ def test_twin_lineage_of_clean_and_empty_tables(spark):
     assert J.audit_twin_lineage(meta.limit(0), said, ["account"]).first().source_identity == "suspect"
 
 
+def test_twin_lineage_equals_a_count_by_hand(spark):
+    """Repeated and null sources on both sides, null chains and fields, lines with many messages."""
+    rng = random.Random(3)
+    some = lambda n: rng.choice([None, *(f"s{i}" for i in range(n))])
+    rows = [(i, rng.choice(["real_trajectory", "twins", "replay"]), some(30), some(40), some(2), rng.choice([None, [], ["x"], ["x", "y"]])) for i in range(300)]
+    said = [(rng.randrange(330), rng.choice(["user", "assistant", "tool", None]), rng.choice([None, "read", "emit_output"])) for _ in range(500)]
+    meta = spark.createDataFrame(rows, "line long, block string, source_row_id string, twin_of string, account string, chain array<string>")
+    got = J.audit_twin_lineage(meta, spark.createDataFrame(said, "line long, role string, tool_name string"), ["source_row_id", "account"]).first()
+    real, twins = ([r for r in rows if r[1] == b] for b in ("real_trajectory", "twins"))
+    first, last, of = {r[2]: r for r in reversed(real) if r[2]}, {r[2]: r for r in real if r[2]}, [r[3] for r in twins]
+    pairs = [r for r in twins if r[3] in last]
+    assert (got.real, got.twins, got.unique_paired_sources, got.missing_sources) == (len(real), len(twins), len(set(of)), len(set(of) - set(last)))
+    assert (got.duplicate_real_sources, got.duplicate_twin_sources) == (len(real) - len({r[2] for r in real}), sum(of.count(s) > 1 for s in set(of)))
+    assert got.identity_mismatches == sum((r[2] != r[3]) + (r[4] != last[r[3]][4]) for r in pairs) > 0
+    assert got.chain_differences == sum((r[5] or []) != (first[r[3]][5] or []) for r in pairs) > 0
+    lines = {r[0] for r in twins}
+    having = lambda is_so: len(lines & {line for line, role, tool in said if is_so(role, tool)})
+    want = [having(lambda r, t: r == "assistant" and t), having(lambda r, _: r == "tool"), having(lambda r, t: r == "assistant" and t == "emit_output")]
+    assert [got.twins_with_calls, got.twins_with_results, got.twins_with_output] == want
+
+
+def test_twin_lineage_moves_twins_and_real_rows_once(spark):
+    """Its query numbers meta once and writes it; the operator then joins twins and real rows once."""
+    plan = catalog.QUERIES["jon_16_twin_lineage"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and plan.count("Join LeftOuter") == 1
+
+
 def test_functions_in_sql_equal_their_columns(spark):
     assert len(sql.register(spark)) >= 10
     docs = load(spark, SF, "documents").withColumn("status", F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit(" **Improved "), "lang"))).withColumn("yes", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 2 == 0))
