@@ -15,7 +15,7 @@ META, LEDGER, BEATS, TRAJ, QA = (with_tables(n) for n in ("meta", "ledger", "bea
 
 @query("jon_01_align", META + " SELECT a.line, a.source_row_id, b.gold_class FROM meta a JOIN meta b USING (line) WHERE a.line % 7 <> 0 AND b.line % 5 <> 0")
 def _(spark, sf):  # noqa: ANN001, ANN202
-    m = load(spark, sf, "meta")
+    m = files.staged(load(spark, sf, "meta").select("line", "source_row_id", "gold_class"), "aligned")  # numbered once for both sides
     return J.align(m.where("line % 7 <> 0").select("line", "source_row_id"), m.where("line % 5 <> 0").select("line", "gold_class"))
 
 

@@ -54,3 +54,8 @@ def test_meta_is_numbered_without_bringing_it_to_one_task(spark, duck, monkeypat
     assert got.groupby("_p").size().max() < 1500
     want = duck.sql(with_tables("meta") + " SELECT line, source_row_id, block, weight FROM meta").df()
     assert rows(got[["line", "source_row_id", "block", "weight"]]) == rows(want)
+
+
+def test_alignment_numbers_meta_once_for_both_sides(spark):
+    plan = catalog.QUERIES["jon_01_align"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and plan.count("Join Inner") == 1
