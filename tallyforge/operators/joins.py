@@ -375,9 +375,10 @@ def audit_twin_lineage(meta: DataFrame, messages: DataFrame, fields: list[str],
     )
     called = (F.col("role") == "assistant") & F.col("tool_name").isNotNull()
     bit = lambda is_so, n: F.when(is_so, n).otherwise(0)
-    shapes = messages.groupBy("line").agg(F.bit_or(bit(called, 1) + bit(F.col("role") == "tool", 2) + bit(called & (F.col("tool_name") == emit), 4)).alias("_has"))
-    has = lambda n: F.count_if(F.col("_has").bitwiseAND(n) > 0)
-    counts = shapes.join(twins.select("line"), "line", "left_semi").agg(has(1).alias("twins_with_calls"), has(2).alias("twins_with_results"), has(4).alias("twins_with_output"))
+    has = bit(called, 1) + bit(F.col("role") == "tool", 2) + bit(called & (F.col("tool_name") == emit), 4)
+    marks = messages.select("line", has.alias("_has")).unionByName(twins.select("line", F.lit(8).alias("_has"))).where("line is not null")  # a twin's line has 8, so no join is needed
+    twin_with = lambda n: F.count_if(F.col("_has").bitwiseAND(n + 8) == n + 8)
+    counts = marks.groupBy("line").agg(F.bit_or("_has").alias("_has")).agg(twin_with(1).alias("twins_with_calls"), twin_with(2).alias("twins_with_results"), twin_with(4).alias("twins_with_output"))
     every = real.agg(F.count("*").alias("real"), (F.count("*") - F.countDistinct("source_row_id") - F.max(F.col("source_row_id").isNull().cast("int"))).alias("duplicate_real_sources"))
     one = every.crossJoin(sources).crossJoin(counts).fillna({"duplicate_real_sources": 0})  # one row each
     identity = (F.col("duplicate_real_sources") == 0) & (F.col("duplicate_twin_sources") == 0) & (F.col("identity_mismatches") == 0) & (F.col("_null") == 0)
